@@ -1 +1,136 @@
-"""placeholder"""
+"""File-metadata operators on the virtual ``files`` table derived from documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..sources import files as FS
+from ..sources.registry import BUILTIN_READERS, DOC_TYPES, default_registry, doc_type
+from ..sources.tables import table
+from .registry import register
+
+_VF = "WITH " + FS.VIRTUAL_FILES_SQL
+_SUPPORTED = ", ".join(f"'{e}'" for e in FS.SUPPORTED_EXTENSIONS)
+_READER_CASE = "CASE extension " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in sorted(BUILTIN_READERS.items())) + " END"
+_DOCTYPE_CASE = "CASE extension " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in DOC_TYPES.items()) + " ELSE 'TextDocument' END"
+
+
+def _files(spark, sf_dir):
+    return FS.virtual_files(table(spark, sf_dir, "documents"))
+
+
+@register("file_id", _VF + "SELECT doc_id, path, file_id FROM vf")
+def file_id(spark, sf_dir):
+    return _files(spark, sf_dir).select("doc_id", "path", "file_id")
+
+
+@register("ext_filter", _VF + f"""
+SELECT path, extension, extension IN ({_SUPPORTED}) AS supported,
+       extension IN ('.txt', '.text', '.docx', '.doc') AS can_handle FROM vf""")
+def ext_filter(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    return f.select("path", "extension",
+                    F.col("extension").isin(list(FS.SUPPORTED_EXTENSIONS)).alias("supported"),
+                    F.col("extension").isin(list(BUILTIN_READERS)).alias("can_handle"))
+
+
+@register("size_guard", _VF + f"""
+SELECT path, size, size <= {FS.MAX_FILE_SIZE_BYTES} AS accepted FROM vf""")
+def size_guard(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    return f.select("path", "size", FS.size_guard(f).alias("accepted"))
+
+
+@register("metadata_projection", _VF + f"""
+SELECT path AS file_path, file_name, extension AS file_extension, size AS file_size_bytes,
+       {_READER_CASE} AS reader_type, modified AS last_modified, file_id AS source_id FROM vf""")
+def metadata_projection(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    reg = default_registry()
+    return f.select(F.struct(
+        F.col("path").alias("file_path"), "file_name", F.col("extension").alias("file_extension"),
+        F.col("size").alias("file_size_bytes"), reg.reader_column("extension").alias("reader_type"),
+        F.col("modified").alias("last_modified"), F.col("file_id").alias("source_id")).alias("metadata")
+    ).select("metadata.*")
+
+
+@register("doc_type", _VF + f"SELECT path, {_DOCTYPE_CASE} AS doc_type FROM vf")
+def doc_type_q(spark, sf_dir):
+    return _files(spark, sf_dir).select("path", doc_type("extension").alias("doc_type"))
+
+
+@register("source_citation", _VF + """
+SELECT path, 'Source: ' || file_name || ' (from ' || path || ')' AS citation FROM vf""")
+def source_citation(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    return f.select("path", X.source_citation("file_name", "path").alias("citation"))
+
+
+@register("retrieval_context", _VF + """
+SELECT path, '[' || file_name || ']' || chr(10) || text AS context FROM vf""")
+def retrieval_context(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    return f.select("path", X.retrieval_context("file_name", "text").alias("context"))
+
+
+@register("reader_dispatch", _VF + f"""
+SELECT path, extension, {_READER_CASE} AS reader,
+       CASE WHEN {_READER_CASE} IS NULL THEN
+         'No reader registered for extension ''' || extension || '''. Supported formats: '
+         || '{", ".join(sorted(BUILTIN_READERS))}' END AS error
+FROM vf""")
+def reader_dispatch(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    reg = default_registry()
+    return f.select("path", "extension", reg.reader_column("extension").alias("reader"),
+                    reg.error_column("extension").alias("error"))
+
+
+@register("quarantine", _VF + f"""
+SELECT file_id, path,
+       CASE WHEN size > {FS.MAX_FILE_SIZE_BYTES} THEN 'dead_letter'
+            WHEN {_READER_CASE} IS NULL THEN 'dead_letter' ELSE 'good' END AS status,
+       CASE WHEN size > {FS.MAX_FILE_SIZE_BYTES} THEN 'ValidationError'
+            WHEN {_READER_CASE} IS NULL THEN 'ReadError' END AS error_type
+FROM vf""")
+def quarantine(spark, sf_dir):
+    """Rows a reader cannot take go to the dead letter with a typed error."""
+    f = _files(spark, sf_dir)
+    reg = default_registry()
+    error_type = (F.when(~FS.size_guard(f), "ValidationError")
+                  .when(reg.reader_column("extension").isNull(), "ReadError"))
+    return f.select("file_id", "path",
+                    F.when(error_type.isNull(), "good").otherwise("dead_letter").alias("status"),
+                    error_type.alias("error_type"))
+
+
+@register("file_exists", """
+SELECT DISTINCT l.doc_id, EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id) AS exists
+FROM labels l""")
+def file_exists(spark, sf_dir):
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    files = table(spark, sf_dir, "documents").select("doc_id")
+    return FS.file_exists(ids, files, key="doc_id")
+
+
+@register("incremental_new", _VF + """
+SELECT doc_id, path FROM vf WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def incremental_new(spark, sf_dir):
+    """Files not processed before: the labelled documents stand for the
+    previous run's output; the rest is new work (left anti join)."""
+    done = table(spark, sf_dir, "labels").select("doc_id")
+    return _files(spark, sf_dir).join(done, "doc_id", "left_anti").select("doc_id", "path")
+
+
+@register("safe_default", """
+SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k,
+       coalesce(CASE WHEN value = 0 THEN NULL ELSE 100.0 / value END, 0.0) AS inv_value
+FROM events""")
+def safe_default(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id",
+                    F.coalesce(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(-1).cast("bigint")).alias("k"),
+                    F.coalesce(F.try_divide(F.lit(100.0), F.col("value")), F.lit(0.0)).alias("inv_value"))

@@ -29,7 +29,10 @@ def _norm(v, digits=6):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        r = round(v, digits)
+        if v == 0 or math.isinf(v):
+            return 0.0 if v == 0 else v
+        # 9 significant digits: engines sum in different orders
+        r = float(f"{v:.9g}")
         return 0.0 if r == 0 else r
     if isinstance(v, decimal.Decimal):
         return _norm(float(v), digits)

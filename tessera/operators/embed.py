@@ -53,6 +53,8 @@ DEFAULT_EMBEDDING_MODELS = {
 }
 DEFAULT_MODEL = "sentence-transformers/all-mpnet-base-v2"
 FALLBACK_DIMENSION = 768
+# Offline embedder: model names "hashing-<dim>" need no weights.
+OFFLINE_MODEL = "hashing-768"
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("chunk_key", T.StringType()),
@@ -74,6 +76,8 @@ def embedding_type_col(model) -> Column:
 
 
 def model_dimension(model: str) -> int:
+    if model.startswith("hashing-") and model[len("hashing-"):].isdigit():
+        return int(model[len("hashing-"):])
     return EMBEDDING_DIMENSIONS.get(model, FALLBACK_DIMENSION)
 
 
@@ -147,7 +151,7 @@ def cache_misses(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     return distinct.join(cache.select("chunk_key"), "chunk_key", "left_anti")
 
 
-def embed_cached(chunks: DataFrame, model: str = DEFAULT_MODEL, cache_path: str | None = None,
+def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None,
                  embedder: Callable | None = None) -> DataFrame:
     """Attach ``embedding`` to every chunk row, computing each text at most once.
 
@@ -156,7 +160,11 @@ def embed_cached(chunks: DataFrame, model: str = DEFAULT_MODEL, cache_path: str
     """
     spark = chunks.sparkSession
     path = cache_path or default_cache_path(spark)
-    factory = embedder or hashing_embedder(model_dimension(model))
+    if embedder is None:
+        if not model.startswith("hashing-"):
+            raise ValueError(f"model {model!r} needs an embedder factory (no weights are bundled)")
+        embedder = hashing_embedder(model_dimension(model))
+    factory = embedder
     misses = cache_misses(chunks, read_cache(spark, path, model))
     new = misses.select("chunk_key", embedding_udf(factory)("text").alias("embedding"),
                         F.lit(model).alias("model"))
@@ -165,7 +173,7 @@ def embed_cached(chunks: DataFrame, model: str = DEFAULT_MODEL, cache_path: str
     return chunks.join(cache.select("chunk_key", "model", "embedding"), "chunk_key", "left")
 
 
-def count_misses(chunks: DataFrame, model: str = DEFAULT_MODEL, cache_path: str | None = None) -> int:
+def count_misses(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None) -> int:
     """How many distinct texts would be embedded now (0 after a complete run)."""
     spark = chunks.sparkSession
     path = cache_path or default_cache_path(spark)

@@ -1 +1,169 @@
-"""placeholder"""
+"""Translation, prompts, transcripts, labels and sentiment queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import labels as L
+from ..operators import prompts as P
+from ..operators import transcripts as TR
+from ..operators import translate as TL
+from ..sources.tables import table
+from .registry import register
+
+
+def _sql_str(s: str) -> str:
+    """A SQL string literal; newlines as chr(10)."""
+    parts = s.split("\n")
+    return " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in parts) if s else "''"
+
+
+_NAME_CASE = "CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TL.CODE_TO_NAME.items()) + " END"
+_CODE_CASE = lambda x: "CASE " + x + " " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in TL.LANGUAGE_CODES.items()) + " END"
+
+
+def _translate_sql(text, lang):
+    unsupported = _sql_str(f"'. Supported languages are: {', '.join(TL.LANGUAGE_CODES)}")
+    out = f"CASE WHEN {_CODE_CASE(lang)} IS NULL THEN 'Error: Unsupported language ''' || {lang} || {unsupported}"
+    for phrase, per in TL.TRANSLATIONS.items():
+        tr = "CASE " + _CODE_CASE(lang) + " " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in per.items()) + " END"
+        out += f" WHEN contains(lower({text}), '{phrase}') THEN replace({text}, '{phrase}', {tr})"
+    out += f" ELSE '[Translation of ''' || {text} || ''' to ' || {lang} || ']' END"
+    return out
+
+
+@register("translate_phrases", f"""
+SELECT doc_id, {_translate_sql('text', _NAME_CASE)} AS translation FROM documents""")
+def translate_phrases(spark, sf_dir):
+    """Each document translated into its own language's name (English is not
+    in the dictionary, so English documents get the error text)."""
+    d = table(spark, sf_dir, "documents")
+    name = F.try_element_at(F.create_map(*[F.lit(x) for kv in TL.CODE_TO_NAME.items() for x in kv]), F.col("lang"))
+    return d.select("doc_id", TL.translate("text", name).alias("translation"))
+
+
+@register("translate_turns", f"""
+SELECT conv_id, turn, {_translate_sql('text', "'spanish'")} AS translation
+FROM conversations WHERE role = 'user'""")
+def translate_turns(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select("conv_id", "turn", TL.translate("text", F.lit("spanish")).alias("translation"))
+
+
+@register("lang_code", f"""
+SELECT lang, {_NAME_CASE} AS language, {_CODE_CASE(_NAME_CASE)} AS code, count(*)::BIGINT AS n_docs
+FROM documents GROUP BY lang""")
+def lang_code(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").cast("bigint").alias("n_docs"))
+    name = F.try_element_at(F.create_map(*[F.lit(x) for kv in TL.CODE_TO_NAME.items() for x in kv]), F.col("lang"))
+    return d.select("lang", name.alias("language"), TL.language_code(name).alias("code"), "n_docs")
+
+
+@register("supported_languages", f"""
+SELECT l.language, l.code, coalesce(n.n_docs, 0)::BIGINT AS n_docs
+FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TL.LANGUAGE_CODES.items())}) l(language, code)
+LEFT JOIN (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang) n ON n.lang = l.code""")
+def supported_languages(spark, sf_dir):
+    langs = F.broadcast(TL.language_table(spark))  # fixed, 10 rows
+    n = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n_docs"))
+    return (langs.join(n, langs["code"] == n["lang"], "left")
+            .select("language", "code", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs")))
+
+
+_SCHEMA_SQL = _sql_str("\n".join(P.DEFAULT_SCHEMA_LINES))
+_INSTR_SQL = _sql_str("\n".join(P.SQL_INSTRUCTIONS))
+
+
+@register("sql_prompt", f"""
+SELECT conv_id, turn, '# Database Schema' || chr(10) || {_SCHEMA_SQL} || chr(10) || {_INSTR_SQL}
+       || chr(10) || text AS prompt
+FROM conversations WHERE role = 'user'""")
+def sql_prompt(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select("conv_id", "turn", P.sql_prompt("text").alias("prompt"))
+
+
+@register("batch_infer")
+def batch_infer(spark, sf_dir):
+    """Text-to-SQL over every user turn with the injected (offline echo) model."""
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    prompts = c.select("conv_id", "turn", F.col("text").alias("question"), P.sql_prompt("text").alias("prompt"))
+    return P.batch_infer(prompts, "prompt", ["conv_id", "turn", "question"], answer_col="sql_query")
+
+
+@register("prompt_batches", f"""
+WITH b AS (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS batch_id FROM documents)
+SELECT batch_id::BIGINT AS batch_id, count(*)::BIGINT AS n_reviews,
+       {_sql_str(P.SENTIMENT_HEADER)} || 'Reviews: ' || to_json(list(text ORDER BY doc_id)) AS prompt
+FROM b GROUP BY batch_id""")
+def prompt_batches(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return L.prompt_batches(d, ["doc_id"], "text", header=P.SENTIMENT_HEADER)
+
+
+@register("label_distribution", """
+SELECT quality, count(*)::BIGINT AS count, (SELECT count(*) FROM labels)::BIGINT AS total,
+       count(*) * 100.0 / (SELECT count(*) FROM labels) AS percentage
+FROM labels GROUP BY quality""")
+def label_distribution(spark, sf_dir):
+    return L.distribution(table(spark, sf_dir, "labels"), "quality")
+
+
+@register("batch_distribution", """
+WITH b AS (SELECT quality, (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS batch_id FROM labels),
+r AS (SELECT batch_id::BIGINT AS batch_id, quality, count(*)::BIGINT AS count FROM b GROUP BY ROLLUP (batch_id, quality))
+SELECT r.batch_id, r.quality, r.count, r.count * 100.0 / t.count AS percentage
+FROM r LEFT JOIN r t ON t.quality IS NULL AND r.batch_id IS NOT DISTINCT FROM t.batch_id""")
+def batch_distribution(spark, sf_dir):
+    return L.batch_distribution(table(spark, sf_dir, "labels"), ["doc_id"], "quality")
+
+
+_POS = ", ".join(f"'{w}'" for w in L.POSITIVE_WORDS)
+_NEG = ", ".join(f"'{w}'" for w in L.NEGATIVE_WORDS)
+_SCORE_SQL = f"""list_sum(list_transform(regexp_split_to_array(lower(text), '{L.TOKEN_SPLIT}'),
+    lambda t: CASE WHEN t IN ({_POS}) THEN 1 WHEN t IN ({_NEG}) THEN -1 ELSE 0 END))"""
+
+
+@register("sentiment_lexicon", f"""
+SELECT doc_id, CAST({_SCORE_SQL} AS INTEGER) AS score,
+       CASE WHEN {_SCORE_SQL} > 0 THEN 'Positive' WHEN {_SCORE_SQL} < 0 THEN 'Negative' ELSE 'Neutral' END AS label
+FROM documents""")
+def sentiment_lexicon(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    s = d.select("doc_id", L.lexicon_score("text").cast("int").alias("score"))
+    return s.withColumn("label", L.sentiment_label("score"))
+
+
+@register("sentiment_distribution", f"""
+WITH s AS (SELECT CASE WHEN {_SCORE_SQL} > 0 THEN 'Positive' WHEN {_SCORE_SQL} < 0 THEN 'Negative'
+                       ELSE 'Neutral' END AS label FROM documents)
+SELECT label, count(*)::BIGINT AS count, (SELECT count(*) FROM s)::BIGINT AS total,
+       count(*) * 100.0 / (SELECT count(*) FROM s) AS percentage FROM s GROUP BY label""")
+def sentiment_distribution(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return L.distribution(d.select(L.sentiment_label(L.lexicon_score("text")).alias("label")), "label")
+
+
+@register("ai_messages", """
+SELECT conv_id, turn, [text] AS parts, text FROM conversations WHERE role = 'assistant'""")
+def ai_messages(spark, sf_dir):
+    return TR.ai_messages(TR.messages_from_conversations(table(spark, sf_dir, "conversations")))
+
+
+@register("refine_prompt", f"""
+SELECT conv_id, {_sql_str(P.REFINE_LINES and chr(10).join(P.REFINE_LINES).split('{q}')[0])}
+       || arg_min(text, turn) FILTER (WHERE role = 'user')
+       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{q}')[1].split('{tools}')[0])} || '[]'
+       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{tools}')[1].split('{outputs}')[0])} || '[]'
+       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{outputs}')[1])} AS prompt
+FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'user') > 0""")
+def refine_prompt(spark, sf_dir):
+    """Per conversation: the first user question plus the tools used and their
+    outputs (as JSON lists) in the refinement template."""
+    msgs = TR.messages_from_conversations(table(spark, sf_dir, "conversations"))
+    q = (msgs.filter(F.col("role") == "user").groupBy("conv_id")
+         .agg(F.min_by(F.variant_get("content", "$", "string"), "turn").alias("question")))
+    tools = TR.conversation_tools(msgs)
+    return q.join(tools, "conv_id", "left").select(
+        "conv_id", P.refine_prompt("question", "tools_used", "tool_outputs").alias("prompt"))

@@ -152,7 +152,7 @@ def cache_misses(chunks: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None,
-                 embedder: Callable | None = None) -> DataFrame:
+                 embedder: Callable | None = None, materialize: bool = True) -> DataFrame:
     """Attach ``embedding`` to every chunk row, computing each text at most once.
 
     ``chunks`` needs ``chunk_key`` and ``text``; other columns are kept.
@@ -160,6 +160,13 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
     """
     spark = chunks.sparkSession
     path = cache_path or default_cache_path(spark)
+    if materialize:
+        # The chunks feed two jobs (miss detection + join-back). A reliable
+        # checkpoint in the shared checkpoint folder computes them once and
+        # survives executor loss; never a machine-local copy.
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        chunks = chunks.checkpoint(eager=True)
     if embedder is None:
         if not model.startswith("hashing-"):
             raise ValueError(f"model {model!r} needs an embedder factory (no weights are bundled)")

@@ -34,11 +34,14 @@ def sentiment_label(score) -> Column:
 
 
 def distribution(df: DataFrame, label: str) -> DataFrame:
-    """(label, count, total, percentage); the total is a 1-row aggregate
-    broadcast back (no window over the whole table)."""
+    """(label, count, total, percentage) in one pass over the data.
+
+    The total is a window over the aggregated counts (one row per class), not
+    over the input rows, so the single-partition window sees a handful of rows.
+    """
     counts = df.groupBy(label).agg(F.count("*").cast("bigint").alias("count"))
-    total = df.agg(F.count("*").cast("bigint").alias("total"))
-    return (counts.crossJoin(F.broadcast(total))
+    total = F.sum("count").over(Window.partitionBy(F.lit(0))).cast("bigint")
+    return (counts.withColumn("total", total)
             .withColumn("percentage", F.when(F.col("total") > 0, F.col("count") * 100.0 / F.col("total"))))
 
 
@@ -51,11 +54,12 @@ def batch_distribution(df: DataFrame, order: list[str], label: str, size: int =
     """Counts per (batch, label) with per-batch and grand totals (rollup);
     percentage is within the batch."""
     b = batches(df, order, size)
-    r = b.rollup("batch_id", label).agg(F.count("*").cast("bigint").alias("count"))
-    tot = r.filter(F.col(label).isNull()).select(
-        F.col("batch_id").alias("_b"), F.col("count").alias("_t"))
-    return (r.join(tot, r["batch_id"].eqNullSafe(tot["_b"]), "left")
-            .withColumn("percentage", F.col("count") * 100.0 / F.col("_t")).drop("_b", "_t"))
+    r = b.rollup("batch_id", label).agg(F.count("*").cast("bigint").alias("count"),
+                                        F.grouping(label).alias("_g"))
+    # the batch total is the rollup row of the batch; a window over the
+    # (small) rollup output partitioned by batch picks it up without a self-join
+    batch_total = F.max(F.when(F.col("_g") == 1, F.col("count"))).over(Window.partitionBy("batch_id"))
+    return r.withColumn("percentage", F.col("count") * 100.0 / batch_total).drop("_g")
 
 
 def prompt_batches(df: DataFrame, order: list[str], text: str, size: int = BATCH_SIZE,

@@ -72,9 +72,13 @@ def file_state(ev: DataFrame) -> DataFrame:
     return times.join(kv, "file_id", "left")
 
 
-def lookup(folded: DataFrame, file_ids: Sequence[str]) -> DataFrame:
-    """Point lookup; unknown ids give no rows."""
-    return folded.filter(F.col("file_id").isin(list(file_ids)))
+def lookup(ev: DataFrame, file_ids: Sequence[str]) -> DataFrame:
+    """Point lookup of the folded state; unknown ids give no rows.
+
+    The filter is applied to the events before the fold, so only the
+    requested files are aggregated (and a source-column filter placed on
+    ``ev`` by the caller reaches the scan)."""
+    return fold_stages(ev.filter(F.col("file_id").isin(list(file_ids))))
 
 
 def _progress_cols(m: Column, expected: Sequence[str]) -> list[Column]:

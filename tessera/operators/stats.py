@@ -18,33 +18,120 @@ from pyspark.sql import functions as F
 ZSCORE_THRESHOLD = 2.5
 IQR_FACTOR = 1.5
 METHODS = ("zscore", "iqr")
+# How exact quantiles are computed:
+#   "sort"       exact, skew-safe: values are ranked by a distributed sort
+#                (range partitions on (group, value)), so a group holding a
+#                third of the data is spread over many tasks;
+#   "percentile" exact, one pass: Spark's ``percentile`` keeps a value->count
+#                map per group that is merged in one task (fine when groups
+#                have few distinct values);
+#   "approx"     ``percentile_approx`` with relative rank error 1e-5.
+QUANTILE_METHODS = ("sort", "percentile", "approx")
+DEFAULT_QUANTILE_METHOD = "sort"
+
+
+def _check_quantile_method(method: str) -> str:
+    if method not in QUANTILE_METHODS:
+        raise ValueError(f"unknown quantile method {method!r}; use one of {QUANTILE_METHODS}")
+    return method
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolated quantiles (numpy's default) by distributed ranking.
+
+    Per group with n non-null values, quantile p lies between the values at
+    0-based ranks floor(p(n-1)) and ceil(p(n-1)). Ranks come from
+    ``with_position`` over (group, value): one range shuffle of the two
+    columns plus a key-only count pass; no group is ever held by one task.
+    Returns one row per group (groups with only NULL values get NULLs).
+    """
+    from .position import with_position
 
-
-def _median(x: Column, approx: bool) -> Column:
-    # Exact median keeps a value->count map per group; on very wide groups the
-    # approximate form (bounded memory, relative rank error 1/accuracy) is
-    # offered instead.
-    return F.percentile_approx(x, 0.5, 100000) if approx else F.median(x)
+    by = list(by)
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    x = F.col(value).cast("double")
+    vals = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
+    if by:
+        # a composite range key keeps the rank order (group, value); NULL
+        # group keys sort first and stay one group
+        ranked = with_position(vals, [*by, "_x"], name="_pos")
+    else:
+        ranked = with_position(vals, ["_x"], name="_pos")
+    groups = ranked.groupBy(*by).agg(F.min("_pos").alias("_start"), F.count("*").alias("_n"))
+    ranks = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        ranks += [F.floor(h).cast("bigint").alias(f"_lo{i}"), F.ceil(h).cast("bigint").alias(f"_hi{i}"),
+                  (h - F.floor(h)).alias(f"_f{i}")]
+    groups = groups.select(*by, "_start", *ranks)
+    # one row per group: AQE broadcasts it when small, else a shuffle join
+    j = ranked.join(groups, by, "inner") if by else ranked.crossJoin(F.broadcast(groups))
+    rel = F.col("_pos") - F.col("_start")
+    keep = None
+    for i in range(len(probs)):
+        c = (rel == F.col(f"_lo{i}")) | (rel == F.col(f"_hi{i}"))
+        keep = c if keep is None else keep | c
+    picked = j.filter(keep)  # at most 2 rows per group and quantile
+    aggs = []
+    for i, nm in enumerate(names):
+        lo = F.max(F.when(rel == F.col(f"_lo{i}"), F.col("_x")))
+        hi = F.max(F.when(rel == F.col(f"_hi{i}"), F.col("_x")))
+        aggs.append((lo + (hi - lo) * F.max(F.col(f"_f{i}"))).alias(nm))
+    return picked.groupBy(*by).agg(*aggs) if by else picked.agg(*aggs)
+
+
+def join_on_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join two per-group frames on the group keys, NULL keys matching NULL."""
+    by = list(by)
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in by],
+                     *[F.col(c) for c in right.columns if c not in by])
+    cond = None
+    for c in by:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in by])
+
+
+def _quantile_aggs(x: Column, probs: Sequence[float], names: Sequence[str], method: str) -> list[Column]:
+    if method == "approx":
+        q = F.percentile_approx(x, list(probs), 100000)
+    else:
+        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
+    return [q[i].cast("double").alias(n) for i, n in enumerate(names)]
 
 
-def describe_aggs(value: str, approx: bool = False) -> list[Column]:
+def describe_aggs(value: str) -> list[Column]:
     x = F.col(value).cast("double")
     return [
         F.count(x).cast("bigint").alias("count"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         F.avg(x).alias("mean"),
-        _median(x, approx).cast("double").alias("median"),
         F.stddev_pop(x).alias("std_dev"),
         F.var_pop(x).alias("variance"),
         F.sum(x).alias("sum"),
     ]
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+_DESCRIBE_ORDER = ["count", "min", "max", "mean", "median", "std_dev", "variance", "sum"]
+
+
+def describe(df: DataFrame, value: str, by: Sequence[str] = (),
+             method: str = DEFAULT_QUANTILE_METHOD) -> DataFrame:
     """count, min, max, mean, median, std_dev, variance, sum (globally or per group)."""
-    aggs = describe_aggs(value, approx)
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    _check_quantile_method(method)
+    by = list(by)
+    aggs = describe_aggs(value)
+    if method != "sort":
+        aggs = aggs + _quantile_aggs(F.col(value).cast("double"), [0.5], ["median"], method)
+        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        return out.select(*by, *_DESCRIBE_ORDER)
+    base = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    med = exact_quantiles(df, value, [0.5], by, ["median"])
+    if by:
+        return join_on_groups(base, med, by).select(*by, *_DESCRIBE_ORDER)
+    return base.crossJoin(F.broadcast(med)).select(*_DESCRIBE_ORDER)  # 1 row each
 
 
 def correlation(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -72,26 +159,27 @@ def _check_method(method: str) -> str:
 
 
 def outlier_bounds(df: DataFrame, value: str, method: str = "zscore", by: Sequence[str] = (),
-                   approx: bool = False) -> DataFrame:
+                   quantiles: str = DEFAULT_QUANTILE_METHOD) -> DataFrame:
     """One row per group with the quantities the outlier test needs."""
     m = _check_method(method)
+    _check_quantile_method(quantiles)
+    by = list(by)
     x = F.col(value).cast("double")
     if m == "zscore":
         aggs = [F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_std")]
+        return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    if quantiles == "sort":
+        out = exact_quantiles(df, value, [0.25, 0.75], by, ["_q1", "_q3"])
     else:
-        q = (F.percentile_approx(x, [0.25, 0.75], 100000) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))))
-        aggs = [q.alias("_q")]
-    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    if m == "iqr":
-        q1, q3 = F.col("_q")[0].cast("double"), F.col("_q")[1].cast("double")
-        out = out.select(*by, (q1 - IQR_FACTOR * (q3 - q1)).alias("_lo"),
-                         (q3 + IQR_FACTOR * (q3 - q1)).alias("_hi"))
-    return out
+        aggs = _quantile_aggs(x, [0.25, 0.75], ["_q1", "_q3"], quantiles)
+        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    q1, q3 = F.col("_q1"), F.col("_q3")
+    return out.select(*by, (q1 - IQR_FACTOR * (q3 - q1)).alias("_lo"),
+                      (q3 + IQR_FACTOR * (q3 - q1)).alias("_hi"))
 
 
 def outliers(df: DataFrame, value: str, index: str, method: str = "zscore",
-             by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+             by: Sequence[str] = (), quantiles: str = DEFAULT_QUANTILE_METHOD) -> DataFrame:
     """Rows whose value is an outlier: (by..., index, value, method).
 
     The per-group bounds are one row per group. Globally that is a single
@@ -100,7 +188,7 @@ def outliers(df: DataFrame, value: str, index: str, method: str = "zscore",
     broadcast when the runtime size of the bounds allows it.
     """
     m = _check_method(method)
-    bounds = outlier_bounds(df, value, m, by, approx)
+    bounds = outlier_bounds(df, value, m, by, quantiles)
     data = df.select(*by, index, value)
     if by:
         joined = data.join(bounds, list(by), "inner")
@@ -117,13 +205,13 @@ def outliers(df: DataFrame, value: str, index: str, method: str = "zscore",
 
 
 def outlier_summary(df: DataFrame, value: str, index: str, method: str = "zscore",
-                    by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+                    by: Sequence[str] = (), quantiles: str = DEFAULT_QUANTILE_METHOD) -> DataFrame:
     """Outlier count per group plus value range; the rows themselves stay in ``outliers``.
 
     Groups without outliers are reported with count 0.
     """
     m = _check_method(method)
-    found = outliers(df, value, index, m, by, approx)
+    found = outliers(df, value, index, m, by, quantiles)
     agg = [F.count("*").cast("bigint").alias("outlier_count"),
            F.min("value").alias("min_outlier"), F.max("value").alias("max_outlier"),
            F.min(index).alias("first_index")]

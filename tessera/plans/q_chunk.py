@@ -21,7 +21,7 @@ WS = WS_CLASS[1:-1]
 def flagship(spark: SparkSession, sf_dir: str, cache_path: str | None = None) -> DataFrame:
     """documents -> counts -> recursive chunks -> keys -> cached embeddings ->
     per-language summary (the minimum end-to-end slice)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", spread=True)
     chunks = C.chunk_documents(docs, keep=["lang"])
     embedded = E.embed_cached(chunks, cache_path=cache_path)
     per_lang_chunks = embedded.groupBy("lang").agg(

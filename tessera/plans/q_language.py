@@ -38,7 +38,7 @@ SELECT doc_id, {_translate_sql('text', _NAME_CASE)} AS translation FROM document
 def translate_phrases(spark, sf_dir):
     """Each document translated into its own language's name (English is not
     in the dictionary, so English documents get the error text)."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread=True)
     name = F.try_element_at(F.create_map(*[F.lit(x) for kv in TL.CODE_TO_NAME.items() for x in kv]), F.col("lang"))
     return d.select("doc_id", TL.translate("text", name).alias("translation"))
 
@@ -130,7 +130,7 @@ SELECT doc_id, CAST({_SCORE_SQL} AS INTEGER) AS score,
        CASE WHEN {_SCORE_SQL} > 0 THEN 'Positive' WHEN {_SCORE_SQL} < 0 THEN 'Negative' ELSE 'Neutral' END AS label
 FROM documents""")
 def sentiment_lexicon(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
     s = d.select("doc_id", L.lexicon_score("text").cast("int").alias("score"))
     return s.withColumn("label", L.sentiment_label("score"))
 
@@ -141,7 +141,7 @@ WITH s AS (SELECT CASE WHEN {_SCORE_SQL} > 0 THEN 'Positive' WHEN {_SCORE_SQL} <
 SELECT label, count(*)::BIGINT AS count, (SELECT count(*) FROM s)::BIGINT AS total,
        count(*) * 100.0 / (SELECT count(*) FROM s) AS percentage FROM s GROUP BY label""")
 def sentiment_distribution(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "text", spread=True)
     return L.distribution(d.select(L.sentiment_label(L.lexicon_score("text")).alias("label")), "label")
 
 

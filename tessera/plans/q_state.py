@@ -70,7 +70,12 @@ _LOOKUP_IDS = ("0", "7", "42", "no-such-file")
 @register("state_lookup", f"""WITH {_EV}, {_SF}
 SELECT * FROM sf WHERE file_id IN ({", ".join(f"'{i}'" for i in _LOOKUP_IDS)})""")
 def state_lookup(spark, sf_dir):
-    return ST.lookup(ST.fold_stages(_ev(spark, sf_dir)), _LOOKUP_IDS)
+    # file ids are user ids as text: filter the source column so the
+    # predicate is pushed into the parquet scan (ids that are not numbers
+    # cannot match any file)
+    numeric = [int(i) for i in _LOOKUP_IDS if i.isdigit()]
+    ev = ST.events_from_driver(table(spark, sf_dir, "events").filter(F.col("user_id").isin(numeric)))
+    return ST.lookup(ev, _LOOKUP_IDS)
 
 
 @register("file_progress", f"WITH {_EV}, {_SF}, {_progress_sql(ST.STAGES_EMITTED)} SELECT * FROM prog")

@@ -18,7 +18,7 @@ _WORDS_SQL = f"len(list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x:
 SELECT doc_id, {_WORDS_SQL}::BIGINT AS word_count, length(text)::BIGINT AS character_count
 FROM documents""")
 def text_counts(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
     return d.select("doc_id", X.word_count("text").alias("word_count"),
                     X.char_count("text").alias("character_count"))
 
@@ -26,7 +26,7 @@ def text_counts(spark, sf_dir):
 @register("blank_docs", f"""
 SELECT doc_id, (text IS NULL OR NOT regexp_matches(text, '[^{WS}]')) AS is_blank FROM documents""")
 def blank_docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.is_blank("text").alias("is_blank"))
+    return table(spark, sf_dir, "documents", "doc_id", "text", spread=True).select("doc_id", X.is_blank("text").alias("is_blank"))
 
 
 @register("paragraph_split", f"""
@@ -34,7 +34,7 @@ SELECT doc_id, len(list_filter(string_split(text, chr(10) || chr(10)),
                                lambda p: regexp_matches(p, '[^{WS}]')))::INTEGER AS n_paragraphs
 FROM documents""")
 def paragraph_split(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
     return d.select("doc_id", F.size(X.paragraphs("text")).alias("n_paragraphs"))
 
 
@@ -54,7 +54,8 @@ FROM documents GROUP BY sha256(text)""")
 def exact_dedup(spark, sf_dir):
     """Keep the lowest doc_id per distinct text; the hash is the shuffle key and
     the aggregate is partial, so copies collapse map-side before the shuffle."""
-    d = table(spark, sf_dir, "documents").select("doc_id", content_hash("text").alias("content_hash"))
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True).select(
+        "doc_id", content_hash("text").alias("content_hash"))
     return d.groupBy("content_hash").agg(F.min("doc_id").alias("doc_id"),
                                          F.count("*").cast("bigint").alias("n_copies"))
 
@@ -62,7 +63,7 @@ def exact_dedup(spark, sf_dir):
 @register("html_title", f"""
 SELECT page_id, nullif(regexp_extract(html, '{H.TITLE_RE}', 1), '') AS title FROM pages""")
 def html_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", H.title("html").alias("title"))
+    return table(spark, sf_dir, "pages", "page_id", "html", spread=True).select("page_id", H.title("html").alias("title"))
 
 
 @register("html_headings", f"""
@@ -71,7 +72,7 @@ FROM (SELECT page_id, regexp_extract_all(html, '{H.HEADING_RE}', 1) AS lv,
              regexp_extract_all(html, '{H.HEADING_RE}', 2) AS tx FROM pages) t,
      range(1, len(lv) + 1) r(i)""")
 def html_headings(spark, sf_dir):
-    return H.headings(table(spark, sf_dir, "pages"), "page_id", "html")
+    return H.headings(table(spark, sf_dir, "pages", "page_id", "html", spread=True), "page_id", "html")
 
 
 @register("html_links", f"""
@@ -80,4 +81,4 @@ FROM (SELECT page_id, regexp_extract_all(html, '{H.LINK_RE}', 1) AS hr,
              regexp_extract_all(html, '{H.LINK_RE}', 2) AS tx FROM pages) t,
      range(1, len(hr) + 1) r(i)""")
 def html_links(spark, sf_dir):
-    return H.links(table(spark, sf_dir, "pages"), "page_id", "html")
+    return H.links(table(spark, sf_dir, "pages", "page_id", "html", spread=True), "page_id", "html")

@@ -94,11 +94,12 @@ def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | None = Non
 
 
 def file_exists(ids: DataFrame, files: DataFrame, key: str = "file_id") -> DataFrame:
-    """(key, exists) for every requested id: semi join -> true, anti join -> false."""
+    """(key, exists) for every requested id, in one left join against the
+    distinct known ids (``left_semi`` / ``left_anti`` on the same pair give the
+    existing / missing ids alone)."""
     req = ids.select(key).distinct()
-    found = req.join(files.select(key), key, "left_semi").withColumn("exists", F.lit(True))
-    missing = req.join(files.select(key), key, "left_anti").withColumn("exists", F.lit(False))
-    return found.unionByName(missing)
+    known = files.select(key).distinct().withColumn("_hit", F.lit(True))
+    return req.join(known, key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("exists"))
 
 
 def size_guard(files: DataFrame, max_bytes: int = MAX_FILE_SIZE_BYTES, size_col: str = "size") -> Column:

@@ -150,6 +150,7 @@ def read_docx_files(files: DataFrame, **options) -> DataFrame:
                 out.append(row)
             yield pd.DataFrame(out, columns=cols)
 
-    docs = files.select("file_id", "path", "content").mapInPandas(parse, DOCX_SCHEMA)
+    from ..operators.partitioning import spread
+    docs = spread(files.select("file_id", "path", "content")).mapInPandas(parse, DOCX_SCHEMA)
     return docs.withColumn("word_count", word_count("content")).withColumn(
         "character_count", char_count("content"))

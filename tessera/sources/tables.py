@@ -8,7 +8,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
+    """Scan one table (optionally only ``columns``). ``spread=True`` before
+    CPU-heavy per-row text work spreads a coarsely split scan over all cores
+    (see ``operators.partitioning.spread``)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        from ..operators.partitioning import spread as _spread
+        df = _spread(df)
+    return df

@@ -36,6 +36,8 @@ def test_array_mean_max_empty_raise(spark):
 def test_describe_matches_numpy(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "v double")
     r = S.describe(df, "v").first()
+    assert S.describe(df, "v", method="percentile").first()["median"] == 2.5
+    assert S.describe(df, "v", method="approx").first()["median"] in (2.0, 3.0)  # an observed value
     assert (r["count"], r["mean"], r["median"], r["variance"], r["sum"]) == (4, 2.5, 2.5, 1.25, 10.0)
     assert abs(r["std_dev"] - 1.118033988749895) < 1e-15
     empty = S.describe(spark.createDataFrame([], "v double"), "v").first()
@@ -92,3 +94,43 @@ def test_text_helpers(spark):
 def test_label_distribution_empty(spark):
     r = L.distribution(spark.createDataFrame([], "label string"), "label").collect()
     assert r == []
+
+
+def test_positions_are_dense_and_ordered(spark):
+    from tessera.operators.position import with_position
+    df = spark.range(0, 1000).selectExpr("id * 7 % 1000 AS k")  # a permutation of 0..999
+    rows = with_position(df, ["k"], num_partitions=7).collect()
+    assert sorted((r["k"], r["pos"]) for r in rows) == [(i, i) for i in range(1000)]
+
+
+def test_batches_of_twenty(spark):
+    from tessera.operators.labels import batch_distribution
+    df = spark.createDataFrame([(i, "P" if i % 3 else "N") for i in range(45)], "id long, label string")
+    r = {(x["batch_id"], x["label"]): x["count"] for x in batch_distribution(df, ["id"], "label").collect()}
+    assert r[(0, None)] == 20 and r[(1, None)] == 20 and r[(2, None)] == 5 and r[(None, None)] == 45
+
+
+def test_image_messages(spark):
+    from tessera.operators.prompts import image_messages
+    import json
+    imgs = spark.createDataFrame([("a.jpg", "QUJD"), ("b.jpg", "REVG")], "path string, data string")
+    pairs = spark.createDataFrame([("a.jpg", "b.jpg", "same?")], "path1 string, path2 string, question string")
+    msg = json.loads(image_messages(pairs, imgs).first()["message"])
+    assert msg[0]["role"] == "user"
+    assert msg[0]["content"][0] == {"type": "text", "text": "same?"}
+    assert msg[0]["content"][2]["source"] == {"type": "base64", "media_type": "image/jpeg", "data": "REVG"}
+
+
+def test_sort_quantiles_match_percentile_with_hot_group(spark):
+    # one group holds most rows; sort-based ranks must equal Spark's percentile
+    rows = [("hot", float(i % 997), i) for i in range(20000)] + [("cold", float(i), i) for i in range(7)] \
+        + [("nul", None, 0)]
+    df = spark.createDataFrame(rows, "g string, v double, i long")
+    got = {r["g"]: (r["a"], r["b"], r["c"]) for r in S.exact_quantiles(df, "v", [0.25, 0.5, 0.9], ["g"], ["a", "b", "c"]).collect()}
+    want = {r["g"]: tuple(r["q"]) for r in df.groupBy("g").agg(
+        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.9))).alias("q")).collect() if r["q"] is not None}
+    assert set(got) == {"hot", "cold"}
+    for g in got:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want[g])), (g, got[g], want[g])
+    d = {r["g"]: r["median"] for r in S.describe(df, "v", by=["g"]).collect()}
+    assert d["nul"] is None and d["cold"] == 3.0

@@ -132,3 +132,29 @@ def test_formats(spark, tmp_path):
     assert back["question"] == "q, with comma" and back["sql_query"] == 'say "x"'
     assert FM.jdbc_options(host="h", port=5432, database="d", user="u", password="p")["url"] == "jdbc:postgresql://h:5432/d"
     assert FM.jdbc_options(host="h") is None
+
+
+def test_csv_xml_json_documents(spark, tmp_path):
+    c = tmp_path / "t.csv"
+    c.write_text("a,b\n1,2\n3,4\n")
+    r = FM.csv_document(spark, str(c)).first()
+    assert r["headers"] == ["a", "b"] and r["num_rows"] == 2
+    x = tmp_path / "t.xml"
+    x.write_text("<root><item><k>1</k><v>x</v></item><item><k>2</k><v>y</v></item></root>")
+    rows = FM.xml_document(spark, str(x), "item").orderBy("k").collect()
+    assert [(r["k"], r["v"]) for r in rows] == [(1, "x"), (2, "y")]
+    j = tmp_path / "t.json"
+    j.write_text('{"a": 1}\n{"a": "oops"\n')
+    got = FM.json_document(spark, str(j), "a long, _corrupt_record string").collect()
+    assert got[0]["a"] == 1 and got[1]["a"] is None and got[1]["_corrupt_record"] is not None
+
+
+def test_file_bytes_and_exists(spark, tmp_path):
+    root = str(tmp_path)
+    build_tree(root)
+    b = FS.file_bytes(spark, root).filter(F.col("path").endswith("a.txt")).first()
+    assert bytes(b["content"]).startswith("héllo".encode("utf-8"))
+    files = FS.discover(spark, root)
+    ids = files.select("file_id").unionByName(spark.createDataFrame([("nope",)], "file_id string"))
+    ex = {r["file_id"]: r["exists"] for r in FS.file_exists(ids, files).collect()}
+    assert ex["nope"] is False and sum(ex.values()) == files.count()

@@ -72,12 +72,15 @@ def file_state(ev: DataFrame) -> DataFrame:
     return times.join(kv, "file_id", "left")
 
 
-def lookup(ev: DataFrame, file_ids: Sequence[str]) -> DataFrame:
-    """Point lookup of the folded state; unknown ids give no rows.
+def lookup(ev: DataFrame, file_ids) -> DataFrame:
+    """State of the requested files; unknown ids give no rows.
 
-    The filter is applied to the events before the fold, so only the
-    requested files are aggregated (and a source-column filter placed on
-    ``ev`` by the caller reaches the scan)."""
+    ``file_ids`` is a list (point lookup: an IN filter, pushed to the scan
+    when it is on a source column) or a DataFrame with a ``file_id`` column
+    (many ids: a semi join). Either way only the requested files are folded.
+    """
+    if isinstance(file_ids, DataFrame):
+        return fold_stages(ev.join(file_ids.select("file_id").distinct(), "file_id", "left_semi"))
     return fold_stages(ev.filter(F.col("file_id").isin(list(file_ids))))
 
 

@@ -151,6 +151,28 @@ def correlation(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
     return df.groupBy(*by).agg(*agg) if by else df.agg(*agg)
 
 
+class LengthMismatchError(ValueError):
+    pass
+
+
+def pair_columns(x: DataFrame, x_col: str, x_order: Sequence[str],
+                 y: DataFrame, y_col: str, y_order: Sequence[str]) -> DataFrame:
+    """Pair two columns from different tables by position (0-based, in the
+    given orders) -> (pos, x, y); both sides must have the same length.
+
+    The lengths are two counts (small actions); positions come from the
+    distributed ``with_position`` and the sides join on ``pos``.
+    """
+    from .position import with_position
+
+    nx, ny = x.count(), y.count()
+    if nx != ny:
+        raise LengthMismatchError("Both datasets must have the same length")
+    px = with_position(x.select(*x_order, F.col(x_col).alias("_x")), list(x_order), "pos").select("pos", "_x")
+    py = with_position(y.select(*y_order, F.col(y_col).alias("_y")), list(y_order), "pos").select("pos", "_y")
+    return px.join(py, "pos").select("pos", F.col("_x").alias("x"), F.col("_y").alias("y"))
+
+
 def _check_method(method: str) -> str:
     m = method.lower()
     if m not in METHODS:

@@ -64,18 +64,16 @@ def state_metadata(spark, sf_dir):
                      F.col("metadata")["k"].alias("meta_k"))
 
 
-_LOOKUP_IDS = ("0", "7", "42", "no-such-file")
-
-
 @register("state_lookup", f"""WITH {_EV}, {_SF}
-SELECT * FROM sf WHERE file_id IN ({", ".join(f"'{i}'" for i in _LOOKUP_IDS)})""")
+SELECT * FROM sf WHERE file_id IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'signup'
+                                   UNION ALL SELECT 'no-such-file')""")
 def state_lookup(spark, sf_dir):
-    # file ids are user ids as text: filter the source column so the
-    # predicate is pushed into the parquet scan (ids that are not numbers
-    # cannot match any file)
-    numeric = [int(i) for i in _LOOKUP_IDS if i.isdigit()]
-    ev = ST.events_from_driver(table(spark, sf_dir, "events").filter(F.col("user_id").isin(numeric)))
-    return ST.lookup(ev, _LOOKUP_IDS)
+    """State of the files that were re-submitted (users with a 'signup'
+    event), plus one unknown id: a semi join before the fold."""
+    e = table(spark, sf_dir, "events")
+    asked = (e.filter(F.col("event_type") == "signup").select(F.col("user_id").cast("string").alias("file_id"))
+             .unionByName(spark.range(1).select(F.lit("no-such-file").alias("file_id"))))
+    return ST.lookup(ST.events_from_driver(e), asked)
 
 
 @register("file_progress", f"WITH {_EV}, {_SF}, {_progress_sql(ST.STAGES_EMITTED)} SELECT * FROM prog")

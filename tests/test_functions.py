@@ -134,3 +134,21 @@ def test_sort_quantiles_match_percentile_with_hot_group(spark):
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want[g])), (g, got[g], want[g])
     d = {r["g"]: r["median"] for r in S.describe(df, "v", by=["g"]).collect()}
     assert d["nul"] is None and d["cold"] == 3.0
+
+
+def test_pair_columns_and_length_check(spark):
+    x = spark.createDataFrame([(i, float(i)) for i in range(50)], "k long, v double")
+    y = spark.createDataFrame([(100 - i, 2.0 * (49 - i)) for i in range(50)], "k long, w double")
+    p = S.pair_columns(x, "v", ["k"], y, "w", ["k"])  # y ordered by k: w ascends
+    r = S.correlation(p, "x", "y").first()
+    assert r["n"] == 50 and abs(r["correlation"] - 1.0) < 1e-12
+    with pytest.raises(S.LengthMismatchError):
+        S.pair_columns(x, "v", ["k"], y.limit(3), "w", ["k"])
+
+
+def test_state_reset(spark, tmp_path):
+    from tessera.operators import state as ST
+    from tessera.sources import formats as FM
+    p = str(tmp_path / "ev")
+    ST.reset(spark, p)
+    assert FM.read_events(spark, p, ST.STAGE_EVENT_SCHEMA).count() == 0

@@ -36,9 +36,11 @@ def events_from_driver(events: DataFrame) -> DataFrame:
     success = not an 'error' event, run = the UTC day of the event,
     seq = event_id, metadata = {event_type, k}.
     """
-    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    # epoch seconds of the event's day, computed on the wall-clock value so
+    # the result does not depend on the session time zone
+    day_epoch = F.unix_date(F.to_date("ts")).cast("bigint") * 86400
     return events.select(
-        F.concat(F.lit("run_"), F.unix_seconds(day).cast("string")).alias("run_id"),
+        F.concat(F.lit("run_"), day_epoch.cast("string")).alias("run_id"),
         F.col("user_id").cast("string").alias("file_id"),
         F.element_at(F.array(*[F.lit(s) for s in STAGES_EMITTED]),
                      (F.col("event_id") % len(STAGES_EMITTED)).cast("int") + 1).alias("stage"),
@@ -47,7 +49,7 @@ def events_from_driver(events: DataFrame) -> DataFrame:
                F.concat(F.lit("error in event "), F.col("event_id").cast("string"))).alias("error"),
         F.create_map(F.lit("event_type"), F.col("event_type"),
                      F.lit("k"), F.get_json_object("props", "$.k")).alias("metadata"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts"),
         F.col("event_id").cast("bigint").alias("seq"),
     )
 

@@ -31,7 +31,9 @@ def slow_actions(events: DataFrame, duration: str = "value", ts: str = "ts", kin
                  window: str = "1 day", threshold_ms: float = SLOW_ACTION_MS) -> DataFrame:
     """Counts of slow actions per type and tumbling window."""
     slow = events.filter(F.col(duration) > threshold_ms)
-    return (slow.groupBy(F.window(F.col(ts).cast("timestamp"), window).alias("w"), kind)
+    # windows are computed on the column's own type (TIMESTAMP_NTZ stays
+    # wall-clock, no session time zone involved)
+    return (slow.groupBy(F.window(F.col(ts), window).alias("w"), kind)
             .agg(F.count("*").cast("bigint").alias("n_slow"), F.max(duration).alias("max_duration"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     kind, "n_slow", "max_duration"))
@@ -44,7 +46,7 @@ def session_status(users: DataFrame, issued: DataFrame, now: DataFrame, user: st
     ``now`` is a one-row frame with column ``now`` (broadcast: exactly one
     row). Users without an issued token have no expiry and count as expired.
     """
-    last = issued.groupBy(user).agg(F.max(F.col(issued_at).cast("timestamp")).alias("issued_at"))
+    last = issued.groupBy(user).agg(F.max(F.col(issued_at)).alias("issued_at"))
     base = users.select(user).distinct().join(last, user, "left").crossJoin(F.broadcast(now))
     acc = F.col("issued_at") + F.make_interval(secs=F.lit(ACCESS_TOKEN_TTL_S))
     ref = F.col("issued_at") + F.make_interval(secs=F.lit(REFRESH_TOKEN_TTL_S))

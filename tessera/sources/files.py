@@ -142,7 +142,7 @@ def virtual_files(documents: DataFrame) -> DataFrame:
         file_name(path).alias("file_name"),
         file_extension(path).alias("extension"),
         F.octet_length("text").cast("bigint").alias("size"),
-        F.timestamp_seconds(epoch).alias("modified"),
+        F.timestamp_add("SECOND", epoch, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("modified"),
         F.col("source"),
         file_id_expr(path, F.concat(epoch.cast("string"), F.lit(".0")), F.octet_length("text")).alias("file_id"),
     )

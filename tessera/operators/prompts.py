@@ -42,31 +42,29 @@ SENTIMENT_HEADER = (
     "in a clear and concise format.\n\n"
 )
 
-# Fixed value: the answer-refinement prompt, lines in order; {q}, {tools},
-# {outputs} are filled per conversation.
-REFINE_LINES = (
-    "",
-    "    You are an expert assistant that provides clear, concise, and well-structured answers.",
-    "    ",
-    "    ORIGINAL QUESTION: {q}",
-    "    ",
-    "    TOOLS USED:",
-    "    {tools}",
-    "    ",
-    "    TOOL OUTPUTS: ",
-    "    {outputs}",
-    "    ",
-    "    Please provide a final, refined answer to the original question based on the tool outputs. ",
-    "    Your answer should:",
-    "    1. Be direct and address the question completely",
-    "    2. Include relevant calculations or data from the tool outputs",
-    "    3. Be well-structured and easy to understand",
-    "    4. Provide any necessary context or explanation",
-    "    5. Be conversational in tone while remaining informative",
-    "    ",
-    "    FINAL ANSWER:",
-    "    ",
-)
+# Fixed value: the answer-refinement prompt; {q}, {tools} and {outputs} are
+# filled per conversation.
+REFINE_TEMPLATE = """
+    You are an expert assistant that provides clear, concise, and well-structured answers.
+    
+    ORIGINAL QUESTION: {q}
+    
+    TOOLS USED:
+    {tools}
+    
+    TOOL OUTPUTS: 
+    {outputs}
+    
+    Please provide a final, refined answer to the original question based on the tool outputs. 
+    Your answer should:
+    1. Be direct and address the question completely
+    2. Include relevant calculations or data from the tool outputs
+    3. Be well-structured and easy to understand
+    4. Provide any necessary context or explanation
+    5. Be conversational in tone while remaining informative
+    
+    FINAL ANSWER:
+    """
 
 
 def sql_prompt(question, schema=None) -> Column:
@@ -77,8 +75,7 @@ def sql_prompt(question, schema=None) -> Column:
 
 
 def refine_prompt(question, tools_json, outputs_json) -> Column:
-    template = "\n".join(REFINE_LINES)
-    a, rest = template.split("{q}")
+    a, rest = REFINE_TEMPLATE.split("{q}")
     b, rest = rest.split("{tools}")
     c, d = rest.split("{outputs}")
     return F.concat(F.lit(a), col_(question), F.lit(b), col_(tools_json), F.lit(c), col_(outputs_json), F.lit(d))

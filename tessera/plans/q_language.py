@@ -151,12 +151,14 @@ def ai_messages(spark, sf_dir):
     return TR.ai_messages(TR.messages_from_conversations(table(spark, sf_dir, "conversations")))
 
 
+_RQ, _RREST = P.REFINE_TEMPLATE.split("{q}")
+_RT, _RREST = _RREST.split("{tools}")
+_RO, _RTAIL = _RREST.split("{outputs}")
+
+
 @register("refine_prompt", f"""
-SELECT conv_id, {_sql_str(P.REFINE_LINES and chr(10).join(P.REFINE_LINES).split('{q}')[0])}
-       || arg_min(text, turn) FILTER (WHERE role = 'user')
-       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{q}')[1].split('{tools}')[0])} || '[]'
-       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{tools}')[1].split('{outputs}')[0])} || '[]'
-       || {_sql_str(chr(10).join(P.REFINE_LINES).split('{outputs}')[1])} AS prompt
+SELECT conv_id, {_sql_str(_RQ)} || arg_min(text, turn) FILTER (WHERE role = 'user')
+       || {_sql_str(_RT)} || '[]' || {_sql_str(_RO)} || '[]' || {_sql_str(_RTAIL)} AS prompt
 FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'user') > 0""")
 def refine_prompt(spark, sf_dir):
     """Per conversation: the first user question plus the tools used and their

@@ -53,8 +53,12 @@ def stage_fold_stream(stage_events: DataFrame) -> DataFrame:
     return ST.fold_stages(stage_events)
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def new_files_stream(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    r = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+         .option("recursiveFileLookup", "true"))
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(root).select("path", "modificationTime", "length")

@@ -123,3 +123,48 @@ def test_transcript_fixture(spark):
     assert calls == [("add", '{"a":3,"b":5}'), ("multiply", '{"a":8,"b":12}')]
     outs = [r["output"] for r in TR.tool_outputs(msgs).orderBy("turn").collect()]
     assert outs == ['{"Tool Content":"8"}', '{"result":96}']
+
+
+def test_incremental_file_stream_sees_only_new_files(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "a.txt").write_text("one")
+    ck = str(tmp_path / "ck")
+    seen = []
+
+    def sink(batch, _epoch):
+        seen.extend(r["path"].rsplit("/", 1)[-1] for r in batch.collect())
+
+    SS.run_available_now(SS.new_files_stream(spark, str(root), "*.txt"), "inc", sink=sink, checkpoint=ck)
+    assert seen == ["a.txt"]
+    (root / "b.txt").write_text("two")
+    seen.clear()
+    SS.run_available_now(SS.new_files_stream(spark, str(root), "*.txt"), "inc", sink=sink, checkpoint=ck)
+    assert seen == ["b.txt"]
+
+
+def test_watermark_drops_late_rows(spark, tmp_path):
+    src = tmp_path / "ev"
+    src.mkdir()
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    day = dt.datetime(2024, 1, 10)
+    spark.createDataFrame([(1, day, 1, "click", 150.0, "{}")], schema).write.parquet(str(src / "b1"))
+    out = []
+    ck = str(tmp_path / "ck")
+
+    def sink(batch, _epoch):
+        out.extend((r["window_start"], r["n_slow"]) for r in batch.collect())
+
+    def run():
+        ev = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(src))
+        SS.run_available_now(SS.slow_action_stream(ev, watermark="1 hour"), "wm", sink=sink,
+                             output_mode="append", checkpoint=ck)
+
+    run()
+    # a row far in the future advances the watermark; then a late row for day 10 arrives
+    spark.createDataFrame([(2, day + dt.timedelta(days=3), 1, "click", 150.0, "{}")], schema).write.parquet(str(src / "b2"))
+    run()
+    spark.createDataFrame([(3, day, 1, "click", 150.0, "{}")], schema).write.parquet(str(src / "b3"))
+    run()
+    closed = dict(out)
+    assert closed.get(dt.datetime(2024, 1, 10)) == 1  # the late row was not counted

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import WS_CLASS
 from ..operators import labels as L
 from ..operators import prompts as P
 from ..operators import transcripts as TR
@@ -84,7 +85,14 @@ def sql_prompt(spark, sf_dir):
     return c.select("conv_id", "turn", P.sql_prompt("text").alias("prompt"))
 
 
-@register("batch_infer")
+_WS = WS_CLASS[1:-1]
+
+
+@register("batch_infer", f"""
+SELECT conv_id, turn, text AS question,
+       regexp_replace('-- ' || regexp_extract(text, '[^' || chr(10) || ']*$', 0), '[{_WS}]+$', '') AS sql_query,
+       CAST(NULL AS VARCHAR) AS error
+FROM conversations WHERE role = 'user'""")
 def batch_infer(spark, sf_dir):
     """Text-to-SQL over every user turn with the injected (offline echo) model."""
     c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")

@@ -40,9 +40,13 @@ def power(a, b) -> Column:
 
 
 def modulo(a, b, safe: bool = False) -> Column:
-    """Floored modulo (sign of the divisor), exact on longs; b == 0 raises."""
+    """Floored modulo (sign of the divisor), exact on longs; b == 0 raises.
+
+    The divisor is added only when the remainder's sign differs from it, so
+    no intermediate can overflow."""
     a, b = col_(a), col_(b)
-    floored = ((a % b) + b) % b
+    r = a % b
+    floored = F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
     if safe:
         return F.when(b == 0, F.lit(None)).otherwise(floored)
     return F.when(b == 0, F.raise_error(F.lit("Modulo by zero is not allowed."))).otherwise(floored)

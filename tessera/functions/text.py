@@ -49,8 +49,9 @@ def char_count(c) -> Column:
 
 
 def file_extension(path) -> Column:
-    """Lower-cased final suffix including the dot, '' when there is none."""
-    return F.lower(F.regexp_extract(col_(path), r"(\.[^./]+)$", 1))
+    """Lower-cased final suffix including the dot, '' when there is none
+    (like ``Path.suffix``: a leading-dot name such as '.env' has none)."""
+    return F.lower(F.regexp_extract(col_(path), r"[^/]+(\.[^./]+)$", 1))
 
 
 def file_name(path) -> Column:

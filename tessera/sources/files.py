@@ -53,7 +53,9 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
 
 def with_file_columns(df: DataFrame, source: str = "local") -> DataFrame:
     """path, file_name, extension (with dot, lower), size, modified, file_id."""
-    mtime = F.unix_micros(F.col("modificationTime").cast("timestamp")) / F.lit(1_000_000.0)
+    # epoch seconds written like Python's float str (no exponent, no padding)
+    secs = (F.unix_micros(F.col("modificationTime")).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)")
+    mtime = F.regexp_replace(F.regexp_replace(secs.cast("string"), "0+$", ""), r"\.$", ".0")
     return df.select(
         F.col("path"),
         file_name("path").alias("file_name"),
@@ -61,7 +63,7 @@ def with_file_columns(df: DataFrame, source: str = "local") -> DataFrame:
         F.col("length").cast("bigint").alias("size"),
         F.col("modificationTime").cast("timestamp").alias("modified"),
         F.lit(source).alias("source"),
-        file_id_expr("path", mtime.cast("string"), "length").alias("file_id"),
+        file_id_expr("path", mtime, "length").alias("file_id"),
     )
 
 
@@ -153,7 +155,7 @@ VIRTUAL_FILES_SQL = f"""
 vf AS (
   SELECT doc_id, text, path,
          regexp_extract(path, '([^/]*)$', 1) AS file_name,
-         lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS extension,
+         lower(regexp_extract(path, '[^/]+(\\.[^./]+)$', 1)) AS extension,
          CAST(strlen(text) AS BIGINT) AS size,
          make_timestamp(CAST((doc_id + {VIRTUAL_EPOCH}) * 1000000 AS BIGINT)) AS modified,
          source,

@@ -152,3 +152,13 @@ def test_state_reset(spark, tmp_path):
     p = str(tmp_path / "ev")
     ST.reset(spark, p)
     assert FM.read_events(spark, p, ST.STAGE_EVENT_SCHEMA).count() == 0
+
+
+def test_modulo_no_overflow_and_extension_rules(spark):
+    big = 9223372036854775807
+    df = spark.createDataFrame([(-big, big), (big - 1, -big)], "a long, b long")
+    assert [r[0] for r in df.select(M.modulo("a", "b")).collect()] == [(-big) % big, (big - 1) % (-big)]
+    import pathlib
+    names = ["/x/.env", "/x/a.tar.GZ", "/x/a.", "/x/..txt", "/x/noext", "/x/A.TXT"]
+    p = spark.createDataFrame([(n,) for n in names], "p string")
+    assert [r[0] for r in p.select(X.file_extension("p")).collect()] == [pathlib.Path(n).suffix.lower() for n in names]

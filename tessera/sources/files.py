@@ -75,16 +75,27 @@ def discover(spark: SparkSession, root: str, extensions: Iterable[str] | None =
     return with_file_columns(binary_files(spark, root, extensions or SUPPORTED_EXTENSIONS))
 
 
-def list_files(spark: SparkSession, directory: str, source: str = "local") -> DataFrame:
-    """Non-recursive listing with metadata; a missing directory gives no rows."""
+LISTING_SCHEMA = ("id string, name string, path string, size bigint, modified timestamp, "
+                  "created timestamp, type string, extension string, source string")
+
+
+def list_files(spark: SparkSession, directory: str, source: str = "local_file") -> DataFrame:
+    """Non-recursive connector listing: (id, name, path, size, modified,
+    created, type, extension without the dot, source). Sub-directories are
+    skipped; a missing directory gives no rows. The creation time is not
+    exposed by Spark's file source and stays NULL. Content is never read."""
     try:
         df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
     except Exception as e:  # noqa: BLE001 - PATH_NOT_FOUND
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return with_file_columns(spark.createDataFrame(
-                [], "path string, modificationTime timestamp, length bigint"), source)
+            return spark.createDataFrame([], LISTING_SCHEMA)
         raise
-    return with_file_columns(df, source)
+    return df.select(
+        F.col("path").alias("id"), file_name("path").alias("name"), "path",
+        F.col("length").cast("bigint").alias("size"), F.col("modificationTime").alias("modified"),
+        F.lit(None).cast("timestamp").alias("created"), F.lit("file").alias("type"),
+        F.regexp_replace(file_extension("path"), r"^\.", "").alias("extension"),
+        F.lit(source).alias("source"))
 
 
 def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | None = None) -> DataFrame:

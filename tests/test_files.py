@@ -66,7 +66,10 @@ def test_discovery_listing_and_pruning(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]
     listed = FS.list_files(spark, root)
-    assert sorted(r["file_name"] for r in listed.collect()) == ["a.txt", "noext", "notes.text", "scan.pdf"]
+    rows = {r["name"]: r for r in listed.collect()}
+    assert sorted(rows) == ["a.txt", "noext", "notes.text", "scan.pdf"]
+    assert rows["a.txt"]["extension"] == "txt" and rows["noext"]["extension"] == ""
+    assert rows["a.txt"]["type"] == "file" and rows["a.txt"]["id"] == rows["a.txt"]["path"]
     assert FS.list_files(spark, root + "/missing").count() == 0
 
 

@@ -65,6 +65,33 @@ def fold_stages(ev: DataFrame) -> DataFrame:
              "first_seq", "n_events")
 
 
+def partial_fold(ev: DataFrame) -> DataFrame:
+    """Fold of a slice of the events, mergeable with other slices: like
+    ``fold_stages`` plus ``last_seq`` and the event-time range."""
+    last = F.max_by(F.struct("success", "error", "ts"), "seq")
+    return ev.groupBy("file_id", "stage").agg(
+        last.alias("_last"), F.max("seq").alias("last_seq"), F.min("seq").alias("first_seq"),
+        F.count("*").cast("bigint").alias("n_events"),
+    ).select("file_id", "stage", F.col("_last.success").alias("success"),
+             F.col("_last.error").alias("error"), F.col("_last.ts").alias("updated_at"),
+             "first_seq", "last_seq", "n_events")
+
+
+def fold_partials(parts: DataFrame) -> DataFrame:
+    """Merge partial folds into the ``fold_stages`` result (associative:
+    the slice with the highest ``last_seq`` wins, counts add). Rows carrying a
+    ``batch_id`` are deduplicated first, so a re-run micro-batch counts once."""
+    if "batch_id" in parts.columns:
+        parts = parts.dropDuplicates(["batch_id", "file_id", "stage"])
+    last = F.max_by(F.struct("success", "error", "updated_at"), "last_seq")
+    return parts.groupBy("file_id", "stage").agg(
+        last.alias("_last"), F.min("first_seq").alias("first_seq"),
+        F.sum("n_events").cast("bigint").alias("n_events"),
+    ).select("file_id", "stage", F.col("_last.success").alias("success"),
+             F.col("_last.error").alias("error"), F.col("_last.updated_at").alias("updated_at"),
+             "first_seq", "n_events")
+
+
 def file_state(ev: DataFrame) -> DataFrame:
     """One row per file: started_at, last_modified and merged metadata map."""
     times = ev.groupBy("file_id").agg(F.min("ts").alias("started_at"), F.max("ts").alias("last_modified"))

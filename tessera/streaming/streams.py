@@ -56,6 +56,19 @@ def stage_fold_stream(stage_events: DataFrame) -> DataFrame:
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def partial_fold_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink: append each micro-batch's partial (file, stage)
+    fold, tagged with the batch id. ``state.fold_partials`` over the table
+    gives the same answer as the batch fold over all events, and per-file
+    roll-ups (progress, failures, summary) run on top of it in batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (ST.partial_fold(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("append").parquet(path))
+
+    return sink
+
+
 def new_files_stream(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
          .option("recursiveFileLookup", "true"))

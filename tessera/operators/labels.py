@@ -21,11 +21,12 @@ TOKEN_SPLIT = r"[^\p{L}]+"
 
 
 def lexicon_score(text) -> Column:
-    """Sum of word weights over letter tokens, without leaving the JVM."""
-    lex = F.create_map(*[F.lit(x) for w in POSITIVE_WORDS for x in (w, 1)],
-                       *[F.lit(x) for w in NEGATIVE_WORDS for x in (w, -1)])
+    """(# positive tokens) - (# negative tokens) over letter tokens, native.
+    (Measured a little faster than a per-token map lookup.)"""
     toks = F.split(F.lower(col_(text)), TOKEN_SPLIT)
-    return F.aggregate(toks, F.lit(0), lambda acc, t: acc + F.coalesce(F.try_element_at(lex, t), F.lit(0)))
+    pos = F.size(F.filter(toks, lambda t: t.isin(list(POSITIVE_WORDS))))
+    neg = F.size(F.filter(toks, lambda t: t.isin(list(NEGATIVE_WORDS))))
+    return pos - neg
 
 
 def sentiment_label(score) -> Column:

@@ -5,6 +5,12 @@ range-partition on the order key, sort within partitions, take the
 per-partition row id, count rows per partition (one row per partition), turn
 the counts into offsets and broadcast them (size bounded by the partition
 count, not the data). The order columns must form a unique key.
+
+The counting branch and the row branch each plan the range shuffle; both
+sample the same range bounds when the input re-computes to the same rows in
+the same order (a scan, or anything derived from one without a shuffle).
+For any other input pass ``materialize=True``: the range-partitioned rows
+are then written once as a reliable checkpoint and both branches read it.
 """
 
 from __future__ import annotations
@@ -18,12 +24,16 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def with_position(df: DataFrame, order: Sequence[str], name: str = "pos",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))

@@ -162,3 +162,10 @@ def test_modulo_no_overflow_and_extension_rules(spark):
     names = ["/x/.env", "/x/a.tar.GZ", "/x/a.", "/x/..txt", "/x/noext", "/x/A.TXT"]
     p = spark.createDataFrame([(n,) for n in names], "p string")
     assert [r[0] for r in p.select(X.file_extension("p")).collect()] == [pathlib.Path(n).suffix.lower() for n in names]
+
+
+def test_positions_after_a_shuffle_with_materialize(spark):
+    from tessera.operators.position import with_position
+    agg = spark.range(0, 5000).groupBy((F.col("id") % 997).alias("k")).count()  # shuffled input
+    rows = with_position(agg, ["k"], num_partitions=5, materialize=True).collect()
+    assert sorted((r["k"], r["pos"]) for r in rows) == [(i, i) for i in range(997)]

@@ -9,23 +9,37 @@ count, not the data). The order columns must form a unique key.
 The counting branch and the row branch each plan the range shuffle; both
 sample the same range bounds when the input re-computes to the same rows in
 the same order (a scan, or anything derived from one without a shuffle).
-For any other input pass ``materialize=True``: the range-partitioned rows
-are then written once as a reliable checkpoint and both branches read it.
+For any other input (``materialize=None`` detects a shuffle in the
+optimized plan) the range-partitioned rows are written once as a reliable
+checkpoint and both branches read it.
 """
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOW_BITS = (1 << 33) - 1
+# logical operators after which a re-computation may deliver rows in another order
+_SHUFFLING = re.compile(r"\b(Aggregate|Join|Window|Repartition\w*|RebalancePartitions|Sort|Distinct|"
+                        r"Deduplicate\w*|Expand|Sample)\b")
+
+
+def needs_materialize(df: DataFrame) -> bool:
+    """True when ``df``'s plan contains an operator that may reorder rows on
+    re-computation (so the two planned range shuffles could disagree)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return bool(_SHUFFLING.search(plan))
 
 
 def with_position(df: DataFrame, order: Sequence[str], name: str = "pos",
-                  num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+                  num_partitions: int | None = None, materialize: bool | None = None) -> DataFrame:
     spark = df.sparkSession
+    if materialize is None:
+        materialize = needs_materialize(df)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))

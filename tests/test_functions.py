@@ -169,3 +169,11 @@ def test_positions_after_a_shuffle_with_materialize(spark):
     agg = spark.range(0, 5000).groupBy((F.col("id") % 997).alias("k")).count()  # shuffled input
     rows = with_position(agg, ["k"], num_partitions=5, materialize=True).collect()
     assert sorted((r["k"], r["pos"]) for r in rows) == [(i, i) for i in range(997)]
+
+
+def test_materialize_detection(spark):
+    from tessera.operators.position import needs_materialize
+    base = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    assert not needs_materialize(base.filter("quality = 1").select("doc_id"))
+    assert needs_materialize(base.groupBy("quality").count())
+    assert needs_materialize(base.join(base.select("doc_id"), "doc_id"))

@@ -78,6 +78,16 @@ def outliers_iqr(spark, sf_dir):
                       by=["o_orderstatus"])
 
 
+@register("outliers_iqr_events", """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+           FROM events GROUP BY event_type)
+SELECT e.event_type, e.event_id, e.value, 'iqr' AS method
+FROM events e JOIN q ON e.event_type = q.event_type
+WHERE e.value < q.q1 - 1.5 * (q.q3 - q.q1) OR e.value > q.q3 + 1.5 * (q.q3 - q.q1)""")
+def outliers_iqr_events(spark, sf_dir):
+    return S.outliers(table(spark, sf_dir, "events"), "value", "event_id", "iqr", by=["event_type"])
+
+
 @register("outliers_summary", """
 WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
                   quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY l_returnflag),

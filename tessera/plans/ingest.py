@@ -1,5 +1,5 @@
-"""End-to-end document ingest on files: discover -> guard -> read (per
-format) -> chunk -> embed (cached) -> stage events.
+"""End-to-end document ingest: files -> guard -> read (per format) -> chunk
+-> embed (cached) -> stage events.
 
 Stage outcomes are not side effects per file: they are derived from the
 result columns in one pass and appended to the event table, so the state
@@ -21,33 +21,73 @@ from ..sources import files as FS
 from ..sources.registry import default_registry, doc_type
 
 
-def read_files(spark: SparkSession, root: str, extensions=None,
-               max_bytes: int = FS.MAX_FILE_SIZE_BYTES) -> DataFrame:
-    """Documents from a directory tree; oversize or unreadable files come
-    back as error rows (dead letter), never silently dropped."""
-    raw = FS.binary_files(spark, root, extensions or FS.SUPPORTED_EXTENSIONS)
-    files = FS.with_file_columns(raw).join(raw.select("path", "content"), "path")
+def read_file_rows(files: DataFrame, max_bytes: int = FS.MAX_FILE_SIZE_BYTES) -> DataFrame:
+    """Documents from file rows (``path, file_id, file_name, extension, size,
+    content``); oversize or unreadable files come back as error rows (dead
+    letter), never silently dropped."""
     ok = files.filter(F.col("size") <= max_bytes)
     too_big = files.filter(F.col("size") > max_bytes).select(
         "file_id", "path", F.lit("ValidationError").alias("error_type"),
         F.concat(F.lit("File too large: "), F.col("size").cast("string"), F.lit(" bytes")).alias("error"))
     docs = default_registry().read_documents(ok).unionByName(too_big, allowMissingColumns=True)
-    meta = files.select("file_id", "file_name", "extension", "size", "modified")
+    meta = files.select("file_id", "file_name", "extension", "size")
     return docs.join(meta, "file_id", "left").withColumn("doc_type", doc_type("extension"))
 
 
-def ingest(spark: SparkSession, root: str, events_path: str, cache_path: str | None = None,
-           run_id: str | None = None, model: str = E.OFFLINE_MODEL, extensions=None) -> DataFrame:
-    """Run the whole ingest; returns the embedded chunk rows."""
-    run_id = run_id or f"run_{uuid.uuid4().hex}"
-    docs = read_files(spark, root, extensions)
+def read_files(spark: SparkSession, root: str, extensions=None,
+               max_bytes: int = FS.MAX_FILE_SIZE_BYTES) -> DataFrame:
+    """Documents from a directory tree, each file's bytes read once.
+
+    Every extension gets its own binaryFile scan whose glob selects its files
+    at listing time, so a reader only ever opens its own files. The size
+    guard is a ``length`` filter pushed into the scan; the dead-letter
+    branches (too big, no reader) never select ``content``, so those bytes are
+    not read at all.
+    """
+    reg = default_registry()
+    parts = []
+    for ext in sorted({(e if e.startswith(".") else "." + e).lower()
+                       for e in (extensions or FS.SUPPORTED_EXTENSIONS)}):
+        scan = FS.binary_files(spark, root, [ext])
+        found = reg.get(ext)
+        meta = FS.with_file_columns(scan)
+        too_big = meta.filter(F.col("size") > max_bytes).select(
+            "file_id", "path", F.lit("ValidationError").alias("error_type"),
+            F.concat(F.lit("File too large: "), F.col("size").cast("string"), F.lit(" bytes")).alias("error"))
+        parts.append(too_big)
+        if found is None or found[1] is None:
+            parts.append(meta.filter(F.col("size") <= max_bytes).select(
+                "file_id", "path", F.lit("ReadError").alias("error_type"), reg.error_column("extension").alias("error")))
+            continue
+        name, reader = found
+        ok = FS.with_file_columns(scan.filter(F.col("length") <= max_bytes), keep_content=True)
+        parts.append(reader(ok).withColumn("reader_type", F.lit(name)))
+    docs = parts[0]
+    for p in parts[1:]:
+        docs = docs.unionByName(p, allowMissingColumns=True)
+    meta_all = FS.with_file_columns(FS.binary_files(spark, root, extensions or FS.SUPPORTED_EXTENSIONS))
+    return (docs.join(meta_all.select("file_id", "file_name", "extension", "size"), "file_id", "left")
+            .withColumn("doc_type", doc_type("extension")))
+
+
+def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL,
+                  cache_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(embedded chunk rows, stage events) for documents from ``read_file_rows``.
+
+    The read result feeds chunking and the stage events; a reliable
+    checkpoint runs the readers (Python for Word files) once."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)
+    docs = docs.checkpoint(eager=True)
     good = docs.filter(F.col("error").isNull())
     text = C.text_for_chunking("doc_type", "content", "paragraphs", "tables")
     chunks = C.chunk_documents(good.select("file_id", text.alias("text")), id_col="file_id")
     embedded = E.embed_cached(chunks, model=model, cache_path=cache_path)
+    # a chunk is embedded when the join-back found its cache row; counting the
+    # joined ``model`` column (not the vector) lets the vectors be pruned from
+    # this branch entirely
     per_doc = embedded.groupBy("document_id").agg(
-        F.count("*").alias("n_chunks"), F.count("embedding").alias("n_embedded"))
-    now = F.current_timestamp()
+        F.count("*").alias("n_chunks"), F.count("model").alias("n_embedded"))
     read_ev = docs.select(F.lit(run_id).alias("run_id"), "file_id", F.lit("read").alias("stage"),
                           F.col("error").isNull().alias("success"), "error",
                           F.create_map(F.lit("reader_type"), F.col("reader_type")).alias("metadata"))
@@ -60,9 +100,19 @@ def ingest(spark: SparkSession, root: str, events_path: str, cache_path: str | N
                         embed_ok.alias("success"),
                         F.when(~embed_ok, F.lit("missing embeddings")).alias("error"),
                         F.create_map(F.lit("model"), F.lit(model)).alias("metadata"))
+    now = F.current_timestamp()
     stage_order = F.create_map(F.lit("read"), F.lit(0), F.lit("chunk"), F.lit(1), F.lit("embed"), F.lit(2))
     events = (read_ev.unionByName(chunk_ev).unionByName(embed_ev)
               .withColumn("ts", now)
               .withColumn("seq", (F.unix_micros(now) * 4 + F.element_at(stage_order, F.col("stage"))).cast("bigint")))
-    events.select(*[c.split()[0] for c in ST.STAGE_EVENT_SCHEMA.split(", ")]).write.mode("append").parquet(events_path)
+    return embedded, events.select(*[c.split()[0] for c in ST.STAGE_EVENT_SCHEMA.split(", ")])
+
+
+def ingest(spark: SparkSession, root: str, events_path: str, cache_path: str | None = None,
+           run_id: str | None = None, model: str = E.OFFLINE_MODEL, extensions=None) -> DataFrame:
+    """Run the whole ingest on a directory; appends the stage events and
+    returns the embedded chunk rows."""
+    run_id = run_id or f"run_{uuid.uuid4().hex}"
+    embedded, events = ingest_frames(read_files(spark, root, extensions), run_id, model, cache_path)
+    events.write.mode("append").parquet(events_path)
     return embedded

@@ -134,3 +134,25 @@ def safe_default(spark, sf_dir):
     return e.select("event_id",
                     F.coalesce(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(-1).cast("bigint")).alias("k"),
                     F.coalesce(F.try_divide(F.lit(100.0), F.col("value")), F.lit(0.0)).alias("inv_value"))
+
+
+@register("ingest_progress", _VF + """
+SELECT doc_id,
+       CASE WHEN extension IN ('.txt', '.text') THEN 'completed' ELSE 'failed_at_read' END AS status,
+       CASE WHEN extension IN ('.txt', '.text') THEN 100.0 ELSE 0.0 END AS progress,
+       CASE WHEN extension IN ('.txt', '.text') THEN 3 ELSE 0 END AS completed_stages
+FROM vf""")
+def ingest_progress(spark, sf_dir):
+    """The whole ingest over the documents as files (their text as UTF-8
+    bytes): the text reader takes .txt/.text, the Word reader rejects the
+    .docx rows (not a zip archive) and .pdf has no reader; readable files are
+    chunked and embedded through the cache; the stage events are folded into
+    per-file progress."""
+    from ..operators import state as ST
+    from .ingest import ingest_frames, read_file_rows
+
+    f = _files(spark, sf_dir).withColumn("content", F.encode("text", "UTF-8"))
+    _, events = ingest_frames(read_file_rows(f), run_id="run_documents")
+    prog = ST.progress(ST.fold_stages(events))
+    return (prog.join(f.select("file_id", "doc_id"), "file_id")
+            .select("doc_id", "status", "progress", "completed_stages"))

@@ -51,8 +51,9 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
     return df
 
 
-def with_file_columns(df: DataFrame, source: str = "local") -> DataFrame:
-    """path, file_name, extension (with dot, lower), size, modified, file_id."""
+def with_file_columns(df: DataFrame, source: str = "local", keep_content: bool = False) -> DataFrame:
+    """path, file_name, extension (with dot, lower), size, modified, file_id
+    (and ``content`` when asked, in the same projection: no second scan)."""
     # epoch seconds written like Python's float str (no exponent, no padding)
     secs = (F.unix_micros(F.col("modificationTime")).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)")
     mtime = F.regexp_replace(F.regexp_replace(secs.cast("string"), "0+$", ""), r"\.$", ".0")
@@ -64,6 +65,7 @@ def with_file_columns(df: DataFrame, source: str = "local") -> DataFrame:
         F.col("modificationTime").cast("timestamp").alias("modified"),
         F.lit(source).alias("source"),
         file_id_expr("path", mtime, "length").alias("file_id"),
+        *(["content"] if keep_content else []),
     )
 
 

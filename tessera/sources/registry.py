@@ -51,6 +51,9 @@ class ReaderRegistry:
     def unregister(self, ext: str) -> None:
         self._readers.pop((ext if ext.startswith(".") else "." + ext).lower(), None)
 
+    def get(self, ext: str) -> tuple[str, Reader | None] | None:
+        return self._readers.get((ext if ext.startswith(".") else "." + ext).lower())
+
     def supported(self) -> list[str]:
         return sorted(self._readers)
 

@@ -161,3 +161,15 @@ def test_file_bytes_and_exists(spark, tmp_path):
     ids = files.select("file_id").unionByName(spark.createDataFrame([("nope",)], "file_id string"))
     ex = {r["file_id"]: r["exists"] for r in FS.file_exists(ids, files).collect()}
     assert ex["nope"] is False and sum(ex.values()) == files.count()
+
+
+def test_reviews_batches_of_20_20_5(spark, tmp_path):
+    from tessera.operators.labels import prompt_batches
+    from tessera.operators.prompts import SENTIMENT_HEADER
+    csv = tmp_path / "reviews.csv"
+    csv.write_text("id,Review Body\n" + "".join(f'{i},"review {i}, fine"\n' for i in range(45)))
+    df = FM.read_reviews(spark, str(csv)).withColumn("id", F.col("id").cast("int"))
+    rows = sorted(prompt_batches(df, ["id"], "Review Body", header=SENTIMENT_HEADER).collect())
+    assert [r["n_reviews"] for r in rows] == [20, 20, 5]
+    assert rows[2]["prompt"].endswith('Reviews: ["review 40, fine","review 41, fine","review 42, fine",'
+                                      '"review 43, fine","review 44, fine"]')

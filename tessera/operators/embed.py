@@ -7,8 +7,10 @@ Plan for ``embed_cached``:
 2. ``left_anti`` against the cache for this model -> the misses only;
 3. the injected embedding function runs in an Iterator ``pandas_udf`` (the
    model is built once per Python worker, then fed Arrow batches);
-4. misses are appended to the cache table (Parquet, partitioned by model);
-   the write is a committed Spark job, so a lost executor re-runs its task
+4. misses are appended to the cache table as a new ``run=<uuid>``
+   directory (Parquet, partitioned by model inside it). Each append is its
+   own committed Spark job with its own staging area, so concurrent jobs
+   never clean up each other's files, a lost executor re-runs its task
    without duplicating rows, and readers ``dropDuplicates`` as a safety net;
 5. the input joins back to the cache on ``chunk_key``.
 
@@ -20,6 +22,7 @@ unless a path is given.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import Callable, Iterator
 
 import numpy as np
@@ -134,7 +137,7 @@ def default_cache_path(spark: SparkSession) -> str:
     if not base:
         from ..session import ensure_checkpoint_dir
         base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/tessera_embedding_cache"
+    return base.rstrip("/") + "/tessera_embedding_store"
 
 
 def read_cache(spark: SparkSession, path: str, model: str) -> DataFrame:
@@ -177,7 +180,8 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
     misses = cache_misses(chunks, read_cache(spark, path, model))
     new = misses.select("chunk_key", embedding_udf(factory)("text").alias("embedding"),
                         F.lit(model).alias("model"))
-    new.write.mode("append").partitionBy("model").parquet(path)
+    # a fresh directory per append: a job's staging files live under it
+    new.write.mode("errorifexists").partitionBy("model").parquet(f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
     cache = read_cache(spark, path, model)
     return chunks.join(cache.select("chunk_key", "model", "embedding"), "chunk_key", "left")
 

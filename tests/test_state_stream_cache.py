@@ -192,3 +192,17 @@ def test_micro_batch_partial_folds_equal_batch_fold(spark, tmp_path):
     assert sorted(map(tuple, ST.fold_partials(p2).collect())) == want
     prog = sorted(map(tuple, ST.progress(ST.fold_partials(p)).collect()))
     assert prog == sorted(map(tuple, ST.progress(ST.fold_stages(ev_all)).collect()))
+
+
+def test_concurrent_appends_to_one_cache(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    path = str(tmp_path / "cache")
+    parts = [C.chunk_documents(docs.filter(F.col("doc_id") % 4 == i)) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        outs = list(pool.map(lambda ch: E.embed_cached(ch, cache_path=path).filter("embedding IS NULL").count(), parts))
+    assert outs == [0, 0, 0, 0]
+    all_chunks = C.chunk_documents(docs)
+    assert E.count_misses(all_chunks, cache_path=path) == 0
+    assert spark.read.parquet(path).select("chunk_key").distinct().count() == \
+        all_chunks.select("chunk_key").distinct().count()

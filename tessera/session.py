@@ -25,7 +25,7 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tessera") -> SparkSession:
+                app_name: str = "tessera", extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
     ``master`` and ``shuffle_partitions`` are only applied when given, so a
@@ -34,7 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

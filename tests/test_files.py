@@ -173,3 +173,36 @@ def test_reviews_batches_of_20_20_5(spark, tmp_path):
     assert [r["n_reviews"] for r in rows] == [20, 20, 5]
     assert rows[2]["prompt"].endswith('Reviews: ["review 40, fine","review 41, fine","review 42, fine",'
                                       '"review 43, fine","review 44, fine"]')
+
+
+def test_reader_registry_behaviour(spark, tmp_path):
+    from tessera.sources.registry import ReaderRegistry, default_registry
+    reg = default_registry()
+    assert reg.supported() == [".doc", ".docx", ".text", ".txt"]
+    try:
+        reg.reader_name(".pdf")
+        raise AssertionError("expected ValueError")
+    except ValueError as e:
+        assert ".pdf" in str(e) and ".txt" in str(e)
+    # custom reader for .md (text), later registration overrides, unregister removes
+    from tessera.sources.readers import read_text_files
+    reg.register("MD", "MarkdownReader", read_text_files)
+    assert reg.reader_name(".md") == "MarkdownReader"
+    reg.register(".md", "Other", read_text_files)
+    assert reg.reader_name(".MD") == "Other"
+    reg.unregister("md")
+    assert ".md" not in reg.supported()
+    root = tmp_path / "r"
+    root.mkdir()
+    (root / "a.md").write_text("# title\nbody")
+    (root / "b.txt").write_text("plain")
+    from tessera.sources import files as FS
+    raw = FS.binary_files(spark, str(root), [".md", ".txt"])
+    rows = FS.with_file_columns(raw, keep_content=True)
+    reg.register(".md", "MarkdownReader", read_text_files)
+    docs = {r["path"].rsplit("/", 1)[1]: r for r in reg.read_documents(rows).collect()}
+    assert docs["a.md"]["reader_type"] == "MarkdownReader" and docs["a.md"]["content"] == "# title\nbody"
+    assert docs["b.txt"]["reader_type"] == "TxtReader"
+    empty = ReaderRegistry()
+    dead = empty.read_documents(rows).collect()
+    assert all(r["error_type"] == "ReadError" for r in dead) and len(dead) == 2

@@ -51,13 +51,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probs))])
     x = F.col(value).cast("double")
-    vals = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
-    if by:
-        # a composite range key keeps the rank order (group, value); NULL
-        # group keys sort first and stay one group
-        ranked = with_position(vals, [*by, "_x"], name="_pos")
-    else:
-        ranked = with_position(vals, ["_x"], name="_pos")
+    # ``_tb`` is a per-row tiebreaker fixed before any shuffle: with it the
+    # range key (group, value, _tb) is unique, so a value repeated across a
+    # third of the rows is still split over many range partitions (equal keys
+    # would all land in one). Ties in value do not change the quantiles.
+    vals = (df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
+            .withColumn("_tb", F.monotonically_increasing_id()))
+    # NULL group keys sort first and stay one group
+    ranked = with_position(vals, [*by, "_x", "_tb"], name="_pos")
     groups = ranked.groupBy(*by).agg(F.min("_pos").alias("_start"), F.count("*").alias("_n"))
     ranks = []
     for i, p in enumerate(probs):

@@ -177,3 +177,17 @@ def test_materialize_detection(spark):
     assert not needs_materialize(base.filter("quality = 1").select("doc_id"))
     assert needs_materialize(base.groupBy("quality").count())
     assert needs_materialize(base.join(base.select("doc_id"), "doc_id"))
+
+
+def test_quantiles_split_a_hot_value(spark):
+    # one value holds half of the rows: the ranking must not put it in one task
+    rows = [(7.0,)] * 6000 + [(float(i),) for i in range(6000)]
+    df = spark.createDataFrame(rows, "v double").repartition(8)
+    df = df.checkpoint()  # a stable input, like a scan
+    from tessera.operators.position import with_position
+    vals = df.select(F.col("v").alias("_x")).withColumn("_tb", F.monotonically_increasing_id())
+    sizes = with_position(vals, ["_x", "_tb"], num_partitions=8).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 0.35 * len(rows)
+    got = S.exact_quantiles(df, "v", [0.25, 0.5, 0.75]).first()
+    want = df.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+    assert [got["q0"], got["q1"], got["q2"]] == list(want)

@@ -42,6 +42,11 @@ def _map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def language_name(code) -> Column:
+    """ISO code of a driver document -> language name (NULL when unmapped)."""
+    return F.try_element_at(_map(CODE_TO_NAME), col_(code))
+
+
 def language_code(name) -> Column:
     """Language name (case-insensitive) -> code, NULL when unsupported."""
     return F.try_element_at(_map(LANGUAGE_CODES), F.lower(col_(name)))

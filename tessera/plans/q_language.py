@@ -20,8 +20,8 @@ def _sql_str(s: str) -> str:
 
 
 _NAME_CASE = "CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TL.CODE_TO_NAME.items()) + " END"
-_CODE_CASE = lambda x: "CASE " + x + " " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in TL.LANGUAGE_CODES.items()) + " END"
+def _CODE_CASE(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TL.LANGUAGE_CODES.items()) + " END"
 
 
 def _translate_sql(text, lang):
@@ -40,8 +40,7 @@ def translate_phrases(spark, sf_dir):
     """Each document translated into its own language's name (English is not
     in the dictionary, so English documents get the error text)."""
     d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread=True)
-    name = F.try_element_at(F.create_map(*[F.lit(x) for kv in TL.CODE_TO_NAME.items() for x in kv]), F.col("lang"))
-    return d.select("doc_id", TL.translate("text", name).alias("translation"))
+    return d.select("doc_id", TL.translate("text", TL.language_name("lang")).alias("translation"))
 
 
 @register("translate_turns", f"""
@@ -57,7 +56,7 @@ SELECT lang, {_NAME_CASE} AS language, {_CODE_CASE(_NAME_CASE)} AS code, count(*
 FROM documents GROUP BY lang""")
 def lang_code(spark, sf_dir):
     d = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").cast("bigint").alias("n_docs"))
-    name = F.try_element_at(F.create_map(*[F.lit(x) for kv in TL.CODE_TO_NAME.items() for x in kv]), F.col("lang"))
+    name = TL.language_name("lang")
     return d.select("lang", name.alias("language"), TL.language_code(name).alias("code"), "n_docs")
 
 

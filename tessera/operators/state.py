@@ -54,27 +54,51 @@ def events_from_driver(events: DataFrame) -> DataFrame:
     )
 
 
-def fold_stages(ev: DataFrame) -> DataFrame:
-    """One row per (file_id, stage): the last event's success/error/ts."""
+def _fold(ev: DataFrame) -> DataFrame:
+    """(file_id, stage, success, error, updated_at, first_seq, last_seq, n_events).
+
+    The pass over all events keeps fixed-width buffers only (``max_by`` of a
+    boolean / timestamp, min/max/count), so Spark runs it as a hash aggregate
+    with map-side combine. The error text of the last event comes from a
+    second aggregate over the error events only, joined on the (small) folded
+    keys: the error is kept when it belongs to the last event.
+    """
+    main = ev.groupBy("file_id", "stage").agg(
+        F.max_by("success", "seq").alias("success"), F.max_by("ts", "seq").alias("updated_at"),
+        F.max("seq").alias("last_seq"), F.min("seq").alias("first_seq"),
+        F.count("*").cast("bigint").alias("n_events"))
+    errs = (ev.filter(F.col("error").isNotNull()).groupBy("file_id", "stage")
+            .agg(F.max_by(F.struct("seq", "error"), "seq").alias("_e")))
+    return (main.join(errs, ["file_id", "stage"], "left")
+            .select("file_id", "stage", "success",
+                    F.when(F.col("_e.seq") == F.col("last_seq"), F.col("_e.error")).alias("error"),
+                    "updated_at", "first_seq", "last_seq", "n_events"))
+
+
+def _fold_single(ev: DataFrame) -> DataFrame:
+    """The same fold as one aggregate (``max_by`` of a struct holding the
+    error text, hence a sort-based aggregate). Structured Streaming needs this
+    form: it cannot join two streaming aggregates."""
     last = F.max_by(F.struct("success", "error", "ts"), "seq")
     return ev.groupBy("file_id", "stage").agg(
-        last.alias("_last"), F.min("seq").alias("first_seq"),
+        last.alias("_last"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
         F.count("*").cast("bigint").alias("n_events"),
     ).select("file_id", "stage", F.col("_last.success").alias("success"),
              F.col("_last.error").alias("error"), F.col("_last.ts").alias("updated_at"),
-             "first_seq", "n_events")
+             "first_seq", "last_seq", "n_events")
+
+
+def fold_stages(ev: DataFrame, single_pass: bool = False) -> DataFrame:
+    """One row per (file_id, stage): the last event's success/error/ts.
+
+    ``single_pass=True`` gives the one-aggregate form (for streams)."""
+    return (_fold_single(ev) if single_pass else _fold(ev)).drop("last_seq")
 
 
 def partial_fold(ev: DataFrame) -> DataFrame:
     """Fold of a slice of the events, mergeable with other slices: like
-    ``fold_stages`` plus ``last_seq`` and the event-time range."""
-    last = F.max_by(F.struct("success", "error", "ts"), "seq")
-    return ev.groupBy("file_id", "stage").agg(
-        last.alias("_last"), F.max("seq").alias("last_seq"), F.min("seq").alias("first_seq"),
-        F.count("*").cast("bigint").alias("n_events"),
-    ).select("file_id", "stage", F.col("_last.success").alias("success"),
-             F.col("_last.error").alias("error"), F.col("_last.ts").alias("updated_at"),
-             "first_seq", "last_seq", "n_events")
+    ``fold_stages`` plus ``last_seq``."""
+    return _fold(ev)
 
 
 def fold_partials(parts: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def slow_action_stream(events: DataFrame, window: str = "1 day", watermark: str
 
 def stage_fold_stream(stage_events: DataFrame) -> DataFrame:
     """Streaming form of ``state.fold_stages`` (use outputMode 'update' or 'complete')."""
-    return ST.fold_stages(stage_events)
+    return ST.fold_stages(stage_events, single_pass=True)
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"

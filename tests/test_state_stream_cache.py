@@ -206,3 +206,10 @@ def test_concurrent_appends_to_one_cache(spark, tmp_path):
     assert E.count_misses(all_chunks, cache_path=path) == 0
     assert spark.read.parquet(path).select("chunk_key").distinct().count() == \
         all_chunks.select("chunk_key").distinct().count()
+
+
+def test_single_pass_fold_equals_split_fold(spark):
+    ev = ST.events_from_driver(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    a = sorted(map(tuple, ST.fold_stages(ev).collect()))
+    b = sorted(map(tuple, ST.fold_stages(ev, single_pass=True).collect()))
+    assert a == b

@@ -137,7 +137,7 @@ def default_cache_path(spark: SparkSession) -> str:
     if not base:
         from ..session import ensure_checkpoint_dir
         base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/tessera_embedding_store"
+    return base.rstrip("/") + "/tessera_vector_cache"
 
 
 def read_cache(spark: SparkSession, path: str, model: str) -> DataFrame:
@@ -178,10 +178,15 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
         embedder = hashing_embedder(model_dimension(model))
     factory = embedder
     misses = cache_misses(chunks, read_cache(spark, path, model))
-    new = misses.select("chunk_key", embedding_udf(factory)("text").alias("embedding"),
-                        F.lit(model).alias("model"))
-    # a fresh directory per append: a job's staging files live under it
-    new.write.mode("errorifexists").partitionBy("model").parquet(f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
+    # Counting runs only the anti-join (the embedding column is pruned); a
+    # run directory is created only when there is something to append, so
+    # all-hit runs leave the cache (and its listing) unchanged.
+    if misses.count() > 0:
+        new = misses.select("chunk_key", embedding_udf(factory)("text").alias("embedding"),
+                            F.lit(model).alias("model"))
+        # a fresh directory per append: a job's staging files live under it
+        new.write.mode("errorifexists").partitionBy("model").parquet(
+            f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
     cache = read_cache(spark, path, model)
     return chunks.join(cache.select("chunk_key", "model", "embedding"), "chunk_key", "left")
 

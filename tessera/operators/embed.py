@@ -140,13 +140,21 @@ def default_cache_path(spark: SparkSession) -> str:
     return base.rstrip("/") + "/tessera_vector_cache"
 
 
-def read_cache(spark: SparkSession, path: str, model: str) -> DataFrame:
-    """Cache rows for one model (partition pruning on ``model``), deduplicated."""
+def read_cache(spark: SparkSession, path: str, model: str, keys: DataFrame | None = None) -> DataFrame:
+    """Cache rows for one model (partition pruning on ``model``), deduplicated.
+
+    With ``keys`` (a frame with ``chunk_key``) the cache is first cut to those
+    keys by a semi join; its build side is keys only, so AQE can broadcast it
+    and the vectors are filtered map-side before any shuffle.
+    """
     try:
         cache = spark.read.schema(CACHE_SCHEMA).parquet(path)
     except AnalysisException:
         cache = spark.createDataFrame([], CACHE_SCHEMA)
-    return cache.filter(F.col("model") == model).dropDuplicates(["chunk_key"])
+    cache = cache.filter(F.col("model") == model)
+    if keys is not None:
+        cache = cache.join(keys.select("chunk_key").distinct(), "chunk_key", "left_semi")
+    return cache.dropDuplicates(["chunk_key"])
 
 
 def cache_misses(chunks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -187,8 +195,12 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
         # a fresh directory per append: a job's staging files live under it
         new.write.mode("errorifexists").partitionBy("model").parquet(
             f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
-    cache = read_cache(spark, path, model)
-    return chunks.join(cache.select("chunk_key", "model", "embedding"), "chunk_key", "left")
+    cache = read_cache(spark, path, model, keys=chunks)
+    # The vector side has no proven size bound (compressed Parquet sizes
+    # badly underestimate float arrays in memory), so it is never broadcast:
+    # a shuffle join on chunk_key, split by AQE when a key is hot.
+    vectors = cache.select("chunk_key", "model", "embedding").hint("shuffle_merge")
+    return chunks.join(vectors, "chunk_key", "left")
 
 
 def count_misses(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None) -> int:

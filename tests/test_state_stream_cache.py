@@ -213,3 +213,17 @@ def test_single_pass_fold_equals_split_fold(spark):
     a = sorted(map(tuple, ST.fold_stages(ev).collect()))
     b = sorted(map(tuple, ST.fold_stages(ev, single_pass=True).collect()))
     assert a == b
+
+
+def test_vector_side_is_never_broadcast(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    out = E.embed_cached(C.chunk_documents(docs), cache_path=str(tmp_path / "cache"))
+    out.count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the join that brings the vectors back is a shuffle join; only the
+    # keys-only semi join may be broadcast
+    assert "SortMergeJoin" in plan and "LeftOuter" in plan
+    assert "LeftSemi" in plan
+    for line in plan.splitlines():
+        if "BroadcastHashJoin" in line:
+            assert "LeftSemi" in line, line

@@ -1,4 +1,4 @@
 """Operators of a training-data pipeline. Nothing outside this package imports it."""
 
 from .registry import oracle_sql, queries  # noqa: F401
-from . import q_decontaminate, q_language, q_mix, q_near, q_quality, q_tokens, q_warc  # noqa: F401
+from . import q_decontaminate, q_language, q_lines, q_mix, q_near, q_quality, q_tokens, q_warc  # noqa: F401

@@ -75,9 +75,9 @@ def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
-def _group_links(keys, weight, sig, sets, block, buckets, bucket, threshold, tolerance):
+def _group_links(weight, sig, sets, block, buckets, bucket, threshold, tolerance):
     """Links of each member within one pair of blocks, and the least member of its component there."""
-    n = len(keys)
+    n = len(sets)
     size = np.array([len(s) for s in sets])
     ids, inverse = np.unique(np.concatenate(buckets), return_inverse=True)
     member = np.repeat(np.arange(n), [len(b) for b in buckets])
@@ -126,7 +126,7 @@ def _group_links(keys, weight, sig, sets, block, buckets, bucket, threshold, tol
     return links, root
 
 
-def _compare(threshold: float, tolerance: float, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compare(threshold: float, tolerance: float, decode: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
     def run(group: list[tuple]) -> pa.RecordBatch | None:
@@ -134,11 +134,9 @@ def _compare(threshold: float, tolerance: float, width: int) -> Callable[[Iterat
         block = np.array([r[3] for r in rows])
         if len(rows) < 2 or lo != hi and len(np.unique(block)) < 2:
             return None
-        links, root = _group_links(
-            [r[4] for r in rows], np.array([r[5] for r in rows]),
-            np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(len(rows), width),
-            [np.frombuffer(r[7], np.uint64) for r in rows], block, [np.asarray(r[8], np.int64) for r in rows],
-            bucket, threshold, tolerance)
+        sig, sets = decode([r[6] for r in rows])
+        links, root = _group_links(np.array([r[5] for r in rows]), sig, sets, block,
+                                   [np.asarray(r[7], np.int64) for r in rows], bucket, threshold, tolerance)
         has = np.flatnonzero(links)
         if not len(has):
             return None
@@ -160,13 +158,14 @@ def _compare(threshold: float, tolerance: float, width: int) -> Callable[[Iterat
     return compare
 
 
-def link_classes(classes: DataFrame, payload: Callable[[DataFrame], DataFrame], width: int, threshold: float = 0.8,
+def link_classes(classes: DataFrame, payload: Callable[[DataFrame], DataFrame], decode: Callable, threshold: float = 0.8,
                  tolerance: float = 1e-5) -> DataFrame:
     """``(key, links, root)`` per block task for every linked class; sum ``links`` and join ``root`` over the rows.
 
     ``classes``: key (binary), n (rows of the class), n_items, bands (array of bucket hashes; null or empty: none).
-    ``payload(candidates)`` returns a row per candidate key with ``sig`` (the ``width`` MinHash values as uint32
-    bytes) and ``items`` (the sorted set as uint64 bytes). ``classes`` is read several times: pass a cut or a table.
+    ``payload(candidates)`` returns a row per candidate key with its ``data`` (binary), and ``decode``, in the tasks,
+    gives for a list of those the matrix of MinHash values and the sorted sets. ``classes`` is read several times:
+    pass a cut or a table.
     """
     spread = classes.select("key", "n_items", F.explode("bands").alias("bucket"))
     buckets = (spread.groupBy("bucket")
@@ -179,11 +178,11 @@ def link_classes(classes: DataFrame, payload: Callable[[DataFrame], DataFrame],
                .groupBy("key").agg(F.collect_list(F.struct("bucket", "blocks")).alias("in")))
     members = cut(members.join(classes.select("key", "n"), "key"))
     loaded = members.join(payload(members.select("key")), "key")
-    dealt = (loaded.select("key", "n", "sig", "items", F.expr("transform(in, x -> x.bucket)").alias("buckets"),
+    dealt = (loaded.select("key", "n", "data", F.expr("transform(in, x -> x.bucket)").alias("buckets"),
                            F.explode("in").alias("_in"))
              .withColumn("block", F.pmod(F.xxhash64("key", F.col("_in.bucket")), F.col("_in.blocks")).cast("int"))
              .withColumn("other", F.explode(F.expr("sequence(0, _in.blocks - 1)")))
              .select(F.col("_in.bucket").alias("bucket"), F.least("block", "other").alias("lo"),
-                     F.greatest("block", "other").alias("hi"), "block", "key", "n", "sig", "items", "buckets"))
+                     F.greatest("block", "other").alias("hi"), "block", "key", "n", "data", "buckets"))
     grouped = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    return grouped.mapInArrow(_compare(threshold, tolerance, width), "key binary, links bigint, root binary")
+    return grouped.mapInArrow(_compare(threshold, tolerance, decode), "key binary, links bigint, root binary")

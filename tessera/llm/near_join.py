@@ -60,11 +60,17 @@ def _load(shingle: int):
                 sets = list(distinct(values, off))
                 sig = minhash(*_flat_sets(sets), BANDS * ROWS)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([s.tobytes() for s in sig], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "sig", "items"])
+                    part.column(0), pa.array([a.tobytes() + s.tobytes() for a, s in zip(sig, sets)], pa.binary())],
+                    names=["key", "data"])
     return run
 
 
+def _decode(data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    head = 4 * BANDS * ROWS
+    sig = np.frombuffer(b"".join(d[:head] for d in data), np.uint32).reshape(len(data), BANDS * ROWS)
+    return sig, [np.frombuffer(d, np.uint64, offset=head) for d in data]
+
+
 def near_links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8,
                shingle: int = SHINGLE, tolerance: float = 1e-5) -> DataFrame:
     """A row per document: ``id``, ``tk`` (digest of the text), ``class_id``, ``class_tk`` (the text digest of the
@@ -83,9 +89,9 @@ def near_links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
     def payload(candidates: DataFrame) -> DataFrame:
         wanted = candidates.join(classes, "key").select("key", F.col("first.tk").alias("tk"))
         texts = body.select("tk", "text").join(wanted, "tk").groupBy("key").agg(F.min("text").alias("text"))
-        return texts.mapInArrow(_load(shingle), "key binary, sig binary, items binary")
+        return texts.mapInArrow(_load(shingle), "key binary, data binary")
 
-    found = cut(link_classes(classes, payload, BANDS * ROWS, threshold, tolerance))
+    found = cut(link_classes(classes, payload, _decode, threshold, tolerance))
     links = found.groupBy("key").agg(F.sum("links").alias("_links"))
     roots = connected_components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     grouped = (classes.select("key", "n", "first").join(links, "key", "left")

@@ -29,6 +29,12 @@ def internal(prefix: str, taken: Iterable[str]) -> str:
     return name
 
 
+def settled(column: Column) -> Column:
+    """The column as the one row of a generator. A filter on it stays above, where the optimizer would otherwise move
+    it below and evaluate the whole chain of expressions a second time, nested."""
+    return F.explode_outer(F.array(column))
+
+
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder for written tables below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"

@@ -22,7 +22,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, SPACE
+from .common import NON_SPACE, SPACE, settled
 
 # Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -134,7 +134,7 @@ def apply_rules(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = DE
         failed.append(f"case when {bad} then '{name}' end")
     return (measure(docs, text, prefix)
             .withColumn(f"{prefix}failed_rules", F.expr(f"array_compact(array({', '.join(failed)}))"))
-            .withColumn(f"{prefix}kept", F.size(f"{prefix}failed_rules") == 0))
+            .withColumn(f"{prefix}kept", settled(F.size(f"{prefix}failed_rules") == 0)))
 
 
 def filter_quality(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = DEFAULT_RULES) -> DataFrame:

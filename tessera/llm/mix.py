@@ -44,8 +44,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] | Column = WEIGHTS
     ``weights`` repeat over the sources in code point order, null last; a
     Column gives each source's weight instead. Water filling: the level at
     which capped sources (target = ``max_repeat`` * size) and the others
-    (target = weight * level) use the budget exactly, found from running sums
-    over the sources ordered by the level at which each one is full.
+    (target = weight * level) use the budget exactly. Taking the first k sources
+    in the order in which they fill up as full and the others as not, gives a
+    level that is at most the true one, and equal to it for the right k, so the
+    greatest over all k is the level.
     """
     order = Window.orderBy(F.col("source").isNull(), F.expr("cast(source as binary)"))
     if isinstance(weights, Column):
@@ -64,9 +66,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] | Column = WEIGHTS
                 by_full.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
             # the level if every source before this one is full and none from here on
             .withColumn("_level", (F.col("_total") - F.col("_before")) / F.sum("_w").over(rest))
-            .withColumn("_water", F.min(F.when(F.col("_level") <= F.col("_full"), F.col("_level"))).over(whole))
-            .withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.coalesce(F.col("_water"), F.col("_full"))))
-            .drop("_w", "_cap", "_full", "_total", "_before", "_level", "_water"))
+            .withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.max("_level").over(whole)))
+            .drop("_w", "_cap", "_full", "_total", "_before", "_level"))
 
 
 def schedule(docs: DataFrame, weights: Sequence[float] | Column = WEIGHTS, budget_share: float = 1.5,

@@ -19,7 +19,7 @@ l AS (
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(w) OVER (ORDER BY f, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
   FROM f),
-t AS (SELECT *, least(cap, w * coalesce(min(lev) FILTER (WHERE lev <= f) OVER (), f)) AS target FROM l),
+t AS (SELECT *, least(cap, w * max(lev) OVER ()) AS target FROM l),
 o AS (
   SELECT d.*, t.source_size, t.target,
          sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id::VARCHAR, size

@@ -44,3 +44,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder (smaller than a checkpoint where rows are wide)."""
+    path = shared_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -9,11 +9,11 @@ hashing with rotation (one hash per shingle, the least in each of 42 bins), whic
 size. Lines between have both, so two lines at the threshold always share a kind. 14 bands of 3 values miss a pair at
 a similarity of 0.8 with a probability of 4e-5.
 
-Scale: the bucket counts are an aggregate with map-side partial results (a bucket matters if two different lines are
-in it), and the buckets that matter become a filter of fixed size (``filter_bits``), the only thing broadcast. A
-second pass over the documents lets only lines in such buckets go on; the filter's false hits cost rows, not results.
-Candidates are then compared in block tasks (``lsh``) and joined into components (``components``). No line text is
-shuffled but the candidates'.
+Scale: the bucket counts are an aggregate with map-side partial results (a band matters if two different lines are in
+its bucket, a line itself if it is at two places), and the buckets that matter become a filter of fixed size
+(``filter_bits``), the only thing broadcast. A second pass over the documents lets only lines in such buckets go on;
+the filter's false hits cost rows, not results. Candidates are then compared in block tasks (``lsh``) and joined into
+components (``components``). Nothing is shuffled of the lines that are unlike all others.
 
 Defined results
 - null text has no line; blank lines are never removed and never counted as equal;
@@ -26,29 +26,34 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+from typing import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, written
 from .components import connected_components
 from .lsh import link_classes
 from .shingles import band_hashes, minhash, mix64, stream
 
 SHINGLE, BANDS, ROWS = 8, 14, 3
 SHORT, LONG = 160, 128  # plain MinHash up to SHORT shingles, one permutation hashing above LONG
-VERIFY = 80  # MinHash values compared before the exact check
+VERIFY = 60  # MinHash values compared before the exact check
 _WHITE = " \t\n\x0b\f\r"
 
 
+_BASE = tuple(np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4))
+
+
 def _shingle_values(codes: np.ndarray) -> np.ndarray:
-    m = stream(SHINGLE, SHINGLE)
-    out = np.zeros(max(0, len(codes) - SHINGLE + 1), np.uint64)
-    for j in range(SHINGLE):
-        out += codes[j:len(codes) - SHINGLE + 1 + j] * m[j]
-    return mix64(out)
+    """Hashes of all windows of 8 characters: of pairs, of pairs of pairs, of pairs of those."""
+    for n, m in zip((1, 2, 4), _BASE):
+        if len(codes) <= n:
+            return codes[:0]
+        codes = codes[:-n] * m + codes[n:]
+    return mix64(codes)
 
 
 def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,14 +64,15 @@ def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.where(length >= SHINGLE, length - SHINGLE + 1, np.minimum(length, 1))
     out = np.concatenate([[0], np.cumsum(counts)])
     rolled = _shingle_values(codes)
-    values = np.zeros(out[-1], np.uint64)
     full = length >= SHINGLE
     inside = np.ones(len(rolled), bool)  # positions whose window stays inside a line
     for j in range(1, SHINGLE):
         ends = (start + length - j)[length >= j]
         inside[ends[ends < len(rolled)]] = False
-    keep = np.repeat(full, counts)
-    values[keep] = rolled[inside]
+    if full.all():
+        return rolled[inside], out
+    values = np.zeros(out[-1], np.uint64)
+    values[np.repeat(full, counts)] = rolled[inside]
     m = stream(SHINGLE, SHINGLE)
     for i in np.flatnonzero(~full & (length > 0)):
         values[out[i]] = mix64((codes[start[i]:start[i] + length[i]] * m[:length[i]]).sum(dtype=np.uint64, keepdims=True)
@@ -77,15 +83,11 @@ def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def one_permutation(values: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     """One permutation hashing: the least hash of each bin; an empty bin takes the next one's, shifted."""
     n = len(offsets) - 1
-    line = np.repeat(np.arange(n, dtype=np.uint64), np.diff(offsets))
-    spot = ((values >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
-    packed = np.sort(((line * np.uint64(size) + spot) << np.uint64(32)) | (values & np.uint64(0xFFFFFFFF)))
-    place = (packed >> np.uint64(32)).astype(np.int64)
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    sig = np.zeros(n * size, np.uint32)
+    place = np.repeat(np.arange(n) * size, np.diff(offsets)) + (((values >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
+    sig = np.full(n * size, 0xFFFFFFFF, np.uint32)
     have = np.zeros(n * size, bool)
-    sig[place[first]] = (packed[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    have[place[first]] = True
+    np.minimum.at(sig, place, values.astype(np.uint32))
+    have[place] = True
     sig, have = sig.reshape(n, size), have.reshape(n, size)
     some = have.any(axis=1)
     while (gaps := ~have & some[:, None]).any():
@@ -112,60 +114,101 @@ def line_bands(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(lines), np.concatenate(buckets)
 
 
-def _slices(texts, limit: int = 1 << 20):
-    """Lists of the trimmed lines of about ``limit`` characters."""
-    lines, size = [], 0
-    for t in texts:
-        for x in (t.as_py() or "").split("\n"):
+def _slices(batch, limit: int = 1 << 17):
+    """(document in the batch, line number, line) lists of about ``limit`` characters; lines trimmed, blank ones left out."""
+    doc, number, lines, size = [], [], [], 0
+    for d, t in enumerate(batch.column(2)):
+        for n, x in enumerate((t.as_py() or "").split("\n")):
             x = x.strip(_WHITE)
             if x:
+                doc.append(d)
+                number.append(n)
                 lines.append(x)
                 size += len(x)
                 if size >= limit:
-                    yield lines
-                    lines, size = [], 0
+                    yield doc, number, lines
+                    doc, number, lines, size = [], [], [], 0
     if lines:
-        yield lines
+        yield doc, number, lines
 
 
-def _key(line: str) -> bytes:
-    return hashlib.md5(line.encode()).digest()
+def _keys(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """Digests of the lines, and the bucket that stands for a line itself."""
+    keys = [hashlib.md5(x.encode()).digest() for x in lines]
+    return keys, np.frombuffer(b"".join(keys), np.int64)[1::2]
 
 
 def _count_buckets(batches):
+    """(bucket, k) for every band of every line, k telling lines apart, and for every line itself, k telling its
+    places apart."""
     for b in batches:
-        for lines in _slices(b.column(0)):
+        ids, tks = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for doc, number, lines in _slices(b):
             line, bucket = line_bands(*line_shingles(lines))
-            short = np.array([int.from_bytes(_key(x)[:4], "little", signed=True) for x in lines], np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(short[line])], names=["bucket", "k"])
+            keys, own = _keys(lines)
+            which = np.frombuffer(b"".join(keys), np.int64)[::2]
+            places = np.array([hash_place(ids[d], tks[d], n) for d, n in zip(doc, number)], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([bucket, own])),
+                                              pa.array(np.concatenate([which[line], places]))], names=["bucket", "k"])
+
+
+def hash_place(doc_id, tk: bytes, number: int) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{doc_id}:{number}".encode() + tk, digest_size=8).digest(), "little", signed=True)
 
 
 def _candidates(shared, bits: int):
+    """Lines that have a bucket in the filter: their place and key, and, where a band is in it, what is compared."""
     def run(batches):
         hot = shared.value
         mask = np.int64((1 << bits) - 1)
+
+        def hit(bucket: np.ndarray) -> np.ndarray:
+            v = bucket & mask
+            return (hot[v >> 3] >> (v & 7).astype(np.uint8)) & 1 > 0
+
         for b in batches:
-            for lines in _slices(b.column(0)):
+            ids, tks = b.column(0), b.column(1)
+            for doc, number, lines in _slices(b):
                 values, off = line_shingles(lines)
                 line, bucket = line_bands(values, off)
-                v = bucket & mask
-                on = (hot[v >> 3] >> (v & 7).astype(np.uint8)) & 1 > 0
+                keys, own = _keys(lines)
+                on = hit(bucket)
                 line, bucket = line[on], bucket[on]
                 order = np.argsort(line, kind="stable")
                 line, bucket = line[order], bucket[order]
-                own, first = np.unique(line, return_index=True)
-                ends = np.append(first, len(line)).astype(np.int32)
+                near = np.zeros(len(lines), bool)
+                near[line] = True
+                out = np.flatnonzero(near | hit(own))
+                ends = np.searchsorted(line, np.append(out, len(lines)))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bucket))
+                at = pa.array([doc[i] for i in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([_key(lines[i]) for i in own], pa.binary()), pa.array([lines[i].encode() for i in own], pa.binary()),
-                    pa.array((off[own + 1] - off[own])), pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket))],
-                    names=["key", "data", "n_items", "bands"])
+                    ids.take(at), tks.take(at), pa.array([number[i] for i in out], pa.int32()),
+                    pa.array([keys[i] for i in out], pa.binary()), pa.array(off[out + 1] - off[out]), lists,
+                    pa.array([lines[i].encode() if near[i] else None for i in out], pa.binary())],
+                    names=["id", "tk", "line", "key", "n_items", "bands", "text"])
     return run
 
 
-def _decode(data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    values, off = line_shingles([d.decode() for d in data])
-    sets = [np.unique(values[a:z]) for a, z in zip(off[:-1], off[1:])]
-    return minhash(values, off, VERIFY), sets
+def _sign(batches):
+    """Candidates with the MinHash values that are compared before the exact check."""
+    for b in batches:
+        for at in range(0, b.num_rows, 512):
+            part = b.slice(at, 512)
+            lines = part.column(1).to_pylist()
+            sig = minhash(*line_shingles([x.decode() for x in lines]), VERIFY)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() + x for s, x in zip(sig, lines)], pa.binary())],
+                                             names=["key", "data"])
+
+
+def _decode(data: list[bytes]) -> tuple[np.ndarray, Callable[[np.ndarray], list[np.ndarray]]]:
+    sig = np.frombuffer(b"".join(d[:4 * VERIFY] for d in data), np.uint32).reshape(len(data), VERIFY)
+
+    def sets(at) -> list[np.ndarray]:
+        values, off = line_shingles([data[i][4 * VERIFY:].decode() for i in at])
+        return [np.unique(values[a:z]) for a, z in zip(off[:-1], off[1:])]
+
+    return sig, sets
 
 
 def bucket_filter(buckets: DataFrame, bits: int) -> np.ndarray:
@@ -185,35 +228,33 @@ def line_decisions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                    filter_bits: int = 26) -> DataFrame:
     """A row per document: ``id``, ``tk`` (text digest), ``n_lines`` (with a character other than white space) and
     ``removed`` (numbers, from 0, of the lines that go, blank lines counted in)."""
+    spark = docs.sparkSession
     body = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    texts = body.select("text").where("text is not null")
-    multi = (texts.mapInArrow(_count_buckets, "bucket bigint, k int").groupBy("bucket")
+    kind = body.schema["id"].dataType.simpleString()
+    texts = body.select("id", digest.alias("tk"), "text").where("text is not null")
+    multi = (texts.mapInArrow(_count_buckets, "bucket bigint, k bigint").groupBy("bucket")
              .agg(F.min("k").alias("_a"), F.max("k").alias("_z")).where("_a <> _z").select("bucket"))
-    spark = docs.sparkSession
     hot = spark.sparkContext.broadcast(bucket_filter(multi, filter_bits))
-    found = texts.mapInArrow(_candidates(hot, filter_bits), "key binary, data binary, n_items bigint, bands array<bigint>")
-    classes = cut(found.groupBy("key").agg(F.first("data").alias("data"), F.first("n_items").alias("n_items"),
-                                           F.first("bands").alias("bands")).withColumn("n", F.lit(1).cast("bigint")))
+    found = written(texts.mapInArrow(
+        _candidates(hot, filter_bits),
+        f"id {kind}, tk binary, line int, key binary, n_items bigint, bands array<bigint>, text binary"), "line-candidates")
+    near = (found.where("text is not null").groupBy("key").agg(
+        F.first("text").alias("text"), F.first("n_items").alias("n_items"), F.first("bands").alias("bands")))
+    near = written(near.withColumn("n", F.lit(1).cast("bigint")), "line-classes")
 
     def payload(candidates: DataFrame) -> DataFrame:
-        return classes.select("key", "data").join(candidates, "key")
+        return near.select("key", "text").join(candidates, "key").mapInArrow(_sign, "key binary, data binary")
 
-    linked = cut(link_classes(classes.drop("data"), payload, _decode, threshold))
+    linked = cut(link_classes(near.drop("text"), payload, _decode, threshold))
     roots = connected_components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")))
-
-    trimmed = F.btrim(F.col("col"), F.lit(_WHITE))
-    lines = (body.select("id", digest.alias("tk"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
-             .select("id", "tk", F.col("pos").alias("line"), trimmed.alias("t")).where("t <> ''")
-             .select("id", "tk", "line", F.unhex(F.md5("t")).alias("key")))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "tk", "line")
-    seen = lines.groupBy("key").agg(F.min(first).alias("first"), F.max(first).alias("last"))
-    # lines that occur at one place only and have no link stay; the others belong to a component
-    shared = cut(seen.join(roots.withColumnRenamed("node", "key"), "key", "left").join(
-        linked.select(F.col("key")).distinct().withColumn("_linked", F.lit(True)), "key", "left")
-        .where("first <> last or _linked").select("key", "first", F.coalesce("root", "key").alias("root")))
-    stays = shared.groupBy("root").agg(F.min("first").alias("stays"))
-    keep = shared.select("key", "root").join(stays, "root").select("key", "stays")
+    lines = found.select("id", "tk", "line", "key")
+    # lines at one place only and without a link are a component of their own
+    seen = cut(lines.groupBy("key").agg(F.min(first).alias("first")).join(roots.withColumnRenamed("node", "key"), "key", "left")
+               .select("key", "first", F.coalesce("root", "key").alias("root")))
+    stays = seen.groupBy("root").agg(F.min("first").alias("stays"))
+    keep = seen.select("key", "root").join(stays, "root").select("key", "stays")
     gone = (lines.join(keep, "key").where(~F.expr("id <=> stays.id and tk = stays.tk and line = stays.line"))
             .groupBy("id", "tk").agg(F.sort_array(F.collect_set("line")).alias("removed")))
     n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(_WHITE)) != ""))

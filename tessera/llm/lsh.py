@@ -27,6 +27,7 @@ from .common import cut
 BLOCK = 1000  # members of a block, and
 BLOCK_ITEMS = 1_000_000  # set items of a block, about
 PAIRS = 1 << 18  # pairs in work at a time within a task
+BATCH_ROWS, BATCH_BYTES = 4096, 1 << 22  # groups are decoded together up to about this
 STEP = 20  # MinHash values compared at a time
 
 
@@ -77,8 +78,7 @@ def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def _group_links(weight, sig, sets, block, buckets, bucket, threshold, tolerance):
     """Links of each member within one pair of blocks, and the least member of its component there."""
-    n = len(sets)
-    size = np.array([len(s) for s in sets])
+    n = len(sig)
     ids, inverse = np.unique(np.concatenate(buckets), return_inverse=True)
     member = np.repeat(np.arange(n), [len(b) for b in buckets])
     use = np.flatnonzero((ids < bucket) & (np.bincount(inverse) > 1))  # earlier buckets that could hold a pair
@@ -98,15 +98,17 @@ def _group_links(weight, sig, sets, block, buckets, bucket, threshold, tolerance
         i, j = (x.ravel() for x in np.meshgrid(left[a:a + rows], right, indexing="ij"))
         if right is left:
             i, j = i[i < j], j[i < j]
-        ok = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
-        i, j = i[ok], j[ok]
         if len(use):
             ok = ~(bits[i] & bits[j]).any(axis=1)
             i, j = i[ok], j[ok]
         i, j = survivors(sig, i, j, threshold, tolerance)
         if len(i):
-            both = _shared(sets, i, j)
-            ok = both >= threshold * (size[i] + size[j] - both) - 1e-9
+            named, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+            own = sets(named)
+            size = np.array([len(s) for s in own])
+            x, y = at[:len(i)], at[len(i):]
+            both = _shared(own, x, y)
+            ok = both >= threshold * (size[x] + size[y] - both) - 1e-9
             i, j = i[ok], j[ok]
             found_i.append(i)
             found_j.append(j)
@@ -126,33 +128,56 @@ def _group_links(weight, sig, sets, block, buckets, bucket, threshold, tolerance
     return links, root
 
 
+def _pair_links(sig, sets, one, two, bucket, threshold: float, tolerance: float) -> bool:
+    """Whether the two members of a group are linked (the case of most groups)."""
+    if min(set(one) & set(two)) < bucket:
+        return False
+    agree = np.cumsum(sig[0] == sig[1])
+    if any(agree[n - 1] < least for n, least in least_matches(sig.shape[1], threshold, tolerance)):
+        return False
+    a, z = sets()
+    both = len(np.intersect1d(a, z, assume_unique=True))
+    return both >= threshold * (len(a) + len(z) - both) - 1e-9
+
+
 def _compare(threshold: float, tolerance: float, decode: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
-    def run(group: list[tuple]) -> pa.RecordBatch | None:
-        (bucket, lo, hi), rows = group[0][:3], group
-        block = np.array([r[3] for r in rows])
-        if len(rows) < 2 or lo != hi and len(np.unique(block)) < 2:
-            return None
+    def run(rows: list[tuple], starts: list[int]) -> pa.RecordBatch | None:
+        """The links of some groups; ``starts`` are their first rows."""
         sig, sets = decode([r[6] for r in rows])
-        links, root = _group_links(np.array([r[5] for r in rows]), sig, sets, block,
-                                   [np.asarray(r[7], np.int64) for r in rows], bucket, threshold, tolerance)
-        has = np.flatnonzero(links)
-        if not len(has):
+        out = []
+        for a, z in zip(starts, [*starts[1:], len(rows)]):
+            group = rows[a:z]
+            bucket, lo, hi = group[0][:3]
+            if z - a < 2 or lo != hi and len({r[3] for r in group}) < 2:
+                continue
+            if z - a == 2:
+                if _pair_links(sig[a:z], lambda: sets((a, a + 1)), group[0][7], group[1][7], bucket, threshold, tolerance):
+                    out += [(rows[a][4], rows[a + 1][5], rows[a][4]), (rows[a + 1][4], rows[a][5], rows[a][4])]
+                continue
+            links, root = _group_links(np.array([r[5] for r in group]), sig[a:z], lambda at, a=a: sets(at + a), np.array([r[3] for r in group]),
+                                       [np.asarray(r[7], np.int64) for r in group], bucket, threshold, tolerance)
+            out += [(group[i][4], int(links[i]), group[root[i]][4]) for i in np.flatnonzero(links)]
+        if not out:
             return None
-        return pa.record_batch([pa.array([rows[i][4] for i in has], pa.binary()), pa.array(links[has]),
-                                pa.array([rows[root[i]][4] for i in has], pa.binary())], schema=schema)
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
     def compare(batches):
-        group: list[tuple] = []
+        rows: list[tuple] = []
+        starts: list[int] = []
+        size = 0
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in range(b.num_columns))):
-                if group and row[:3] != group[0][:3]:
-                    if (out := run(group)) is not None:
-                        yield out
-                    group = []
-                group.append(row)
-        if group and (out := run(group)) is not None:
+                if not rows or row[:3] != rows[-1][:3]:
+                    if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:  # whole groups only
+                        if (out := run(rows, starts)) is not None:
+                            yield out
+                        rows, starts, size = [], [], 0
+                    starts.append(len(rows))
+                rows.append(row)
+                size += len(row[6])
+        if rows and (out := run(rows, starts)) is not None:
             yield out
 
     return compare
@@ -164,8 +189,8 @@ def link_classes(classes: DataFrame, payload: Callable[[DataFrame], DataFrame],
 
     ``classes``: key (binary), n (rows of the class), n_items, bands (array of bucket hashes; null or empty: none).
     ``payload(candidates)`` returns a row per candidate key with its ``data`` (binary), and ``decode``, in the tasks,
-    gives for a list of those the matrix of MinHash values and the sorted sets. ``classes`` is read several times:
-    pass a cut or a table.
+    gives for a list of those the matrix of MinHash values, and a function that returns the sorted sets of the rows
+    asked for (only pairs that survive the pruning need them). ``classes`` is read several times: pass a cut or a table.
     """
     spread = classes.select("key", "n_items", F.explode("bands").alias("bucket"))
     buckets = (spread.groupBy("bucket")

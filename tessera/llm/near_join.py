@@ -14,6 +14,8 @@ Defined results
 
 from __future__ import annotations
 
+from typing import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,10 +67,10 @@ def _load(shingle: int):
     return run
 
 
-def _decode(data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+def _decode(data: list[bytes]) -> tuple[np.ndarray, Callable[[np.ndarray], list[np.ndarray]]]:
     head = 4 * BANDS * ROWS
     sig = np.frombuffer(b"".join(d[:head] for d in data), np.uint32).reshape(len(data), BANDS * ROWS)
-    return sig, [np.frombuffer(d, np.uint64, offset=head) for d in data]
+    return sig, lambda at: [np.frombuffer(data[i], np.uint64, offset=head) for i in at]
 
 
 def near_links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8,

@@ -234,11 +234,14 @@ def alias_table(spark: SparkSession) -> DataFrame:
 
 
 def with_expected_dimension(df: DataFrame, model_col: str = "model") -> DataFrame:
-    """Left join the fixed dimension table (broadcast: 7 rows) with fallback 768."""
+    """The size in a ``hashing-N`` name, else the fixed dimension table's
+    (broadcast: 7 rows), else 768."""
     dims = F.broadcast(dimension_table(df.sparkSession).select(
         F.col("model").alias("_m"), F.col("dimensions").alias("_d")))
     return (df.join(dims, F.col(model_col) == F.col("_m"), "left")
-            .withColumn("expected_dimensions", F.coalesce("_d", F.lit(FALLBACK_DIMENSION)).cast("int"))
+            .withColumn("expected_dimensions", F.coalesce(
+                F.expr(f"try_cast(nullif(regexp_extract(`{model_col}`, '^hashing-([0-9]+)$', 1), '') as int)"),
+                F.col("_d"), F.lit(FALLBACK_DIMENSION)).cast("int"))
             .drop("_m", "_d"))
 
 

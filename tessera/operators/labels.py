@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,13 +36,26 @@ def sentiment_label(score) -> Column:
     return F.when(s > 0, "Positive").when(s < 0, "Negative").otherwise("Neutral")
 
 
-def distribution(df: DataFrame, label: str) -> DataFrame:
-    """(label, count, total, percentage) in one pass over the data.
+def classify(df: DataFrame, text: str, classifier: Callable[[Column], Column] | None = None,
+             label: str = "label") -> DataFrame:
+    """Add a label column by the injected classifier, a function of the text
+    column (native or a pandas UDF); the default is the offline lexicon."""
+    run = classifier or (lambda t: sentiment_label(lexicon_score(t)))
+    return df.withColumn(label, run(F.col(text)))
+
+
+def distribution(df: DataFrame, label: str, classes: Sequence[str] = ()) -> DataFrame:
+    """(label, count, total, percentage) in one pass over the data; the given
+    ``classes`` appear with count 0 when no row has them.
 
     The total is a window over the aggregated counts (one row per class), not
     over the input rows, so the single-partition window sees a handful of rows.
     """
     counts = df.groupBy(label).agg(F.count("*").cast("bigint").alias("count"))
+    if classes:
+        none = df.sparkSession.createDataFrame([(c, 0) for c in classes], "label string, count bigint")
+        counts = (counts.unionAll(none.select(F.col("label").cast(df.schema[label].dataType), "count"))
+                  .groupBy(label).agg(F.sum("count").alias("count")))
     total = F.sum("count").over(Window.partitionBy(F.lit(0))).cast("bigint")
     return (counts.withColumn("total", total)
             .withColumn("percentage", F.when(F.col("total") > 0, F.col("count") * 100.0 / F.col("total"))))

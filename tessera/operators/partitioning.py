@@ -1,11 +1,9 @@
 """Partitioning helpers for CPU-heavy row work.
 
-A scan yields one task per file split. On a cluster reading many files that
-is plenty, but a table stored as a few large row groups gives a handful of
-tasks, and per-row work (regex tokenising, Python chunking, parsing) before
-the first shuffle then runs on a few cores. ``spread`` round-robins such
-input over the default parallelism, and only when the scan has fewer
-partitions than that, so a well-split input is never shuffled for nothing.
+A scan yields one task per file split. On a cluster reading many files that is plenty, but a table stored as a few
+files gives a handful of tasks, and per-row work (regex tokenising, Python chunking, parsing) before the first shuffle
+then runs on a few cores. ``spread`` round-robins such input over the default parallelism. It looks at the number of
+input files only, so no job runs while the plan is built; a table of many files is left as it is.
 """
 
 from __future__ import annotations
@@ -14,8 +12,7 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)

@@ -1,56 +1,36 @@
 """Dense 0-based row positions in a global order, computed distributedly.
 
-A global ``row_number()`` without PARTITION BY runs in one task. Instead:
-range-partition on the order key, sort within partitions, take the
-per-partition row id, count rows per partition (one row per partition), turn
-the counts into offsets and broadcast them (size bounded by the partition
-count, not the data). The order columns must form a unique key.
-
-The counting branch and the row branch each plan the range shuffle; both
-sample the same range bounds when the input re-computes to the same rows in
-the same order (a scan, or anything derived from one without a shuffle).
-For any other input (``materialize=None`` detects a shuffle in the
-optimized plan) the range-partitioned rows are written once as a reliable
-checkpoint and both branches read it.
+A global ``row_number()`` without PARTITION BY runs in one task. Instead: range-partition on the order key, sort
+within partitions, and number the rows of each partition; the partitions' row counts (one row per partition) become
+offsets, which are broadcast (their number is the partition count, not the data).
+
+The numbered rows are written once, as a reliable checkpoint in the shared folder, and both the counts and the rows
+are read from it. Range bounds come from a sample, so a range shuffle that is planned twice may cut differently the
+second time; with a single written shuffle the offsets always belong to the rows, at any size, with any number of
+partitions and whatever is reused. The order columns must form a unique key.
 """
 
 from __future__ import annotations
 
-import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOW_BITS = (1 << 33) - 1
-# logical operators after which a re-computation may deliver rows in another order
-_SHUFFLING = re.compile(r"\b(Aggregate|Join|Window|Repartition\w*|RebalancePartitions|Sort|Distinct|"
-                        r"Deduplicate\w*|Expand|Sample)\b")
-
-
-def needs_materialize(df: DataFrame) -> bool:
-    """True when ``df``'s plan contains an operator that may reorder rows on
-    re-computation (so the two planned range shuffles could disagree)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return bool(_SHUFFLING.search(plan))
 
 
 def with_position(df: DataFrame, order: Sequence[str], name: str = "pos",
-                  num_partitions: int | None = None, materialize: bool | None = None) -> DataFrame:
-    spark = df.sparkSession
-    if materialize is None:
-        materialize = needs_materialize(df)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
-    if materialize:
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
+                  num_partitions: int | None = None) -> DataFrame:
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    dealt = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    numbered = (dealt.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+                .withColumn("_pid", F.shiftright("_mid", 33)).checkpoint(eager=True))
+    counts = numbered.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
+    return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).cast("bigint"))
             .drop("_pid", "_mid", "_off"))

@@ -104,9 +104,12 @@ def partial_fold(ev: DataFrame) -> DataFrame:
 def fold_partials(parts: DataFrame) -> DataFrame:
     """Merge partial folds into the ``fold_stages`` result (associative:
     the slice with the highest ``last_seq`` wins, counts add). Rows carrying a
-    ``batch_id`` are deduplicated first, so a re-run micro-batch counts once."""
+    ``batch_id`` are deduplicated first, so a re-run micro-batch counts once;
+    batch ids belong to a ``query_id`` (they start at 0 for every query), so
+    batches of another query or a new checkpoint are never taken for re-runs."""
     if "batch_id" in parts.columns:
-        parts = parts.dropDuplicates(["batch_id", "file_id", "stage"])
+        query = ["query_id"] if "query_id" in parts.columns else []
+        parts = parts.dropDuplicates([*query, "batch_id", "file_id", "stage"])
     last = F.max_by(F.struct("success", "error", "updated_at"), "last_seq")
     return parts.groupBy("file_id", "stage").agg(
         last.alias("_last"), F.min("first_seq").alias("first_seq"),

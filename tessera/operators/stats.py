@@ -43,7 +43,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     Per group with n non-null values, quantile p lies between the values at
     0-based ranks floor(p(n-1)) and ceil(p(n-1)). Ranks come from
     ``with_position`` over (group, value): one range shuffle of the two
-    columns plus a key-only count pass; no group is ever held by one task.
+    columns, written once; no group is ever held by one task.
     Returns one row per group (groups with only NULL values get NULLs).
     """
     from .position import with_position
@@ -60,25 +60,21 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # NULL group keys sort first and stay one group
     ranked = with_position(vals, [*by, "_x", "_tb"], name="_pos")
     groups = ranked.groupBy(*by).agg(F.min("_pos").alias("_start"), F.count("*").alias("_n"))
-    ranks = []
+    # the wanted positions: two per group and quantile
+    wanted = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        ranks += [F.floor(h).cast("bigint").alias(f"_lo{i}"), F.ceil(h).cast("bigint").alias(f"_hi{i}"),
-                  (h - F.floor(h)).alias(f"_f{i}")]
-    groups = groups.select(*by, "_start", *ranks)
-    # one row per group: AQE broadcasts it when small, else a shuffle join
-    j = ranked.join(groups, by, "inner") if by else ranked.crossJoin(F.broadcast(groups))
-    rel = F.col("_pos") - F.col("_start")
-    keep = None
-    for i in range(len(probs)):
-        c = (rel == F.col(f"_lo{i}")) | (rel == F.col(f"_hi{i}"))
-        keep = c if keep is None else keep | c
-    picked = j.filter(keep)  # at most 2 rows per group and quantile
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            wanted.append(F.struct((F.col("_start") + rank).cast("bigint").alias("_pos"), F.lit(f"{side}{i}").alias("_side"),
+                                   (h - F.floor(h)).alias("_f")))
+    targets = groups.select(*by, F.explode(F.array(*wanted)).alias("_w")).select(*by, "_w.*")
+    # joined on the position, which is unique: a group with a third of the rows is no hot key
+    picked = targets.join(ranked.select("_pos", "_x"), "_pos")
     aggs = []
     for i, nm in enumerate(names):
-        lo = F.max(F.when(rel == F.col(f"_lo{i}"), F.col("_x")))
-        hi = F.max(F.when(rel == F.col(f"_hi{i}"), F.col("_x")))
-        aggs.append((lo + (hi - lo) * F.max(F.col(f"_f{i}"))).alias(nm))
+        lo = F.max(F.when(F.col("_side") == f"lo{i}", F.col("_x")))
+        hi = F.max(F.when(F.col("_side") == f"hi{i}", F.col("_x")))
+        aggs.append((lo + (hi - lo) * F.max(F.when(F.col("_side") == f"lo{i}", F.col("_f")))).alias(nm))
     return picked.groupBy(*by).agg(*aggs) if by else picked.agg(*aggs)
 
 
@@ -214,7 +210,7 @@ def outliers(df: DataFrame, value: str, index: str, method: str = "zscore",
     bounds = outlier_bounds(df, value, m, by, quantiles)
     data = df.select(*by, index, value)
     if by:
-        joined = data.join(bounds, list(by), "inner")
+        joined = join_on_groups(data, bounds, by, "inner")
     else:
         joined = data.crossJoin(F.broadcast(bounds))  # exactly one row
     x = F.col(value).cast("double")
@@ -242,6 +238,6 @@ def outlier_summary(df: DataFrame, value: str, index: str, method: str = "zscore
         return found.agg(*agg).withColumn("method", F.lit(m))
     groups = df.select(*by).distinct()
     per = found.groupBy(*by).agg(*agg)
-    return (groups.join(per, list(by), "left")
+    return (join_on_groups(groups, per, by)
             .select(*by, F.coalesce("outlier_count", F.lit(0)).cast("bigint").alias("outlier_count"),
                     "min_outlier", "max_outlier", "first_index", F.lit(m).alias("method")))

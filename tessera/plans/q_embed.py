@@ -93,15 +93,18 @@ def embed_preview(spark, sf_dir):
                     F.transform("embedding_preview", lambda x: F.round(x.cast("double"), 5)).alias("embedding_preview"))
 
 
+_MODELS = [*E.EMBEDDING_DIMENSIONS, "an-unlisted-model"]
+
+
 def _routing_sql():
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROUTING.items())
-    return f"CASE lang {cases} ELSE '{ROUTING_DEFAULT}' END"
+    return f"([{', '.join(repr(m) for m in _MODELS)}])[doc_id % {len(_MODELS)} + 1]"
 
 
 def _routed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    m = F.create_map(*[F.lit(x) for kv in ROUTING.items() for x in kv])
-    return d.withColumn("model", F.coalesce(F.element_at(m, F.col("lang")), F.lit(ROUTING_DEFAULT)))
+    """Documents dealt over all listed models and one that is not listed."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    at = (F.col("doc_id") % len(_MODELS) + 1).cast("int")
+    return d.withColumn("model", F.element_at(F.array(*[F.lit(m) for m in _MODELS]), at))
 
 
 @register("embed_type", f"""
@@ -124,20 +127,23 @@ def embed_dims(spark, sf_dir):
 
 
 @register("embed_dim_check", f"""WITH {_CHUNKS}
-SELECT document_id, chunk_index, {DIM} AS expected_dimensions, {DIM} AS actual_dimensions
-FROM vec WHERE false""")
+SELECT document_id, chunk_index, {DIM} AS expected_dimensions, ({DIM} - document_id % 3)::INTEGER AS actual_dimensions
+FROM vec WHERE document_id % 3 <> 0""")
 def embed_dim_check(spark, sf_dir):
+    """The vectors of two of three documents are cut short and must be found."""
     e = _embedded(spark, sf_dir)
+    e = e.withColumn("embedding", F.slice("embedding", 1, (F.size("embedding") - F.col("document_id") % 3).cast("int")))
     return E.dimension_violations(e).select("document_id", "chunk_index", "expected_dimensions",
                                             "actual_dimensions")
 
 
 @register("vector_dim_check", """
-SELECT vec_id, 64 AS expected_dimensions, len(embedding)::INTEGER AS actual_dimensions
-FROM embeddings WHERE len(embedding) <> 64""")
+SELECT vec_id, 64 AS expected_dimensions, (len(embedding) - vec_id % 2)::INTEGER AS actual_dimensions
+FROM embeddings WHERE len(embedding) - vec_id % 2 <> 64""")
 def vector_dim_check(spark, sf_dir):
-    """Vectors of the driver ``embeddings`` table whose length is not 64."""
+    """Vectors of the driver ``embeddings`` table, every other one a value
+    short, whose length is not that of their model."""
     v = table(spark, sf_dir, "embeddings")
-    return (v.select("vec_id", F.lit(64).alias("expected_dimensions"),
-                     F.size("embedding").cast("int").alias("actual_dimensions"))
-            .filter(F.col("actual_dimensions") != F.col("expected_dimensions")))
+    v = v.withColumn("embedding", F.slice("embedding", 1, (F.size("embedding") - F.col("vec_id") % 2).cast("int")))
+    return (E.dimension_violations(v.withColumn("model", F.lit("hashing-64")))
+            .select("vec_id", "expected_dimensions", "actual_dimensions"))

@@ -38,10 +38,12 @@ def ext_filter(spark, sf_dir):
 
 
 @register("size_guard", _VF + f"""
-SELECT path, size, size <= {FS.MAX_FILE_SIZE_BYTES} AS accepted FROM vf""")
+SELECT path, size, size <= {FS.MAX_FILE_SIZE_BYTES} AS accepted, size <= 2000 AS accepted_small FROM vf""")
 def size_guard(spark, sf_dir):
+    """The limit of 100 MB, and one of 2000 bytes that splits the files."""
     f = _files(spark, sf_dir)
-    return f.select("path", "size", FS.size_guard(f).alias("accepted"))
+    return f.select("path", "size", FS.size_guard(f).alias("accepted"),
+                    FS.size_guard(f, max_bytes=2000).alias("accepted_small"))
 
 
 @register("metadata_projection", _VF + f"""

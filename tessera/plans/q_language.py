@@ -34,12 +34,22 @@ def _translate_sql(text, lang):
     return out
 
 
+_PHRASES = list(TL.TRANSLATIONS)[:3]
+_PHRASE_CASE = " ".join(f"WHEN {i + 1} THEN '{p} ' || text" for i, p in enumerate(_PHRASES))
+
+
 @register("translate_phrases", f"""
-SELECT doc_id, {_translate_sql('text', _NAME_CASE)} AS translation FROM documents""")
+SELECT doc_id, {_translate_sql('text', _NAME_CASE)} AS translation
+FROM (SELECT doc_id, lang, CASE doc_id % 4 {_PHRASE_CASE} ELSE text END AS text FROM documents)""")
 def translate_phrases(spark, sf_dir):
     """Each document translated into its own language's name (English is not
-    in the dictionary, so English documents get the error text)."""
+    in the dictionary, so English documents get the error text). No document
+    holds a dictionary phrase, so three of four get one in front."""
     d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread=True)
+    k, text = F.col("doc_id") % 4, F.col("text")
+    for i, p in enumerate(_PHRASES):
+        text = F.when(k == i + 1, F.concat(F.lit(p + " "), F.col("text"))).otherwise(text)
+    d = d.withColumn("text", text)
     return d.select("doc_id", TL.translate("text", TL.language_name("lang")).alias("translation"))
 
 
@@ -145,11 +155,12 @@ def sentiment_lexicon(spark, sf_dir):
 @register("sentiment_distribution", f"""
 WITH s AS (SELECT CASE WHEN {_SCORE_SQL} > 0 THEN 'Positive' WHEN {_SCORE_SQL} < 0 THEN 'Negative'
                        ELSE 'Neutral' END AS label FROM documents)
-SELECT label, count(*)::BIGINT AS count, (SELECT count(*) FROM s)::BIGINT AS total,
-       count(*) * 100.0 / (SELECT count(*) FROM s) AS percentage FROM s GROUP BY label""")
+SELECT c.label, count(s.label)::BIGINT AS count, (SELECT count(*) FROM s)::BIGINT AS total,
+       count(s.label) * 100.0 / (SELECT count(*) FROM s) AS percentage
+FROM (VALUES ('Positive'), ('Negative'), ('Neutral')) c(label) LEFT JOIN s ON s.label = c.label GROUP BY c.label""")
 def sentiment_distribution(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "text", spread=True)
-    return L.distribution(d.select(L.sentiment_label(L.lexicon_score("text")).alias("label")), "label")
+    return L.distribution(L.classify(d, "text").select("label"), "label", classes=L.LABELS)
 
 
 @register("ai_messages", """

@@ -24,23 +24,33 @@ def text_counts(spark, sf_dir):
 
 
 @register("blank_docs", f"""
-SELECT doc_id, (text IS NULL OR NOT regexp_matches(text, '[^{WS}]')) AS is_blank FROM documents""")
+SELECT doc_id, (text IS NULL OR NOT regexp_matches(text, '[^{WS}]')) AS is_blank
+FROM (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '  ' || chr(9) || chr(10) ELSE text END AS text
+      FROM documents)""")
 def blank_docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents", "doc_id", "text", spread=True).select("doc_id", X.is_blank("text").alias("is_blank"))
+    """No document is blank, so three of four are emptied, each in its own way."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
+    k = F.col("doc_id") % 4
+    text = F.when(k == 2, "").when(k == 3, "  \t\n").when(k == 0, F.col("text"))
+    return d.select("doc_id", X.is_blank(text).alias("is_blank"))
 
 
 @register("paragraph_split", f"""
-SELECT doc_id, len(list_filter(string_split(text, chr(10) || chr(10)),
+SELECT doc_id, len(list_filter(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)),
                                lambda p: regexp_matches(p, '[^{WS}]')))::INTEGER AS n_paragraphs
 FROM documents""")
 def paragraph_split(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
-    return d.select("doc_id", F.size(X.paragraphs("text")).alias("n_paragraphs"))
+    # the documents have no blank lines: every line break becomes one
+    doubled = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
+    return d.select("doc_id", F.size(X.paragraphs(doubled)).alias("n_paragraphs"))
 
 
-@register("dash_normalize", "SELECT doc_id, replace(text, '—', '-') AS text FROM documents")
+@register("dash_normalize", "SELECT doc_id, replace(text, ', ', ' - ') AS text FROM documents")
 def dash_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.dash_normalize("text").alias("text"))
+    """The documents with an em dash for every comma."""
+    dashed = F.replace(F.col("text"), F.lit(", "), F.lit(" — "))
+    return table(spark, sf_dir, "documents").select("doc_id", X.dash_normalize(dashed).alias("text"))
 
 
 @register("page_dash_normalize", "SELECT page_id, replace(html, '—', '-') AS html FROM pages")

@@ -37,13 +37,13 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
                  recursive: bool = True) -> DataFrame:
     """The binaryFile scan; extensions filter at listing time via a glob.
 
-    The glob is case-sensitive in Hadoop, so each extension is matched both
-    lower- and upper-case and the exact (lower-cased) test is re-applied.
+    The glob is case-sensitive in Hadoop, so each letter is matched in both
+    cases and the exact (lower-cased) test is re-applied.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     exts = _norm_ext(extensions) if extensions else None
     if exts:
-        pats = sorted({e[1:] for e in exts} | {e[1:].upper() for e in exts})
+        pats = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in exts]
         reader = reader.option("pathGlobFilter", "*.{" + ",".join(pats) + "}")
     df = reader.load(root)
     if exts:
@@ -69,12 +69,19 @@ def with_file_columns(df: DataFrame, source: str = "local", keep_content: bool =
     )
 
 
+def default_extensions() -> list[str]:
+    from .registry import default_registry
+
+    return sorted({*SUPPORTED_EXTENSIONS, *default_registry().supported()})
+
+
 def discover(spark: SparkSession, root: str, extensions: Iterable[str] | None = None) -> DataFrame:
-    """Recursive discovery of files with the given (default: supported) extensions.
+    """Recursive discovery of files with the given extensions (default: the
+    supported ones and those that have a reader).
 
     Content is not read: only listing metadata is selected.
     """
-    return with_file_columns(binary_files(spark, root, extensions or SUPPORTED_EXTENSIONS))
+    return with_file_columns(binary_files(spark, root, extensions or default_extensions()))
 
 
 LISTING_SCHEMA = ("id string, name string, path string, size bigint, modified timestamp, "

@@ -55,9 +55,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The data of a CSV document: a map from header to value for each row."""
+    df = _csv(spark, path)
+    pairs = [x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))]
+    return df.select(F.input_file_name().alias("path"), F.create_map(*pairs).alias("data"))
+
+
 def csv_document(spark: SparkSession, path: str) -> DataFrame:
-    """CSV document fields: headers (column names), num_rows, data rows."""
-    df = spark.read.option("header", True).csv(path)
+    """CSV document fields: headers (column names) and num_rows; a quoted
+    field may hold line breaks. The rows themselves are ``csv_rows``."""
+    df = _csv(spark, path)
     return df.agg(F.count("*").cast("bigint").alias("num_rows")).select(
         F.array(*[F.lit(c) for c in df.columns]).alias("headers"), "num_rows")
 

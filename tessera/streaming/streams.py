@@ -56,15 +56,21 @@ def stage_fold_stream(stage_events: DataFrame) -> DataFrame:
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def partial_fold_sink(path: str) -> Callable[[DataFrame, int], None]:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark writes into a stream's checkpoint when it first starts."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def partial_fold_sink(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink: append each micro-batch's partial (file, stage)
-    fold, tagged with the batch id. ``state.fold_partials`` over the table
-    gives the same answer as the batch fold over all events, and per-file
-    roll-ups (progress, failures, summary) run on top of it in batch."""
+    fold, tagged with the query's id (from its checkpoint) and the batch id.
+    ``state.fold_partials`` over the table gives the same answer as the batch
+    fold over all events, and per-file roll-ups (progress, failures, summary)
+    run on top of it in batch."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (ST.partial_fold(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(path))
+        (ST.partial_fold(batch).withColumn("query_id", F.lit(query_id(batch.sparkSession, checkpoint)))
+         .withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(path))
 
     return sink
 
@@ -78,9 +84,13 @@ def new_files_stream(spark: SparkSession, root: str, glob: str | None = None) ->
 
 
 def run_available_now(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | None = None,
-                      output_mode: str = "append", fmt: str = "memory",
+                      output_mode: str = "append", fmt: str | None = None,
                       checkpoint: str | None = None) -> StreamingQuery:
-    """Process everything available now and stop (incremental batch)."""
+    """Process everything available now and stop (incremental batch). The
+    result goes to ``sink`` or to the named format (``memory`` holds it on the
+    driver, for tests)."""
+    if sink is None and fmt is None:
+        raise ValueError("give a sink or a format")
     spark = df.sparkSession
     w = df.writeStream.outputMode(output_mode).option(
         "checkpointLocation", checkpoint or checkpoint_location(spark, name)).trigger(availableNow=True)

@@ -113,3 +113,14 @@ def test_docx_and_page_text(spark):
                   C.page_text("pages", "content").alias("p")).first()
     assert r["d"] == "p1\n\np2\n\n\n\n--- Table 1 ---\n\nh1 | h2\n\na | b\n\n--- End Table ---"
     assert r["p"] == "--- Page 1 ---\nx\n\n--- Page 2 ---\ny"
+
+
+def test_recursive_without_last_resort_keeps_outer_blanks_at_the_size(spark):
+    # a piece of exactly `size` characters is kept whole, unstripped, when no separator is left
+    df = spark.createDataFrame([(" ab ",)], "t string")
+    assert df.select(C.recursive_chunks("t", 4, 0, ("\n",))).first()[0] == C.split_recursive(" ab ", 4, 0, ("\n",)) == [" ab "]
+
+
+def test_windows_step_back_over_the_overlap():
+    assert C.split_recursive("a b c d e f", 5, 2, (" ", "")) == ["a b c", "c d", "d e", "e f"]
+    assert C.split_character("aa|bb|cc|dd", 5, 2, "|") == ["aa|bb", "bb|cc", "cc|dd"]

@@ -62,7 +62,7 @@ def test_discovery_listing_and_pruning(spark, tmp_path):
     found = FS.discover(spark, root)
     names = sorted(r["file_name"] for r in found.collect())
     # Spark's file scan skips zero-length files, so empty.txt is not listed
-    assert names == ["B.TXT", "a.txt", "doc.docx", "scan.pdf"]
+    assert names == ["B.TXT", "a.txt", "doc.docx", "notes.text", "scan.pdf"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]
     listed = FS.list_files(spark, root)
@@ -206,3 +206,19 @@ def test_reader_registry_behaviour(spark, tmp_path):
     empty = ReaderRegistry()
     dead = empty.read_documents(rows).collect()
     assert all(r["error_type"] == "ReadError" for r in dead) and len(dead) == 2
+
+
+def test_mixed_case_and_text_extension_are_found(spark, tmp_path):
+    from tessera.sources import files as FS
+    for n in ("a.Txt", "b.tXT", "c.text", "d.TEXT", "e.bin"):
+        (tmp_path / n).write_text("x")
+    assert sorted(r["file_name"] for r in FS.discover(spark, str(tmp_path)).collect()) == ["a.Txt", "b.tXT", "c.text", "d.TEXT"]
+
+
+def test_csv_document_with_line_breaks_in_fields(spark, tmp_path):
+    from tessera.sources import formats as FM
+    p = tmp_path / "x.csv"
+    p.write_text('a,b\n1,"two\nlines"\n3,4\n')
+    r = FM.csv_document(spark, str(p)).first()
+    assert r["headers"] == ["a", "b"] and r["num_rows"] == 2
+    assert [x["data"] for x in FM.csv_rows(spark, str(p)).collect()] == [{"a": "1", "b": "two\nlines"}, {"a": "3", "b": "4"}]

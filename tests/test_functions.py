@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import mathfn as M
@@ -164,19 +165,50 @@ def test_modulo_no_overflow_and_extension_rules(spark):
     assert [r[0] for r in p.select(X.file_extension("p")).collect()] == [pathlib.Path(n).suffix.lower() for n in names]
 
 
-def test_positions_after_a_shuffle_with_materialize(spark):
+def test_positions_after_a_shuffle(spark):
     from tessera.operators.position import with_position
     agg = spark.range(0, 5000).groupBy((F.col("id") % 997).alias("k")).count()  # shuffled input
-    rows = with_position(agg, ["k"], num_partitions=5, materialize=True).collect()
+    rows = with_position(agg, ["k"], num_partitions=5).collect()
     assert sorted((r["k"], r["pos"]) for r in rows) == [(i, i) for i in range(997)]
 
 
-def test_materialize_detection(spark):
-    from tessera.operators.position import needs_materialize
-    base = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    assert not needs_materialize(base.filter("quality = 1").select("doc_id"))
-    assert needs_materialize(base.groupBy("quality").count())
-    assert needs_materialize(base.join(base.select("doc_id"), "doc_id"))
+@pytest.mark.parametrize("parts", [8, 16, 200])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_positions_beyond_the_range_sample(spark, parts, reuse):
+    # more rows than the range sampler keeps, with a payload column
+    from tessera.operators.position import with_position
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = (spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+              .select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", F.monotonically_increasing_id().alias("tie")))
+        out = with_position(df, ["l_orderkey", "l_linenumber", "tie"], num_partitions=parts)
+        n = df.count()
+        r = out.agg(F.countDistinct("pos"), F.min("pos"), F.max("pos"), F.count("*")).first()
+        assert tuple(r) == (n, 0, n - 1, n)
+        w = Window.orderBy("pos")
+        step = out.select("l_orderkey", F.lag("l_orderkey").over(w).alias("before"))
+        assert step.where("before > l_orderkey").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_null_group_keeps_its_statistics(spark):
+    rows = [(None, float(i)) for i in range(50)] + [(None, 1000.0)] + [("a", float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("i", F.monotonically_increasing_id())
+    d = {r["g"]: r["median"] for r in S.describe(df, "v", by=["g"]).collect()}
+    assert d == {None: 25.0, "a": 4.0}
+    for method in ("zscore", "iqr"):
+        assert [r["value"] for r in S.outliers(df, "v", "i", method, by=["g"]).collect()] == [1000.0]
+        s = {r["g"]: r["outlier_count"] for r in S.outlier_summary(df, "v", "i", method, by=["g"]).collect()}
+        assert s == {None: 1, "a": 0}
+
+
+def test_absent_classes_and_own_classifier(spark):
+    df = spark.createDataFrame([("x",), ("yy",)], "t string")
+    got = {r["label"]: r["count"] for r in L.distribution(L.classify(df, "t"), "label", classes=L.LABELS).collect()}
+    assert got == {"Neutral": 2, "Positive": 0, "Negative": 0}
+    own = L.classify(df, "t", classifier=lambda t: F.when(F.length(t) > 1, "long").otherwise("short"))
+    assert sorted(r["label"] for r in own.collect()) == ["long", "short"]
 
 
 def test_quantiles_split_a_hot_value(spark):

@@ -90,13 +90,13 @@ def test_stream_equals_batch(spark, tmp_path):
     schema = spark.read.parquet(src).schema
     ev = SS.event_stream(spark, src, schema)
     name = "slow_test"
-    SS.run_available_now(SS.slow_action_stream(ev, watermark="0 seconds"), name, output_mode="complete",
+    SS.run_available_now(SS.slow_action_stream(ev, watermark="0 seconds"), name, output_mode="complete", fmt="memory",
                          checkpoint=str(tmp_path / "ck1"))
     streamed = sorted(map(tuple, spark.sql(f"select * from {name}").collect()))
     batch = sorted(map(tuple, TM.slow_actions(spark.read.parquet(src)).collect()))
     assert streamed == batch
     fold = SS.stage_fold_stream(ST.events_from_driver(SS.event_stream(spark, src, schema)))
-    SS.run_available_now(fold, "fold_test", output_mode="complete", checkpoint=str(tmp_path / "ck2"))
+    SS.run_available_now(fold, "fold_test", output_mode="complete", fmt="memory", checkpoint=str(tmp_path / "ck2"))
     got = sorted(map(tuple, spark.sql("select * from fold_test").collect()))
     want = sorted(map(tuple, ST.fold_stages(ST.events_from_driver(spark.read.parquet(src))).collect()))
     assert got == want
@@ -182,10 +182,16 @@ def test_micro_batch_partial_folds_equal_batch_fold(spark, tmp_path):
     stream = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(str(src)))
     parts = str(tmp_path / "parts")
-    SS.run_available_now(ST.events_from_driver(stream), "pf", sink=SS.partial_fold_sink(parts),
+    SS.run_available_now(ST.events_from_driver(stream), "pf", sink=SS.partial_fold_sink(parts, str(tmp_path / "ck")),
                          checkpoint=str(tmp_path / "ck"))
     p = spark.read.parquet(parts)
     assert p.select("batch_id").distinct().count() == 3
+    # batches of another query with the same batch ids are not taken for re-runs
+    later = p.filter(F.col("batch_id") == 0).limit(1).withColumn("query_id", F.lit("another"))
+    later = later.withColumn("last_seq", F.lit(10**9).cast("bigint")).withColumn("success", F.lit(False))
+    hit = later.first()
+    merged = {(r["file_id"], r["stage"]): r for r in ST.fold_partials(p.unionByName(later)).collect()}
+    assert merged[(hit["file_id"], hit["stage"])]["success"] is False
     # a replayed micro-batch must not change the result
     p2 = p.unionByName(p.filter(F.col("batch_id") == 0))
     want = sorted(map(tuple, ST.fold_stages(ev_all).collect()))

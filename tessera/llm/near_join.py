@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, internal
 from .components import connected_components
 from .lsh import link_classes
 from .shingles import band_hashes, distinct, minhash, set_key, word_shingles
@@ -121,11 +121,12 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     repeated = (grouped.where(stands).groupBy("id", "tk").count().where("count > 1")
                 .select("id", "tk").withColumn("_what", F.lit("once")))
     marks = cut(gone.unionByName(repeated))
+    what, tk = internal("what", docs.columns), internal("tk", docs.columns)
     marked = (docs.alias("d").join(
         marks.alias("m"), (F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.id")))
         & (F.unhex(F.md5(F.coalesce(F.col(f"d.`{text}`"), F.lit("")))) == F.col("m.tk")), "left")
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("m._what").alias("_what"), F.col("m.tk").alias("_tk")))
-    plain = marked.where("_what is null").select(*[F.col(f"`{c}`") for c in docs.columns])
-    once = (marked.where("_what = 'once'").dropDuplicates([doc_id, "_tk"])
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+        .select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("m._what").alias(what), F.col("m.tk").alias(tk)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    plain = marked.where(F.col(what).isNull()).select(*columns)
+    once = marked.where(F.col(what) == "once").dropDuplicates([doc_id, tk]).select(*columns)
     return plain.unionByName(once)

@@ -70,10 +70,11 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     the cost stays n log n for texts of any length; neighbours count as equal
     only if their full 64-bit hashes agree.
     """
-    clash = [c for c in docs.columns if c.lower() in {f"{prefix}{b}".lower() for b in BASE}]
-    if clash:
+    steps = [f"__{prefix}{x}" for x in "twhgbkdql"]
+    own = {x.lower() for x in [*steps, *(f"{prefix}{b}" for b in BASE)]}
+    if clash := [c for c in docs.columns if c.lower() in own]:
         raise ValueError(f"input has columns {clash}; choose another prefix")
-    t, w, h, g, b, k, d, q, ln = (f"__{prefix}{x}" for x in "twhgbkdql")
+    t, w, h, g, b, k, d, q, ln = steps
     stop = F.array(*[F.lit(x) for x in STOP_WORDS])
     step1 = docs.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     step2 = (step1

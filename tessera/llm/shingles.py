@@ -51,7 +51,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an array of strings and the n + 1 offsets of its texts; null counts as empty."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.zeros(0, np.uint8)
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
@@ -81,7 +81,7 @@ def _segment_words(b: np.ndarray, starts_doc: np.ndarray) -> tuple[np.ndarray, n
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the n + 1 offsets of the texts in them."""
-    b, offsets = byte_view(pc.utf8_lower(pc.fill_null(texts, "")))
+    b, offsets = byte_view(pc.utf8_lower(texts.cast(pa.large_string())))
     hashes, starts, at = [], [], 0
     doc_starts = offsets[:-1]
     while at < len(b):
@@ -115,7 +115,7 @@ def word_shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.concatenate([[0], np.cumsum(counts)])
     m = stream(k, k)
     rolled = np.zeros(max(0, len(w) - k + 1), np.uint64)
-    for j in range(k):
+    for j in range(k if len(rolled) else 0):
         rolled += w[j:len(w) - k + 1 + j] * m[j]
     full = np.flatnonzero(n >= k)
     res = np.zeros(out[-1], np.uint64)

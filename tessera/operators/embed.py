@@ -118,14 +118,27 @@ def hashing_embedder(dim: int) -> Callable[[], Callable[[pd.Series], list]]:
     return factory
 
 
-def embedding_udf(factory: Callable[[], Callable[[pd.Series], list]]):
-    """Iterator pandas UDF: the model is created once per worker process."""
+def embedding_udf(factory: Callable[[], Callable[[pd.Series], list]], on_error: str = "raise"):
+    """Iterator pandas UDF: the model is created once per worker process.
+    With ``on_error="null"`` a batch that fails is run text by text, and the
+    texts that fail get no vector."""
+
+    def alone(model, text):
+        try:
+            return model(pd.Series([text]))[0]
+        except Exception:  # noqa: BLE001
+            return None
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for texts in batches:
-            yield pd.Series(model(texts))
+            try:
+                yield pd.Series(model(texts))
+            except Exception:  # noqa: BLE001 - any failure of the model
+                if on_error != "null":
+                    raise
+                yield pd.Series([alone(model, t) for t in texts])
 
     return _embed
 
@@ -163,8 +176,10 @@ def cache_misses(chunks: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None,
-                 embedder: Callable | None = None, materialize: bool = True) -> DataFrame:
+                 embedder: Callable | None = None, materialize: bool = True, on_error: str = "raise") -> DataFrame:
     """Attach ``embedding`` to every chunk row, computing each text at most once.
+    A text whose embedding fails ends the job, or with ``on_error="null"`` has
+    null ``model`` and ``embedding`` and is tried again by the next run.
 
     ``chunks`` needs ``chunk_key`` and ``text``; other columns are kept.
     Returns the input columns + ``model`` + ``embedding``.
@@ -190,8 +205,8 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
     # run directory is created only when there is something to append, so
     # all-hit runs leave the cache (and its listing) unchanged.
     if misses.count() > 0:
-        new = misses.select("chunk_key", embedding_udf(factory)("text").alias("embedding"),
-                            F.lit(model).alias("model"))
+        new = misses.select("chunk_key", embedding_udf(factory, on_error)("text").alias("embedding"),
+                            F.lit(model).alias("model")).where("embedding is not null")
         # a fresh directory per append: a job's staging files live under it
         new.write.mode("errorifexists").partitionBy("model").parquet(
             f"{path.rstrip('/')}/run={uuid.uuid4().hex}")

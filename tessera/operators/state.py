@@ -218,8 +218,68 @@ def run_outcome(ev: DataFrame, read_stage: str = "read") -> DataFrame:
     return j.withColumn("status", F.when(ok, "success").otherwise("failed"))
 
 
-def run_history(ev: DataFrame) -> DataFrame:
-    return runs(ev).join(run_outcome(ev), "run_id", "left")
+def run_history(ev: DataFrame, read_stage: str = "read") -> DataFrame:
+    """``runs`` and ``run_outcome`` in one pass: per run and file, then per
+    run. The last read result of a file is the greatest ``2 * seq + success``
+    of its read events, so both aggregates keep fixed-width buffers."""
+    read = F.when(F.col("stage") == read_stage, F.col("seq") * 2 + F.col("success").cast("bigint"))
+    per_file = ev.groupBy("run_id", "file_id").agg(
+        F.min("ts").alias("_from"), F.max("ts").alias("_to"), F.count("*").alias("_n"), F.max(read).alias("_read"))
+    ok = F.col("_read") % 2 == 1
+    per_run = per_file.groupBy("run_id").agg(
+        F.min("_from").alias("started_at"), F.max("_to").alias("completed_at"),
+        F.sum("_n").cast("bigint").alias("n_events"), F.count("_read").cast("bigint").alias("files_read"),
+        F.count_if(ok).cast("bigint").alias("successful"), F.count_if(~ok).cast("bigint").alias("failed"))
+    good = ((F.col("failed") == 0) & (F.col("successful") >= 1)) | (F.col("files_read") == 0)
+    return per_run.withColumn("status", F.when(good, "success").otherwise("failed"))
+
+
+RUN_EVENT_SCHEMA = "run_id string, kind string, success boolean, ts timestamp"
+
+
+def run_started(spark, run_id: str) -> DataFrame:
+    """The event that a run has started, to be appended to the run events."""
+    return spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("started").alias("kind"),
+                                 F.lit(None).cast("boolean").alias("success"), F.current_timestamp().alias("ts"))
+
+
+def run_completed(spark, run_id: str, success: bool) -> DataFrame:
+    return spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("completed").alias("kind"),
+                                 F.lit(success).alias("success"), F.current_timestamp().alias("ts"))
+
+
+def run_records(run_events: DataFrame, ev: DataFrame | None = None) -> DataFrame:
+    """Run records from the run events: start, completion, status (running
+    until completed, also for a run without files) and duration; with the
+    stage events, the files read, succeeded and failed. A completion without a
+    start is no record."""
+    t = F.col("ts").cast("timestamp")
+    done = F.col("kind") == "completed"
+    rec = (run_events.groupBy("run_id").agg(
+        F.min(F.when(F.col("kind") == "started", t)).alias("started_at"), F.max(F.when(done, t)).alias("completed_at"),
+        F.max(F.when(done, F.unix_micros(t) * 2 + F.col("success").cast("bigint"))).alias("_last"))
+        .where("started_at is not null"))
+    status = (F.when(F.col("_last").isNull(), "running").when(F.col("_last") % 2 == 1, "success").otherwise("failed"))
+    seconds = (F.unix_micros("completed_at") - F.unix_micros("started_at")) / 1e6
+    rec = rec.select("run_id", "started_at", "completed_at", status.alias("status"), seconds.alias("duration_seconds"))
+    if ev is None:
+        return rec
+    counts = run_history(ev).select("run_id", "files_read", "successful", "failed")
+    return (rec.join(counts, "run_id", "left").na.fill(0, ["files_read", "successful", "failed"]))
+
+
+def file_progress(ev: DataFrame, ids: DataFrame | None = None, expected: Sequence[str] = STAGES_EMITTED) -> DataFrame:
+    """Progress with the file's first and last event time; with ``ids`` (a
+    ``file_id`` column) for those files, unknown ones with status unknown."""
+    asked = None if ids is None else ids.select("file_id").distinct()
+    own = ev if asked is None else ev.join(asked, "file_id", "left_semi")
+    times = own.groupBy("file_id").agg(F.min("ts").alias("started_at"), F.max("ts").alias("last_modified"))
+    prog = progress(fold_stages(own), expected).join(times, "file_id")
+    if asked is None:
+        return prog
+    out = asked.join(prog, "file_id", "left")
+    return (out.withColumn("status", F.coalesce("status", F.lit("unknown")))
+            .withColumn("progress", F.coalesce("progress", F.lit(0.0))))
 
 
 def current_run(run_table: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import chunk_key
 from ..operators import chunk as C
 from ..operators import embed as E
 from ..operators import state as ST
@@ -70,19 +71,25 @@ def read_files(spark: SparkSession, root: str, extensions=None,
             .withColumn("doc_type", doc_type("extension")))
 
 
-def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL,
-                  cache_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL, cache_path: str | None = None,
+                  chunker=C.split_recursive, embedder=None) -> tuple[DataFrame, DataFrame]:
     """(embedded chunk rows, stage events) for documents from ``read_file_rows``.
 
-    The read result feeds chunking and the stage events; a reliable
-    checkpoint runs the readers (Python for Word files) once."""
+    A document whose chunker or embedding model fails has a failed stage event
+    with the error; the others go on. The read result and the chunks feed the
+    next stage and the events; reliable checkpoints run the readers and the
+    chunker once."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.checkpoint(eager=True)
     good = docs.filter(F.col("error").isNull())
     text = C.text_for_chunking("doc_type", "content", "paragraphs", "tables")
-    chunks = C.chunk_documents(good.select("file_id", text.alias("text")), id_col="file_id")
-    embedded = E.embed_cached(chunks, model=model, cache_path=cache_path)
+    outcomes = C.chunk_outcomes(good.select("file_id", text.alias("text")), id_col="file_id", chunker=chunker)
+    outcomes = outcomes.checkpoint(eager=True)
+    chunks = (outcomes.select("document_id", F.posexplode("chunks").alias("chunk_index", "text"))
+              .select("document_id", "chunk_index", chunk_key("text").alias("chunk_key"), "text"))
+    embedded = E.embed_cached(chunks, model=model, cache_path=cache_path, embedder=embedder, materialize=False,
+                              on_error="null")
     # a chunk is embedded when the join-back found its cache row; counting the
     # joined ``model`` column (not the vector) lets the vectors be pruned from
     # this branch entirely
@@ -91,14 +98,17 @@ def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL,
     read_ev = docs.select(F.lit(run_id).alias("run_id"), "file_id", F.lit("read").alias("stage"),
                           F.col("error").isNull().alias("success"), "error",
                           F.create_map(F.lit("reader_type"), F.col("reader_type")).alias("metadata"))
-    j = good.select("file_id").join(per_doc, good["file_id"] == per_doc["document_id"], "left")
-    chunk_ev = j.select(F.lit(run_id).alias("run_id"), "file_id", F.lit("chunk").alias("stage"),
-                        F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"),
-                        F.create_map(F.lit("n_chunks"), F.coalesce("n_chunks", F.lit(0)).cast("string")).alias("metadata"))
+    chunk_ev = outcomes.select(
+        F.lit(run_id).alias("run_id"), F.col("document_id").alias("file_id"), F.lit("chunk").alias("stage"),
+        F.col("error").isNull().alias("success"), "error",
+        F.create_map(F.lit("n_chunks"), F.coalesce(F.size("chunks"), F.lit(0)).cast("string")).alias("metadata"))
+    chunked = outcomes.where("error is null").select("document_id")
+    j = chunked.join(per_doc, "document_id", "left").withColumnRenamed("document_id", "file_id")
     embed_ok = F.coalesce(F.col("n_embedded") == F.col("n_chunks"), F.lit(True))
     embed_ev = j.select(F.lit(run_id).alias("run_id"), "file_id", F.lit("embed").alias("stage"),
                         embed_ok.alias("success"),
-                        F.when(~embed_ok, F.lit("missing embeddings")).alias("error"),
+                        F.when(~embed_ok, F.concat(F.lit("EmbeddingError: "), (F.col("n_chunks") - F.col("n_embedded")).cast("string"),
+                                                   F.lit(" chunks without a vector"))).alias("error"),
                         F.create_map(F.lit("model"), F.lit(model)).alias("metadata"))
     now = F.current_timestamp()
     stage_order = F.create_map(F.lit("read"), F.lit(0), F.lit("chunk"), F.lit(1), F.lit("embed"), F.lit(2))

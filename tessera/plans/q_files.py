@@ -138,6 +138,49 @@ def safe_default(spark, sf_dir):
                     F.coalesce(F.try_divide(F.lit(100.0), F.col("value")), F.lit(0.0)).alias("inv_value"))
 
 
+_STAGE = """CASE WHEN extension NOT IN ('.txt', '.text') THEN 0 WHEN length(text) % 5 = 0 THEN 1
+            WHEN length(text) % 7 = 0 THEN 2 ELSE 3 END"""
+
+
+@register("ingest_failures", _VF + f"""
+SELECT doc_id, ['failed_at_read', 'failed_at_chunk', 'failed_at_embed', 'completed'][{_STAGE} + 1] AS status,
+       {_STAGE} AS completed_stages,
+       CASE {_STAGE} WHEN 1 THEN 'ChunkingError: ' || length(text) || ' characters'
+                     WHEN 2 THEN 'EmbeddingError: 1 chunks without a vector' END AS later_error
+FROM vf""")
+def ingest_failures(spark, sf_dir):
+    """The ingest with a chunker that fails on texts of 5n characters and a
+    model that fails on texts of 7n: each failure is its file's, the others
+    complete."""
+    import uuid
+
+    from ..operators import embed as E
+    from ..operators import state as ST
+    from .ingest import ingest_frames, read_file_rows
+
+    def chunker(text):
+        if len(text) % 5 == 0:
+            raise ValueError(f"{len(text)} characters")
+        return [text]
+
+    def factory():
+        plain = E.hashing_embedder(768)()
+
+        def embed(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("no vector")
+            return plain(texts)
+        return embed
+
+    f = _files(spark, sf_dir).withColumn("content", F.encode("text", "UTF-8"))
+    _, events = ingest_frames(read_file_rows(f), run_id="run_failures", chunker=chunker, embedder=factory,
+                              cache_path=f"{E.default_cache_path(spark)}_failures_{uuid.uuid4().hex}")
+    folded = ST.fold_stages(events)
+    later = ST.failed_files(folded).where("failed_stage <> 'read'").select("file_id", F.col("error").alias("later_error"))
+    return (ST.progress(folded).join(f.select("file_id", "doc_id"), "file_id").join(later, "file_id", "left")
+            .select("doc_id", "status", "completed_stages", "later_error"))
+
+
 @register("ingest_progress", _VF + """
 SELECT doc_id,
        CASE WHEN extension IN ('.txt', '.text') THEN 'completed' ELSE 'failed_at_read' END AS status,

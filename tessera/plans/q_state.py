@@ -150,6 +150,41 @@ def run_history(spark, sf_dir):
     return ST.run_history(_ev(spark, sf_dir))
 
 
+@register("run_records", f"""WITH {_EV}, {_OUTCOME_SQL},
+r AS (SELECT run_id, min(ts) AS started_at, max(ts) AS ended_at FROM ev GROUP BY run_id),
+l AS (SELECT max(run_id) AS last FROM r)
+SELECT r.run_id, epoch_us(started_at) AS started_us, CASE WHEN r.run_id <> last THEN epoch_us(ended_at) END AS completed_us,
+       CASE WHEN r.run_id = last THEN 'running' ELSE oc.status END AS status,
+       CASE WHEN r.run_id <> last THEN (epoch_us(ended_at) - epoch_us(started_at)) / 1e6 END AS duration_seconds,
+       coalesce(oc.files_read, 0) AS files_read, coalesce(oc.successful, 0) AS successful, coalesce(oc.failed, 0) AS failed
+FROM r CROSS JOIN l LEFT JOIN oc ON oc.run_id = r.run_id""")
+def run_records(spark, sf_dir):
+    """A start event for every run, a completion for all but the last."""
+    ev = _ev(spark, sf_dir)
+    h = ST.run_history(ev)
+    last = h.agg(F.max("run_id").alias("_last"))  # one row
+    started = h.select("run_id", F.lit("started").alias("kind"), F.lit(None).cast("boolean").alias("success"), F.col("started_at").alias("ts"))
+    done = (h.crossJoin(F.broadcast(last)).where("run_id <> _last")
+            .select("run_id", F.lit("completed").alias("kind"), (F.col("status") == "success").alias("success"), F.col("completed_at").alias("ts")))
+    rec = ST.run_records(started.unionByName(done), ev)
+    us = lambda c: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({c} as timestamp_ntz))")
+    return rec.select("run_id", us("started_at").alias("started_us"), us("completed_at").alias("completed_us"), "status",
+                      "duration_seconds", "files_read", "successful", "failed")
+
+
+@register("file_progress_lookup", f"""WITH {_EV}, {_SF}, {_progress_sql(ST.STAGES_EMITTED)},
+t AS (SELECT file_id, min(ts) AS started_at, max(ts) AS last_modified FROM ev GROUP BY file_id),
+a AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS file_id FROM events WHERE event_type = 'signup' UNION ALL SELECT 'no-such-file')
+SELECT a.file_id, coalesce(status, 'unknown') AS status, coalesce(progress, 0) AS progress, completed_stages, total_stages,
+       started_at, last_modified
+FROM a LEFT JOIN prog USING (file_id) LEFT JOIN t USING (file_id)""")
+def file_progress_lookup(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    asked = (e.filter(F.col("event_type") == "signup").select(F.col("user_id").cast("string").alias("file_id"))
+             .unionByName(spark.range(1).select(F.lit("no-such-file").alias("file_id"))))
+    return ST.file_progress(ST.events_from_driver(e), asked)
+
+
 @register("current_run", f"""WITH {_EV}
 SELECT arg_max(run_id, started_at) AS current_run, max(started_at) AS started_at
 FROM (SELECT run_id, min(ts) AS started_at FROM ev GROUP BY run_id)""")

@@ -153,18 +153,23 @@ def default_cache_path(spark: SparkSession) -> str:
     return base.rstrip("/") + "/tessera_vector_cache"
 
 
-def read_cache(spark: SparkSession, path: str, model: str, keys: DataFrame | None = None) -> DataFrame:
+def read_cache(spark: SparkSession, path: str, model: str, keys: DataFrame | None = None,
+               vectors: bool = True) -> DataFrame:
     """Cache rows for one model (partition pruning on ``model``), deduplicated.
 
     With ``keys`` (a frame with ``chunk_key``) the cache is first cut to those
     keys by a semi join; its build side is keys only, so AQE can broadcast it
-    and the vectors are filtered map-side before any shuffle.
+    and the vectors are filtered map-side before any shuffle. Without
+    ``vectors`` their length (``dimensions``) stands for them from the scan
+    on, so the de-duplication and what follows move a few bytes per key.
     """
     try:
         cache = spark.read.schema(CACHE_SCHEMA).parquet(path)
     except AnalysisException:
         cache = spark.createDataFrame([], CACHE_SCHEMA)
     cache = cache.filter(F.col("model") == model)
+    if not vectors:
+        cache = cache.select("chunk_key", "model", F.size("embedding").alias("dimensions"))
     if keys is not None:
         cache = cache.join(keys.select("chunk_key").distinct(), "chunk_key", "left_semi")
     return cache.dropDuplicates(["chunk_key"])
@@ -176,13 +181,15 @@ def cache_misses(chunks: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None,
-                 embedder: Callable | None = None, materialize: bool = True, on_error: str = "raise") -> DataFrame:
+                 embedder: Callable | None = None, materialize: bool = True, on_error: str = "raise",
+                 vectors: bool = True) -> DataFrame:
     """Attach ``embedding`` to every chunk row, computing each text at most once.
     A text whose embedding fails ends the job, or with ``on_error="null"`` has
     null ``model`` and ``embedding`` and is tried again by the next run.
 
     ``chunks`` needs ``chunk_key`` and ``text``; other columns are kept.
-    Returns the input columns + ``model`` + ``embedding``.
+    Returns the input columns + ``model`` + ``embedding`` (or, without
+    ``vectors``, ``dimensions``: no vector is shuffled then).
     """
     spark = chunks.sparkSession
     path = cache_path or default_cache_path(spark)
@@ -200,7 +207,7 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
             raise ValueError(f"model {model!r} needs an embedder factory (no weights are bundled)")
         embedder = hashing_embedder(model_dimension(model))
     factory = embedder
-    misses = cache_misses(chunks, read_cache(spark, path, model))
+    misses = cache_misses(chunks, read_cache(spark, path, model, vectors=False))
     # Counting runs only the anti-join (the embedding column is pruned); a
     # run directory is created only when there is something to append, so
     # all-hit runs leave the cache (and its listing) unchanged.
@@ -210,6 +217,8 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
         # a fresh directory per append: a job's staging files live under it
         new.write.mode("errorifexists").partitionBy("model").parquet(
             f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
+    if not vectors:
+        return chunks.join(read_cache(spark, path, model, vectors=False), "chunk_key", "left")
     cache = read_cache(spark, path, model, keys=chunks)
     # The vector side has no proven size bound (compressed Parquet sizes
     # badly underestimate float arrays in memory), so it is never broadcast:
@@ -218,6 +227,15 @@ def embed_cached(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
     return chunks.join(vectors, "chunk_key", "left")
 
 
+def compact_cache(spark: SparkSession, path: str, target: str, files: int | None = None) -> None:
+    """Write the cache de-duplicated into a new folder, ``files`` per model:
+    the periodic job against many small appends. The caller switches over."""
+    cache = spark.read.schema(CACHE_SCHEMA).parquet(path).dropDuplicates(["model", "chunk_key"])
+    if files:
+        cache = cache.repartition(files, "model", "chunk_key")
+    cache.write.partitionBy("model").parquet(f"{target.rstrip('/')}/run=compacted-{uuid.uuid4().hex}")
+
+
 def count_misses(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str | None = None) -> int:
     """How many distinct texts would be embedded now (0 after a complete run)."""
     spark = chunks.sparkSession
@@ -229,10 +247,12 @@ def count_misses(chunks: DataFrame, model: str = OFFLINE_MODEL, cache_path: str
 
 def embedding_info(embedded: DataFrame, model: str, doc_col: str = "document_id") -> DataFrame:
     """Per document: {model, type, count, dimensions}; dimensions = length of
-    the first vector (lowest chunk_index), 0 when there is none."""
+    the first vector (lowest chunk_index), 0 when there is none. ``embedded``
+    needs ``dimensions`` only; whole vectors will do as well."""
+    size = F.col("dimensions") if "dimensions" in embedded.columns else F.size("embedding")
     return embedded.groupBy(doc_col).agg(
-        F.count("embedding").cast("int").alias("count"),
-        F.coalesce(F.min_by(F.size("embedding"), "chunk_index"), F.lit(0)).cast("int").alias("dimensions"),
+        F.count(size).cast("int").alias("count"),
+        F.coalesce(F.min_by(size, "chunk_index"), F.lit(0)).cast("int").alias("dimensions"),
     ).select(doc_col, F.lit(model).alias("model"), F.lit(embedding_type(model)).alias("type"),
              "count", "dimensions")
 

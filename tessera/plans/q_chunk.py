@@ -23,12 +23,12 @@ def flagship(spark: SparkSession, sf_dir: str, cache_path: str | None = None) ->
     per-language summary (the minimum end-to-end slice)."""
     docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", spread=True)
     chunks = C.chunk_documents(docs, keep=["lang"])
-    embedded = E.embed_cached(chunks, cache_path=cache_path)
+    embedded = E.embed_cached(chunks, cache_path=cache_path, vectors=False)
     per_lang_chunks = embedded.groupBy("lang").agg(
         F.count("*").cast("bigint").alias("n_chunks"),
         F.countDistinct("chunk_key").cast("bigint").alias("n_distinct_chunks"),
-        F.count("embedding").cast("bigint").alias("n_embedded"),
-        F.max(F.size("embedding")).cast("int").alias("dimensions"))
+        F.count("dimensions").cast("bigint").alias("n_embedded"),
+        F.max("dimensions").cast("int").alias("dimensions"))
     per_lang_docs = docs.groupBy("lang").agg(
         F.count("*").cast("bigint").alias("n_docs"),
         F.sum(word_count("text")).cast("bigint").alias("words"),
@@ -43,7 +43,31 @@ def chunk_recursive(spark, sf_dir):
         "document_id", "chunk_index", "chunk_key", F.length("text").alias("chunk_len"))
 
 
-@register("chunk_character")
+_KEY_SQL = """substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-'
+         || lower(printf('%x', 8 + (('0x' || substr(x, 17, 1))::INTEGER % 4))) || substr(x, 18, 3)
+         || '-' || substr(x, 21, 12)"""
+_NAMESPACE_SQL = r"'\x00\x00\x00\x00\x00\x00\x00\x00\x00\x00\x00\x00\x00\x00\x07\xC1'::BLOB"
+
+
+@register("chunk_character", f"""
+WITH RECURSIVE p AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ps FROM documents
+  WHERE regexp_matches(text, '[^{WS}]')),
+c AS (SELECT doc_id, ps, list_transform(range(0, len(ps) + 1), lambda i:
+             coalesce(list_sum(list_transform(ps[1:i], lambda x: length(x) + 1)), 0)) AS cs FROM p),
+r AS (
+  SELECT doc_id, ps, cs, 0::BIGINT AS s, greatest(1, len(list_filter(cs, lambda x: x <= {C.DEFAULT_SIZE} + 1)) - 1) AS e FROM c
+  UNION ALL
+  SELECT doc_id, ps, cs, n, greatest(n + 1, len(list_filter(cs, lambda x: x <= cs[n + 1] + {C.DEFAULT_SIZE} + 1)) - 1)
+  FROM (SELECT doc_id, ps, cs, least(e, greatest(s,
+               len(list_filter(cs, lambda x: x < cs[e + 1] - 1 - {C.DEFAULT_OVERLAP})),
+               len(list_filter(cs, lambda x: x < cs[e + 2] - 1 - {C.DEFAULT_SIZE})))) AS n
+        FROM r WHERE e < len(ps))),
+t AS (SELECT doc_id, s, regexp_replace(array_to_string(ps[s + 1:e], chr(10)), '^[{WS}]+|[{WS}]+$', '', 'g') AS text FROM r),
+h AS (SELECT doc_id, s, text, sha1({_NAMESPACE_SQL} || sha1(text)::BLOB) AS x FROM t WHERE text <> '')
+SELECT doc_id AS document_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS chunk_index,
+       {_KEY_SQL} AS chunk_key, length(text)::INTEGER AS chunk_len
+FROM h""")
 def chunk_character(spark, sf_dir):
     # the documents have no blank lines, so split on line breaks
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +87,17 @@ def chunk_info(spark, sf_dir):
     return C.document_chunk_info(docs).select("document_id", "chunks_info.*")
 
 
+@register("chunk_info_token", f"""
+SELECT doc_id AS document_id, CASE WHEN n = 0 THEN 0 ELSE len(range(0, greatest(n - {TOKEN_OVERLAP} - 1, 0) + 1,
+         {TOKEN_SIZE - TOKEN_OVERLAP})) END::INTEGER AS count, {TOKEN_SIZE} AS chunk_size, {TOKEN_OVERLAP} AS chunk_overlap,
+       'token' AS chunking_method
+FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x: x <> '')) AS n FROM documents)""")
+def chunk_info_token(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return C.document_chunk_info(docs, method="token", size=TOKEN_SIZE, overlap=TOKEN_OVERLAP).select(
+        "document_id", "chunks_info.*")
+
+
 @register("chunk_token", f"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x: x <> '') AS toks

@@ -55,8 +55,8 @@ def _chunks(spark, sf_dir):
     return C.chunk_documents(docs, method="token", size=TOKEN_SIZE, overlap=TOKEN_OVERLAP, keep=["lang"])
 
 
-def _embedded(spark, sf_dir):
-    return E.embed_cached(_chunks(spark, sf_dir), model=MODEL)
+def _embedded(spark, sf_dir, vectors: bool = True):
+    return E.embed_cached(_chunks(spark, sf_dir), model=MODEL, vectors=vectors)
 
 
 @register("embed_cached", f"""WITH {_CHUNKS}
@@ -75,7 +75,7 @@ SELECT d.doc_id AS document_id, '{MODEL}' AS model, 'huggingface' AS type,
 FROM documents d LEFT JOIN ch ON d.doc_id = ch.document_id GROUP BY d.doc_id""")
 def embed_info(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"))
-    info = E.embedding_info(_embedded(spark, sf_dir), MODEL)
+    info = E.embedding_info(_embedded(spark, sf_dir, vectors=False), MODEL)
     return (docs.join(info, "document_id", "left")
             .select("document_id", F.lit(MODEL).alias("model"), F.lit(E.embedding_type(MODEL)).alias("type"),
                     F.coalesce("count", F.lit(0)).cast("int").alias("count"),

@@ -233,3 +233,45 @@ def test_vector_side_is_never_broadcast(spark, tmp_path):
     for line in plan.splitlines():
         if "BroadcastHashJoin" in line:
             assert "LeftSemi" in line, line
+
+
+def test_embedding_info_moves_no_vectors(spark, tmp_path):
+    from tessera.operators import embed as E
+    rows = spark.createDataFrame([(1, 0, "k1", "a b"), (1, 1, "k2", "c"), (2, 0, "k1", "a b")],
+                                 "document_id long, chunk_index int, chunk_key string, text string")
+    path = str(tmp_path / "cache")
+    E.embed_cached(rows, model="hashing-16", cache_path=path).count()
+    slim = E.embed_cached(rows, model="hashing-16", cache_path=path, materialize=False, vectors=False)
+    info = E.embedding_info(slim, "hashing-16")
+    assert {r["document_id"]: (r["count"], r["dimensions"]) for r in info.collect()} == {1: (2, 16), 2: (1, 16)}
+    plan = info._jdf.queryExecution().optimizedPlan().toString()
+    above = [x for x in plan.split("\n") if "Relation" not in x and "size(embedding" not in x]
+    assert not any("embedding#" in x for x in above), plan
+    # compaction keeps every vector once
+    E.embed_cached(rows.limit(1), model="hashing-8", cache_path=path).count()
+    target = str(tmp_path / "compact")
+    E.compact_cache(spark, path, target, files=1)
+    for model, n in (("hashing-16", 2), ("hashing-8", 1)):
+        assert E.read_cache(spark, target, model).count() == n
+    assert E.count_misses(rows, "hashing-16", target) == 0
+
+
+def test_a_failing_text_gets_no_vector(spark, tmp_path):
+    import pytest
+    from tessera.operators import embed as E
+
+    def factory():
+        plain = E.hashing_embedder(8)()
+
+        def embed(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("bad text")
+            return plain(texts)
+        return embed
+
+    rows = spark.createDataFrame([(1, 0, "k1", "good"), (1, 1, "k2", "bad one"), (2, 0, "k3", "fine")],
+                                 "document_id long, chunk_index int, chunk_key string, text string").coalesce(1)
+    got = E.embed_cached(rows, model="m", cache_path=str(tmp_path / "c"), embedder=factory, on_error="null").collect()
+    assert {r["chunk_key"]: r["embedding"] is None for r in got} == {"k1": False, "k2": True, "k3": False}
+    with pytest.raises(Exception, match="bad text"):
+        E.embed_cached(rows, model="m", cache_path=str(tmp_path / "c"), embedder=factory).collect()

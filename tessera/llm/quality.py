@@ -75,7 +75,6 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     if clash := [c for c in docs.columns if c.lower() in own]:
         raise ValueError(f"input has columns {clash}; choose another prefix")
     t, w, h, g, b, k, d, q, ln = steps
-    stop = F.array(*[F.lit(x) for x in STOP_WORDS])
     step1 = docs.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     step2 = (step1
              .withColumn(w, F.expr(f"filter(split(`{t}`, '{_sql(SPACE)}+'), x -> x != '')"))
@@ -107,7 +106,7 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
                f"(a, p) -> struct(a.n + least(3, p - a.last) as n, p as last), a -> a.n) end as bigint)"))
            .withColumn(f"{prefix}n_letter_words", F.expr(f"cast(size(filter(`{w}`, x -> x rlike '\\\\p{{L}}')) as bigint)"))
            .withColumn(f"{prefix}n_stop_words", F.size(F.filter(
-               w, lambda x: F.array_contains(stop, F.lower(F.rtrim(x, F.lit(".,;:!?")))))).cast("bigint"))
+               w, lambda x: F.lower(F.rtrim(x, F.lit(".,;:!?"))).isin(list(STOP_WORDS)))).cast("bigint"))
            .withColumn(f"{prefix}n_ellipsis_lines", F.expr(
                f"cast(size(filter(`{ln}`, x -> x rlike '(\\\\.\\\\.\\\\.|\\u2026){_sql(SPACE)}*$')) as bigint)"))
            .withColumn(f"{prefix}n_bullet_lines", F.expr(

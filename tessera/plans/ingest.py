@@ -31,8 +31,16 @@ def read_file_rows(files: DataFrame, max_bytes: int = FS.MAX_FILE_SIZE_BYTES) ->
         "file_id", "path", F.lit("ValidationError").alias("error_type"),
         F.concat(F.lit("File too large: "), F.col("size").cast("string"), F.lit(" bytes")).alias("error"))
     docs = default_registry().read_documents(ok).unionByName(too_big, allowMissingColumns=True)
-    meta = files.select("file_id", "file_name", "extension", "size")
-    return docs.join(meta, "file_id", "left").withColumn("doc_type", doc_type("extension"))
+    return _with_file(docs, files)
+
+
+def _with_file(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """Documents with their file's name, extension and size, the document type
+    and ``last_modified``: the document's own, else the file's."""
+    meta = files.select("file_id", "file_name", "extension", "size", F.col("modified").cast("timestamp").alias("_mtime"))
+    own = [F.expr("try_cast(modified as timestamp)")] if "modified" in docs.columns else []
+    return (docs.join(meta, "file_id", "left").withColumn("doc_type", doc_type("extension"))
+            .withColumn("last_modified", F.coalesce(*own, F.col("_mtime"))).drop("_mtime"))
 
 
 def read_files(spark: SparkSession, root: str, extensions=None,
@@ -48,7 +56,7 @@ def read_files(spark: SparkSession, root: str, extensions=None,
     reg = default_registry()
     parts = []
     for ext in sorted({(e if e.startswith(".") else "." + e).lower()
-                       for e in (extensions or FS.SUPPORTED_EXTENSIONS)}):
+                       for e in (extensions or FS.default_extensions())}):
         scan = FS.binary_files(spark, root, [ext])
         found = reg.get(ext)
         meta = FS.with_file_columns(scan)
@@ -66,9 +74,8 @@ def read_files(spark: SparkSession, root: str, extensions=None,
     docs = parts[0]
     for p in parts[1:]:
         docs = docs.unionByName(p, allowMissingColumns=True)
-    meta_all = FS.with_file_columns(FS.binary_files(spark, root, extensions or FS.SUPPORTED_EXTENSIONS))
-    return (docs.join(meta_all.select("file_id", "file_name", "extension", "size"), "file_id", "left")
-            .withColumn("doc_type", doc_type("extension")))
+    meta_all = FS.with_file_columns(FS.binary_files(spark, root, extensions or FS.default_extensions()))
+    return _with_file(docs, meta_all)
 
 
 def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL, cache_path: str | None = None,

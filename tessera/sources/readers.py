@@ -17,14 +17,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import char_count, word_count
+from ..functions.text import char_count, normalize_newlines, word_count
 from .files import decode_text, detected_encoding
 
 DOCX_SCHEMA = (
     "file_id string, path string, content string, paragraphs array<string>, "
     "tables array<array<array<string>>>, headers array<string>, footers array<string>, "
     "image_refs array<string>, styles array<string>, author string, title string, "
-    "subject string, created string, error_type string, error string"
+    "subject string, created string, modified string, keywords string, category string, comments string, "
+    "paragraph_count int, table_count int, error_type string, error string"
 )
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -35,11 +36,15 @@ _CORE = {
 }
 
 
-def read_text_files(files: DataFrame) -> DataFrame:
-    text = decode_text("content")
+def read_text_files(files: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """Text files in the given encoding. Bytes that are not UTF-8 where UTF-8
+    is expected are read as ISO-8859-1."""
+    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
+        text, used = decode_text("content"), detected_encoding("content")
+    else:
+        text, used = normalize_newlines(F.decode("content", encoding)), F.lit(encoding.lower())
     return files.select(
-        "file_id", "path", text.alias("content"),
-        detected_encoding("content").alias("encoding"),
+        "file_id", "path", text.alias("content"), used.alias("encoding"),
         F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("string").alias("error"),
     ).withColumn("word_count", word_count("content")).withColumn("character_count", char_count("content"))
 
@@ -89,7 +94,7 @@ def parse_docx(data: bytes, extract_tables: bool = True, extract_headers_footers
                preserve_formatting: bool = False) -> dict:
     """Paragraphs (top-level, empty ones kept), tables (table -> row -> cell
     text), non-empty header/footer paragraphs, image parts, paragraph styles,
-    core properties; text = paragraphs joined by a newline."""
+    core properties and counts; text = paragraphs joined by a newline."""
     z = zipfile.ZipFile(io.BytesIO(data))
     body = ET.fromstring(z.read("word/document.xml")).find(_W + "body")
     paragraphs, tables = [], []
@@ -124,12 +129,14 @@ def parse_docx(data: bytes, extract_tables: bool = True, extract_headers_footers
     if "docProps/core.xml" in names:
         core = ET.fromstring(z.read("docProps/core.xml"))
         for key, tag in (("author", "dc:creator"), ("title", "dc:title"), ("subject", "dc:subject"),
-                         ("created", "dcterms:created")):
+                         ("created", "dcterms:created"), ("modified", "dcterms:modified"), ("keywords", "cp:keywords"),
+                         ("category", "cp:category"), ("comments", "dc:description")):
             el = core.find(tag, _CORE)
             if el is not None and el.text:
                 props[key] = el.text
     return {"content": "\n".join(paragraphs), "paragraphs": paragraphs, "tables": tables,
-            "headers": headers, "footers": footers, "image_refs": images, "styles": styles, **props}
+            "headers": headers, "footers": footers, "image_refs": images, "styles": styles,
+            "paragraph_count": len(paragraphs), "table_count": len(tables), **props}
 
 
 def read_docx_files(files: DataFrame, **options) -> DataFrame:

@@ -222,3 +222,30 @@ def test_csv_document_with_line_breaks_in_fields(spark, tmp_path):
     r = FM.csv_document(spark, str(p)).first()
     assert r["headers"] == ["a", "b"] and r["num_rows"] == 2
     assert [x["data"] for x in FM.csv_rows(spark, str(p)).collect()] == [{"a": "1", "b": "two\nlines"}, {"a": "3", "b": "4"}]
+
+
+def test_given_encoding_and_default_last_modified(spark, tmp_path):
+    from tessera.sources.readers import read_text_files
+    (tmp_path / "u.txt").write_bytes("é\r\nx".encode("utf-16-le"))
+    (tmp_path / "l.txt").write_bytes("é".encode("latin-1"))
+    files = FS.with_file_columns(FS.binary_files(spark, str(tmp_path), [".txt"]), keep_content=True)
+    u = read_text_files(files.where("file_name = 'u.txt'"), encoding="UTF-16LE").first()
+    assert (u["content"], u["encoding"]) == ("é\nx", "utf-16le")
+    l = read_text_files(files.where("file_name = 'l.txt'")).first()
+    assert (l["content"], l["encoding"]) == ("é", "iso-8859-1")
+    docs = {r["file_name"]: r for r in read_files(spark, str(tmp_path)).collect()}
+    mtime = {r["file_name"]: r["modified"] for r in files.collect()}
+    assert all(docs[n]["last_modified"] == mtime[n] for n in docs) and len(docs) == 2
+
+
+def test_docx_properties_and_counts(tmp_path):
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("word/document.xml", f"<w:document {w}><w:body><w:p/><w:p/><w:tbl><w:tr><w:tc><w:p/></w:tc></w:tr></w:tbl></w:body></w:document>")
+        z.writestr("docProps/core.xml", '<cp:coreProperties xmlns:cp="http://schemas.openxmlformats.org/package/2006/metadata/core-properties" '
+                   'xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:dcterms="http://purl.org/dc/terms/"><cp:keywords>k</cp:keywords>'
+                   '<cp:category>c</cp:category><dc:description>d</dc:description><dcterms:modified>2024-01-02T03:04:05Z</dcterms:modified></cp:coreProperties>')
+    d = parse_docx(buf.getvalue())
+    assert (d["keywords"], d["category"], d["comments"], d["modified"]) == ("k", "c", "d", "2024-01-02T03:04:05Z")
+    assert (d["paragraph_count"], d["table_count"]) == (2, 1)

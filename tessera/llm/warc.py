@@ -7,7 +7,8 @@ gives the same), an ISO date from the 14 digits, a type from scheme and data, SH
 equal payloads one stays a response, the others become revisits that refer to it.
 
 The archives are written by Spark's own text writer with the record separator as its line separator (a string column
-holds any bytes as they are), so they are committed as any Spark output, to any store, one gzip stream per file. Only
+holds any bytes as they are), so they are committed as any Spark output, to any store, one gzip stream per file. A file
+holds a bounded number of records, behind a version block or warcinfo record of its own, since readers take a file whole. Only
 digests are grouped (with partial aggregation, so a payload that a third of the records share is no hot task); the
 table of revisits is written, and joined by record id, so Spark broadcasts it only if its measured size allows.
 
@@ -60,8 +61,25 @@ def _value(rows: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
 
+def _in_files(head, rows, records_per_file: int):
+    """Batches of rows with ``head(n)`` in front of every ``records_per_file`` of them: with one more row a file, the
+    writer starts its files just there."""
+    number, room = 0, 0
+    for batch in rows:
+        out = []
+        for row in batch:
+            if not room:
+                out.append(head(number))
+                number, room = number + 1, records_per_file
+            out.append(row)
+            room -= 1
+        yield _value(out)
+    if not number:
+        yield _value([head(0)])
+
+
 def write_arc(pages: DataFrame, path: str, url: str = "url", html: str = "html", key: str = "page_id",
-              date: str = EPOCH) -> None:
+              date: str = EPOCH, records_per_file: int = 5_000) -> None:
     """Pages as ARC files of HTTP responses; even partitions are version 1, odd ones version 2."""
     body = pages.select(F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").cast("binary").alias("html"),
                         F.col(f"`{key}`").cast("string").alias("key"))
@@ -69,24 +87,26 @@ def write_arc(pages: DataFrame, path: str, url: str = "url", html: str = "html",
     def run(batches):
         part = TaskContext.get().partitionId()
         version = 1 + part % 2
-        name = f"part-{part:05d}.arc"
         about = f"{version} 0 tessera\n{ARC_FIELDS[version]}\n".encode()
-        extra = "" if version == 1 else f"200 - - 0 {name} "
-        yield _value([f"filedesc://{name} 0.0.0.0 {date} text/plain {extra}{len(about)}\n".encode() + about])
-        for b in batches:
-            out = []
+
+        def head(number: int) -> bytes:
+            name = f"part-{part:05d}-{number:05d}.arc"
+            extra = "" if version == 1 else f"200 - - 0 {name} "
+            return f"filedesc://{name} 0.0.0.0 {date} text/plain {extra}{len(about)}\n".encode() + about
+
+        def records(b: pa.RecordBatch):
             for u, h, k in zip(*(c.to_pylist() for c in b.columns)):
                 h = h or b""
                 u = re.sub(r"\s+", lambda m: quote(m[0]), u or "") or NO_URL
                 keyed = f"{KEY_HEADER}: {k}\r\n" if k is not None else ""
                 data = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{keyed}"
                         f"Content-Length: {len(h)}\r\n\r\n").encode() + h
-                check = f"200 {digest(data)} - 0 {name} " if version == 2 else ""
-                out.append(f"{u} 0.0.0.0 {date} text/html {check}{len(data)}\n".encode() + data)
-            yield _value(out)
+                check = f"200 {digest(data)} - 0 - " if version == 2 else ""
+                yield f"{u} 0.0.0.0 {date} text/html {check}{len(data)}\n".encode() + data
 
-    # one file per partition: the version block heads each
-    _gzip_text(body.mapInArrow(run, "value binary"), path, "\n", 0)
+        yield from _in_files(head, map(records, batches), records_per_file)
+
+    _gzip_text(body.mapInArrow(run, "value binary"), path, "\n", records_per_file + 1)
 
 
 def parse_arc(data: bytes, where: str = ""):
@@ -171,7 +191,7 @@ def arc_records(spark: SparkSession, path: str, with_data: bool = True) -> DataF
     return files.mapInArrow(run, _RECORD + ", data binary" * with_data)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = 0, records_per_file: int = 20_000) -> None:
+def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = 0, records_per_file: int = 5_000) -> None:
     """Write the records of the ARC files below ``arc_path`` as WARC files below ``warc_path``."""
     slim = arc_records(spark, arc_path, with_data=False).where(F.col("payload_bytes") >= min_bytes)
     order = F.struct(F.col("key"), "date", "record_id", "uri")
@@ -189,11 +209,14 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int =
     def run(batches):
         about = "software: tessera\r\nformat: WARC File Format 1.1\r\n"
         part = TaskContext.get().partitionId()
-        yield _value([(f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'info#{part}')}>\r\n"
-                       f"WARC-Date: {iso_date(EPOCH)}\r\nContent-Type: application/warc-fields\r\n"
-                       f"Content-Length: {len(about)}\r\n\r\n{about}").encode()])
-        for b in batches:
-            out = []
+
+        def head(number: int) -> bytes:
+            own = uuid.uuid5(uuid.NAMESPACE_URL, f"info#{part}#{number}")
+            return (f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{own}>\r\n"
+                    f"WARC-Date: {iso_date(EPOCH)}\r\nContent-Type: application/warc-fields\r\n"
+                    f"Content-Length: {len(about)}\r\n\r\n{about}").encode()
+
+        def lines(b: pa.RecordBatch):
             for rid, uri, ip, date, mime, kind, pay, n, refers, r_uri, r_date, data in zip(*(c.to_pylist() for c in b.columns)):
                 block, more = data, ""
                 if refers is not None:
@@ -201,14 +224,15 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int =
                     more = (f"WARC-Profile: {REVISIT}\r\nWARC-Refers-To: {refers}\r\nWARC-Refers-To-Target-URI: {r_uri}\r\n"
                             f"WARC-Refers-To-Date: {r_date}\r\nWARC-Truncated: length\r\n")
                 content = "application/http; msgtype=response" if kind == "response" else mime
-                out.append((
+                yield (
                     f"WARC/1.1\r\nWARC-Type: {kind if refers is None else 'revisit'}\r\nWARC-Record-ID: {rid}\r\nWARC-Date: {date}\r\n"
                     f"WARC-Target-URI: {uri}\r\nWARC-IP-Address: {ip}\r\n{more}WARC-Payload-Digest: sha1:{pay}\r\n"
                     f"WARC-Block-Digest: sha1:{digest(block)}\r\nX-Payload-Length: {n}\r\nContent-Type: {content}\r\n"
-                    f"Content-Length: {len(block)}\r\n\r\n").encode("utf-8", "surrogateescape") + block)
-            yield _value(out)
+                    f"Content-Length: {len(block)}\r\n\r\n").encode("utf-8", "surrogateescape") + block
+
+        yield from _in_files(head, map(lines, batches), records_per_file)
 
-    _gzip_text(records.select(*columns).mapInArrow(run, "value binary"), warc_path, RECORD_END, records_per_file)
+    _gzip_text(records.select(*columns).mapInArrow(run, "value binary"), warc_path, RECORD_END, records_per_file + 1)
 
 
 def parse_warc(data: bytes, where: str = ""):

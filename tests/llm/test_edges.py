@@ -295,6 +295,11 @@ def test_archives_on_messy_rows(spark):
     again = shared_path(spark, "t-warc")
     convert(spark, arc, again, min_bytes=5)  # empty payloads and "same" stay responses
     assert all(r["type"] == "response" for r in read_warc(spark, again).collect())
+    # many files, each with its own head
+    small_arc, small = shared_path(spark, "t-arc"), shared_path(spark, "t-warc")
+    write_arc(pages.coalesce(1), small_arc, records_per_file=3)
+    convert(spark, small_arc, small, records_per_file=2)
+    assert spark.read.format("binaryFile").load(small_arc).count() == 3 and read_warc(spark, small).count() == len(rows)
     empty_arc, empty = shared_path(spark, "t-arc"), shared_path(spark, "t-warc")
     write_arc(pages.limit(0), empty_arc)
     convert(spark, empty_arc, empty)

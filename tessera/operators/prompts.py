@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
+from .partitioning import spread
 
 # The text-to-SQL prompt parts.
 DEFAULT_SCHEMA_LINES = (
@@ -112,7 +113,7 @@ def batch_infer(df: DataFrame, prompt_col: str, keep: list[str],
             out["error"] = errors
             yield out
 
-    return df.select(*keep, prompt_col).mapInPandas(run, schema)
+    return spread(df.select(*keep, prompt_col)).mapInPandas(run, schema)
 
 
 def image_messages(pairs: DataFrame, images: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,20 @@ def session_status(users: DataFrame, issued: DataFrame, now: DataFrame, user: st
     row). Users without an issued token have no expiry and count as expired.
     """
     last = issued.groupBy(user).agg(F.max(F.col(issued_at)).alias("issued_at"))
-    base = users.select(user).distinct().join(last, user, "left").crossJoin(F.broadcast(now))
+    return _status(users.select(user).distinct().join(last, user, "left"), now, user)
+
+
+def session_status_of(events: DataFrame, issue: Column, user: str = "user_id", ts: str = "ts") -> DataFrame:
+    """``session_status`` of the users of an event table: ``issue`` tells the
+    events that issue a token, now is the last event. One aggregate over the
+    events gives each user's last issue and last event, and the last of those
+    is now."""
+    base = events.groupBy(user).agg(F.max(F.when(issue, F.col(ts))).alias("issued_at"), F.max(ts).alias("_seen"))
+    return _status(base, base.agg(F.max("_seen").alias("now")), user)
+
+
+def _status(base: DataFrame, now: DataFrame, user: str) -> DataFrame:
+    base = base.crossJoin(F.broadcast(now.select("now")))  # exactly one row
     acc = F.col("issued_at") + F.make_interval(secs=F.lit(ACCESS_TOKEN_TTL_S))
     ref = F.col("issued_at") + F.make_interval(secs=F.lit(REFRESH_TOKEN_TTL_S))
     access_expired = F.coalesce(F.col("now") > acc, F.lit(True))
@@ -77,15 +92,26 @@ def auth_fold(actions: DataFrame, user: str, action: str, seq: str, payload_user
     cleared, not authenticated (loading unchanged).
     """
     a = F.col(action)
-    err = F.lit(AUTH_FAILED_MESSAGE) if error_message is None else F.coalesce(F.col(error_message),
-                                                                              F.lit(AUTH_FAILED_MESSAGE))
-
-    def last(value: Column, touches: Column) -> Column:
-        return F.max_by(value, F.when(touches, F.col(seq)))
-
-    return actions.groupBy(user).agg(
-        F.coalesce(last(a == "pending", a.isin("pending", "fulfilled", "rejected")), F.lit(False)).alias("is_loading"),
-        F.coalesce(last(a == "fulfilled", a.isin("fulfilled", "logout")), F.lit(False)).alias("is_authenticated"),
-        last(F.when(a == "fulfilled", F.col(payload_user).cast("string")), a.isin("fulfilled", "logout")).alias("user"),
-        last(F.when(a == "rejected", err), a.isin("pending", "rejected", "logout")).alias("error"),
-    )
+    kinds = ("pending", "fulfilled", "rejected", "logout")
+    # the last event of each kind: fixed-width buffers, so one hash aggregate
+    last = actions.groupBy(user).agg(*[F.max(F.when(a == k, F.col(seq))).alias(f"_{k}") for k in kinds])
+
+    def after(kind: str, *others: str) -> Column:
+        """Whether the last event of the kind comes after those of the others."""
+        rest = [F.coalesce(F.col(f"_{kind}") > F.col(f"_{o}"), F.col(f"_{kind}").isNotNull()) for o in others]
+        return reduce(lambda x, y: x & y, rest)
+
+    signed_in, failed = after("fulfilled", "logout"), after("rejected", "pending", "logout")
+    who, message = F.col(user).cast("string"), F.lit(AUTH_FAILED_MESSAGE)
+    if payload_user != user or error_message is not None:
+        # the texts of those events only, by their number
+        said = F.lit(None).cast("string") if error_message is None else F.col(error_message)
+        texts = actions.where(a.isin("fulfilled", "rejected")).select(
+            F.col(user).alias("_u"), F.col(seq).alias("_s"), F.col(payload_user).cast("string").alias("_who"), said.alias("_said"))
+        for kind, name in (("fulfilled", "_who"), ("rejected", "_said")):
+            t = texts.select("_u", "_s", name)
+            last = last.join(t, (F.col(user) == F.col("_u")) & (F.col(f"_{kind}") == F.col("_s")), "left").drop("_u", "_s")
+        who, message = F.col("_who"), F.coalesce(F.col("_said"), message)
+    return last.select(
+        user, after("pending", "fulfilled", "rejected").alias("is_loading"), signed_in.alias("is_authenticated"),
+        F.when(signed_in, who).alias("user"), F.when(failed, message).alias("error"))

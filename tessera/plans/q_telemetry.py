@@ -35,8 +35,7 @@ FROM u CROSS JOIN n LEFT JOIN s ON u.user_id = s.user_id""")
 def session_status(spark, sf_dir):
     """Tokens are issued at 'signup' events; 'now' is the last event time."""
     e = table(spark, sf_dir, "events")
-    now = e.agg(F.max("ts").alias("now"))
-    return TM.session_status(e, e.filter(F.col("event_type") == "signup"), now)
+    return TM.session_status_of(e, F.col("event_type") == "signup")
 
 
 @register("log_severity", f"""

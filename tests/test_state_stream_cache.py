@@ -69,6 +69,15 @@ def test_auth_fold_sequence(spark):
     assert (r2["is_loading"], r2["error"]) == (False, "Authentication failed")
 
 
+def test_auth_fold_keeps_texts_and_takes_any_order(spark):
+    acts = spark.createDataFrame([(1, 9, "rejected", None, "why"), (1, 4, "fulfilled", "ann", None), (1, 2, "logout", None, None),
+                                  (2, 1, "rejected", None, None), (3, 5, "view", None, None), (4, 1, "fulfilled", "bo", None),
+                                  (4, 2, "fulfilled", "cy", None)], "user_id long, seq long, action string, who string, msg string")
+    r = {x["user_id"]: tuple(x)[1:] for x in TM.auth_fold(acts, "user_id", "action", "seq", "who", "msg").collect()}
+    assert r == {1: (False, True, "ann", "why"), 2: (False, False, None, "Authentication failed"),
+                 3: (False, False, None, None), 4: (False, True, "cy", None)}
+
+
 def test_cache_second_run_computes_nothing(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     chunks = C.chunk_documents(docs)

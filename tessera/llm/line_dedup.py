@@ -162,10 +162,12 @@ def _candidates(shared, bits: int):
         hot = shared.value
         mask = np.int64((1 << bits) - 1)
 
-        def hit(bucket: np.ndarray) -> np.ndarray:
-            v = bucket & mask
+        def on_bit(v: np.ndarray) -> np.ndarray:
             return (hot[v >> 3] >> (v & 7).astype(np.uint8)) & 1 > 0
 
+        def hit(bucket: np.ndarray) -> np.ndarray:
+            return on_bit(bucket & mask) & on_bit((bucket >> 32) & mask)
+
         for b in batches:
             ids, tks = b.column(0), b.column(1)
             for doc, number, lines in _slices(b):
@@ -212,8 +214,11 @@ def _decode(data: list[bytes]) -> tuple[np.ndarray, Callable[[np.ndarray], list[
 
 
 def bucket_filter(buckets: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2^bits bits with the low bits of each bucket hash; its size is fixed, whatever their number."""
-    place = buckets.select((F.col("bucket").bitwiseAND(F.lit((1 << bits) - 1)) + 1).alias("v"))
+    """A bitmap of 2^bits bits with two places for each bucket hash, from its lower and its upper half; its size is
+    fixed, whatever their number. At n buckets a strange one is in it with a probability of about (2 n / 2^bits)^2."""
+    mask = F.lit((1 << bits) - 1)
+    halves = F.array(F.col("bucket").bitwiseAND(mask), F.shiftright("bucket", 32).bitwiseAND(mask))
+    place = buckets.select((F.explode(halves) + 1).alias("v"))
     rows = (place.groupBy(F.bitmap_bucket_number("v").alias("page"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")))
     out = np.zeros(1 << (bits - 3), np.uint8)
@@ -225,7 +230,7 @@ def bucket_filter(buckets: DataFrame, bits: int) -> np.ndarray:
 
 
 def line_decisions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8,
-                   filter_bits: int = 26) -> DataFrame:
+                   filter_bits: int = 27) -> DataFrame:
     """A row per document: ``id``, ``tk`` (text digest), ``n_lines`` (with a character other than white space) and
     ``removed`` (numbers, from 0, of the lines that go, blank lines counted in)."""
     spark = docs.sparkSession

@@ -217,8 +217,8 @@ def bucket_filter(buckets: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of 2^bits bits with two places for each bucket hash, from its lower and its upper half; its size is
     fixed, whatever their number. At n buckets a strange one is in it with a probability of about (2 n / 2^bits)^2."""
     mask = F.lit((1 << bits) - 1)
-    halves = F.array(F.col("bucket").bitwiseAND(mask), F.shiftright("bucket", 32).bitwiseAND(mask))
-    place = buckets.select((F.explode(halves) + 1).alias("v"))
+    halves = (F.col("bucket").bitwiseAND(mask) + 1, F.shiftright("bucket", 32).bitwiseAND(mask) + 1)
+    place = buckets.select(F.explode(F.array(*halves)).alias("v"))
     rows = (place.groupBy(F.bitmap_bucket_number("v").alias("page"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")))
     out = np.zeros(1 << (bits - 3), np.uint8)

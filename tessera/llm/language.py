@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 _WORD = regex.compile(r"\p{L}+")
 LONGEST = 5
 SMOOTH = 0.5
-UNSEEN_CACHE = 200_000  # unseen words kept per worker task; a bound on memory only
+UNSEEN_CACHE = 300_000  # unseen words kept per worker task; a bound on memory only
 
 
 @dataclass
@@ -41,19 +41,19 @@ class LanguageModel:
     words: dict[str, int]
     word_scores: np.ndarray  # words x langs
     grams: list[dict[str, int]]  # by length, 1 to LONGEST
-    gram_scores: list[np.ndarray]
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
+    gram_scores: list[list[tuple[float, ...]]]
+    unseen: dict[str, tuple[float, ...]] = field(default_factory=dict)
 
-    def backoff(self, word: str) -> np.ndarray:
+    def backoff(self, word: str) -> tuple[float, ...]:
         found = self.unseen.get(word)
         if found is None:
             framed = f"<{word}>"
-            found = np.zeros(len(self.langs))
+            found = (0.0,) * len(self.langs)
             for n in range(LONGEST, 0, -1):
-                known = self.grams[n - 1]
-                at = [known[g] for i in range(len(framed) - n + 1) if (g := framed[i:i + n]) in known]
-                if at:
-                    found = self.gram_scores[n - 1][at].mean(axis=0)
+                get, scores = self.grams[n - 1].get, self.gram_scores[n - 1]
+                rows = [scores[i] for k in range(len(framed) - n + 1) if (i := get(framed[k:k + n])) is not None]
+                if rows:
+                    found = tuple([sum(x) / len(rows) for x in zip(*rows)])
                     break
             if len(self.unseen) < UNSEEN_CACHE:
                 self.unseen[word] = found
@@ -63,16 +63,19 @@ class LanguageModel:
         counts = Counter(_WORD.findall((text or "").lower()))
         if not counts or not self.langs:
             return "und", 0.0
-        total, at, times = np.zeros(len(self.langs)), [], []
+        total, at, times, other, others = np.zeros(len(self.langs)), [], [], [], []
         for word, n in counts.items():
             i = self.words.get(word)
             if i is None:
-                total += n * self.backoff(word)
+                other.append(self.backoff(word))
+                others.append(n)
             else:
                 at.append(i)
                 times.append(n)
         if at:
             total += np.asarray(times, float) @ self.word_scores[at]
+        if other:
+            total += np.asarray(others, float) @ np.asarray(other)
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
 
@@ -117,7 +120,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs:
     langs = sorted({x for r in words for x in r["counts"]})
     known, scores = _scores(words, "word", langs)
     both = [_scores(g, "gram", langs) for g in grams]
-    return LanguageModel(langs, known, scores, [x[0] for x in both], [x[1] for x in both])
+    return LanguageModel(langs, known, scores, [x[0] for x in both],
+                         [[tuple(r) for r in x[1].tolist()] for x in both])
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str = "lang_pred",

@@ -23,6 +23,7 @@ from typing import Callable, Mapping
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .encode import encoder
 
@@ -42,6 +43,29 @@ def vocabulary_counts(docs: DataFrame, text: str, vocabulary: str) -> DataFrame:
     return docs.select("source", "lang", F.col(f"`{text}`").alias("text")).mapInArrow(run, "source string, lang string, n_tokens bigint")
 
 
+def with_counts(docs: DataFrame, counts: Mapping[str, str], vocabulary: str) -> DataFrame:
+    """The rows without the text columns, which are the keys of ``counts``, and with the tokens of each whole text in the
+    column that it names. A text equal to the one before it in the row is counted once."""
+    keep = [c for c in docs.columns if c not in counts]
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    schema = T.StructType([*[T.StructField(c, kinds[c]) for c in keep], *[T.StructField(c, T.LongType()) for c in counts.values()]])
+
+    def run(batches):
+        enc = encoder(vocabulary)
+        for b in batches:
+            found = []
+            for texts in zip(*(b.column(len(keep) + i) for i in range(len(counts)))):
+                row, last = [], None
+                for t in (x.as_py() for x in texts):
+                    row.append(row[-1] if row and t == last else len(enc.encode(t)) // 4)
+                    last = t
+                found.append(row)
+            added = [pa.array([r[i] for r in found], pa.int64()) for i in range(len(counts))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], *added], names=[*keep, *counts.values()])
+
+    return docs.select(*keep, *counts).mapInArrow(run, schema)
+
+
 Counter = Column | Callable[[DataFrame], DataFrame]
 
 

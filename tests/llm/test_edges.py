@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF_ORACLE, SF_SMALL
 from tessera import llm
-from tessera.llm import lsh, near_join
+from tessera.llm import lsh, near_join, q_rollup
 from tessera.llm.common import shared_path
 from tessera.llm.components import connected_components
 from tessera.llm.decontaminate import contained_items, decontaminate
@@ -460,6 +460,22 @@ def test_rollup_query_by_plain_sums(spark):
     assert got == {k: (docs[k], want[k]) for k in want if docs[k] or want[k]}
 
 
+def test_rollup_query_revises_live_documents_only(spark):
+    """Two copies with a repeated line, equal and null ids: only the one row left of each text is revised, by both versions."""
+    rows = [(1, "a b c\na b c\nd", "en", "s"), (2, "a b c\na b c\nd", "en", "t"), (3, "one two", "en", "s"), (3, "one two", "en", "s"),
+            (None, "x y\nx y", "fr", "s"), (None, "x y\nx y", "fr", "s"), (None, "x y\nx y", None, "s"), (4, "x y\nz", "fr", "s"),
+            (5, None, "en", "u"), (6, "", "en", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"])
+           for r in q_rollup.maintain(spark, docs, shared_path(spark, "t-counts")).collect()}
+    tok, want = Tokenizer.from_file(VOCABULARY), {}
+    for source, lang, text in (("s", "en", "a b c\nd"), ("s", "en", "one two"), ("s", "fr", "x y"), ("s", "fr", "x y\nz"), ("u", "en", "")):
+        for name, n in (("words/1", len(text.split())), ("word_bpe_49k", len(tok.encode(text, add_special_tokens=False).ids))):
+            d, c = want.get((source, lang, name), (0, 0))
+            want[source, lang, name] = (d + 1, c + n)
+    assert got == want
+
+
 # ---------------------------------------------------------------- 7 licenses
 
 def test_licenses_on_messy_rows(spark):

@@ -5,9 +5,11 @@ The model holds, for each learned language, the log frequency of the known words
 frequency of its known n-grams of the greatest length that has any. A text's score of a language is the sum over its
 words; the prediction is the best language and its posterior under equal priors.
 
-Learning counts words in Spark. It reads a bounded sample of the labelled texts: at most about ``max_docs`` rows,
-taken by a hash of the text, so that the model has the same size at any scale; ``max_words`` words and ``max_grams``
-n-grams of each length are kept, the most frequent first. The model (a few MB at these bounds) goes to the tasks as a
+Learning counts words in Spark. It reads a bounded sample of the labelled texts, taken by a hash of the text, so that the
+model has the same size at any scale. The bounds of the whole (about ``max_docs`` rows, ``max_words`` words and ``max_grams``
+n-grams of each length, the most frequent first) are dealt out evenly over the labels: each gets all that it has, or
+at least the bound divided by the number of labels, and what small labels leave over goes to the larger ones. So
+every label with a word is in the model, however rare. The model (a few MB at these bounds) goes to the tasks as a
 broadcast; prediction reads every whole text once, without a shuffle.
 
 Defined results
@@ -29,9 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 _WORD = regex.compile(r"\p{L}+")
 LONGEST = 5
 SMOOTH = 0.5
+_PLACES = 1 << 30  # places of a hash, of which a share is taken
 UNSEEN_CACHE = 300_000  # unseen words kept per worker task; a bound on memory only
 
 
@@ -93,31 +98,78 @@ def _scores(rows: list, key: str, langs: list[str]) -> tuple[dict[str, int], np.
     return names, np.log((counts + SMOOTH) / total)
 
 
+def _level(sizes: dict[str, int], total: int) -> int:
+    """The greatest level at which the sizes, each cut at the level, sum to at most ``total``; 1 at least."""
+    left = total
+    for k, n in enumerate(ordered := sorted(sizes.values())):
+        if n * (len(ordered) - k) > left:
+            return max(1, left // (len(ordered) - k))
+        left -= n
+    return max(1, *ordered) if ordered else 1
+
+
+def _of_lang(values: dict[str, int]):
+    """A label's value as a column."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in sorted(values.items()) for x in kv]), F.col("lang"))
+
+
+def _sample(rows: DataFrame, max_docs: int) -> DataFrame | None:
+    """About ``_level`` rows of each label, by a hash of the text; the text of least hash of each label always is one."""
+    place = F.pmod(F.xxhash64("text"), F.lit(_PLACES))
+    found = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()}
+    if not found:
+        return None
+    level = _level({x: r["n"] for x, r in found.items()}, max_docs)
+    ends = {x: _PLACES if r["n"] <= level else max(r["least"] + 1, level * _PLACES // r["n"]) for x, r in found.items()}
+    return rows.where(place < _of_lang(ends))
+
+
+def _top(counts: DataFrame, key: str, limit: int) -> list:
+    """``key`` and its ``counts`` by label: all keys if they are at most ``limit``, or else about ``_level`` of each label, the
+    most frequent first. How many a label has at each frequency says where its cut is; of the frequency at the cut,
+    those with the least hashes stay."""
+    place = F.pmod(F.xxhash64(key), F.lit(_PLACES))
+    if counts.select(key).distinct().count() > limit:
+        levels: dict[str, list[tuple[int, int]]] = {}
+        for r in counts.groupBy("lang", "n").agg(F.count("*").alias("k")).collect():
+            levels.setdefault(r["lang"], []).append((r["n"], r["k"]))
+        most = _level({x: sum(k for _, k in v) for x, v in levels.items()}, limit)
+        least, share = {}, {}
+        for lang, v in levels.items():
+            left = most
+            for n, k in sorted(v, reverse=True):
+                least[lang], share[lang] = n, min(_PLACES, left * _PLACES // k)
+                left -= k
+                if left <= 0:
+                    break
+        at = _of_lang(least)
+        counts = counts.withColumn("_in", (F.col("n") > at) | ((F.col("n") == at) & (place < _of_lang(share))))
+    else:
+        counts = counts.withColumn("_in", F.lit(True))
+    return (counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"),
+                                    F.sum("n").alias("_all"), F.max("_in").alias("_in"))
+            .where("_in").orderBy(F.desc("_all"), key).drop("_all", "_in").collect())
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = 20_000,
           max_words: int = 60_000, max_grams: int = 30_000) -> LanguageModel:
-    """A model from the rows with text and label."""
-    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where(
-        "text is not null and lang is not null")
-    n = rows.agg(F.count("*")).first()[0]
-    share = min(1.0, max_docs / max(1, n))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) if share < 1 else 1 << 30))
-    seen = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-            .groupBy("word", "lang").agg(F.count("*").alias("n")))
-
-    def top(counts: DataFrame, key: str, limit: int) -> list:
-        return (counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"),
-                                        F.sum("n").alias("_all"))
-                .orderBy(F.desc("_all"), key).limit(limit).drop("_all").collect())
-
-    words = top(seen, "word", max_words)
+    """A model from the rows with text and label; it knows every label that has a word."""
+    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(
+        "lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    sample = _sample(rows, max_docs)
+    if sample is None:
+        return LanguageModel([], {}, np.zeros((0, 0)), [{} for _ in range(LONGEST)], [[] for _ in range(LONGEST)])
+    seen = written(sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+                   .groupBy("word", "lang").agg(F.count("*").alias("n")), "language-words")
+    langs = sorted(r["lang"] for r in seen.select("lang").distinct().collect())
+    words = _top(seen, "word", max_words)
     framed = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     grams = []
     for size in range(1, LONGEST + 1):
         cuts = F.expr(f"transform(sequence(1, greatest(1, length(_f) - {size - 1})), i -> substring(_f, i, {size}))")
         counts = (seen.withColumn("_f", framed).select("lang", "n", F.explode(cuts).alias("gram"))
                   .where(F.length("gram") == size).groupBy("gram", "lang").agg(F.sum("n").alias("n")))
-        grams.append(top(counts, "gram", max_grams))
-    langs = sorted({x for r in words for x in r["counts"]})
+        grams.append(_top(counts, "gram", max_grams))
     known, scores = _scores(words, "word", langs)
     both = [_scores(g, "gram", langs) for g in grams]
     return LanguageModel(langs, known, scores, [x[0] for x in both],

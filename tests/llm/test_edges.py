@@ -356,6 +356,19 @@ def test_language_model_by_brute_force(spark):
             break
 
 
+def test_language_keeps_rare_labels_under_low_limits(spark):
+    """A label of one document, one without a frequent word and one of unique words stay, whatever the bounds."""
+    en, fr = [(prose(60, k), "en") for k in range(300)], [(f"la maison et le jardin de la rivière numéro {'abcdefghij'[k % 10] * 3}", "fr") for k in range(300)]
+    rare = [("dom rzeka ogród książka", "pl")] + [(chr(0x4E00 + 7 * k) + chr(0x4E01 + 11 * k) * 2, "zh") for k in range(40)] + [("123", "xx")]
+    train = spark.createDataFrame([*en, *fr, *rare], "text string, lang string")
+    model = learn(train, max_docs=80, max_words=40, max_grams=40)
+    assert model.langs == ["en", "fr", "pl", "zh"]
+    assert {"dom", "rzeka", "ogród", "książka"} <= set(model.words)
+    assert len(model.words) <= 60 and all(len(g) <= 60 for g in model.grams)
+    docs = spark.createDataFrame([(1, "rzeka ogród"), (2, "la maison de la rivière"), (3, "the house of the river")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in predict(docs, model).collect()} == {1: "pl", 2: "fr", 3: "en"}
+
+
 def test_language_held_out_accuracy(spark):
     got = llm.queries()["op4_language_id"](spark, SF_ORACLE)
     truth = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang")

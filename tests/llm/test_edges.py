@@ -261,6 +261,13 @@ def test_lines_on_messy_rows(spark):
     assert line_decisions(docs.limit(0)).count() == 0
 
 
+def test_lines_of_repeated_shingles(spark):
+    """Lines of few distinct shingles are alike at any length: separators, and phrases repeated a different number of times."""
+    pairs = [("-" * 80, "-" * 200), ("ha" * 30, "ha" * 200), ("buy it now! " * 9, "buy it now! " * 40), ("=+" * 70, "=+" * 300)]
+    docs = frame(spark, [(k, f"{a}\n{b}") for k, (a, b) in enumerate(pairs)])
+    assert {r["id"]: r["removed"] for r in line_decisions(docs).collect()} == {k: [1] for k in range(len(pairs))}
+
+
 def test_bucket_filter_holds_the_low_bits(spark):
     values = [0, 1, -1, 2**62 + 5, -(2**63), 123456789]
     bits = bucket_filter(spark.createDataFrame([(v,) for v in values], "bucket long"), 17)

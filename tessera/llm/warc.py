@@ -3,7 +3,7 @@
 ``arc_records`` parses ARC files of versions 1 and 2 by their version block: version 1 header lines have 5 fields,
 version 2 lines 10, read from the right so that blanks in a URL do no harm; the declared length says where the data
 ends. ``convert`` gives each record what WARC wants: an identifier (a name-based UUID of archive and offset, so a rerun
-gives the same), an ISO date from the 14 digits, a type from scheme and data, SHA-1 digests of block and payload. Of
+gives the same), an ISO date from the 14 digits, a type from the data (``HTTP/``: a response, whatever the URL), SHA-1 digests of block and payload. Of
 equal payloads one stays a response, the others become revisits that refer to it.
 
 The archives are written by Spark's own text writer with the record separator as its line separator (a string column
@@ -132,7 +132,7 @@ def parse_arc(data: bytes, where: str = ""):
         body = data[stop + 1:stop + 1 + size]
         if len(body) < size:
             raise ValueError(f"{where}: record at byte {at} ends early")
-        if line.startswith("filedesc://"):
+        if _record_type(fields[0], body) == "warcinfo":
             archive = fields[0].removeprefix("filedesc://")
         yield archive, at, fields[0], fields[1], fields[2], fields[3], body
         at = stop + 1 + size
@@ -152,9 +152,10 @@ def _split_http(kind: str, data: bytes) -> tuple[bytes, bytes]:
 
 
 def _record_type(url: str, data: bytes) -> str:
-    if url.startswith("filedesc://"):
-        return "warcinfo"
-    return "response" if url.lower().startswith(("http:", "https:")) and data.startswith(b"HTTP/") else "resource"
+    # by the archived data: a response may have been fetched from a URL of any scheme, or of none
+    if data.startswith(b"HTTP/"):
+        return "response"
+    return "warcinfo" if url.startswith("filedesc://") else "resource"
 
 
 def _key(head: bytes) -> int | None:

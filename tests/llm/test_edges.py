@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -313,6 +314,19 @@ def test_archives_on_messy_rows(spark):
     assert read_warc(spark, empty).count() == 0
 
 
+def test_archives_of_other_and_missing_schemes(spark):
+    """Every row comes back with its page_id and html, as a response or a revisit, by the query's SQL."""
+    urls = ["http://a/1", "ftp://x/y", "//host/p", "host/p", " http://b/lead", "mailto:a@b", "dns:c", "filedesc://d.arc", "HTTPS://e"]
+    rows = [(k, u, "same" if k < 5 else f"page {k}") for k, u in enumerate(urls)]
+    path = shared_path(spark, "t-pages")
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
+    got = llm.queries()["op3_warc_from_arc"](spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{path.removeprefix('file://')}/pages.parquet/*.parquet')")
+    assert Counter(tuple(r) for r in got) == Counter(con.execute(llm.oracle_sql()["op3_warc_from_arc"]).fetchall())
+
+
 # ---------------------------------------------------------------- 4 language
 
 def test_language_on_messy_rows(spark):

@@ -322,7 +322,8 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     if not isinstance(body.schema["id"].dataType, IntegralType):
         raise TypeError(f"{doc_id} must be of an integer type")
     ties = body.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull()).limit(1).count()
-    tie = F.xxhash64("text") if ties else F.lit(0).cast("bigint")
+    # a column in either case: a literal would be folded into the two joins of the dealt texts, which then share no shuffle
+    tie = F.xxhash64("text") if ties else F.col("id").isNull().cast("bigint")
     return body.select("id", F.coalesce(F.col("id").cast("bigint"), F.lit(_LEAST_ID)).alias("d"), tie.alias("t"), "text")
 
 
@@ -342,18 +343,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.collect_list(F.when(~open_, F.col("place"))).alias("done"), F.collect_list(F.when(open_, F.struct("place", "piece"))).alias("open")), "repeats")
     dealt = keyed.repartition("d", "t")
 
+    # the id is carried here too, so that both joins read one shuffle of the texts
     windows = (dealt.join(verdicts.where(F.size("open") > 0).select("d", "t", "open"), ["d", "t"])
-               .select("d", "t", "text", F.col("open.place").alias("place"), F.col("open.piece").alias("piece"))
+               .select("d", "t", "text", F.col("open.place").alias("place"), F.col("open.piece").alias("piece"), "id")
                .mapInArrow(_open_windows(length), _OPEN)
                .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "piece"))
     half = length // 2
-    pair = F.transform(F.sequence(F.lit(0), F.octet_length("bytes") - length), lambda i: F.struct(
-        (F.shiftright("place", _RUN) + i).alias("p"), F.xxhash64(F.substring("bytes", i + 1, F.lit(half))).alias("a"),
+    none = F.lit(None).cast("bigint")
+    pairs = F.transform(F.sequence(F.lit(0), F.octet_length("bytes") - length), lambda i: F.struct(
+        F.shiftleft(F.shiftright("place", _RUN) + i, _RUN).alias("at"), F.xxhash64(F.substring("bytes", i + 1, F.lit(half))).alias("a"),
         F.xxhash64(F.substring("bytes", i + 1 + half, F.lit(length - half))).alias("z")))
-    starts = windows.where("bytes is not null").select("piece", "d", "t", F.explode(pair).alias("s")).select("piece", "d", "t", "s.*")
-    seen = Window.partitionBy("piece", "a", "z").orderBy("d", "t", "p")
-    late = starts.withColumn("r", F.rank().over(seen)).where("r > 1").select("d", "t", F.shiftleft("p", _RUN).alias("place"))
-    late = late.unionByName(windows.where("bytes is null").select("d", "t", "place")).groupBy("d", "t").agg(F.collect_list("place").alias("late"))
+    settled = F.array(F.struct(F.col("place").alias("at"), none.alias("a"), none.alias("z")))  # repeated within a batch
+    starts = windows.select("piece", "d", "t", F.explode(F.when(F.col("bytes").isNull(), settled).otherwise(pairs)).alias("s")).select("piece", "d", "t", "s.*")
+    seen = Window.partitionBy("piece", "a", "z").orderBy("d", "t", "at")
+    late = (starts.withColumn("r", F.rank().over(seen)).where("r > 1 or a is null")
+            .groupBy("d", "t").agg(F.collect_list("at").alias("late")))
 
     found = dealt.join(verdicts.select("d", "t", "done"), ["d", "t"], "left").join(late, ["d", "t"], "left")
     return (found.select("id", "d", "text", "done", "late").mapInArrow(_cut_out(length), f"doc_id {kind}, n_bytes bigint, "

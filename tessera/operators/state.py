@@ -20,6 +20,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .versions import VersionedTable
+
 # Stage names the ingest writes, and the list the reference's
 # progress view expects (kept as a compatibility option).
 STAGES_EMITTED = ("read", "chunk", "embed")
@@ -288,6 +290,11 @@ def current_run(run_table: DataFrame) -> DataFrame:
                          F.max("started_at").alias("started_at"))
 
 
-def reset(spark, path: str) -> None:
-    """Start a new empty event-table version (overwrite with no rows)."""
-    spark.createDataFrame([], STAGE_EVENT_SCHEMA).write.mode("overwrite").parquet(path)
+def event_table(spark, path: str) -> VersionedTable:
+    """The stage events as a versioned table: a reset is an empty version, and readers of an older one are unharmed."""
+    return VersionedTable(spark, path, STAGE_EVENT_SCHEMA)
+
+
+def reset(spark, path: str) -> int:
+    """Start a new, empty version of the event table; no file is touched. The number of the version."""
+    return event_table(spark, path).reset()

@@ -115,3 +115,22 @@ def auth_fold(actions: DataFrame, user: str, action: str, seq: str, payload_user
     return last.select(
         user, after("pending", "fulfilled", "rejected").alias("is_loading"), signed_in.alias("is_authenticated"),
         F.when(signed_in, who).alias("user"), F.when(failed, message).alias("error"))
+
+
+def auth_fold_single(actions: DataFrame, user: str, action: str, seq: str, payload_user: str, error_message: str | None = None) -> DataFrame:
+    """``auth_fold`` as one aggregate, for streams: per user the last event of each kind with its texts, each the greatest of
+    (seq, texts), so states merge and the order of arrival does not matter. Runs in update mode."""
+    a = F.col(action)
+    said = F.lit(None).cast("string") if error_message is None else F.col(error_message)
+    own = {"fulfilled": F.col(payload_user).cast("string"), "rejected": F.coalesce(said, F.lit(AUTH_FAILED_MESSAGE))}
+    kinds = ("pending", "fulfilled", "rejected", "logout")
+    last = actions.groupBy(user).agg(*[
+        F.max(F.when(a == k, F.struct(F.col(seq).alias("n"), own.get(k, F.lit(None).cast("string")).alias("text")))).alias(f"_{k}") for k in kinds])
+
+    def after(kind: str, *others: str) -> Column:
+        own_n = F.col(f"_{kind}.n")
+        return reduce(lambda x, y: x & y, [F.coalesce(own_n > F.col(f"_{o}.n"), own_n.isNotNull()) for o in others])
+
+    signed_in, failed = after("fulfilled", "logout"), after("rejected", "pending", "logout")
+    return last.select(user, after("pending", "fulfilled", "rejected").alias("is_loading"), signed_in.alias("is_authenticated"),
+                       F.when(signed_in, F.col("_fulfilled.text")).alias("user"), F.when(failed, F.col("_rejected.text")).alias("error"))

@@ -47,35 +47,28 @@ def read_files(spark: SparkSession, root: str, extensions=None,
                max_bytes: int = FS.MAX_FILE_SIZE_BYTES) -> DataFrame:
     """Documents from a directory tree, each file's bytes read once.
 
-    Every extension gets its own binaryFile scan whose glob selects its files
-    at listing time, so a reader only ever opens its own files. The size
-    guard is a ``length`` filter pushed into the scan; the dead-letter
-    branches (too big, no reader) never select ``content``, so those bytes are
-    not read at all.
+    The listing gives every file's row and the dead letters (too big, no reader) without opening any. Every reader gets
+    one scan whose glob selects its extensions at listing time, so it only ever opens its own files; the size guard is
+    a ``length`` filter pushed into the scan.
     """
     reg = default_registry()
-    parts = []
-    for ext in sorted({(e if e.startswith(".") else "." + e).lower()
-                       for e in (extensions or FS.default_extensions())}):
-        scan = FS.binary_files(spark, root, [ext])
+    wanted = sorted({(e if e.startswith(".") else "." + e).lower() for e in (extensions or FS.default_extensions())})
+    listed = FS.discover(spark, root, wanted)
+    dead = listed.filter((F.col("size") > max_bytes) | reg.reader_column("extension").isNull())
+    big = F.col("size") > max_bytes
+    docs = dead.select(
+        "file_id", "path", F.when(big, "ValidationError").otherwise("ReadError").alias("error_type"),
+        F.when(big, F.concat(F.lit("File too large: "), F.col("size").cast("string"), F.lit(" bytes")))
+        .otherwise(reg.error_column("extension")).alias("error"))
+    by_reader: dict[tuple, list[str]] = {}
+    for ext in wanted:
         found = reg.get(ext)
-        meta = FS.with_file_columns(scan)
-        too_big = meta.filter(F.col("size") > max_bytes).select(
-            "file_id", "path", F.lit("ValidationError").alias("error_type"),
-            F.concat(F.lit("File too large: "), F.col("size").cast("string"), F.lit(" bytes")).alias("error"))
-        parts.append(too_big)
-        if found is None or found[1] is None:
-            parts.append(meta.filter(F.col("size") <= max_bytes).select(
-                "file_id", "path", F.lit("ReadError").alias("error_type"), reg.error_column("extension").alias("error")))
-            continue
-        name, reader = found
-        ok = FS.with_file_columns(scan.filter(F.col("length") <= max_bytes), keep_content=True)
-        parts.append(reader(ok).withColumn("reader_type", F.lit(name)))
-    docs = parts[0]
-    for p in parts[1:]:
-        docs = docs.unionByName(p, allowMissingColumns=True)
-    meta_all = FS.with_file_columns(FS.binary_files(spark, root, extensions or FS.default_extensions()))
-    return _with_file(docs, meta_all)
+        if found is not None and found[1] is not None:
+            by_reader.setdefault(found, []).append(ext)
+    for (name, reader), exts in by_reader.items():
+        ok = FS.with_file_columns(FS.binary_files(spark, root, exts).filter(F.col("length") <= max_bytes), keep_content=True)
+        docs = docs.unionByName(reader(ok).withColumn("reader_type", F.lit(name)), allowMissingColumns=True)
+    return _with_file(docs, listed)
 
 
 def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL, cache_path: str | None = None,
@@ -127,9 +120,9 @@ def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL, ca
 
 def ingest(spark: SparkSession, root: str, events_path: str, cache_path: str | None = None,
            run_id: str | None = None, model: str = E.OFFLINE_MODEL, extensions=None) -> DataFrame:
-    """Run the whole ingest on a directory; appends the stage events and
+    """Run the whole ingest on a directory; commits the stage events under the run's id and
     returns the embedded chunk rows."""
     run_id = run_id or f"run_{uuid.uuid4().hex}"
     embedded, events = ingest_frames(read_files(spark, root, extensions), run_id, model, cache_path)
-    events.write.mode("append").parquet(events_path)
+    ST.event_table(spark, events_path).append(events, commit=run_id)
     return embedded

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # filters reach the tasks that list files (sources.listing)
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
     # remove reliable checkpoint files once the checkpointed data is released
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

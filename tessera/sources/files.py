@@ -1,11 +1,9 @@
-"""File discovery, listing, bytes, existence, text decoding and file metadata.
+"""File discovery, listing, bytes, existence and file metadata.
 
-All of it is the ``binaryFile`` source plus column expressions:
-
-* discovery/listing never selects ``content``, so column pruning keeps the
-  bytes out of the scan (ReadSchema shows no ``content``);
-* the size guard is a filter on ``length``, pushed into the scan;
-* text decoding is native (``is_valid_utf8`` / ``decode``).
+* discovery and listing use ``sources.listing``: every file, zero-length and hidden ones too, listed in tasks without
+  opening any;
+* bytes come from the ``binaryFile`` source, and those of the files that it leaves out from ``sources.listing``;
+* the size guard is a filter on ``length``, pushed into the scan.
 
 The same column contract (``path, file_name, extension, size, modified,
 file_id``) is produced for a *virtual* file table derived from the
@@ -20,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import file_id as file_id_expr
-from ..functions.text import file_extension, file_name, normalize_newlines
+from ..functions.text import file_extension, file_name
+from .listing import Store, every_file
 
 # Limits and the supported-extension list of the reference.
 MAX_FILE_SIZE_MB = 100
@@ -35,10 +34,11 @@ def _norm_ext(exts: Iterable[str]) -> list[str]:
 
 def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | None = None,
                  recursive: bool = True) -> DataFrame:
-    """The binaryFile scan; extensions filter at listing time via a glob.
+    """``path, modificationTime, length, content`` of every file: the binaryFile scan, and the files that it leaves out
+    (zero-length and hidden ones).
 
-    The glob is case-sensitive in Hadoop, so each letter is matched in both
-    cases and the exact (lower-cased) test is re-applied.
+    The extensions filter the scan at listing time via a glob. The glob is case-sensitive in Hadoop, so each letter is
+    matched in both cases and the exact (lower-cased) test is re-applied.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     exts = _norm_ext(extensions) if extensions else None
@@ -46,9 +46,11 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
         pats = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in exts]
         reader = reader.option("pathGlobFilter", "*.{" + ",".join(pats) + "}")
     df = reader.load(root)
+    rest = every_file(spark, root, recursive=recursive, content=True, unseen=True)
     if exts:
         df = df.filter(file_extension("path").isin(exts))
-    return df
+        rest = rest.filter(F.col("extension").isin(exts))
+    return df.unionByName(rest.select("path", "modificationTime", "length", "content"))
 
 
 def with_file_columns(df: DataFrame, source: str = "local", keep_content: bool = False) -> DataFrame:
@@ -77,11 +79,12 @@ def default_extensions() -> list[str]:
 
 def discover(spark: SparkSession, root: str, extensions: Iterable[str] | None = None) -> DataFrame:
     """Recursive discovery of files with the given extensions (default: the
-    supported ones and those that have a reader).
+    supported ones and those that have a reader), zero-length files included.
 
-    Content is not read: only listing metadata is selected.
+    No file is opened; the extension filter is pushed into the listing tasks.
     """
-    return with_file_columns(binary_files(spark, root, extensions or default_extensions()))
+    found = every_file(spark, root)
+    return with_file_columns(found.filter(F.col("extension").isin(_norm_ext(extensions or default_extensions()))))
 
 
 LISTING_SCHEMA = ("id string, name string, path string, size bigint, modified timestamp, "
@@ -91,28 +94,41 @@ LISTING_SCHEMA = ("id string, name string, path string, size bigint, modified ti
 def list_files(spark: SparkSession, directory: str, source: str = "local_file") -> DataFrame:
     """Non-recursive connector listing: (id, name, path, size, modified,
     created, type, extension without the dot, source). Sub-directories are
-    skipped; a missing directory gives no rows. The creation time is not
-    exposed by Spark's file source and stays NULL. Content is never read."""
-    try:
-        df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
-    except Exception as e:  # noqa: BLE001 - PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], LISTING_SCHEMA)
-        raise
-    return df.select(
-        F.col("path").alias("id"), file_name("path").alias("name"), "path",
-        F.col("length").cast("bigint").alias("size"), F.col("modificationTime").alias("modified"),
-        F.lit(None).cast("timestamp").alias("created"), F.lit("file").alias("type"),
-        F.regexp_replace(file_extension("path"), r"^\.", "").alias("extension"),
+    skipped; a missing directory gives no rows. Only the local file system
+    knows the time ``created``. Content is never read."""
+    return every_file(spark, directory, recursive=False, must_exist=False).select(
+        F.col("path").alias("id"), "name", "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
+        "created", F.lit("file").alias("type"), F.regexp_replace("extension", r"^\.", "").alias("extension"),
         F.lit(source).alias("source"))
 
 
-def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | None = None) -> DataFrame:
-    """(path, content) for the files under ``root`` (optionally only ``paths``)."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    if paths is not None:
-        df = df.filter(F.col("path").isin(list(paths)))
-    return df.select("path", "content")
+def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """``(path, content, error_type, error)`` of the files under ``root``, or of the wanted ``paths`` (a list, or a table
+    with a column ``path`` for many), absolute or relative to ``root``. A wanted path without a file is a row with a
+    ``ConnectionError``; with ``strict`` it fails the job."""
+    df = binary_files(spark, root).select("path", "content")
+    none = F.lit(None).cast("string")
+    if paths is None:
+        return df.select("path", "content", none.alias("error_type"), none.alias("error"))
+    base = _full_path(root).rstrip("/")
+    if not isinstance(paths, DataFrame):
+        paths = spark.createDataFrame([(p,) for p in paths], "path string")
+    scheme = F.col("path").rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+    own = base.split(":", 1)[0] + ":" if ":" in base else ""
+    full = (F.when(scheme, F.col("path")).when(F.col("path").startswith("/"), F.concat(F.lit(own), F.col("path")))
+            .otherwise(F.concat(F.lit(base + "/"), F.col("path"))))
+    wanted = paths.where("path is not null").select(full.alias("path")).distinct()
+    error = F.when(F.col("_found").isNull(), F.concat(F.lit("File "), "path", F.lit(" does not exist")))
+    if strict:
+        error = F.when(F.col("_found").isNull(), F.raise_error(F.concat(F.lit("ConnectionError: File "), "path", F.lit(" does not exist"))))
+    return (wanted.join(df.withColumn("_found", F.lit(True)), "path", "left")
+            .select("path", "content", F.when(F.col("_found").isNull(), "ConnectionError").alias("error_type"), error.cast("string").alias("error")))
+
+
+def _full_path(root: str) -> str:
+    """The root as it stands before the paths of the scans."""
+    store = Store(root)
+    return store.prefix + store.root
 
 
 def file_exists(ids: DataFrame, files: DataFrame, key: str = "file_id") -> DataFrame:
@@ -129,18 +145,6 @@ def size_guard(files: DataFrame, max_bytes: int = MAX_FILE_SIZE_BYTES, size_col:
     return F.col(size_col) <= F.lit(max_bytes)
 
 
-def decode_text(content) -> Column:
-    """UTF-8 when valid, else ISO-8859-1; CRLF/CR become LF (text-mode read)."""
-    c = F.col(content) if isinstance(content, str) else content
-    text = F.when(F.is_valid_utf8(c), F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
-    return normalize_newlines(text)
-
-
-def detected_encoding(content) -> Column:
-    c = F.col(content) if isinstance(content, str) else content
-    return F.when(F.is_valid_utf8(c), F.lit("utf-8")).otherwise(F.lit("iso-8859-1"))
-
-
 # ---------------------------------------------------------------- virtual files
 
 # Fixed mapping used to give each driver document a file extension.

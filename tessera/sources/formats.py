@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ws_trim
+from ..operators.versions import VersionedTable
 
 REVIEW_COLUMN = "Review Body"
 
@@ -108,13 +109,19 @@ def read_jdbc(spark: SparkSession, options: dict) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
-def write_events(df: DataFrame, path: str) -> None:
-    """Append stage events (the state is never rewritten in place)."""
-    df.write.mode("append").parquet(path)
+def write_events(df: DataFrame, path: str, commit: str | None = None) -> bool:
+    """Append stage events as one version of the event table (the state is never rewritten in place); a named commit
+    that is in the table already adds nothing."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return VersionedTable(df.sparkSession, path, schema).append(df, commit)
 
 
-def read_events(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Events with an explicit schema; an absent table reads as empty."""
+def read_events(spark: SparkSession, path: str, schema: str, version: int | None = None) -> DataFrame:
+    """Events with an explicit schema, of the newest or the given version; a folder of plain Parquet files reads as it is, an
+    absent table as empty."""
+    events = VersionedTable(spark, path, schema)
+    if events.versions():
+        return events.read(version)
     try:
         return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001

@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.encoding import decode_as, text_encoding
 from ..functions.text import char_count, normalize_newlines, word_count
-from .files import decode_text, detected_encoding
 
 DOCX_SCHEMA = (
     "file_id string, path string, content string, paragraphs array<string>, "
@@ -38,13 +38,11 @@ _CORE = {
 
 def read_text_files(files: DataFrame, encoding: str = "utf-8") -> DataFrame:
     """Text files in the given encoding. Bytes that are not UTF-8 where UTF-8
-    is expected are read as ISO-8859-1."""
-    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
-        text, used = decode_text("content"), detected_encoding("content")
-    else:
-        text, used = normalize_newlines(F.decode("content", encoding)), F.lit(encoding.lower())
+    is expected are read by the encoding that is detected."""
+    files = files.select("file_id", "path", "content", text_encoding("content", encoding).alias("encoding"))
+    text = decode_as("content", "encoding") if encoding.lower().replace("_", "-") in ("utf-8", "utf8") else F.decode("content", encoding)
     return files.select(
-        "file_id", "path", text.alias("content"), used.alias("encoding"),
+        "file_id", "path", normalize_newlines(text).alias("content"), "encoding",
         F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("string").alias("error"),
     ).withColumn("word_count", word_count("content")).withColumn("character_count", char_count("content"))
 

@@ -28,7 +28,7 @@ DOC_TYPES = {
     ".pptx": "PPTXDocument",
 }
 # Extensions handled by the built-in readers and the reader names.
-BUILTIN_READERS = {".txt": "TxtReader", ".text": "TxtReader", ".docx": "DocReader", ".doc": "DocReader"}
+BUILTIN_READERS = {".txt": "TxtReader", ".text": "TxtReader", ".md": "TxtReader", ".log": "TxtReader", ".docx": "DocReader", ".doc": "DocReader"}
 
 
 def doc_type(ext) -> Column:

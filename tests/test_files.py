@@ -61,13 +61,12 @@ def test_discovery_listing_and_pruning(spark, tmp_path):
     build_tree(root)
     found = FS.discover(spark, root)
     names = sorted(r["file_name"] for r in found.collect())
-    # Spark's file scan skips zero-length files, so empty.txt is not listed
-    assert names == ["B.TXT", "a.txt", "doc.docx", "notes.text", "scan.pdf"]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert names == ["B.TXT", "a.txt", "doc.docx", "empty.txt", "notes.text", "scan.pdf"]
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()  # no file is opened
     listed = FS.list_files(spark, root)
     rows = {r["name"]: r for r in listed.collect()}
-    assert sorted(rows) == ["a.txt", "noext", "notes.text", "scan.pdf"]
+    assert sorted(rows) == ["a.txt", "empty.txt", "noext", "notes.text", "scan.pdf"] and rows["empty.txt"]["size"] == 0
+    assert all(r["created"] is not None for r in rows.values())
     assert rows["a.txt"]["extension"] == "txt" and rows["noext"]["extension"] == ""
     assert rows["a.txt"]["type"] == "file" and rows["a.txt"]["id"] == rows["a.txt"]["path"]
     assert FS.list_files(spark, root + "/missing").count() == 0
@@ -92,6 +91,7 @@ def test_read_files_text_docx_and_dead_letter(spark, tmp_path):
     assert docs["notes.text"]["content"] == "   " and docs["notes.text"]["word_count"] == 0
     assert docs["doc.docx"]["paragraphs"][0] == "Bold plain" and docs["doc.docx"]["doc_type"] == "DocxDocument"
     assert docs["scan.pdf"]["error_type"] == "ReadError"
+    assert docs["empty.txt"]["content"] == "" and docs["empty.txt"]["error"] is None and docs["empty.txt"]["word_count"] == 0
 
 
 def test_ingest_writes_stage_events(spark, tmp_path):
@@ -105,7 +105,7 @@ def test_ingest_writes_stage_events(spark, tmp_path):
     prog = {r["file_id"]: r for r in ST.progress(ST.fold_stages(ev)).collect()}
     statuses = sorted(r["status"] for r in prog.values())
     assert statuses.count("failed_at_read") == 1  # the pdf
-    assert statuses.count("completed") == 3
+    assert statuses.count("completed") == 4  # the empty file is a document without chunks
 
 
 def test_formats(spark, tmp_path):
@@ -178,7 +178,7 @@ def test_reviews_batches_of_20_20_5(spark, tmp_path):
 def test_reader_registry_behaviour(spark, tmp_path):
     from tessera.sources.registry import ReaderRegistry, default_registry
     reg = default_registry()
-    assert reg.supported() == [".doc", ".docx", ".text", ".txt"]
+    assert reg.supported() == [".doc", ".docx", ".log", ".md", ".text", ".txt"]
     try:
         reg.reader_name(".pdf")
         raise AssertionError("expected ValueError")

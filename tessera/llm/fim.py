@@ -181,7 +181,7 @@ def restore(outputs: DataFrame, form: str = "form", output: str = "output", name
             b, off = byte_view(batch.column(where))
             kind = batch.column(batch.num_columns - 1)
             lost = ~(batch.column(where).is_valid().to_numpy(zero_copy_only=False) & kind.is_valid().to_numpy(zero_copy_only=False))
-            kind = kind.fill_null(0).to_numpy(zero_copy_only=False)
+            kind = np.where(lost, 0, kind.fill_null(0).to_numpy(zero_copy_only=False))
             for lo, hi in groups(off):
                 texts, to = gather(b[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], kind[lo:hi])
                 texts = _strings(texts, to)

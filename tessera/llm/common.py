@@ -51,3 +51,19 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     path = shared_path(df.sparkSession, kind)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def join_back(rows: DataFrame, per: DataFrame, key: str, n: str, how: str = "inner", share: int = 256) -> DataFrame:
+    """``rows`` joined with ``per``, which has one row a ``key`` and the number ``n`` of that key's rows, and which the caller
+    has cut or written. A key with more than 1 / ``share`` of all rows (by count there are fewer than ``share``, so they
+    are broadcast) is dealt over as many tasks as it holds shares, and its one row is sent to each of them. ``rows`` is
+    read once. ``n`` is dropped. Null keys match nothing and are dealt out too."""
+    total = per.agg(F.sum(n)).first()[0] or 0
+    part, parts = internal("part", [*rows.columns, *per.columns]), internal("parts", [*rows.columns, *per.columns])
+    split = F.greatest(F.lit(1), F.ceil(F.col(n) * share / F.lit(max(total, 1)))).cast("int")
+    dealt = per.withColumn(parts, split)
+    heavy = dealt.where(F.col(parts) > 1).select(key, parts)
+    own, own_hash = rows.join(F.broadcast(heavy), key, "left"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    own = own.withColumn(part, F.coalesce(F.pmod(own_hash, F.when(F.col(key).isNull(), share).otherwise(F.col(parts))), F.lit(0)).cast("int")).drop(parts)
+    each = dealt.withColumn(part, F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).drop(parts, n)
+    return own.join(each, [key, part], how).drop(part)

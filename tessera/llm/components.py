@@ -1,9 +1,11 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
 Each round is two joins of the edges with the least neighbour of a node. That least neighbour is an aggregate with
-map-side partial results (one row per node), so a hub with any number of edges is never gathered in one task, and the
-edge side of the join can be split by AQE. Rounds grow with the logarithm of the component size. The lineage is cut
-by a reliable checkpoint each round; only the edge count and a checksum reach the driver.
+map-side partial results (one row per node) and is written before the join; the edges of a node that holds a share of all
+edges are dealt over tasks (``common.join_back``), so a hub is never gathered in one. Rounds grow with the logarithm of
+the component size. Every step is a written table: it cuts the lineage, and its size is known (Spark multiplies the sizes
+of joined inputs, and over rounds of checkpoints, which keep such guesses, the numbers would grow without end). Only
+counts and a checksum reach the driver.
 """
 
 from __future__ import annotations
@@ -11,18 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import join_back, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Edges (u, v) with u > v. Link every neighbour (larger ones, or the node and its smaller ones) to the least."""
     if large:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("_n")), "least")
+        # the larger neighbours of a node: the edges turned round
+        out = join_back(edges.select(F.col("v").alias("u"), F.col("u").alias("v")), least, "u", "_n").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        out = (edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = written(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n")), "least")
+        out = (join_back(edges.select("u", "v"), least, "u", "_n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                .union(least.select("u", F.col("m").alias("v"))))
     return out.where("u <> v").distinct()
 
@@ -33,12 +36,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Null ends and self-loops are ignored; repeated edges change nothing; an empty table gives an empty one. Raises
     if ``max_rounds`` rounds don't suffice (never silently partial).
     """
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     seen = _state(now)
     for _ in range(max_rounds):
         if not seen[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        now = cut(_star(_star(now, large=True), large=False))
+        now = written(_star(written(_star(now, large=True), "edges"), large=False), "edges")
         state = _state(now)
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

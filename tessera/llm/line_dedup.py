@@ -13,7 +13,7 @@ Scale: the bucket counts are an aggregate with map-side partial results (a band
 its bucket, a line itself if it is at two places), and the buckets that matter become a filter of fixed size
 (``filter_bits``), the only thing broadcast. A second pass over the documents lets only lines in such buckets go on;
 the filter's false hits cost rows, not results. Candidates are then compared in block tasks (``lsh``) and joined into
-components (``components``). Nothing is shuffled of the lines that are unlike all others.
+components (``components``). Of the lines that are unlike all others only the bucket hashes of the first pass are shuffled.
 
 Defined results
 - null text has no line; blank lines are never removed and never counted as equal;
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, written
+from .common import cut, join_back, written
 from .components import connected_components
 from .lsh import link_classes
 from .shingles import band_hashes, minhash, mix64, stream
@@ -277,11 +277,11 @@ def line_decisions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "tk", "line")
     lines = found.select("id", "tk", "line", "key")
     # lines at one place only and without a link are a component of their own
-    seen = cut(lines.groupBy("key").agg(F.min(first).alias("first")).join(roots.withColumnRenamed("node", "key"), "key", "left")
-               .select("key", "first", F.coalesce("root", "key").alias("root")))
-    stays = seen.groupBy("root").agg(F.min("first").alias("stays"))
-    keep = seen.select("key", "root").join(stays, "root").select("key", "stays")
-    gone = (lines.join(keep, "key").where(~F.expr("id <=> stays.id and tk = stays.tk and line = stays.line"))
+    seen = cut(lines.groupBy("key").agg(F.min(first).alias("first"), F.count("*").alias("n"))
+               .join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "first", "n", F.coalesce("root", "key").alias("root")))
+    stays = cut(seen.groupBy("root").agg(F.min("first").alias("stays"), F.count("*").alias("_n")))
+    keep = cut(join_back(seen.select("key", "root", "n"), stays, "root", "_n").select("key", "stays", "n"))
+    gone = (join_back(lines, keep, "key", "n").where(~F.expr("id <=> stays.id and tk = stays.tk and line = stays.line"))
             .groupBy("id", "tk").agg(F.sort_array(F.collect_set("line")).alias("removed")))
     n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(_WHITE)) != ""))
     rows = body.select("id", digest.alias("tk"), n_lines.cast("bigint").alias("n_lines"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, internal
+from .common import cut, internal, join_back
 from .components import connected_components
 from .lsh import link_classes
 from .shingles import band_hashes, distinct, minhash, set_key, word_shingles
@@ -100,11 +100,11 @@ def near_links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thre
                .join(roots.withColumnRenamed("node", "key"), "key", "left")
                .where("n > 1 or _links is not null").withColumn("root", F.coalesce("root", "key")))
     grouped = cut(grouped)
-    stands = grouped.groupBy("root").agg(F.min("first").alias("stand"))
-    decided = (grouped.join(stands, "root")
-               .select("key", F.col("n").alias("copies"), (F.col("n") - 1 + F.coalesce("_links", F.lit(0))).alias("links"),
-                       F.col("stand.id").alias("class_id"), F.col("stand.tk").alias("class_tk")))
-    return (rows.select("id", "tk", "key").join(decided, "key", "left")
+    stands = cut(grouped.groupBy("root").agg(F.min("first").alias("stand"), F.count("*").alias("_n")))
+    decided = cut(join_back(grouped, stands, "root", "_n")
+                  .select("key", F.col("n").alias("copies"), (F.col("n") - 1 + F.coalesce("_links", F.lit(0))).alias("links"),
+                          F.col("stand.id").alias("class_id"), F.col("stand.tk").alias("class_tk"), F.col("n").alias("_n")))
+    return (join_back(rows.select("id", "tk", "key"), decided, "key", "_n", "left")
             .select("id", "tk", F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("class_tk", "tk").alias("class_tk"), F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"),
                     F.coalesce("links", F.lit(0)).cast("bigint").alias("links")))

@@ -35,7 +35,6 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     blocks = -(-n // block)
     v = np.zeros((blocks, block + _EDGE), np.uint64)
-    v[:, :block].reshape(-1)  # the view below needs the padded layout
     flat = np.zeros(blocks * block, np.uint64)
     flat[:n] = ids
     v[:, :block] = flat.reshape(blocks, block)

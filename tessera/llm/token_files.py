@@ -97,6 +97,21 @@ def segments(content: bytes):
         yield part, number, [None if z else int(k) for k, z in zip(key, null)], count.astype(int), unpack(words, offsets, n_ids, block)
 
 
+def _heads(batches):
+    """Part, number and ids of every segment, from the heads; nothing is unpacked."""
+    for b in batches:
+        found = []
+        for content in b.column(0):
+            content, at = memoryview(content.as_buffer()), 0
+            while at < len(content):
+                magic, part, number, n_docs, n_ids, block, n_words = (int(x) for x in np.frombuffer(content, "<u8", HEAD, at))
+                if magic != MAGIC:
+                    raise ValueError(f"no segment at byte {at}")
+                found.append((part, number, n_ids))
+                at += 8 * (HEAD + 3 * n_docs + -(-n_ids // block) + 1 + n_words + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), (), ()))], names=["part", "segment", "_n"])
+
+
 def _digests(batches):
     for b in batches:
         for content in b.column(0):
@@ -135,7 +150,8 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from its decoded ids."""
     rows = _content(spark, path).mapInArrow(
         _digests, "part bigint, segment bigint, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
-    sizes = rows.groupBy("part", "segment").agg(F.sum("n_tokens").alias("_n"))
+    # the ids before a segment follow from the heads, so the files are decoded once
+    sizes = _content(spark, path).mapInArrow(_heads, "part bigint, segment bigint, _n bigint")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     parts = (sizes.groupBy("part").agg(F.sum("_n").alias("_p"))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import cut, join_back, shared_path
 
 # Fixed values of the two formats.
 ARC_FIELDS = {
@@ -196,8 +196,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int =
     """Write the records of the ARC files below ``arc_path`` as WARC files below ``warc_path``."""
     slim = arc_records(spark, arc_path, with_data=False).where(F.col("payload_bytes") >= min_bytes)
     order = F.struct(F.col("key"), "date", "record_id", "uri")
-    best = slim.groupBy("payload_digest").agg(F.max(order).alias("best"), F.count("*").alias("n")).where("n > 1")
-    revisits = (slim.select("payload_digest", "record_id").join(best, "payload_digest")
+    best = cut(slim.groupBy("payload_digest").agg(F.max(order).alias("best"), F.count("*").alias("n")).where("n > 1"))
+    revisits = (join_back(slim.select("payload_digest", "record_id"), best, "payload_digest", "n")
                 .where("record_id <> best.record_id")
                 .select("record_id", F.col("best.record_id").alias("refers_to"), F.col("best.uri").alias("refers_uri"),
                         F.col("best.date").alias("refers_date")))

@@ -14,8 +14,8 @@ most about ``block_items`` shingles (32 MB by default); more items mean more blo
 broadcast.
 
 Defined results
-- null or empty text (either side): no match; items of fewer than ``shingle`` words never match, as a shorter phrase
-  is no evidence of a leak;
+- null or empty text (either side): no match; an item of fewer than ``shingle`` words is one shingle, its run of words, and
+  matches the documents that hold this run;
 - repeated documents or items each give their own rows; empty tables give empty results;
 - extra columns stay (``decontaminate``) or are ignored (``contained_items``).
 """
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .shingles import mix64, word_hashes, word_shingles
 
@@ -45,12 +46,21 @@ class _Partition:
 class ItemIndex:
     """Sketches and sets of one block of items."""
 
-    def __init__(self, ids: list, sets: list[np.ndarray], threshold: float):
-        self.ids, self.sets, self.threshold = ids, sets, threshold
+    def __init__(self, ids: list, sets: list[np.ndarray], threshold: float, words: list[int] | None = None, shingle: int = 5):
+        """``words``: the number of words of each item; below ``shingle`` its set is the hash of its run of words."""
+        self.ids, self.sets, self.threshold, self.shingle = ids, sets, threshold, shingle
+        words = np.array(words if words is not None else [shingle] * len(ids))
+        # items of one short length: the hashes of their runs, sorted, and whose they are
+        self.short = {}
+        for n in np.unique(words[words < shingle]):
+            own = np.flatnonzero(words == n)
+            runs = np.array([sets[i][0] for i in own])
+            order = np.argsort(runs, kind="stable")
+            self.short[int(n)] = (runs[order], own[order])
         size = np.array([len(s) for s in sets])
-        classes = np.floor(np.log2(np.maximum(size, 1))).astype(int)
+        classes = np.where(words < shingle, -1, np.floor(np.log2(np.maximum(size, 1))).astype(int))
         self.partitions = []
-        for c in np.unique(classes):
+        for c in np.unique(classes[classes >= 0]):
             values, items = [], []
             for i in np.flatnonzero(classes == c):
                 missing = int((1 - threshold) * size[i] + 1e-9)
@@ -65,6 +75,17 @@ class ItemIndex:
         for p in self.partitions:
             self.seen[p.values >> np.uint64(64 - _FILTER_BITS)] = True
 
+    def search(self, texts: pa.Array) -> list[tuple[int, int, int]]:
+        """``find`` in whole texts, and the short items."""
+        out = self.find(*word_shingles(texts, self.shingle))
+        for n, (runs, items) in self.short.items():
+            values, offsets = word_shingles(texts, n)
+            lo, hi = np.searchsorted(runs, values, "left"), np.searchsorted(runs, values, "right")
+            at = np.flatnonzero(hi > lo)
+            doc = np.searchsorted(offsets, at, "right") - 1
+            out += sorted({(int(d), int(i), 1) for d, x in zip(doc, at) for i in items[lo[x]:hi[x]]})
+        return out
+
     def find(self, values: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(document, item, shared shingles) of all items contained at the threshold or above."""
         at = np.flatnonzero(self.seen[values >> np.uint64(64 - _FILTER_BITS)])
@@ -93,12 +114,13 @@ class ItemIndex:
 def _item_sets(shingle: int):
     def run(batches):
         for b in batches:
-            words, off = word_hashes(b.column(1))
+            n = np.diff(word_hashes(b.column(1))[1])
             values, at = word_shingles(b.column(1), shingle)
-            long_enough = np.diff(off) >= shingle
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
-                [np.unique(values[a:z]).tobytes() if ok else b"" for a, z, ok in zip(at[:-1], at[1:], long_enough)],
-                pa.binary())], names=["item_id", "items"])
+            sets = [np.unique(values[a:z]) for a, z in zip(at[:-1], at[1:])]
+            for i in np.flatnonzero((n > 0) & (n < shingle)):
+                sets[i] = word_shingles(b.column(1).slice(i, 1), int(n[i]))[0]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(n, pa.int64())],
+                                             names=["item_id", "items", "words"])
     return run
 
 
@@ -106,13 +128,14 @@ def _blocks(items: DataFrame, text: str, item_id: str, threshold: float, shingle
     """The indexes of the blocks of items, one at a time."""
     kind = items.schema[item_id].dataType.simpleString()
     sets = (items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text"))
-            .mapInArrow(_item_sets(shingle), f"item_id {kind}, items binary").where("length(items) > 0"))
+            .mapInArrow(_item_sets(shingle), f"item_id {kind}, items binary, words bigint").where("length(items) > 0"))
     total = sets.agg(F.sum(F.length("items") / 8)).first()[0] or 0
     n = int(total // block_items) + 1
     for k in range(n if total else 0):
         rows = sets.where(F.pmod(F.xxhash64("items"), F.lit(n)) == k).orderBy("item_id").collect()
         if rows:
-            yield kind, ItemIndex([r.item_id for r in rows], [np.frombuffer(r["items"], np.uint64) for r in rows], threshold)
+            yield kind, ItemIndex([r.item_id for r in rows], [np.frombuffer(r["items"], np.uint64) for r in rows], threshold,
+                                  [r["words"] for r in rows], shingle)
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5, text: str = "text",
@@ -121,8 +144,8 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, s
     """``(doc_id, item_id, n_shared, n_item)`` for every item whose shingles are in the document at the threshold."""
     body = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = body.schema["doc_id"].dataType.simpleString()
-    item_kind = items.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, n_shared bigint, n_item bigint"
+    item_type = items.schema[item_id].dataType
+    schema = f"doc_id {kind}, item_id {item_type.simpleString()}, n_shared bigint, n_item bigint"
     found = None
     for _, index in _blocks(items, item_text, item_id, threshold, shingle, block_items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -132,11 +155,11 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, s
             for b in batches:
                 for at in range(0, b.num_rows, 256):
                     part = b.slice(at, 256)
-                    hits = index.find(*word_shingles(part.column(1), shingle))
+                    hits = index.search(part.column(1))
                     if hits:
                         d, i, s = (list(x) for x in zip(*hits))
                         yield pa.RecordBatch.from_arrays(
-                            [part.column(0).take(pa.array(d)), pa.array([index.ids[x] for x in i], _arrow_type(item_kind)),
+                            [part.column(0).take(pa.array(d)), pa.array([index.ids[x] for x in i], to_arrow_type(item_type)),
                              pa.array(s, pa.int64()), pa.array([len(index.sets[x]) for x in i], pa.int64())],
                             names=["doc_id", "item_id", "n_shared", "n_item"])
 
@@ -145,10 +168,6 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8, s
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _arrow_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5, text: str = "text",
                   item_text: str = "text", item_id: str = "item_id", block_items: int = 4_000_000) -> DataFrame:
     """The documents that contain no item, rows and columns as in the input."""
@@ -163,7 +182,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shi
                 for at in range(0, b.num_rows, 256):
                     part = b.slice(at, 256)
                     clean = np.ones(part.num_rows, bool)
-                    for d, _, _ in index.find(*word_shingles(part.column(at_text), shingle)):
+                    for d, _, _ in index.search(part.column(at_text)):
                         clean[d] = False
                     yield part.filter(pa.array(clean))
 

@@ -22,6 +22,10 @@ SELECT d.doc_id, q.item_id, n_shared::BIGINT AS n_shared, n_item::BIGINT AS n_it
        n_shared::DOUBLE / n_item AS containment
 FROM h JOIN n USING (qid) JOIN d USING (rid) JOIN q USING (qid)
 WHERE n_shared >= 0.8 * n_item - 1e-9
+UNION ALL
+SELECT d.doc_id, q.item_id, 1, 1, 1.0
+FROM q JOIN d ON contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(q.w, ' ') || ' ')
+WHERE len(q.w) BETWEEN 1 AND 4
 """
 
 

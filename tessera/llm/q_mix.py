@@ -9,7 +9,7 @@ from .registry import register
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
-         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, ':' || md5(coalesce(text, '')))), 1, 15))::BIGINT AS key
   FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w FROM s),

@@ -21,7 +21,7 @@ tri AS (
 dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM tri) WHERE n > 1),
 cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i+1, i+2]) AS p FROM dup) GROUP BY rid),
 m AS (
-  SELECT b.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+  SELECT b.doc_id, t, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(ln) AS n_lines, len(ln) - len(list_distinct(ln)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
          len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter,
@@ -33,8 +33,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.1 AND n_letter / n_words >= 0.7
-         AND n_stop / n_words >= 0.03 AND coalesce(n_dup_lines / nullif(n_lines, 0), 0) <= 0.5
+         AND (strlen(t) >= 2.2 * length(t) OR word_chars / n_words BETWEEN 2 AND 15) AND n_symbols / n_words <= 0.1 AND n_letter / n_words >= 0.7
+         AND (strlen(t) >= 1.4 * length(t) OR n_stop / n_words >= 0.03) AND coalesce(n_dup_lines / nullif(n_lines, 0), 0) <= 0.5
          AND coalesce(n_ell / nullif(n_lines, 0), 0) <= 0.5 AND coalesce(n_bul / nullif(n_lines, 0), 0) <= 0.9 AS kept
 FROM m
 """

@@ -9,6 +9,8 @@ over the scan: no user functions, no shuffle, whole texts.
 Defined results
 - null or empty text: no words, every count 0, ``base_failed`` true;
 - a ratio with denominator 0 is 0;
+- the stop-word rule speaks of texts in Latin script only, for which the lists are; a text in another script passes it;
+- in a script without blanks a text counts half its characters as words, and its words have no mean length;
 - repeated rows each get their own verdict; an empty table gives an empty one;
 - input columns keep their names; the added columns get the given ``prefix``,
   so an extra input column of the same name is a clash only if the caller
@@ -24,13 +26,28 @@ from pyspark.sql import functions as F
 
 from .common import NON_SPACE, SPACE, settled
 
-# Frequent function words of English, French, German and Spanish.
+# Frequent function words of languages in Latin script: English, French, German, Spanish, Italian, Portuguese,
+# Dutch, Polish, Czech, Swedish and Danish, Finnish, Hungarian, Romanian, Turkish, Indonesian.
 STOP_WORDS = (
     "the be to of and that have with a in is it for as on by or an are at this from was not "
     "de la le les des et en un une que qui dans du pour est par sur avec au aux plus "
     "der die das und zu den dem ein eine im ist mit auf für von sich nicht "
-    "el los las del y se con para es al lo como su no"
+    "el los las del y se con para es al lo como su no "
+    "il di che non per della sono una gli "
+    "os da em um uma não dos mais foi "
+    "het een van dat op te zijn niet voor "
+    "na nie się jest jak przez oraz przy "
+    "že ve jsou který při podle také "
+    "och att det som på är av til ikke "
+    "ja on ei että se ovat mutta myös "
+    "az és hogy nem egy volt csak "
+    "și care din pentru sunt într "
+    "ve bir bu için ile olarak daha "
+    "yang dan di dari untuk dengan pada ini"
 ).split()
+# Bytes a character: below 1.4 a text is mostly in Latin script, for which there are stop words; from 2.2 on it is in a script
+# of three bytes a character, mostly written without blanks, whose words are taken as two characters each.
+LATIN_BYTES, UNSPACED_BYTES = 1.4, 2.2
 
 # The threshold table: (rule, metric, low, high).
 DEFAULT_RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
@@ -47,22 +64,23 @@ DEFAULT_RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
 
 # Metric -> SQL over the base columns ({p} is the column prefix).
 METRICS = {
-    "n_words": "cast({p}n_words as double)",
+    "n_words": "case when {p}unspaced then greatest({p}n_words, {p}word_chars / 2D) else cast({p}n_words as double) end",
     "repeat_ratio": "coalesce({p}n_repeat_words / nullif({p}n_words, 0), 0D)",
-    "mean_word_chars": "coalesce({p}word_chars / nullif({p}n_words, 0), 0D)",
+    "mean_word_chars": "case when {p}unspaced then 2D else coalesce({p}word_chars / nullif({p}n_words, 0), 0D) end",
     "symbol_ratio": "coalesce({p}n_symbols / nullif({p}n_words, 0), 0D)",
     "letter_ratio": "coalesce({p}n_letter_words / nullif({p}n_words, 0), 0D)",
-    "stop_ratio": "coalesce({p}n_stop_words / nullif({p}n_words, 0), 0D)",
+    "stop_ratio": "case when {p}listed then coalesce({p}n_stop_words / nullif({p}n_words, 0), 0D) else 1D end",
     "dup_line_ratio": "coalesce({p}n_dup_lines / nullif({p}n_lines, 0), 0D)",
     "ellipsis_ratio": "coalesce({p}n_ellipsis_lines / nullif({p}n_lines, 0), 0D)",
     "bullet_ratio": "coalesce({p}n_bullet_lines / nullif({p}n_lines, 0), 0D)",
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words",
-        "n_stop_words", "n_ellipsis_lines", "n_bullet_lines")
+        "n_stop_words", "n_ellipsis_lines", "n_bullet_lines", "listed", "unspaced")
 
 
 def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """Add the base columns (long) to every row.
+    """Add the base columns to every row: counts (long); ``listed``, whether the text is in a script for which there are stop
+    words; ``unspaced``, whether it is in one that is mostly written without blanks (both by its bytes a character).
 
     ``n_repeat_words`` counts the words covered by 3-word windows that occur
     at least twice. Windows are hashed, packed with their position into one
@@ -110,7 +128,9 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
            .withColumn(f"{prefix}n_ellipsis_lines", F.expr(
                f"cast(size(filter(`{ln}`, x -> x rlike '(\\\\.\\\\.\\\\.|\\u2026){_sql(SPACE)}*$')) as bigint)"))
            .withColumn(f"{prefix}n_bullet_lines", F.expr(
-               f"cast(size(filter(`{ln}`, x -> x rlike '^{_sql(SPACE)}*[-*\\u2022]')) as bigint)")))
+               f"cast(size(filter(`{ln}`, x -> x rlike '^{_sql(SPACE)}*[-*\\u2022]')) as bigint)"))
+           .withColumn(f"{prefix}listed", F.octet_length(t) < F.length(t) * LATIN_BYTES)
+           .withColumn(f"{prefix}unspaced", (F.length(t) > 0) & (F.octet_length(t) >= F.length(t) * UNSPACED_BYTES)))
     return out.drop(t, w, h, g, b, k, d, q, ln)
 
 

@@ -59,6 +59,22 @@ def same_columns(a, b):
 
 # ---------------------------------------------------------------- 10 quality rules
 
+def test_clean_prose_of_other_languages_is_kept(spark):
+    """A page of prose each, fifty words and more; the same words shuffled into lists of symbols go."""
+    prose_of = {
+        "ru": "Вечером в старом доме у реки собрались соседи и долго говорили о том как прошло лето и что ждет их осенью когда начнутся дожди дорога станет трудной и до города можно будет добраться только пешком через лес или на лодке по тихой воде мимо мельницы где раньше работал дед нашего учителя который знал каждое дерево и каждого рыбака на этом берегу",
+        "el": "Το βράδυ στο παλιό σπίτι δίπλα στο ποτάμι μαζεύτηκαν οι γείτονες και μιλούσαν πολλή ώρα για το πώς πέρασε το καλοκαίρι και τι τους περιμένει το φθινόπωρο όταν αρχίσουν οι βροχές ο δρόμος θα γίνει δύσκολος και ως την πόλη θα φτάνει κανείς μόνο με τα πόδια μέσα από το δάσος ή με βάρκα στο ήσυχο νερό δίπλα στον μύλο όπου παλιά δούλευε ο παππούς του δασκάλου μας",
+        "zh": "傍晚时分,邻居们聚在河边的老房子里,谈了很久夏天是怎样过去的,以及秋天下雨的时候会有什么事情。路会变得难走,要进城只能步行穿过树林,或者坐船沿着平静的水面经过磨坊。从前我们老师的爷爷在那里工作,他认得岸边的每一棵树和每一个渔夫。大家都说今年的收成比去年好得多。",
+        "it": "La sera nella vecchia casa vicino al fiume si riunirono i vicini e parlarono a lungo di come era passata la stagione calda e di che cosa li aspettava quando sarebbero cominciate le piogge. La strada diventa difficile e in città si arriva solo a piedi per il bosco oppure in barca sopra una acqua tranquilla davanti al mulino dove prima lavorava il nonno del nostro maestro",
+        "pl": "Wieczorem w starym domu przy rzece zebrali się sąsiedzi i długo rozmawiali o tym jak minęło lato oraz co ich czeka jesienią kiedy zaczną się deszcze droga nie jest łatwa a do miasta można dojść tylko pieszo przez las albo łodzią po cichej wodzie obok młyna gdzie dawniej pracował dziadek naszego nauczyciela który znał każde drzewo i każdego rybaka na tym brzegu",
+    }
+    rows = [(k, t, True) for k, t in prose_of.items()] + [(k + "-list", " ".join(f"* {w} #" for w in t.split()) + " ## **" * 40, False) for k, t in prose_of.items()]
+    docs = spark.createDataFrame(rows, "k string, text string, keep boolean")
+    out = {r["k"]: (r["kept"], r["failed_rules"]) for r in apply_rules(docs).collect()}
+    assert {k for k, v in out.items() if v[0]} == set(prose_of), out
+    assert {r["k"] for r in filter_quality(docs).collect()} == set(prose_of)
+
+
 def test_quality_on_messy_rows(spark):
     docs = frame(spark, MESSY)
     rows = apply_rules(docs, prefix="x_").select("doc_id", "text", "x_n_words", "x_n_repeat_words", "x_kept", "x_failed_rules").collect()
@@ -141,8 +157,10 @@ def test_mix_on_messy_rows(spark):
     out = mix(docs)
     same_columns(out, docs)
     rows = out.collect()
-    n = sum(len((r["text"] or "").split()) for r in rows)
-    assert abs(n - 1.5 * sum(len((r[1] or "").split()) for r in MESSY)) <= 3
+    n, sizes = sum(len((r["text"] or "").split()) for r in rows), [len((r[1] or "").split()) for r in MESSY]
+    assert 1.5 * sum(sizes) - max(sizes) <= n <= 1.5 * sum(sizes) + 1
+    assert {r["text"] for r in rows} <= {r[1] for r in MESSY}  # whole documents only
+    assert all(k <= 2 * sum(1 for m in MESSY if m[1] == t) for t, k in Counter(r["text"] for r in rows).items())
     assert all(r["text"] for r in rows)
     assert sorted(map(str, rows)) == sorted(map(str, mix(docs.repartition(3)).collect()))
     assert mix(docs.limit(0)).count() == 0
@@ -151,6 +169,30 @@ def test_mix_on_messy_rows(spark):
     assert plan.where("size = 0 and taken > 0").count() == 0
 
 
+def test_mix_of_whole_documents(spark):
+    """Every source within a document of its target, and the stream cut at the total budget, in any layout."""
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    size = {r["doc_id"]: len(r["text"].split()) for r in docs.collect()}
+    target = {r["source"]: r["target"] for r in schedule(docs, keep=["doc_id"]).select("source", "target").distinct().collect()}
+    rows = mix(docs, seed=3).collect()
+    own, most = Counter(), Counter()
+    for r in docs.collect():
+        most[r["source"]] = max(most[r["source"]], size[r["doc_id"]])
+    for r in rows:
+        own[r["source"]] += size[r["doc_id"]]
+    assert all(abs(own[s] - t) <= most[s] for s, t in target.items())
+    assert sum(target.values()) - max(most.values()) <= sum(own.values()) <= sum(target.values()) + 1
+    assert max(Counter(r["doc_id"] for r in rows).values()) == 2
+    assert Counter(map(str, rows)) == Counter(map(str, mix(docs.repartition(7), seed=3).collect()))
+    assert {tuple(r) for r in rows} <= {tuple(r) for r in docs.collect()}
+
+
+def test_null_ids_do_not_share_a_bucket(spark):
+    rows = spark.createDataFrame([(None, f"text {i} of many", "s") for i in range(300)], "doc_id long, text string, source string")
+    keys = schedule(rows, bucket_rows=10).select("key").distinct().count()
+    assert keys == 300 and mix(rows).count() == 450
+
+
 # ---------------------------------------------------------------- 2 near join
 
 def edit(text, k):
@@ -235,12 +277,12 @@ def test_decontamination_on_messy_rows(spark):
     docs = frame(spark, [*MESSY, (30, prose(400, 52) + " " + item.upper() + " " + prose(300, 53)), (31, " ".join(item.split()[:20])),
                          (32, item), (33, "x " + prose(12, 51)), (34, "too short here")])
     got = sorted((r["doc_id"], str(r["item_id"]), r["n_shared"], r["n_item"]) for r in contained_items(docs, items).collect())
-    assert got == [(30, "1", 26, 26), (30, "5", 26, 26), (32, "1", 26, 26), (32, "5", 26, 26), (33, "None", 8, 8)]
+    assert got == [(30, "1", 26, 26), (30, "5", 26, 26), (32, "1", 26, 26), (32, "5", 26, 26), (33, "None", 8, 8), (34, "4", 1, 1)]
     for size in (4_000_000, 20):  # one block of items or several
         out = decontaminate(docs, items, block_items=size)
         same_columns(out, docs)
-        assert Counter(r["doc_id"] for r in out.collect()) == Counter([r[0] for r in MESSY] + [31, 34])
-        assert contained_items(docs, items, block_items=size).count() == 5
+        assert Counter(r["doc_id"] for r in out.collect()) == Counter([r[0] for r in MESSY] + [31])
+        assert contained_items(docs, items, block_items=size).count() == 6
     assert contained_items(docs.limit(0), items).count() == 0 and contained_items(docs, items.limit(0)).count() == 0
     assert decontaminate(docs, items.limit(0)).count() == docs.count()
 
@@ -400,6 +442,16 @@ def test_language_held_out_accuracy(spark):
     assert np.mean(held) > 0.98
 
 
+def test_short_items_are_runs_of_words(spark):
+    import datetime as dt
+    items = spark.createDataFrame([(dt.date(2024, 1, i + 1), t) for i, t in enumerate(["Answer", "two words", "a b c", "a b c d", "a b  c d e", "..."])], "item_id date, text string")
+    texts = ["the ANSWER is", "answers", "two  words", "two more words", "x a b c", "a b\nc d", "a b c x d", "a b c d e f", "a", None, "", "wow ... two words two words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"].day) for r in contained_items(docs, items).collect())
+    assert got == [(0, 1), (2, 2), (4, 3), (5, 3), (5, 4), (6, 3), (7, 3), (7, 4), (7, 5), (11, 2), (11, 6)]
+    assert sorted(r["doc_id"] for r in decontaminate(docs, items).collect()) == [1, 3, 8, 9, 10]
+
+
 # ---------------------------------------------------------------- 9 token files
 
 def brute_index(rows):

@@ -52,15 +52,19 @@ def brute_mix(rows):
             target[s] = 2.0 * totals[s] if full else level * weight[s]
         left -= sum(target[s] for s in full)
         open_ = open_ - full if full else set()
-    out = Counter()
+    passes = []
     for s, x in by.items():
         x = sorted(x, key=lambda r: (int(hashlib.md5(f"17:{r['doc_id']}".encode()).hexdigest()[:15], 16), str(r["doc_id"])))
         at = 0
         for r in [*x, *x]:
-            take = max(0, min(size[r["doc_id"]], round(target[s]) - at))
+            passes.append(((at + size[r["doc_id"]]) / target[s], s, at, r["doc_id"], r["text"]))
             at += size[r["doc_id"]]
-            if take:
-                out[r["doc_id"], r["text"] if take == size[r["doc_id"]] else " ".join(r["text"].split()[:take])] += 1
+    out, upto = Counter(), 0
+    for _, _, _, doc, text in sorted(passes):  # the stream by finish time, cut at the budget
+        upto += size[doc]
+        if upto > sum(target.values()) + 0.5:
+            break
+        out[doc, text] += 1
     return out
 
 

@@ -23,7 +23,7 @@ def ai_messages(msgs: DataFrame) -> DataFrame:
     ``text`` joins the parts with a space.
     """
     a = msgs.filter(F.col("role") == "assistant")
-    kind = _kind(F.col("content"))
+    kind = F.coalesce(_kind(F.col("content")), F.lit(""))
     as_str = F.array(F.variant_get(F.col("content"), "$", "string"))
     as_list = F.filter(F.transform(F.try_variant_get(F.col("content"), "$", "array<variant>"),
                                    lambda e: F.try_variant_get(e, "$.text", "string")),
@@ -74,6 +74,20 @@ def conversation_tools(msgs: DataFrame) -> DataFrame:
             .select("conv_id", as_json("c").alias("tools_used"), as_json("o").alias("tool_outputs")))
 
 
+def parse_transcripts(raw: DataFrame, conv_id: str = "conv_id", body: str = "body") -> DataFrame:
+    """Message rows of raw transcripts: ``body`` is the JSON text of a list of messages ``{role, content, tool_calls}``. Each
+    message becomes a row by a lateral ``variant_explode``; its place in the list is ``turn``. A body that is not JSON, or not a
+    list, has no messages."""
+    spark = raw.sparkSession
+    parsed = raw.select(F.col(conv_id).alias("conv_id"), F.try_parse_json(F.col(body)).alias("_v"))
+    each = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
+    calls = F.transform(F.coalesce(F.try_variant_get("value", "$.tool_calls", "array<variant>"), F.array().cast("array<variant>")), lambda c: F.struct(
+        F.try_variant_get(c, "$.name", "string").alias("name"), F.try_variant_get(c, "$.args", "variant").alias("args")))
+    return (each.where("key is null").select(
+        "conv_id", F.col("pos").cast("bigint").alias("turn"), F.try_variant_get("value", "$.role", "string").alias("role"),
+        F.try_variant_get("value", "$.content", "variant").alias("content"), calls.alias("tool_calls")))
+
+
 def messages_from_conversations(conv: DataFrame) -> DataFrame:
     """Driver ``conversations`` rows as message rows (plain-string content, no tools)."""
     return conv.select("conv_id", "turn", "role", F.col("text").cast("variant").alias("content"),

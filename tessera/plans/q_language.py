@@ -187,3 +187,70 @@ def refine_prompt(spark, sf_dir):
     tools = TR.conversation_tools(msgs)
     return q.join(tools, "conv_id", "left").select(
         "conv_id", P.refine_prompt("question", "tools_used", "tool_outputs").alias("prompt"))
+
+
+# ---------------------------------------------------------------- raw transcripts
+
+_STEP = "CASE turn % 3 WHEN 0 THEN 'text' WHEN 1 THEN 'list' ELSE 'object' END"
+_MSGS_SQL = f"""
+m AS (SELECT conv_id, turn, role, text, {_STEP} AS shape FROM conversations)"""
+
+
+def raw_transcripts(spark, sf_dir):
+    """A file of JSON lists, a line a conversation: every turn with its content as text, as a list of parts or as an object, by
+    turns; an assistant turn calls one tool or two, and the tool's message follows."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    c = table(spark, sf_dir, "conversations")
+    n = F.col("turn") % 3
+    body = F.coalesce("text", F.lit(""))
+    text, parts, thing = F.to_json(F.struct(body.alias("x"))), F.to_json(F.array(F.struct(F.lit("text").alias("type"), body.alias("text")),
+        F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text")), F.struct(F.lit("text").alias("type"), F.lit("end").alias("text")))), F.to_json(F.struct(body.alias("answer"), F.col("turn").alias("n")))
+    plain = F.regexp_replace(F.regexp_replace(text, '^\\{"x":', ""), "\\}$", "")
+    content = F.when(n == 0, plain).when(n == 1, parts).otherwise(thing)
+    call = F.to_json(F.struct(F.lit("find").alias("name"), F.struct(body.alias("q"), F.col("turn").alias("n")).alias("args")))
+    calls = F.when(n == 1, F.concat(F.lit("["), call, F.lit(","), call, F.lit("]"))).otherwise(F.concat(F.lit("["), call, F.lit("]")))
+    own = F.concat(F.lit('{"role":'), F.to_json(F.struct(F.coalesce("role", F.lit("none")).alias("r"))).substr(F.lit(6), F.length(F.coalesce("role", F.lit("none"))) + 2), F.lit(',"content":'), content,
+                   F.when(F.col("role") == "assistant", F.concat(F.lit(',"tool_calls":'), calls)).otherwise(""), F.lit("}"))
+    tool = F.concat(F.lit('{"role":"tool","content":'), content, F.lit("}"))
+    lines = c.select("conv_id", "turn", F.when(F.col("role") == "assistant", F.concat(own, F.lit(","), tool)).otherwise(own).alias("j"))
+    whole = lines.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "j"))).alias("a")).select(
+        F.to_json(F.struct("conv_id", F.concat(F.lit("["), F.array_join(F.transform("a", lambda x: x["j"]), ","), F.lit("]")).alias("body"))).alias("value"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/transcripts-{uuid.uuid4().hex}"
+    whole.write.text(path)
+    return spark.read.schema("conv_id bigint, body string").json(path)
+
+
+@register("raw_ai_messages", f"""
+WITH {_MSGS_SQL}
+SELECT conv_id, CASE shape WHEN 'text' THEN [coalesce(text, '')] WHEN 'list' THEN [coalesce(text, ''), 'end'] ELSE []::VARCHAR[] END AS parts,
+       CASE shape WHEN 'text' THEN coalesce(text, '') WHEN 'list' THEN coalesce(text, '') || ' end' ELSE '' END AS text
+FROM m WHERE role = 'assistant'""")
+def raw_ai_messages(spark, sf_dir):
+    """The assistant's text of raw transcripts, whatever the shape of its content."""
+    return TR.ai_messages(TR.parse_transcripts(raw_transcripts(spark, sf_dir))).select("conv_id", "parts", "text")
+
+
+@register("tool_calls", f"""
+WITH {_MSGS_SQL},
+c AS (SELECT *, unnest(CASE shape WHEN 'list' THEN [0, 1] ELSE [0] END) AS call_index FROM m WHERE role = 'assistant')
+SELECT conv_id, call_index::INT AS call_index, 'find' AS name, coalesce(text, '') AS q, turn::BIGINT AS n FROM c""")
+def tool_calls(spark, sf_dir):
+    """Every tool call of raw transcripts, with its arguments."""
+    calls = TR.tool_calls(TR.parse_transcripts(raw_transcripts(spark, sf_dir)))
+    return calls.select("conv_id", "call_index", "name", F.get_json_object("args", "$.q").alias("q"), F.get_json_object("args", "$.n").cast("bigint").alias("n"))
+
+
+@register("tool_outputs", f"""
+WITH {_MSGS_SQL}
+SELECT conv_id, CASE WHEN shape = 'text' THEN coalesce(text, '') END AS text, CASE WHEN shape = 'list' THEN coalesce(text, '') END AS first_part,
+       CASE WHEN shape = 'object' THEN coalesce(text, '') END AS answer, CASE WHEN shape = 'object' THEN turn END::BIGINT AS n
+FROM m WHERE role = 'assistant'""")
+def tool_outputs(spark, sf_dir):
+    """Every tool's output of raw transcripts: text or list under one key, an object by its own keys."""
+    out = TR.tool_outputs(TR.parse_transcripts(raw_transcripts(spark, sf_dir)))
+    whole = F.get_json_object("output", "$['Tool Content']")
+    return out.select("conv_id", F.when(~whole.startswith("[{"), whole).alias("text"), F.get_json_object("output", "$['Tool Content'][0].text").alias("first_part"),
+                      F.get_json_object("output", "$.answer").alias("answer"), F.get_json_object("output", "$.n").cast("bigint").alias("n"))

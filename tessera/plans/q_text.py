@@ -24,15 +24,17 @@ def text_counts(spark, sf_dir):
 
 
 @register("blank_docs", f"""
-SELECT doc_id, (text IS NULL OR NOT regexp_matches(text, '[^{WS}]')) AS is_blank
-FROM (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '  ' || chr(9) || chr(10) ELSE text END AS text
-      FROM documents)""")
+SELECT doc_id, (text IS NULL OR NOT regexp_matches(text, '[^{WS}]')) AS is_blank,
+       regexp_replace(text, '[^{WS}]', '', 'g') IS NULL OR NOT regexp_matches(regexp_replace(text, '[^{WS}]', '', 'g'), '[^{WS}]') AS space_is_blank,
+       true AS null_is_blank, true AS empty_is_blank, false AS padded_is_blank
+FROM documents""")
 def blank_docs(spark, sf_dir):
-    """No document is blank, so three of four are emptied, each in its own way."""
+    """Every text as it is; what is left of it without its other characters; and null, empty and padded ones beside it."""
     d = table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
-    k = F.col("doc_id") % 4
-    text = F.when(k == 2, "").when(k == 3, "  \t\n").when(k == 0, F.col("text"))
-    return d.select("doc_id", X.is_blank(text).alias("is_blank"))
+    rest = F.regexp_replace("text", f"[^{WS}]", "")
+    return d.select("doc_id", X.is_blank("text").alias("is_blank"), X.is_blank(rest).alias("space_is_blank"),
+                    X.is_blank(F.when(F.col("doc_id").isNull(), "x")).alias("null_is_blank"), X.is_blank(F.lit("")).alias("empty_is_blank"),
+                    X.is_blank(F.concat(F.lit(" \t\n"), F.col("doc_id").cast("string"), F.lit("  "))).alias("padded_is_blank"))
 
 
 @register("paragraph_split", f"""

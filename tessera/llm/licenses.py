@@ -1,9 +1,10 @@
 """License scan: MinHash bands over overlapping text windows retrieve templates, exact containment verifies them.
 
 Texts and templates are words (runs of letters and digits, lower-cased) and their 3-word shingles. Templates are
-classed by length (at most 4, 8, 16, ... words). For a class of at most m words, windows of 2m words start every m
-words, so a passage of up to m + 1 words lies whole in some window. A window that holds at least the threshold of a
-template's shingles has a Jaccard similarity with it of at least
+classed by length (at most 4, 8, 16, ... words). For a class of at most m words, windows of 3m words start every m
+words, so a passage of up to 2m + 1 words lies whole in some window: a template with m words put in between, as far as
+the threshold bears that. A window that holds at least the threshold of a template's shingles has a Jaccard similarity
+with it of at least
 
     j = t n / (w + n - t n)      (n shingles in the template, w in a window, threshold t)
 
@@ -18,8 +19,8 @@ of at most ``BLOCK_SHINGLES`` shingles; more templates mean more passes.
 
 Defined results
 - null or empty text has no match; a template of fewer than 3 words is an error;
-- repeated rows and repeated matches: every row has its own result, each template at most once, with its first
-  matching window and the greatest containment; an empty table gives an empty result;
+- repeated rows and repeated matches: every row has its own result, each license at most once (it may have many templates),
+  with its first matching window and the greatest containment; an empty table gives an empty result;
 - the added column is named by the caller; a clash with an input column is a ValueError.
 """
 
@@ -36,6 +37,7 @@ from .common import settled
 from .license_texts import TEMPLATES
 
 SHINGLE = 3
+WINDOW = 3  # class lengths in a window
 MISS = 1e-6
 BLOCK_SHINGLES = 2000
 _WORD_GAP = r"[^\p{L}\p{N}]+"
@@ -51,7 +53,7 @@ def length_class(n_words: int) -> int:
 
 def bands(n_shingles: int, longest: int, threshold: float) -> int:
     """Bands of one value with which a matching window is missed with a probability below MISS."""
-    n, w = math.ceil(threshold * n_shingles - 1e-9), 2 * longest - SHINGLE + 1
+    n, w = math.ceil(threshold * n_shingles - 1e-9), WINDOW * longest - SHINGLE + 1
     j = n / (w + n_shingles - n)
     return 1 if j >= 1 else math.ceil(math.log(MISS) / math.log(1 - j))
 
@@ -98,6 +100,11 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, thre
     return out.withColumn(into, settled(best)).drop("__license_w", g, hits)
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _longs(values) -> str:
     return ", ".join(f"{x}L" for x in values)
 
@@ -105,7 +112,8 @@ def _longs(values) -> str:
 def _scan_block(rows: DataFrame, block: list, threshold: float, g: str, hits: str) -> DataFrame:
     spark = rows.sparkSession
     # the hashes of the template shingles, by the same functions as the texts'
-    w = spark.createDataFrame([(n, x, length_class(len(x))) for n, x, _ in block], "name string, w array<string>, cls int")
+    names = [n for n, _, _ in block]
+    w = spark.createDataFrame([(i, x, length_class(len(x))) for i, (_, x, _) in enumerate(block)], "name int, w array<string>, cls int")
     t = {r["name"]: (r["cls"], r["g"]) for r in w.select("name", "cls", F.expr(f"array_distinct({_shingle_sql('w')})").alias("g")).collect()}
     p = "__license_p"
     every = sorted({x for _, v in t.values() for x in v})
@@ -115,11 +123,12 @@ def _scan_block(rows: DataFrame, block: list, threshold: float, g: str, hits: st
     for cls in sorted({c for c, _ in t.values()}):
         own = [(n, v) for n, (c, v) in t.items() if c == cls]
         b = max(bands(len(v), cls, threshold) for _, v in own)
-        values = spark.createDataFrame(own, "name string, v array<bigint>").select("name", "v", F.expr(_band_values("v", b)).alias("b")).collect()
+        values = spark.createDataFrame(own, "name int, v array<bigint>").select("name", "v", F.expr(_band_values("v", b)).alias("b")).collect()
         literal = "array(" + ", ".join(
-            f"named_struct('license', '{r['name']}', 'sh', array({_longs(r['v'])}), 'bands', array({_longs(r['b'])}))" for r in values) + ")"
-        span = 2 * cls - SHINGLE + 1
-        starts = (f"array_distinct(filter(flatten(transform(`{p}`, i -> array(i div {cls} - 1, i div {cls}))), k -> k >= 0))")
+            f"named_struct('license', {_quoted(names[r['name']])}, 'sh', array({_longs(r['v'])}), 'bands', array({_longs(r['b'])}))" for r in values) + ")"
+        span = WINDOW * cls - SHINGLE + 1
+        near = ", ".join(f"i div {cls} - {x}" for x in range(WINDOW))
+        starts = (f"array_distinct(filter(flatten(transform(`{p}`, i -> array({near}))), k -> k >= 0))")
         windows = (f"transform({starts}, k -> named_struct('k', k, 'sh', array_distinct(slice(`{g}`, cast(k * {cls} + 1 as int), {span}))))")
         banded = f"transform({windows}, w -> named_struct('k', w.k, 'sh', w.sh, 'bands', {_band_values('w.sh', b)}))"
         share = "size(array_intersect(t.sh, w.sh)) / size(t.sh)"

@@ -581,5 +581,34 @@ def test_licenses_on_messy_rows(spark):
         scan(docs, into="Key")
 
 
+def test_license_recall_with_words_put_in(spark):
+    """Every template at any offset, whole and with as many words put in, in one place, as the threshold bears, up to its class's
+    length: found wherever a plain search without windows finds the share of its shingles. Usual wordings, and a quoted name."""
+    from tessera.llm.license_texts import TEMPLATES
+    from tessera.llm.licenses import length_class, template_words
+    rows, k = [], 0
+    for t, (name, body) in enumerate(TEMPLATES):
+        w = template_words(body)
+        n = len({tuple(w[i:i + 3]) for i in range(len(w) - 2)})
+        for extra in (0, 1, 6, length_class(len(w))):
+            for offset in (0, 3, 17, 40 + t):
+                cut_at = len(w) // 2
+                own = [*w[:cut_at], *[f"put{j}" for j in range(extra)], *w[cut_at:]]
+                have = {tuple(own[i:i + 3]) for i in range(len(own) - 2)}
+                share = sum(tuple(w[i:i + 3]) in have for i in range(len(w) - 2)) / (len(w) - 2)
+                if share >= 0.8:
+                    rows.append((k, name, " ".join([*[f"before{j}" for j in range(offset)], *own, *[f"after{j}" for j in range(30)]])))
+                    k += 1
+    docs = spark.createDataFrame(rows, "doc_id long, name string, text string").repartition(8)
+    lost = scan(docs).where("not exists(licenses, m -> m.license = name)").select("name").collect()
+    assert not lost and len(rows) > 400
+    said = {"Distributed under the MIT License": "mit", "the code is licensed under the MIT License": "mit", "Licensed under the BSD 2-Clause License": "bsd-2-clause",
+            "// SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1": "lgpl-2.1"}
+    got = {r["text"]: {m["license"] for m in r["licenses"]} for r in scan(spark.createDataFrame([(x,) for x in said], "text string")).collect()}
+    assert all(name in got[x] for x, name in said.items())
+    odd = scan(spark.createDataFrame([("one two three four",)], "text string"), [("it's \\ odd", "one two three four")]).first()
+    assert [m["license"] for m in odd["licenses"]] == ["it's \\ odd"]
+
+
 def test_near_join_constants():
     assert (1 - 0.8 ** near_join.ROWS) ** near_join.BANDS < 2e-5

@@ -26,6 +26,16 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class _Runs(dict):
+    """Ids by run; a run that is not known is made, and kept while there is room."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, run: bytes) -> bytes:
+        return self.make(run)
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -41,7 +51,7 @@ class Encoder:
             and conf["model"].get("end_of_word_suffix") == "</w>" and not any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in conf["added_tokens"]))
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.runs: dict[bytes, bytes] = {}
+        self.runs = _Runs(self._run)
         self.parts: dict[str, bytes] = {}
 
     def _part(self, text: str) -> bytes:
@@ -70,8 +80,7 @@ class Encoder:
             return b""
         if not self.by_run:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known, new = self.runs.get, self._run
-        return b"".join([ids if (ids := known(r)) is not None else new(r) for r in text.encode().split()])
+        return b"".join(map(self.runs.__getitem__, text.encode().split()))
 
 
 @lru_cache(2)

@@ -18,7 +18,14 @@ _COUNT = np.array([1] + [n for n, _ in SELECTORS])
 _EDGE = max(n for n, _ in SELECTORS)
 
 
+_SMALL = np.zeros(1 << 16, np.uint8)  # bit lengths of values of 16 bits
+for _bit in range(16):
+    _SMALL[1 << _bit:2 << _bit] = _bit + 1
+
+
 def bit_lengths(ids: np.ndarray) -> np.ndarray:
+    if not ids.size or ids.max() < 1 << 16:
+        return _SMALL[ids]
     out = np.zeros(ids.shape, np.uint8)
     rest = ids.astype(np.uint64)
     for step in (32, 16, 8, 4, 2, 1):
@@ -51,7 +58,10 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
             widest = widest.copy()
             widest[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
             span += step
-        best[widest[:, :block] <= bits] = s
+        fits = widest[:, :block] <= bits
+        if not fits.any():  # nor do more values of fewer bits
+            break
+        best[fits] = s
     # all blocks advance together, a word at a time
     at, words_in, every = np.zeros(blocks, int), np.zeros(blocks, int), np.arange(blocks)
     steps = []

@@ -223,3 +223,16 @@ def test_quantiles_split_a_hot_value(spark):
     got = S.exact_quantiles(df, "v", [0.25, 0.5, 0.75]).first()
     want = df.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
     assert [got["q0"], got["q1"], got["q2"]] == list(want)
+
+
+def test_raw_transcripts(spark):
+    from tessera.operators import transcripts as TR
+    bodies = [(1, '[{"role":"user","content":"hi"},{"role":"assistant","content":[{"type":"text","text":"a"},{"type":"image"},{"text":"b"}],'
+                  '"tool_calls":[{"name":"f","args":{"x":1}},{"name":"g"}]},{"role":"tool","content":{"k":[1]}},{"role":"tool","content":"s"},'
+                  '{"role":"assistant","content":7},{"role":"assistant"}]'), (2, "no json"), (3, "{}"), (4, "[]"), (5, None)]
+    msgs = TR.parse_transcripts(spark.createDataFrame(bodies, "conv_id long, body string"))
+    rows = sorted((r["turn"], r["role"]) for r in msgs.where("role is not null").collect())
+    assert rows == [(0, "user"), (1, "assistant"), (2, "tool"), (3, "tool"), (4, "assistant"), (5, "assistant")]
+    assert {r["turn"]: (r["parts"], r["text"]) for r in TR.ai_messages(msgs).collect()} == {1: (["a", "b"], "a b"), 4: ([], ""), 5: ([], "")}
+    assert [(r["call_index"], r["name"], r["args"]) for r in TR.tool_calls(msgs).orderBy("call_index").collect()] == [(0, "f", '{"x":1}'), (1, "g", None)]
+    assert [r["output"] for r in TR.tool_outputs(msgs).orderBy("turn").collect()] == ['{"k":[1]}', '{"Tool Content":"s"}']

@@ -163,18 +163,18 @@ def _count_buckets(batches):
     """(bucket, k) for every band of every line, k telling lines apart, and for every line itself, k telling its
     places apart."""
     for b in batches:
-        ids, tks = b.column(0).to_pylist(), b.column(1).to_pylist()
+        own_hash = np.array([hash_document(d, k) for d, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], np.uint64)
         for doc, number, lines in _slices(b):
             line, bucket = line_bands(*line_shingles(lines))
             keys, own = _keys(lines)
             which = np.frombuffer(b"".join(keys), np.int64)[::2]
-            places = np.array([hash_place(ids[d], tks[d], n) for d, n in zip(doc, number)], np.int64)
+            places = mix64(own_hash[doc] + np.array(number, np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([bucket, own])),
                                               pa.array(np.concatenate([which[line], places]))], names=["bucket", "k"])
 
 
-def hash_place(doc_id, tk: bytes, number: int) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{doc_id}:{number}".encode() + tk, digest_size=8).digest(), "little", signed=True)
+def hash_document(doc_id, tk: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{doc_id}:".encode() + tk, digest_size=8).digest(), "little")
 
 
 def _candidates(shared, bits: int):
@@ -207,7 +207,7 @@ def _candidates(shared, bits: int):
                 at = pa.array([doc[i] for i in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     ids.take(at), tks.take(at), pa.array([number[i] for i in out], pa.int32()),
-                    pa.array([keys[i] for i in out], pa.binary()), pa.array([_n_distinct(values[off[i]:off[i + 1]]) for i in out], pa.int64()), lists,
+                    pa.array([keys[i] for i in out], pa.binary()), pa.array(np.diff(off)[out], pa.int64()), lists,
                     pa.array([lines[i].encode() if near[i] else None for i in out], pa.binary())],
                     names=["id", "tk", "line", "key", "n_items", "bands", "text"])
     return run

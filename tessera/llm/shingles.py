@@ -140,17 +140,22 @@ def set_key(items: np.ndarray) -> bytes | None:
 
 
 def minhash(values: np.ndarray, offsets: np.ndarray, size: int, seed: int = 11) -> np.ndarray:
-    """Signatures (texts x size, uint32) by ``size`` multiply-shift hashes; rows of empty sets are undefined."""
-    a, c = stream(seed, size), stream(seed + 1, size)
+    """Signatures (texts x size, uint32) by ``size`` hashes a x + c modulo 2^32 of the (well mixed) values' lower halves; rows of
+    empty sets are undefined. 32-bit products run several at a time in a core."""
+    a, c = ((stream(s, size) >> np.uint64(32)).astype(np.uint32) for s in (seed, seed + 1))
+    a |= np.uint32(1)
     out = np.zeros((len(offsets) - 1, size), np.uint32)
     full = np.flatnonzero(np.diff(offsets) > 0)
     lo = 0
     while lo < len(full):  # a few texts at a time, so that their values stay in the cache
         hi = max(lo + 1, int(np.searchsorted(offsets[full], offsets[full[lo]] + 65536)))
         part, base = full[lo:hi], offsets[full[lo]]
-        v, at = values[base:offsets[part[-1] + 1]], offsets[part] - base
+        v, at = values[base:offsets[part[-1] + 1]].astype(np.uint32), offsets[part] - base
+        h = np.empty_like(v)
         for i in range(size):
-            out[part, i] = np.minimum.reduceat(((v * a[i] + c[i]) >> np.uint64(32)).astype(np.uint32), at)
+            np.multiply(v, a[i], out=h)
+            h += c[i]
+            out[part, i] = np.minimum.reduceat(h, at)
         lo = hi
     return out
 

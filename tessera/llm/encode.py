@@ -13,7 +13,11 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
+from .shingles import _SPACE, byte_view
+
+GROUP = 8 << 20
 CACHE = 400_000  # runs kept per worker process; a bound on memory, not on what is encoded
 # letters that are alone in their case folding and composition, then punctuation without the apostrophe
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?%#*&$|()\-]*)")
@@ -83,6 +87,45 @@ class Encoder:
         return b"".join(map(self.runs.__getitem__, text.encode().split()))
 
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row (uint32), and the number of each text's; null counts as empty. About ``GROUP`` bytes (at
+        least one text) are in work at a time: their runs are numbered by Arrow, and only the different ones are looked up."""
+        if not self.by_run:
+            parts = [self.encode(t.as_py()) for t in texts]
+            return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts], np.int64)
+        b, off = byte_view(texts)
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        lo = 0
+        while lo < len(off) - 1:
+            hi = min(len(off) - 1, max(lo + 1, int(np.searchsorted(off, off[lo] + GROUP, "right")) - 1))
+            own, at = b[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+            solid = ~_SPACE[own]
+            first = solid.copy()
+            first[1:] &= ~solid[:-1]
+            head = at[:-1][at[:-1] < len(own)]
+            first[head] = solid[head]  # a run ends with its text
+            last = solid.copy()
+            last[:-1] &= ~solid[1:] | first[1:]
+            start = np.flatnonzero(first)
+            ends = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - start)])
+            wide = ends[-1] >= 1 << 31
+            runs = (pa.LargeBinaryArray if wide else pa.BinaryArray).from_buffers(
+                pa.large_binary() if wide else pa.binary(), len(start), [None, pa.py_buffer(ends.astype(np.int64 if wide else np.int32).tobytes()), pa.py_buffer(own[solid].tobytes())])
+            numbered = runs.dictionary_encode()
+            known = list(map(self.runs.__getitem__, numbered.dictionary.to_pylist()))
+            flat = np.frombuffer(b"".join(known), "<u4")
+            size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            which = numbered.indices.to_numpy()
+            n = size[which]
+            upto = np.cumsum(n)
+            place = np.repeat((np.cumsum(size) - size)[which] - upto + n, n)
+            place += np.arange(len(place))
+            ids.append(flat[place])
+            counts.append(np.diff(np.append(0, upto)[np.searchsorted(start, at)]))
+            lo = hi
+        return np.concatenate(ids), np.concatenate(counts)
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     """The worker process's encoder of a vocabulary file."""

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import cut, shared_path
 from .encode import encoder
 from .simple8b import BLOCK, pack, unpack
 
@@ -56,15 +56,20 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     """Encode every text, append ``end_id``, and write the files below ``path``."""
     end = np.array([end_id], "<u4").tobytes()
     body = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    body = body.withColumn("_tie", F.xxhash64("text"))
-    ordered = body.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
+    # the texts order documents of equal id only; without such the range bounds are found from the ids alone
+    order = ["doc_id"]
+    if body.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        body, order = body.withColumn("_tie", F.xxhash64("text")), ["doc_id", "_tie"]
+    ordered = body.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
         part, number, pending, size = TaskContext.get().partitionId(), 0, [], 0
         enc = encoder(vocabulary)
         for b in batches:
-            for key, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(t.as_py()) + end
+            flat, count = enc.encode_all(b.column(1))
+            raw, upto = flat.tobytes(), 4 * np.cumsum(count)
+            for key, a, z in zip(b.column(0).to_pylist(), (upto - 4 * count).tolist(), upto.tolist()):
+                ids = raw[a:z] + end
                 pending.append((key, ids))
                 size += len(ids) // 4
                 if size >= segment_ids:
@@ -151,7 +156,7 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     rows = _content(spark, path).mapInArrow(
         _digests, "part bigint, segment bigint, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
     # the ids before a segment follow from the heads, so the files are decoded once
-    sizes = _content(spark, path).mapInArrow(_heads, "part bigint, segment bigint, _n bigint")
+    sizes = cut(_content(spark, path).mapInArrow(_heads, "part bigint, segment bigint, _n bigint"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     parts = (sizes.groupBy("part").agg(F.sum("_n").alias("_p"))

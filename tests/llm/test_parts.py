@@ -53,6 +53,20 @@ def test_encoder_equals_the_tokenizer(parts, gap):
     assert enc.by_run
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("ab É日.,'!\t\n\r\x0b\x1c\x85 \u3000<|endoftext|>"), max_size=40)), max_size=12), st.sampled_from([1, 30, 1 << 20]))
+def test_all_texts_at_once(texts, group):
+    from tessera.llm import encode
+    enc, old = Encoder(VOCABULARY), encode.GROUP
+    encode.GROUP = group
+    try:
+        ids, counts = enc.encode_all(pa.array(texts, pa.string()))
+    finally:
+        encode.GROUP = old
+    parts = [np.frombuffer(enc.encode(t), "<u4").tolist() for t in texts]
+    assert ids.tolist() == [i for p in parts for i in p] and counts.tolist() == [len(p) for p in parts]
+
+
 def test_other_vocabularies_go_through_the_tokenizer():
     path = public_tokenizers.path("byte_bpe_50k.json")
     enc = Encoder(path)

@@ -35,7 +35,9 @@ SELECT user, issued AS issued_ms, CASE WHEN now <= issued + {TM.ACCESS_TOKEN_TTL
        WHEN now <= issued + {TM.REFRESH_TOKEN_TTL_S}000 THEN 'refresh' ELSE 'logout' END AS action FROM s CROSS JOIN n""")
 def session_query(spark, sf_dir):
     """The sessions of all users after the stream of all events, in order of time: state and timers per user."""
-    e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    # wall-clock times as instants of UTC, whatever the session's zone
+    utc = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz")))
+    e = table(spark, sf_dir, "events").select("user_id", utc.alias("ts"), "event_type")
     root = _folder(spark, "sessions")
     _in_files(e, f"{root}/in", F.col("ts"))
     source = SS.event_stream(spark, f"{root}/in", e.schema.simpleString()[7:-1].replace(":", " "))

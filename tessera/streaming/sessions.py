@@ -23,10 +23,11 @@ from ..operators.telemetry import ACCESS_TOKEN_TTL_S, REFRESH_TOKEN_TTL_S
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATUS = "user string, issued_at timestamp, action string, at timestamp"
+_CHANGE = "user string, issued_ms bigint, action string, at_ms bigint"  # numbers: pandas would take times in the session's zone
 
 
 class SessionExpiry(StatefulProcessor):
-    """Input rows: ``user, ts, issue``; a timer fires at the first millisecond after an expiry."""
+    """Input rows: ``user, ts, ms, issue``; a timer fires at the first millisecond after an expiry."""
 
     def __init__(self, access_ttl_s: int = ACCESS_TOKEN_TTL_S, refresh_ttl_s: int = REFRESH_TOKEN_TTL_S):
         self.ttls = (access_ttl_s * 1000, refresh_ttl_s * 1000)
@@ -36,14 +37,12 @@ class SessionExpiry(StatefulProcessor):
         self.issued = handle.getValueState("issued", "ms bigint")
 
     def _row(self, user: str, issued_ms: int | None, action: str, at_ms: int) -> pd.DataFrame:
-        issued = pd.NaT if issued_ms is None else pd.Timestamp(issued_ms, unit="ms")
-        return pd.DataFrame({"user": [user], "issued_at": pd.Series([issued], dtype="datetime64[ns]"), "action": [action],
-                             "at": pd.Series([pd.Timestamp(at_ms, unit="ms")], dtype="datetime64[ns]")})
+        return pd.DataFrame({"user": [user], "issued_ms": pd.Series([issued_ms], dtype="Int64"), "action": [action], "at_ms": [at_ms]})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         newest = first_seen = None
         for pdf in rows:
-            ms = pdf["ts"].astype("datetime64[ms]").astype("int64")
+            ms = pdf["ms"]
             issues = ms[pdf["issue"].fillna(False).astype(bool)]
             if len(issues):
                 newest = max(int(issues.max()), newest if newest is not None else int(issues.max()))
@@ -76,8 +75,9 @@ def session_stream(events: DataFrame, issue: Column, user: str = "user_id", ts:
     """A row ``(user, issued_at, action, at)`` for every change of a user's session, in append mode. Run it with the settings of
     ``rocksdb_state``."""
     rows = (events.select(F.col(user).cast("string").alias("user"), F.col(ts).cast("timestamp").alias("ts"), issue.alias("issue"))
-            .where("user is not null and ts is not null").withWatermark("ts", watermark))
-    return rows.groupBy("user").transformWithStateInPandas(SessionExpiry(access_ttl_s, refresh_ttl_s), STATUS, "Append", "EventTime")
+            .where("user is not null and ts is not null").withColumn("ms", F.unix_millis("ts")).withWatermark("ts", watermark))
+    changes = rows.groupBy("user").transformWithStateInPandas(SessionExpiry(access_ttl_s, refresh_ttl_s), _CHANGE, "Append", "EventTime")
+    return changes.select("user", F.timestamp_millis("issued_ms").alias("issued_at"), "action", F.timestamp_millis("at_ms").alias("at"))
 
 
 class rocksdb_state:

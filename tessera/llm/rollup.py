@@ -5,9 +5,11 @@ both (the old count out, the new one in). A batch is reduced to its sums per (so
 written, with partial sums on the map side, so a source with a third of all rows is a few rows per task. Totals are
 the sum over the committed batches; sums are additive, so their order does not matter.
 
-Commits are idempotent: batch ``b`` is the folder ``batch=b``, committed by Spark's writer with its success marker. A
-batch that is already committed is left as it is, whatever is offered again; one that broke off is written anew.
-Readers see marked folders only. Marks are looked up by Spark's file system interface, so any store will do.
+Commits are idempotent: each attempt writes a folder of its own, and a batch is published under its name as the next version
+of a versioned table (``operators.versions``), which either succeeds whole or finds that someone else was first. A batch
+that is in the table is left as it is, whatever is offered again; one that broke off was never published. Readers take one
+version. ``fold`` replaces the committed batches by their totals, which still know the batches' names, so reading the totals
+stays cheap however many batches there have been.
 
 Defined results
 - null source, language or tokenizer is a key of its own; a null count is 0 tokens;
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.versions import VersionedTable
 from .encode import encoder
 
 KEYS = ("source", "lang", "tokenizer")
@@ -92,41 +95,34 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
     return deletes(old).unionByName(inserts(new))
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def _table(spark: SparkSession, store: str) -> VersionedTable:
+    return VersionedTable(spark, store, SCHEMA)
 
 
 def committed(spark: SparkSession, store: str) -> list[str]:
-    """Folders of the committed batches."""
-    fs, root = _fs(spark, store)
-    if not fs.exists(root):
-        return []
-    found = []
-    for s in fs.listStatus(root):
-        name = s.getPath().toString()
-        if "/batch=" in name and fs.exists(_fs(spark, f"{name}/_SUCCESS")[1]):
-            found.append(name)
-    return sorted(found)
+    """Names of the committed batches."""
+    v = _table(spark, store).version()
+    return sorted({*v.absorbed, *[f.rsplit("-", 1)[0] for f in v.folders if not f.startswith("compacted-")]})
 
 
 def commit(spark: SparkSession, store: str, batch: str | int, changes: DataFrame) -> bool:
-    """Commit a batch once; False if it was committed before."""
-    path = f"{store.rstrip('/')}/batch={batch}"
-    fs, done = _fs(spark, f"{path}/_SUCCESS")
-    if fs.exists(done):
-        return False
+    """Commit a batch once; False if it was committed before, by whomever."""
     delta = (changes.groupBy(*KEYS)
              .agg(F.sum("sign").cast("bigint").alias("n_docs"),
                   F.sum(F.col("sign") * F.coalesce("n_tokens", F.lit(0))).cast("bigint").alias("n_tokens")))
-    (delta.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in SCHEMA.split(", ")])
-     .write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path))
-    return True
+    return _table(spark, store).append(delta, f"batch-{batch}")
 
 
-def totals(spark: SparkSession, store: str) -> DataFrame:
-    """``source, lang, tokenizer, n_docs, n_tokens`` over all committed batches."""
-    paths = committed(spark, store)
-    rows = spark.read.schema(SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], SCHEMA)
+def _summed(rows: DataFrame) -> DataFrame:
     return (rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
             .where("n_docs <> 0 or n_tokens <> 0"))
+
+
+def fold(spark: SparkSession, store: str) -> bool:
+    """Replace the committed batches by their totals; False if there is nothing to fold, or another change came first."""
+    return _table(spark, store).compact(_summed)
+
+
+def totals(spark: SparkSession, store: str) -> DataFrame:
+    """``source, lang, tokenizer, n_docs, n_tokens`` over all committed batches."""
+    return _summed(_table(spark, store).read())

@@ -528,6 +528,33 @@ def test_rollups_on_messy_rows(spark):
     assert totals(spark, store).where("source = 'z'").count() == 0 and len(committed(spark, store)) == 5
 
 
+def test_rollup_commits_at_once_and_folds(spark):
+    """Two committers of each batch at the same time; folded totals know their batches."""
+    import threading
+
+    from tessera.llm.rollup import fold
+    store, done, failed = shared_path(spark, "t-counts"), Counter(), []
+    rows = spark.createDataFrame([("s", "en", "w", 1, 5), ("s", None, "w", 1, None), ("t", "en", "w", -1, 2)], "source string, lang string, tokenizer string, sign int, n_tokens long")
+
+    def work():
+        try:
+            for b in range(3):
+                done[b, commit(spark, store, b, rows)] += 1
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    threads = [threading.Thread(target=work) for _ in range(2)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not failed and done == {(b, k): 1 for b in range(3) for k in (True, False)}
+    want = {("s", "en"): (3, 15), ("s", None): (3, 0), ("t", "en"): (-3, -6)}
+    for _ in range(2):
+        assert {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in totals(spark, store).collect()} == want
+        fold(spark, store)
+    assert committed(spark, store) == ["batch-0", "batch-1", "batch-2"] and not commit(spark, store, 1, rows)
+    assert commit(spark, store, "undo", rows.withColumn("sign", -3 * F.col("sign"))) and totals(spark, store).count() == 0
+
+
 def test_rollup_query_by_plain_sums(spark):
     got = {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in llm.queries()["op6_token_count_rollups"](spark, SF_SMALL).collect()}
     rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()

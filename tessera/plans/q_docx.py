@@ -9,7 +9,7 @@ from ..sources.docx import NOT_XML, build_docx, docx_runs, format_runs
 from ..sources.listing import write_files
 from ..sources.readers import read_docx_files
 from ..sources.tables import table
-from .q_listing import folder
+from .q_listing import folder, shelf
 from .registry import register
 
 _CLEAN = r"regexp_replace(coalesce(text, ''), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')"
@@ -27,7 +27,7 @@ def _packages(spark, sf_dir, words: bool):
         return F.transform(F.split(line, " ", -1), run) if words else F.array(run(line, F.lit(3)))
 
     rows = docs.select(
-        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".docx")).alias("path"), F.transform(F.split(text, "\n", -1), paragraph).alias("paragraphs"),
+        F.concat(shelf("doc_id"), F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".docx")).alias("path"), F.transform(F.split(text, "\n", -1), paragraph).alias("paragraphs"),
         F.array(F.array(F.array(F.lit("lang"), F.lit("source")), F.array("lang", "source"))).alias("tables"),
         F.array(F.lit(""), F.coalesce("source", F.lit("none"))).alias("headers"), F.array(F.lit("")).alias("footers"), F.col("source").alias("author"),
         F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"))

@@ -33,10 +33,15 @@ def folder(spark, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{kind}-{uuid.uuid4().hex}"
 
 
+def shelf(id_):
+    """One of 256 directories for a file: one alone would be listed by one task, and written by all in turns."""
+    return F.pmod(F.xxhash64(id_), F.lit(256)).cast("string")
+
+
 def _tree(spark, sf_dir) -> str:
     """A tree of files: every document below its source; per source an empty file some levels down and a hidden one; at the
     top a file of 0 to 2 bytes for every document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     ext = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in EXTENSIONS.items() for x in kv]), F.col("lang")), F.lit(""))
     source = F.coalesce("source", F.lit("none"))
     places = docs.select(source.alias("s")).distinct()
@@ -96,12 +101,12 @@ FROM documents GROUP BY ALL""")
 def read_text(spark, sf_dir):
     """Every document as a file in one of six encodings, read back without being told which: ``read_back`` if 99 % or more of the
     texts of an encoding came back to the character."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     text = F.coalesce("text", F.lit(""))
     page = F.pmod(F.col("doc_id"), F.lit(6))
     content = F.coalesce(*[F.when(page == i, encode_as(text, e)) for i, e in enumerate(CODE_PAGES)], F.encode(text, "UTF-8"))
     root = folder(spark, "encoded")
-    write_files(docs.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), content.alias("content")), root)
+    write_files(docs.select(F.concat(shelf("doc_id"), F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), content.alias("content")), root)
     read = read_text_files(FS.with_file_columns(FS.binary_files(spark, root, [".txt"]), keep_content=True))
     got = read.select(F.regexp_extract("path", r"doc_(-?\d+)\.txt$", 1).cast("bigint").alias("doc_id"), "content")
     same = F.count_if(F.col("content") == normalize_newlines(text))

@@ -49,7 +49,12 @@ def _plain(t: str | None) -> str:
 
 def package(paragraphs, tables, headers, footers, author, title) -> bytes:
     """The bytes of a .docx file; the same rows give the same bytes."""
-    body = ["<w:p>" + "".join(_run(r) for r in p or []) + "</w:p>" for p in paragraphs or []]
+    return _zipped("".join("<w:p>" + "".join(_run(r) for r in p or []) + "</w:p>" for p in paragraphs or []), tables, headers, footers, author, title)
+
+
+def _zipped(paragraphs: str, tables, headers, footers, author, title) -> bytes:
+    """``package`` with its paragraphs as XML."""
+    body = [paragraphs]
     for t in tables or []:
         rows = ("".join(f"<w:tc>{_plain(c)}</w:tc>" for c in row or []) for row in t or [])
         body.append("<w:tbl>" + "".join(f"<w:tr>{r}</w:tr>" for r in rows) + "</w:tbl>")
@@ -76,16 +81,36 @@ def package(paragraphs, tables, headers, footers, author, title) -> bytes:
     return out.getvalue()
 
 
+def _body() -> Column:
+    """The XML of the column ``paragraphs``, as ``package`` writes it, by native expressions: a run of a word is no object in Python."""
+    none = F.lit("")
+
+    def run(r):
+        text = F.regexp_replace(F.coalesce(r["text"], none), NOT_XML, "")
+        for a, b in (("&", "&amp;"), (">", "&gt;"), ("<", "&lt;"), ("\r", "&#13;")):
+            text = F.replace(text, F.lit(a), F.lit(b))
+        marks = F.concat(*[F.when(r[key], tag).otherwise("") for key, tag in (("bold", "<w:b/>"), ("italic", "<w:i/>"), ("underline", '<w:u w:val="single"/>'))])
+        marked = F.when(r["bold"] | r["italic"] | r["underline"], F.concat(F.lit("<w:rPr>"), marks, F.lit("</w:rPr>"))).otherwise("")
+        return F.concat(F.lit("<w:r>"), marked, F.lit('<w:t xml:space="preserve">'), text, F.lit("</w:t></w:r>"))
+
+    def paragraph(p):
+        return F.concat(F.lit("<w:p>"), F.coalesce(F.array_join(F.transform(p, run), ""), none), F.lit("</w:p>"))
+
+    return F.coalesce(F.array_join(F.transform("paragraphs", paragraph), ""), none)
+
+
 def build_docx(documents: DataFrame) -> DataFrame:
     """``(path, content)`` of a package for every row of the columns in ``DOCUMENT`` (any but the path may be null)."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():  # a document at a time
-                path = row.pop("path")
-                yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([package(**row)], pa.binary())], names=["path", "content"])
+            for i in range(b.num_rows):  # a document at a time
+                row = b.slice(i, 1).to_pylist()[0]
+                path, body = row.pop("path"), row.pop("_body")
+                yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([_zipped(body, **row)], pa.binary())], names=["path", "content"])
 
     names = re.findall(r"(?:^|, )(\w+) (?:string|array)", DOCUMENT)
-    return documents.select(*names).mapInArrow(run, "path string, content binary")
+    rows = documents.select(*(_body().alias("_body") if c == "paragraphs" else c for c in names))
+    return rows.mapInArrow(run, "path string, content binary")
 
 
 def parse_runs(data: bytes) -> list[tuple]:
@@ -120,8 +145,7 @@ def docx_runs(files: DataFrame) -> DataFrame:
                      pa.array(["ReadError" if error else None] * n, pa.string()), pa.array([error] * n, pa.string())],
                     names=[c.split()[0] for c in RUNS.split(", ")])
 
-    from ..operators.partitioning import spread
-    return spread(files.select("file_id", "path", "content")).mapInArrow(run, RUNS)
+    return files.select("file_id", "path", "content").mapInArrow(run, RUNS)
 
 
 def marked(text="text", bold="bold", italic="italic", underline="underline") -> Column:

@@ -2,7 +2,9 @@
 
 * discovery and listing use ``sources.listing``: every file, zero-length and hidden ones too, listed in tasks without
   opening any;
-* bytes come from the ``binaryFile`` source, and those of the files that it leaves out from ``sources.listing``;
+* bytes of a small tree come from the ``binaryFile`` source, and those of the files that it leaves out from
+  ``sources.listing``; a large tree, for which ``binaryFile`` would hold all files in the driver and make a task of every 32,
+  is listed in tasks, and its files are dealt out over the tasks that open them;
 * the size guard is a filter on ``length``, pushed into the scan.
 
 The same column contract (``path, file_name, extension, size, modified,
@@ -19,10 +21,11 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import file_id as file_id_expr
 from ..functions.text import file_extension, file_name
-from .listing import Store, every_file
+from .listing import Store, deal, every_file, file_content, more_files
 
 # Limits and the supported-extension list of the reference.
 MAX_FILE_SIZE_MB = 100
+FEW_FILES = 1000
 MAX_FILE_SIZE_BYTES = MAX_FILE_SIZE_MB * 1024 * 1024
 SUPPORTED_EXTENSIONS = (".txt", ".pdf", ".docx", ".doc", ".json", ".csv", ".xlsx", ".md",
                         ".html", ".xml", ".pptx", ".rtf", ".log")
@@ -33,15 +36,21 @@ def _norm_ext(exts: Iterable[str]) -> list[str]:
 
 
 def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | None = None,
-                 recursive: bool = True) -> DataFrame:
-    """``path, modificationTime, length, content`` of every file: the binaryFile scan, and the files that it leaves out
-    (zero-length and hidden ones).
+                 recursive: bool = True, few: int = FEW_FILES) -> DataFrame:
+    """``path, modificationTime, length, content`` of every file. In a tree of up to ``few`` files: the binaryFile scan, and the
+    files that it leaves out (zero-length and hidden ones). In a larger one, the same rows from files listed in tasks and dealt
+    out to be opened; the filters on the extensions and on ``length`` reach the listing.
 
     The extensions filter the scan at listing time via a glob. The glob is case-sensitive in Hadoop, so each letter is
     matched in both cases and the exact (lower-cased) test is re-applied.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     exts = _norm_ext(extensions) if extensions else None
+    if more_files(root, few):
+        found = every_file(spark, root, recursive=recursive, links=True)
+        if exts:
+            found = found.filter(F.col("extension").isin(exts))
+        return deal(found.select("path", "modificationTime", "length")).withColumn("content", file_content(root, "path"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if exts:
         pats = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in exts]
         reader = reader.option("pathGlobFilter", "*.{" + ",".join(pats) + "}")
@@ -106,10 +115,9 @@ def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | DataFrame
     """``(path, content, error_type, error)`` of the files under ``root``, or of the wanted ``paths`` (a list, or a table
     with a column ``path`` for many), absolute or relative to ``root``. A wanted path without a file is a row with a
     ``ConnectionError``; with ``strict`` it fails the job."""
-    df = binary_files(spark, root).select("path", "content")
     none = F.lit(None).cast("string")
     if paths is None:
-        return df.select("path", "content", none.alias("error_type"), none.alias("error"))
+        return binary_files(spark, root).select("path", "content", none.alias("error_type"), none.alias("error"))
     base = _full_path(root).rstrip("/")
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -121,7 +129,9 @@ def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | DataFrame
     error = F.when(F.col("_found").isNull(), F.concat(F.lit("File "), "path", F.lit(" does not exist")))
     if strict:
         error = F.when(F.col("_found").isNull(), F.raise_error(F.concat(F.lit("ConnectionError: File "), "path", F.lit(" does not exist"))))
-    return (wanted.join(df.withColumn("_found", F.lit(True)), "path", "left")
+    # paths meet paths, then the found ones are opened: no bytes are shuffled
+    listed = every_file(spark, root, links=True).select("path", F.col("path").alias("_found"))
+    return (deal(wanted.join(listed, "path", "left")).withColumn("content", file_content(root, "_found"))
             .select("path", "content", F.when(F.col("_found").isNull(), "ConnectionError").alias("error_type"), error.cast("string").alias("error")))
 
 

@@ -80,12 +80,13 @@ class ReaderRegistry:
 
         Files nobody reads come back with ``error`` set (ReadError).
         """
+        from ..operators.partitioning import spread
         parts = []
         for ext, (name, reader) in sorted(self._readers.items()):
             if reader is None:
                 continue
             sub = files.filter(F.col("extension") == ext)
-            parts.append(reader(sub).withColumn("reader_type", F.lit(name)))
+            parts.append(reader(spread(sub)).withColumn("reader_type", F.lit(name)))
         unknown = files.filter(self.reader_column("extension").isNull()).select(
             "file_id", "path", F.lit(None).cast("string").alias("content"),
             F.lit("ReadError").alias("error_type"), self.error_column("extension").alias("error"))

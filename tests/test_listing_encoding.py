@@ -174,3 +174,37 @@ def test_run_table(spark):
     formatted = {r["paragraph"]: r["text"] for r in format_runs(runs).collect()}
     whole = {r["path"]: r["paragraphs"] for r in read_docx_files(files, preserve_formatting=True).collect()}
     assert [formatted[i] for i in range(3)] == whole["a.docx"]
+
+
+def test_built_packages_equal_the_python_ones(spark):
+    """The paragraphs' XML is made natively: Python gets a string a document, not an object a run."""
+    schema = "path string, paragraphs array<array<struct<text: string, bold: boolean, italic: boolean, underline: boolean>>>, tables array<array<array<string>>>, headers array<string>, footers array<string>, author string, title string"
+    rows = [("a.docx", RUNS, [[["h", None]]], ["", "H"], None, "A & B", "t"), ("b.docx", [None, [(None, None, None, True)], [("a<b>&\"'\uffff\x0b\ud7ff", None, True, False)]], None, None, [], None, None),
+            ("c.docx", None, None, None, None, None, None), ("d.docx", [], None, None, None, None, None)]
+    built = build_docx(spark.createDataFrame(rows, schema).coalesce(1))
+    assert "_body" in built._jdf.queryExecution().analyzed().toString()
+    got = {r["path"]: bytes(r["content"]) for r in built.collect()}
+    names = ("text", "bold", "italic", "underline")
+    for path, paragraphs, *rest in rows:
+        runs = None if paragraphs is None else [None if p is None else [dict(zip(names, r)) for r in p] for p in paragraphs]
+        assert got[path] == package(runs, *rest), path
+
+
+def test_large_trees_are_dealt_to_the_tasks(spark, tmp_path):
+    """One directory of many files: the rows of the binaryFile way, in a number of tasks that the files do not set."""
+    root = tmp_path / "flat"
+    (root / "sub").mkdir(parents=True)
+    for i in range(300):
+        (root / f"f{i}.{'TXT' if i % 2 else 'md'}").write_bytes(b"x" * (i % 5))
+    (root / ".hidden.txt").write_bytes(b"h")
+    (root / "sub" / "_u.txt").write_bytes(b"u")
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "linked.txt").write_bytes(b"l")
+    (root / "link").symlink_to(tmp_path / "other")
+    for exts in (None, [".txt"]):
+        few, many = FS.binary_files(spark, str(root), exts), FS.binary_files(spark, str(root), exts, few=10)
+        assert few.schema == many.schema and sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+        assert many.filter("length > 3").count() == few.filter("length > 3").count() > 0
+        assert many.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    got = {r["path"].rsplit("/", 1)[1]: r for r in FS.file_bytes(spark, str(root), ["f3.TXT", "link/linked.txt", "no"]).collect()}
+    assert bytes(got["f3.TXT"]["content"]) == b"xxx" and bytes(got["linked.txt"]["content"]) == b"l" and got["no"]["error_type"] == "ConnectionError"

@@ -5,8 +5,8 @@ Plan for ``embed_cached``:
 1. distinct ``(chunk_key, text)`` of the input (partial aggregation first, so a
    text copied across a third of the rows collapses map-side);
 2. ``left_anti`` against the cache for this model -> the misses only;
-3. the injected embedding function runs in an Iterator ``pandas_udf`` (the
-   model is built once per Python worker, then fed Arrow batches);
+3. the injected embedding function runs in an Iterator ``arrow_udf`` (the
+   model is built once per Python worker, then fed slices of Arrow batches);
 4. misses are appended to the cache table as a new ``run=<uuid>``
    directory (Parquet, partitioned by model inside it). Each append is its
    own committed Spark job with its own staging area, so concurrent jobs
@@ -27,11 +27,14 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from .partitioning import pieces
+
 # Model -> vector dimension, and the size aliases per provider.
 EMBEDDING_DIMENSIONS = {
     "sentence-transformers/all-mpnet-base-v2": 768,
@@ -66,6 +69,10 @@ CACHE_SCHEMA = T.StructType([
 ])
 
 
+# Tokens whose bucket a worker keeps; a bound on memory, not on what is embedded.
+SEEN = 200_000
+
+
 # ---------------------------------------------------------------- embedders
 
 def embedding_type(model: str) -> str:
@@ -101,14 +108,15 @@ def hashing_embedder(dim: int) -> Callable[[], Callable[[pd.Series], list]]:
         def embed(texts: pd.Series) -> list:
             out = []
             for t in texts:
-                v = np.zeros(dim, dtype=np.float64)
+                buckets = []
                 for tok in (t or "").lower().split():
                     b = seen.get(tok)
                     if b is None:
                         b = hash_bucket(tok, dim)
-                        if len(seen) < 1_000_000:
+                        if len(seen) < SEEN:
                             seen[tok] = b
-                    v[b] += 1.0
+                    buckets.append(b)
+                v = np.bincount(np.array(buckets, np.int64), minlength=dim).astype(np.float64)
                 norm = np.sqrt((v * v).sum())
                 out.append((v / norm if norm > 0 else v).astype(np.float32))
             return out
@@ -119,9 +127,10 @@ def hashing_embedder(dim: int) -> Callable[[], Callable[[pd.Series], list]]:
 
 
 def embedding_udf(factory: Callable[[], Callable[[pd.Series], list]], on_error: str = "raise"):
-    """Iterator pandas UDF: the model is created once per worker process.
-    With ``on_error="null"`` a batch that fails is run text by text, and the
-    texts that fail get no vector."""
+    """Iterator Arrow UDF: the model is created once per worker process and
+    gets a Series of a few hundred texts at a time, whose vectors go on before
+    the next are made. With ``on_error="null"`` a slice that fails is run text
+    by text, and the texts that fail get no vector."""
 
     def alone(model, text):
         try:
@@ -129,16 +138,22 @@ def embedding_udf(factory: Callable[[], Callable[[pd.Series], list]], on_error:
         except Exception:  # noqa: BLE001
             return None
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def vectors(found) -> pa.Array:
+        return pa.array([None if v is None else np.asarray(v, np.float32) for v in found], pa.list_(pa.float32()))
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def _embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
-        for texts in batches:
-            try:
-                yield pd.Series(model(texts))
-            except Exception:  # noqa: BLE001 - any failure of the model
-                if on_error != "null":
-                    raise
-                yield pd.Series([alone(model, t) for t in texts])
+        for batch in batches:
+            for part in pieces(batch, rows=256):
+                texts = pd.Series(part.to_pylist(), dtype=object)
+                try:
+                    found = vectors(model(texts))
+                except Exception:  # noqa: BLE001 - any failure of the model
+                    if on_error != "null":
+                        raise
+                    found = vectors([alone(model, t) for t in texts])
+                yield found
 
     return _embed
 

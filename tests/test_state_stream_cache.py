@@ -284,3 +284,18 @@ def test_a_failing_text_gets_no_vector(spark, tmp_path):
     assert {r["chunk_key"]: r["embedding"] is None for r in got} == {"k1": False, "k2": True, "k3": False}
     with pytest.raises(Exception, match="bad text"):
         E.embed_cached(rows, model="m", cache_path=str(tmp_path / "c"), embedder=factory).collect()
+
+
+def test_vectors_are_made_a_slice_at_a_time():
+    """The model sees a few hundred texts, and their vectors go on before it sees more."""
+    import pyarrow as pa
+
+    seen = []
+
+    def factory():
+        return lambda texts: [seen.append(len(texts)) or [1.0]] + [[float(len(t))] for t in texts[1:]]
+
+    made = E.embedding_udf(factory).func(iter([pa.array([str(i) for i in range(1000)])]))
+    first = next(made)
+    assert len(seen) == 1 and len(first) == seen[0] <= 256
+    assert len(first) + sum(map(len, made)) == 1000 == sum(seen)

@@ -30,8 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import pieces
 from .common import cut, shared_path
-from .encode import encoder
+from .encode import GROUP, encoder
 from .simple8b import BLOCK, pack, unpack
 
 # Fixed values of the format.
@@ -65,11 +66,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     def run(batches):
         part, number, pending, size = TaskContext.get().partitionId(), 0, [], 0
         enc = encoder(vocabulary)
-        for b in batches:
+        for b in (part for batch in batches for part in pieces(batch, 2 * GROUP, batch.num_rows)):
             flat, count = enc.encode_all(b.column(1))
-            raw, upto = flat.tobytes(), 4 * np.cumsum(count)
+            raw, upto = flat.view(np.uint8), 4 * np.cumsum(count)
             for key, a, z in zip(b.column(0).to_pylist(), (upto - 4 * count).tolist(), upto.tolist()):
-                ids = raw[a:z] + end
+                ids = raw[a:z].tobytes() + end
                 pending.append((key, ids))
                 size += len(ids) // 4
                 if size >= segment_ids:

@@ -179,3 +179,25 @@ def test_arc_versions_and_errors():
     assert iso_date("20010203040506") == "2001-02-03T04:05:06Z" and iso_date("2001") == "2001-01-01T00:00:00Z"
     with pytest.raises(ValueError):
         list(parse_warc(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"))
+
+
+def test_a_batch_is_cut_into_pieces_of_rows():
+    """op9 encodes a batch some MB at a time, whatever the texts weigh; empty batches and long rows too."""
+    import pyarrow as pa
+
+    from tessera.operators.partitioning import pieces
+
+    batch = pa.record_batch([pa.array(range(100)), pa.array([None if i % 9 == 0 else "z" * (i * 1000) for i in range(100)])], names=["doc_id", "text"])
+    parts = list(pieces(batch, 200_000, batch.num_rows))
+    assert len(parts) > 20 and all(p.num_rows == 1 or p.nbytes <= 200_000 for p in parts)
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert [p.num_rows for p in pieces(batch.slice(0, 0), 10, 10)] == [0]
+
+
+def test_token_files_of_texts_without_ids(spark):
+    import public_tokenizers
+
+    from tessera.llm.token_files import token_index
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, " ")], "doc_id long, text string").coalesce(1)
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in token_index(docs, public_tokenizers.path("word_bpe_49k.json"), 1).collect())
+    assert got == [(1, 0, 1), (2, 1, 1), (3, 2, 1)]

@@ -49,7 +49,7 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
         found = every_file(spark, root, recursive=recursive, links=True)
         if exts:
             found = found.filter(F.col("extension").isin(exts))
-        return deal(found.select("path", "modificationTime", "length")).withColumn("content", file_content(root, "path"))
+        return _opened(found.select("path", "modificationTime", "length"), root, "path")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if exts:
         pats = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in exts]
@@ -62,6 +62,12 @@ def binary_files(spark: SparkSession, root: str, extensions: Iterable[str] | Non
     return df.unionByName(rest.select("path", "modificationTime", "length", "content"))
 
 
+def _opened(files: DataFrame, root: str, path: str) -> DataFrame:
+    """The dealt files with their ``content``. Spark sees the size of the dealt rows, not of the bytes, so the result is never
+    broadcast to a join."""
+    return deal(files).withColumn("content", file_content(root, path)).hint("shuffle_merge")
+
+
 def with_file_columns(df: DataFrame, source: str = "local", keep_content: bool = False) -> DataFrame:
     """path, file_name, extension (with dot, lower), size, modified, file_id
     (and ``content`` when asked, in the same projection: no second scan)."""
@@ -131,7 +137,7 @@ def file_bytes(spark: SparkSession, root: str, paths: Sequence[str] | DataFrame
         error = F.when(F.col("_found").isNull(), F.raise_error(F.concat(F.lit("ConnectionError: File "), "path", F.lit(" does not exist"))))
     # paths meet paths, then the found ones are opened: no bytes are shuffled
     listed = every_file(spark, root, links=True).select("path", F.col("path").alias("_found"))
-    return (deal(wanted.join(listed, "path", "left")).withColumn("content", file_content(root, "_found"))
+    return (_opened(wanted.join(listed, "path", "left"), root, "_found")
             .select("path", "content", F.when(F.col("_found").isNull(), "ConnectionError").alias("error_type"), error.cast("string").alias("error")))
 
 

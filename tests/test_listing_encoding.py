@@ -206,5 +206,9 @@ def test_large_trees_are_dealt_to_the_tasks(spark, tmp_path):
         assert few.schema == many.schema and sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
         assert many.filter("length > 3").count() == few.filter("length > 3").count() > 0
         assert many.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    # the bytes are in no estimate of Spark's: a join must not broadcast them
+    joined = spark.range(9).withColumn("path", F.col("id").cast("string")).join(FS.with_file_columns(many, keep_content=True), "path", "left")
+    joined.collect()
+    assert "SortMergeJoin" in (plan := joined._jdf.queryExecution().executedPlan().toString()) and "BroadcastHashJoin" not in plan
     got = {r["path"].rsplit("/", 1)[1]: r for r in FS.file_bytes(spark, str(root), ["f3.TXT", "link/linked.txt", "no"]).collect()}
     assert bytes(got["f3.TXT"]["content"]) == b"xxx" and bytes(got["linked.txt"]["content"]) == b"l" and got["no"]["error_type"] == "ConnectionError"

@@ -22,12 +22,14 @@ unless a path is given.
 from __future__ import annotations
 
 import hashlib
+import sys
 import uuid
 from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,8 @@ CACHE_SCHEMA = T.StructType([
 
 # Tokens whose bucket a worker keeps; a bound on memory, not on what is embedded.
 SEEN = 200_000
+# White space of ``str.split`` that Arrow's ASCII split does not know, as a character class.
+_WIDE_SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(sys.maxunicode + 1) if chr(c).isspace() and c not in (9, 10, 11, 12, 13, 32)) + "]"
 
 
 # ---------------------------------------------------------------- embedders
@@ -103,23 +107,28 @@ def hashing_embedder(dim: int) -> Callable[[], Callable[[pd.Series], list]]:
     built once per Python worker."""
 
     def factory():
-        seen: dict[str, int] = {}
+        seen = {"": -1}  # what white space at the ends of a text leaves is no token
+
+        def buckets_of(tokens: list[str]) -> np.ndarray:
+            found = list(map(seen.get, tokens))
+            for i in [i for i, b in enumerate(found) if b is None]:
+                found[i] = hash_bucket(tokens[i], dim)
+                if len(seen) <= SEEN:
+                    seen[tokens[i]] = found[i]
+            return np.array(found, np.int64)
 
         def embed(texts: pd.Series) -> list:
-            out = []
-            for t in texts:
-                buckets = []
-                for tok in (t or "").lower().split():
-                    b = seen.get(tok)
-                    if b is None:
-                        b = hash_bucket(tok, dim)
-                        if len(seen) < SEEN:
-                            seen[tok] = b
-                    buckets.append(b)
-                v = np.bincount(np.array(buckets, np.int64), minlength=dim).astype(np.float64)
-                norm = np.sqrt((v * v).sum())
-                out.append((v / norm if norm > 0 else v).astype(np.float32))
-            return out
+            """The texts are split together, each different token is looked up once, and all are counted together."""
+            lower = pa.array([(t or "").lower() for t in texts], pa.string())
+            split = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _WIDE_SPACE, " "))
+            coded = split.flatten().dictionary_encode()
+            bucket = buckets_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+            row = np.repeat(np.arange(len(lower)), np.diff(split.offsets.to_numpy()))[bucket >= 0]
+            place = row * dim + bucket[bucket >= 0]
+            v = np.bincount(place, minlength=len(lower) * dim).reshape(len(lower), dim).astype(np.float64)
+            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+            norm[norm == 0] = 1
+            return list((v / norm).astype(np.float32))
 
         return embed
 
@@ -181,7 +190,7 @@ def read_cache(spark: SparkSession, path: str, model: str, keys: DataFrame | Non
     try:
         cache = spark.read.schema(CACHE_SCHEMA).parquet(path)
     except AnalysisException:
-        cache = spark.createDataFrame([], CACHE_SCHEMA)
+        cache = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CACHE_SCHEMA])
     cache = cache.filter(F.col("model") == model)
     if not vectors:
         cache = cache.select("chunk_key", "model", F.size("embedding").alias("dimensions"))

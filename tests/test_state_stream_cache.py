@@ -299,3 +299,24 @@ def test_vectors_are_made_a_slice_at_a_time():
     first = next(made)
     assert len(seen) == 1 and len(first) == seen[0] <= 256
     assert len(first) + sum(map(len, made)) == 1000 == sum(seen)
+
+
+def test_a_slice_of_texts_hashes_a_token_once(monkeypatch):
+    import hashlib
+
+    import numpy as np
+    import pandas as pd
+    asked = []
+    plain = E.hash_bucket
+    monkeypatch.setattr(E, "hash_bucket", lambda t, dim: asked.append(t) or plain(t, dim))
+    monkeypatch.setattr(E, "SEEN", 0)
+    texts = ["b a", "A  b\x1fb", None, " a İ ", "", " \n"]
+    got = E.hashing_embedder(16)()(pd.Series(texts, dtype=object))
+    assert len(asked) == len(set(asked)) == 3  # none is kept, and still each is hashed once a slice
+    for t, v in zip(texts, got):
+        want = np.zeros(16)
+        for tok in (t or "").lower().split():
+            want[int(hashlib.md5(tok.encode()).hexdigest()[:8], 16) % 16] += 1
+        norm = np.sqrt((want * want).sum()) or 1.0
+        assert v.dtype == np.float32 and (v == (want / norm).astype(np.float32)).all()
+    assert len(E.hashing_embedder(16)()(pd.Series([], dtype=object))) == 0

@@ -81,7 +81,7 @@ def ingest_frames(docs: DataFrame, run_id: str, model: str = E.OFFLINE_MODEL, ca
     chunker once."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(docs.sparkSession)
-    docs = docs.checkpoint(eager=True)
+    docs = docs.select("file_id", "doc_type", "content", "paragraphs", "tables", "error", "reader_type").checkpoint(eager=True)
     good = docs.filter(F.col("error").isNull())
     text = C.text_for_chunking("doc_type", "content", "paragraphs", "tables")
     outcomes = C.chunk_outcomes(good.select("file_id", text.alias("text")), id_col="file_id", chunker=chunker)

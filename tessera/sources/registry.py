@@ -81,11 +81,13 @@ class ReaderRegistry:
         Files nobody reads come back with ``error`` set (ReadError).
         """
         from ..operators.partitioning import spread
-        parts = []
+        by_reader: dict[tuple[str, Reader], list[str]] = {}
         for ext, (name, reader) in sorted(self._readers.items()):
-            if reader is None:
-                continue
-            sub = files.filter(F.col("extension") == ext)
+            if reader is not None:
+                by_reader.setdefault((name, reader), []).append(ext)
+        parts = []
+        for (name, reader), exts in by_reader.items():  # the files are read once a reader, not once an extension
+            sub = files.filter(F.col("extension").isin(exts))
             parts.append(reader(spread(sub)).withColumn("reader_type", F.lit(name)))
         unknown = files.filter(self.reader_column("extension").isNull()).select(
             "file_id", "path", F.lit(None).cast("string").alias("content"),

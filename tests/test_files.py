@@ -249,3 +249,44 @@ def test_docx_properties_and_counts(tmp_path):
     d = parse_docx(buf.getvalue())
     assert (d["keywords"], d["category"], d["comments"], d["modified"]) == ("k", "c", "d", "2024-01-02T03:04:05Z")
     assert (d["paragraph_count"], d["table_count"]) == (2, 1)
+
+
+def test_files_are_read_once_a_reader(spark):
+    from tessera.sources.registry import ReaderRegistry
+    seen = []
+
+    def reader(files):
+        seen.append(sorted(r["extension"] for r in files.collect()))
+        return files.select("file_id", "path", F.col("path").alias("content"))
+
+    reg = ReaderRegistry()
+    for ext in (".a", ".b"):
+        reg.register(ext, "Both", reader)
+    reg.register(".c", "Other", reader)
+    files = spark.createDataFrame([(e, e, e) for e in (".a", ".b", ".b", ".c", ".d")], "file_id string, path string, extension string")
+    rows = sorted((r["path"], r["reader_type"], r["error"] is None) for r in reg.read_documents(files).collect())
+    assert seen == [[".a", ".b", ".b"], [".c"]]
+    assert rows == [(".a", "Both", True), (".b", "Both", True), (".b", "Both", True), (".c", "Other", True), (".d", None, False)]
+
+
+def test_docx_rows_go_on_in_batches(spark, monkeypatch):
+    from tessera.sources import readers as R
+    made = {}
+
+    class Frame:  # takes the function that the reader gives to its tasks
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            made["fn"] = fn
+            return spark.createDataFrame([], schema)
+
+    import pyarrow as pa
+    R.read_docx_files(Frame())
+    monkeypatch.setattr(R, "PIECE_ROWS", 4)
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(10)]), pa.array(["p"] * 10), pa.array([b"x"] * 10)],
+                                       names=["file_id", "path", "content"])
+    out = list(made["fn"](iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in out] == [4, 4, 2]
+    assert [r["file_id"] for b in out for r in b.to_pylist()] == [str(i) for i in range(10)]
+    assert all(r["error_type"] == "ReadError" for b in out for r in b.to_pylist())

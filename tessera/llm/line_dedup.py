@@ -9,11 +9,12 @@ hashing with rotation (one hash per shingle, the least in each of 42 bins), whic
 size. Lines between have both, so two lines at the threshold always share a kind. 14 bands of 3 values miss a pair at
 a similarity of 0.8 with a probability of 4e-5.
 
-Scale: the bucket counts are an aggregate with map-side partial results (a band matters if two different lines are in
-its bucket, a line itself if it is at two places), and the buckets that matter become a filter of fixed size
-(``filter_bits``), the only thing broadcast. A second pass over the documents lets only lines in such buckets go on;
-the filter's false hits cost rows, not results. Candidates are then compared in block tasks (``lsh``) and joined into
-components (``components``). Of the lines that are unlike all others only the bucket hashes of the first pass are shuffled.
+Scale: a band matters if two different lines are in its bucket, a line itself if it is at two places. The tasks keep the
+least and the largest line of a bucket and send them packed, many buckets a row, by the bucket's part; the buckets that
+matter become a filter of fixed size (``filter_bits``), the only thing broadcast. A second pass over the documents lets
+only lines in such buckets go on; the filter's false hits cost rows, not results. Candidates are then compared in block
+tasks (``lsh``) and joined into components (``components``). Of the lines that are unlike all others only the bucket
+hashes of the first pass are shuffled.
 
 Defined results
 - null text has no line; blank lines are never removed and never counted as equal;
@@ -40,66 +41,90 @@ from .shingles import band_hashes, minhash, mix64, stream
 
 SHINGLE, BANDS, ROWS = 8, 14, 3
 SHORT, LONG = 160, 128  # plain MinHash up to SHORT shingles, one permutation hashing above LONG
+HEAD = 200  # shingles that mostly tell whether a line has more than SHORT different ones
 VERIFY = 60  # MinHash values compared before the exact check
 _WHITE = " \t\n\x0b\f\r"
 
 
-_BASE = tuple(np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4))
+_POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in range(SHINGLE - 1, -1, -1)]
 
 
-def _shingle_values(codes: np.ndarray) -> np.ndarray:
-    """Hashes of all windows of 8 characters: of pairs, of pairs of pairs, of pairs of those."""
-    for n, m in zip((1, 2, 4), _BASE):
-        if len(codes) <= n:
-            return codes[:0]
-        codes = codes[:-n] * m + codes[n:]
-    return mix64(codes)
+def _windows(text: str) -> np.ndarray:
+    """Values of all windows of 8 characters, still to be mixed: of characters below 256 the bytes themselves, others are
+    hashed as polynomials."""
+    plain = text.isascii()
+    codes = np.frombuffer(text.encode() if plain else text.encode("utf-32-le", "surrogatepass"), np.uint8 if plain else np.uint32)
+    n = max(0, len(codes) - SHINGLE + 1)
+    packed = np.ndarray((n,), "<u8", codes if plain else codes.astype(np.uint8), strides=(1,))
+    if plain or not n or not (wide := codes > 255).any():
+        return packed
+    far = np.cumsum(np.concatenate([[0], wide]))
+    far = far[SHINGLE:] > far[:-SHINGLE]
+    at = np.flatnonzero(far)
+    if 3 * len(at) > n:
+        values = codes.astype(np.uint64)
+        for k in (1, 2, 4):  # of pairs, of pairs of pairs, of pairs of those
+            values = values[:-k] * _POWERS[SHINGLE - 1 - k] + values[k:]
+        return np.where(far, values, packed)
+    packed = packed.copy()
+    packed[at] = sum(codes[at + k] * p for k, p in enumerate(_POWERS))
+    return packed
+
+
+def _short(line: str) -> int:
+    """The value of a line shorter than a window, still to be mixed."""
+    if line.isascii():
+        return int.from_bytes(line.encode(), "little") * int(_POWERS[0]) + len(line) & (1 << 64) - 1
+    return sum(ord(c) * int(m) for c, m in zip(line, stream(SHINGLE, SHINGLE))) + len(line) & (1 << 64) - 1
 
 
 def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all lines (repeats included) and the n + 1 offsets of the lines in them."""
     length = np.array([len(x) for x in lines], np.int64)
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     start = np.cumsum(length) - length
     counts = np.where(length >= SHINGLE, length - SHINGLE + 1, np.minimum(length, 1))
     out = np.concatenate([[0], np.cumsum(counts)])
-    rolled = _shingle_values(codes)
+    rolled = _windows("".join(lines))
     full = length >= SHINGLE
     inside = np.ones(len(rolled), bool)  # positions whose window stays inside a line
     for j in range(1, SHINGLE):
         ends = (start + length - j)[length >= j]
         inside[ends[ends < len(rolled)]] = False
+    rolled = rolled[inside]
     if full.all():
-        return rolled[inside], out
-    values = np.zeros(out[-1], np.uint64)
-    values[np.repeat(full, counts)] = rolled[inside]
-    m = stream(SHINGLE, SHINGLE)
-    for i in np.flatnonzero(~full & (length > 0)):
-        values[out[i]] = mix64((codes[start[i]:start[i] + length[i]] * m[:length[i]]).sum(dtype=np.uint64, keepdims=True)
-                               + np.uint64(length[i]))[0]
-    return values, out
+        return mix64(rolled), out
+    values = np.empty(out[-1], np.uint64)
+    values[np.repeat(full, counts)] = rolled
+    short = np.flatnonzero(~full & (length > 0))
+    values[out[short]] = np.array([_short(lines[i]) for i in short], np.uint64)
+    return mix64(values), out
 
 
 def one_permutation(values: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     """One permutation hashing: the least hash of each bin; an empty bin takes the next one's, shifted."""
     n = len(offsets) - 1
-    place = np.repeat(np.arange(n) * size, np.diff(offsets)) + (((values >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
-    sig = np.full(n * size, 0xFFFFFFFF, np.uint32)
-    have = np.zeros(n * size, bool)
+    place = values >> np.uint64(32)
+    place *= np.uint64(size)
+    place >>= np.uint64(32)
+    place = place.view(np.int64)
+    place += np.repeat(np.arange(n) * size, np.diff(offsets))
+    sig = np.full(n * size, 0xFFFFFFFF, np.uint32)  # the mark of an empty bin; a hash that equals it counts as none
     np.minimum.at(sig, place, values.astype(np.uint32))
-    have[place] = True
-    sig, have = sig.reshape(n, size), have.reshape(n, size)
+    sig = sig.reshape(n, size)
+    have = sig != np.uint32(0xFFFFFFFF)
     some = have.any(axis=1)
-    while (gaps := ~have & some[:, None]).any():
-        fill = gaps & np.roll(have, -1, axis=1)
-        sig = np.where(fill, np.roll(sig, -1, axis=1) * np.uint32(2654435761) + np.uint32(1), sig)
-        have = have | fill
+    while len(rows := np.flatnonzero(some & ~have.all(axis=1))):
+        own, there = sig[rows], have[rows]
+        fill = ~there & np.roll(there, -1, axis=1)
+        sig[rows] = np.where(fill, np.roll(own, -1, axis=1) * np.uint32(2654435761) + np.uint32(1), own)
+        have[rows] = there | fill
     return sig
 
 
-def _n_distinct(values: np.ndarray) -> int:
+def _distinct(values: np.ndarray) -> np.ndarray:
     v = np.sort(values)
-    return int((v[1:] != v[:-1]).sum()) + 1 if len(v) else 0
+    new = v[1:] != v[:-1]
+    return v if new.all() else np.concatenate([v[:1], v[1:][new]])
 
 
 def band_sizes(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -107,14 +132,15 @@ def band_sizes(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     lines with more than SHORT distinct ones at their start, keep their total."""
     size = np.diff(offsets)
     out = size.copy()
-    long = np.flatnonzero(size > SHORT)
-    plain = np.zeros(len(size), bool)
+    long = np.flatnonzero(size > LONG)
     for at in range(0, len(long), 512):
         rows = long[at:at + 512]
-        head = np.sort(values[offsets[rows][:, None] + np.arange(SHORT + 1)], axis=1)
-        plain[rows] = (head[:, 1:] != head[:, :-1]).all(axis=1)
-    for i in np.flatnonzero((size > LONG) & ~plain):
-        out[i] = _n_distinct(values[offsets[i]:offsets[i + 1]])
+        # the last shingle fills the rows up
+        head = np.sort(values[offsets[rows][:, None] + np.minimum(np.arange(HEAD), size[rows][:, None] - 1)], axis=1)
+        n = 1 + (head[:, 1:] != head[:, :-1]).sum(axis=1)
+        out[rows] = np.where(size[rows] <= HEAD, n, size[rows])
+        for i in rows[(size[rows] > HEAD) & (n <= SHORT)]:
+            out[i] = len(_distinct(values[offsets[i]:offsets[i + 1]]))
     return out
 
 
@@ -140,8 +166,7 @@ def _slices(batch, limit: int = 1 << 17):
     doc, number, lines, size = [], [], [], 0
     for d, t in enumerate(batch.column(2)):
         for n, x in enumerate((t.as_py() or "").split("\n")):
-            x = x.strip(_WHITE)
-            if x:
+            if x := x.strip(_WHITE):
                 doc.append(d)
                 number.append(n)
                 lines.append(x)
@@ -159,18 +184,65 @@ def _keys(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
     return keys, np.frombuffer(b"".join(keys), np.int64)[1::2]
 
 
-def _count_buckets(batches):
+def _runs(bucket: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets, ascending as unsigned numbers, each with its least and its largest k."""
+    order = np.argsort(bucket.view(np.uint64))
+    bucket, k = bucket[order], k[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return bucket[first], np.minimum.reduceat(k, first), np.maximum.reduceat(k, first)
+
+
+def _count_buckets(parts: int, held: int = 1 << 19):
     """(bucket, k) for every band of every line, k telling lines apart, and for every line itself, k telling its
-    places apart."""
+    places apart: about ``held`` of them at a time, of a bucket the least and the largest k. A row has those of a
+    ``part`` (the bucket's highest bits), as little-endian 64-bit integers."""
+    def packed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        bucket, least, most = _runs(*(np.concatenate(x) for x in zip(*found)))
+        more = least != most
+        bucket, k = np.repeat(bucket, 1 + more), np.repeat(least, 1 + more)
+        k[np.cumsum(1 + more)[more] - 1] = most[more]
+        part = ((bucket.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = pa.array(np.append(at, len(part)) * 8, pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[at])] + [pa.Array.from_buffers(pa.binary(), len(at), [None, ends.buffers()[1], pa.py_buffer(x)]) for x in (bucket, k)],
+            names=["part", "buckets", "ks"])
+
+    def run(batches):
+        found, n = [], 0
+        for b in batches:
+            own_hash = np.array([hash_document(d, k) for d, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], np.uint64)
+            for doc, number, lines in _slices(b):
+                line, bucket = line_bands(*line_shingles(lines))
+                keys, own = _keys(lines)
+                which = np.frombuffer(b"".join(keys), np.int64)[::2]
+                places = mix64(own_hash[doc] + np.array(number, np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                found.append((np.concatenate([bucket, own]), np.concatenate([which[line], places])))
+                n += len(found[-1][0])
+                if n >= held:
+                    yield packed(found)
+                    found, n = [], 0
+        if n:
+            yield packed(found)
+    return run
+
+
+def _multiple(batches):
+    """The buckets that have several k; the rows come part by part."""
+    def of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        bucket, least, most = _runs(*(np.frombuffer(b"".join(x), np.int64) for x in zip(*found)))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[least != most])], names=["bucket"])
+
+    now, found = None, []
     for b in batches:
-        own_hash = np.array([hash_document(d, k) for d, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], np.uint64)
-        for doc, number, lines in _slices(b):
-            line, bucket = line_bands(*line_shingles(lines))
-            keys, own = _keys(lines)
-            which = np.frombuffer(b"".join(keys), np.int64)[::2]
-            places = mix64(own_hash[doc] + np.array(number, np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([bucket, own])),
-                                              pa.array(np.concatenate([which[line], places]))], names=["bucket", "k"])
+        for part, *row in zip(*(b.column(c).to_pylist() for c in range(3))):
+            if part != now and found:
+                yield of(found)
+                found = []
+            now = part
+            found.append(row)
+    if found:
+        yield of(found)
 
 
 def hash_document(doc_id, tk: bytes) -> int:
@@ -178,10 +250,12 @@ def hash_document(doc_id, tk: bytes) -> int:
 
 
 def _candidates(shared, bits: int):
-    """Lines that have a bucket in the filter: their place and key, and, where a band is in it, what is compared."""
+    """Lines that have a bucket in the filter: their place and key, and, where a band is in it, what is compared; and a row
+    per document without ``line``, its number of lines as ``n_items``."""
     def run(batches):
         hot = shared.value
         mask = np.int64((1 << bits) - 1)
+        names = ["id", "tk", "line", "key", "n_items", "bands", "text"]
 
         def on_bit(v: np.ndarray) -> np.ndarray:
             return (hot[v >> 3] >> (v & 7).astype(np.uint8)) & 1 > 0
@@ -190,8 +264,9 @@ def _candidates(shared, bits: int):
             return on_bit(bucket & mask) & on_bit((bucket >> 32) & mask)
 
         for b in batches:
-            ids, tks = b.column(0), b.column(1)
+            ids, tks, n_lines = b.column(0), b.column(1), np.zeros(b.num_rows, np.int64)
             for doc, number, lines in _slices(b):
+                n_lines += np.bincount(doc, minlength=b.num_rows)
                 values, off = line_shingles(lines)
                 line, bucket = line_bands(values, off)
                 keys, own = _keys(lines)
@@ -208,8 +283,10 @@ def _candidates(shared, bits: int):
                 yield pa.RecordBatch.from_arrays([
                     ids.take(at), tks.take(at), pa.array([number[i] for i in out], pa.int32()),
                     pa.array([keys[i] for i in out], pa.binary()), pa.array(np.diff(off)[out], pa.int64()), lists,
-                    pa.array([lines[i].encode() if near[i] else None for i in out], pa.binary())],
-                    names=["id", "tk", "line", "key", "n_items", "bands", "text"])
+                    pa.array([lines[i].encode() if near[i] else None for i in out], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([
+                ids, tks, pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary()), pa.array(n_lines),
+                pa.nulls(b.num_rows, pa.list_(pa.int64())), pa.nulls(b.num_rows, pa.binary())], names=names)
     return run
 
 
@@ -229,7 +306,7 @@ def _decode(data: list[bytes]) -> tuple[np.ndarray, Callable[[np.ndarray], list[
 
     def sets(at) -> list[np.ndarray]:
         values, off = line_shingles([data[i][4 * VERIFY:].decode() for i in at])
-        return [np.unique(values[a:z]) for a, z in zip(off[:-1], off[1:])]
+        return [_distinct(values[a:z]) for a, z in zip(off[:-1], off[1:])]
 
     return sig, sets
 
@@ -258,13 +335,15 @@ def line_decisions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     body = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
     kind = body.schema["id"].dataType.simpleString()
-    texts = body.select("id", digest.alias("tk"), "text").where("text is not null")
-    multi = (texts.mapInArrow(_count_buckets, "bucket bigint, k bigint").groupBy("bucket")
-             .agg(F.min("k").alias("_a"), F.max("k").alias("_z")).where("_a <> _z").select("bucket"))
+    texts = body.select("id", digest.alias("tk"), "text")
+    parts = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # a task has several, one in memory at a time
+    multi = (texts.where("text is not null").mapInArrow(_count_buckets(parts), "part int, buckets binary, ks binary")
+             .repartition("part").sortWithinPartitions("part").mapInArrow(_multiple, "bucket bigint"))
     hot = spark.sparkContext.broadcast(bucket_filter(multi, filter_bits))
-    found = written(texts.mapInArrow(
+    passed = written(texts.mapInArrow(
         _candidates(hot, filter_bits),
         f"id {kind}, tk binary, line int, key binary, n_items bigint, bands array<bigint>, text binary"), "line-candidates")
+    found, rows = passed.where("line is not null"), passed.where("line is null").select("id", "tk", F.col("n_items").alias("n_lines"))
     near = (found.where("text is not null").groupBy("key").agg(
         F.first("text").alias("text"), F.first("n_items").alias("n_items"), F.first("bands").alias("bands")))
     near = written(near.withColumn("n", F.lit(1).cast("bigint")), "line-classes")
@@ -283,8 +362,6 @@ def line_decisions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     keep = cut(join_back(seen.select("key", "root", "n"), stays, "root", "_n").select("key", "stays", "n"))
     gone = (join_back(lines, keep, "key", "n").where(~F.expr("id <=> stays.id and tk = stays.tk and line = stays.line"))
             .groupBy("id", "tk").agg(F.sort_array(F.collect_set("line")).alias("removed")))
-    n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(_WHITE)) != ""))
-    rows = body.select("id", digest.alias("tk"), n_lines.cast("bigint").alias("n_lines"))
     return (rows.alias("r").join(gone.alias("g"), F.expr("r.id <=> g.id and r.tk = g.tk"), "left")
             .select("r.id", "r.tk", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
 

@@ -3,8 +3,9 @@
 Input is one row per distinct set (a class of equal sets). Classes that share a band bucket are candidates. Buckets of
 the same members are joined into one, a member's sets travel once for each bucket, and a large bucket is dealt out as
 blocks: a task compares two blocks of at most about ``BLOCK`` members, so no bucket meets in one task and nothing is
-capped. A pair is compared only in the least bucket that both share, so it counts once, and a task returns a row per
-member (its number of links, and a member of its component), never the pairs themselves.
+capped; small groups are compared many at a time. A pair is compared only in the least bucket that both share, so it
+counts once, and a task returns a row per member (its number of links, and a member of its component), never the pairs
+themselves.
 
 Bayesian pruning: with a uniform prior on the similarity, after n compared MinHash values of which m agree, the
 posterior is Beta(m + 1, n - m + 1). A pair is dropped as soon as the posterior probability of a similarity of at least
@@ -19,6 +20,7 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ BLOCK_ITEMS = 1_000_000  # set items of a block, about
 PAIRS = 1 << 18  # pairs in work at a time within a task
 BATCH_ROWS, BATCH_BYTES = 4096, 1 << 22  # groups are decoded together up to about this
 STEP = 20  # MinHash values compared at a time
+SMALL = 32  # groups of up to this many members are compared together; their
+SET_BYTES = 1 << 20  # sets are made for about this much data at a time
 
 
 @lru_cache(None)
@@ -115,70 +119,125 @@ def _group_links(weight, sig, sets, block, buckets, bucket, threshold, tolerance
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
     if found_i:
-        i, j = np.concatenate(found_i), np.concatenate(found_j)
-        while True:  # least label along the links
-            m = np.minimum(root[i], root[j])
-            new = root.copy()
-            np.minimum.at(new, i, m)
-            np.minimum.at(new, j, m)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        root = _least_labels(n, np.concatenate(found_i), np.concatenate(found_j))
     return links, root
 
 
-def _pair_links(sig, sets, one, two, bucket, threshold: float, tolerance: float) -> bool:
-    """Whether the two members of a group are linked (the case of most groups)."""
-    if min(set(one) & set(two)) < bucket:
-        return False
-    agree = np.cumsum(sig[0] == sig[1])
-    if any(agree[n - 1] < least for n, least in least_matches(sig.shape[1], threshold, tolerance)):
-        return False
-    a, z = sets()
-    both = len(np.intersect1d(a, z, assume_unique=True))
-    return both >= threshold * (len(a) + len(z) - both) - 1e-9
+def _least_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least member of each one's component, by the links i - j."""
+    root = np.arange(n)
+    while True:
+        m = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, m)
+        np.minimum.at(new, j, m)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _in_common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate([a, b])
+    both.sort()
+    return np.count_nonzero(both[1:] == both[:-1])
+
+
+def _small_links(weight, sig, sets, volume, block, two, buckets, bucket, starts, threshold, tolerance):
+    """Links of each row with others of its group, and the least row of its component there, for many groups at once: those
+    of up to SMALL rows. ``volume``: bytes of data up to each row; ``two``: whether its group is of two blocks."""
+    n = len(weight)
+    links, root = np.zeros(n, np.int64), np.arange(n)
+    sizes = np.diff(np.append(starts, n))
+    left, right = [], []
+    for m in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
+        first = starts[sizes == m][:, None]
+        a, z = np.triu_indices(m, 1)
+        left.append((first + a).ravel())
+        right.append((first + z).ravel())
+    if not left:
+        return links, root
+    i, j = np.concatenate(left), np.concatenate(right)
+    ok = ~two[i] | (block[i] != block[j])
+    i, j = i[ok], j[ok]
+    width = np.array([len(b) for b in buckets])
+    lists = np.full((n, width.max()), np.iinfo(np.int64).max)  # what fills a row up is less than no bucket
+    lists[np.arange(lists.shape[1]) < width[:, None]] = np.concatenate(buckets)
+    earlier = np.zeros(len(i), bool)
+    for c in range(lists.shape[1]):
+        own = lists[i, c]
+        earlier |= (own < bucket[i]) & (lists[j] == own[:, None]).any(axis=1)
+    i, j = survivors(sig, i[~earlier], j[~earlier], threshold, tolerance)
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    parts = np.flatnonzero(np.diff(volume[np.repeat(starts, sizes)[i]] // SET_BYTES, prepend=-1, append=-1)) if len(i) else []
+    linked = np.zeros(len(i), bool)
+    for a, z in zip(parts[:-1], parts[1:]):
+        named, at = np.unique(np.concatenate([i[a:z], j[a:z]]), return_inverse=True)
+        own = sets(named)
+        size = np.array([len(s) for s in own])
+        x, y = at[:z - a], at[z - a:]
+        both = np.minimum(size[x], size[y])  # at most
+        for p in np.flatnonzero(both >= threshold * np.maximum(size[x], size[y]) - 1e-9):
+            both[p] = _in_common(own[x[p]], own[y[p]])
+        linked[a:z] = both >= threshold * (size[x] + size[y] - both) - 1e-9
+    i, j = i[linked], j[linked]
+    np.add.at(links, i, weight[j])
+    np.add.at(links, j, weight[i])
+    return links, _least_labels(n, i, j)
 
 
 def _compare(threshold: float, tolerance: float, decode: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
-    def run(rows: list[tuple], starts: list[int]) -> pa.RecordBatch | None:
+    def run(b: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch | None:
         """The links of some groups; ``starts`` are their first rows."""
-        sig, sets = decode([r[6] for r in rows])
-        out = []
-        for a, z in zip(starts, [*starts[1:], len(rows)]):
-            group = rows[a:z]
-            bucket, lo, hi = group[0][:3]
-            if z - a < 2 or lo != hi and len({r[3] for r in group}) < 2:
-                continue
-            if z - a == 2:
-                if _pair_links(sig[a:z], lambda: sets((a, a + 1)), group[0][7], group[1][7], bucket, threshold, tolerance):
-                    out += [(rows[a][4], rows[a + 1][5], rows[a][4]), (rows[a + 1][4], rows[a][5], rows[a][4])]
-                continue
-            links, root = _group_links(np.array([r[5] for r in group]), sig[a:z], lambda at, a=a: sets(at + a), np.array([r[3] for r in group]),
-                                       [np.asarray(r[7], np.int64) for r in group], bucket, threshold, tolerance)
-            out += [(group[i][4], int(links[i]), group[root[i]][4]) for i in np.flatnonzero(links)]
-        if not out:
+        bucket, lo, hi, block, weight = (b.column(c).to_numpy() for c in (0, 1, 2, 3, 5))
+        keys, data, lists = b.column(4).cast(pa.binary()), b.column(6).to_pylist(), b.column(7)
+        buckets = np.split(lists.flatten().to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py())[1:-1])
+        sig, sets = decode(data)
+        volume = np.cumsum([len(d) for d in data])
+        links, root = _small_links(weight, sig, sets, volume, block, lo != hi, buckets, bucket, starts, threshold, tolerance)
+        for a, z in zip(starts, [*starts[1:], b.num_rows]):
+            if z - a > SMALL and (lo[a] == hi[a] or (block[a:z] != block[a]).any()):
+                links[a:z], own = _group_links(weight[a:z], sig[a:z], lambda at, a=a: sets(at + a), block[a:z], buckets[a:z],
+                                               bucket[a], threshold, tolerance)
+                root[a:z] = own + a
+        out = np.flatnonzero(links)
+        if not len(out):
             return None
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(out)), pa.array(links[out]), keys.take(pa.array(root[out]))], schema=schema)
+
+    def pieces(b: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole groups together, up to about BATCH_ROWS rows and BATCH_BYTES of data."""
+        volume = np.concatenate([[0], np.cumsum(pc.binary_length(b.column(6)).to_numpy(), dtype=np.int64)])
+        a = 0
+        while a < len(starts):
+            first = int(starts[a])
+            stop = min(first + BATCH_ROWS, int(np.searchsorted(volume, volume[first] + BATCH_BYTES)))
+            z = max(a + 1, int(np.searchsorted(starts, stop)))
+            end = int(starts[z]) if z < len(starts) else b.num_rows
+            if (out := run(b.slice(first, end - first), starts[a:z] - first)) is not None:
+                yield out
+            a = z
 
     def compare(batches):
-        rows: list[tuple] = []
-        starts: list[int] = []
-        size = 0
+        held = None  # the rows of the last group, which may go on
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in range(b.num_columns))):
-                if not rows or row[:3] != rows[-1][:3]:
-                    if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:  # whole groups only
-                        if (out := run(rows, starts)) is not None:
-                            yield out
-                        rows, starts, size = [], [], 0
-                    starts.append(len(rows))
-                rows.append(row)
-                size += len(row[6])
-        if rows and (out := run(rows, starts)) is not None:
-            yield out
+            if not b.num_rows:
+                continue
+            b = b if held is None else pa.concat_batches([held, b])
+            new = np.zeros(b.num_rows, bool)
+            new[0] = True
+            for c in range(3):
+                v = b.column(c).to_numpy()
+                new[1:] |= v[1:] != v[:-1]
+            starts = np.flatnonzero(new)
+            last = int(starts[-1])
+            yield from pieces(b.slice(0, last), starts[:-1])
+            held = b.slice(last)
+        if held is not None:
+            yield from pieces(held, np.zeros(1, np.int64))
 
     return compare
 

@@ -25,10 +25,11 @@ _MASK = (1 << 64) - 1
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of a 64-bit multiply-xorshift hash."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 @lru_cache(None)

@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 from tessera.llm.decontaminate import ItemIndex
 from tessera.llm.encode import Encoder
 from tessera.llm.licenses import bands, length_class
-from tessera.llm.line_dedup import LONG, SHORT, line_bands, line_shingles, one_permutation
-from tessera.llm.lsh import least_matches
+from tessera.llm.line_dedup import LONG, SHORT, _count_buckets, _multiple, line_bands, line_shingles, one_permutation
+from tessera.llm.lsh import SMALL, _compare, least_matches
 from tessera.llm.shingles import minhash, word_hashes, word_shingles
 from tessera.llm.simple8b import pack, unpack
 from tessera.llm.warc import iso_date, parse_arc, parse_warc
@@ -140,6 +140,81 @@ def test_bayes_bounds_keep_pairs_at_the_threshold():
     assert (far[:, steps[1][0] - 1] < steps[1][1]).mean() > 0.9  # unlike pairs go early
 
 
+def test_shingles_of_mixed_scripts():
+    """A shingle's value goes by its characters alone, whatever lines it is made with; different ones differ."""
+    rnd, by = random.Random(1), {}
+    lines = ["".join(rnd.choice("abcdé日本ÿ\x83🙂") for _ in range(rnd.choice([0, 1, 3, 7, 8, 9, 30, 200]))) for _ in range(200)] + ["日" * 40, "abcdefghij"]
+    for others in ([], ["日" * 3000], ["z" * 30000]):  # all kinds, mostly wide, mostly ASCII
+        values, off = line_shingles(lines + others)
+        for i, x in enumerate(lines):
+            pieces = [x[k:k + 8] for k in range(len(x) - 7)] if len(x) >= 8 else [x] if x else []
+            for piece, v in zip(pieces, values[off[i]:off[i + 1]].tolist(), strict=True):
+                assert by.setdefault(piece, v) == v
+    assert len(set(by.values())) == len(by)
+
+
+def test_small_groups_are_compared_together():
+    """The links of many groups, and of one large one, are those of brute force; sets are made for many groups at once."""
+    rnd = random.Random(4)
+    rows, sets, want, g = [], [], {}, 0
+    for size in [2] * 400 + [3, 5, 9] * 20 + [SMALL + 8, 2]:
+        bucket, two, base = 10 * g, rnd.random() < 0.3, [rnd.getrandbits(64) for _ in range(60)]
+        own = [np.unique(np.array(rnd.sample(base, rnd.randint(48, 60)), np.uint64)) for _ in range(size)]
+        block, early = [rnd.randint(0, 1) if two else 0 for _ in own], [rnd.random() < 0.3 for _ in own]
+        key = [f"{g}-{k}".encode() for k in range(size)]
+        for k in range(size):
+            buckets = [bucket - 5] * early[k] + [bucket, bucket + 3]
+            rows.append((bucket, 0, int(two), block[k], key[k], k + 1, len(rows).to_bytes(4, "little"), buckets))
+        for a in range(size):
+            for z in range(size):
+                both = len(np.intersect1d(own[a], own[z]))
+                if a != z and not (two and block[a] == block[z]) and not (early[a] and early[z]) and both >= 0.8 * (len(own[a]) + len(own[z]) - both) - 1e-9:
+                    want[key[a]] = want.get(key[a], 0) + z + 1
+        sets += own
+        g += 1
+    calls = []
+
+    def decode(data):
+        at = [int.from_bytes(d, "little") for d in data]
+        sig = minhash(np.concatenate([sets[i] for i in at]), np.concatenate([[0], np.cumsum([len(sets[i]) for i in at])]), 60)
+        return sig, lambda rows: (calls.append(len(rows)), [sets[at[i]] for i in rows])[1]
+
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=list("abcdefgh"))
+    cuts = [0, 7, 501, 502, batch.num_rows]  # batches end within groups too
+    got = [r for b in _compare(0.8, 1e-5, decode)(batch.slice(a, z - a) for a, z in zip(cuts[:-1], cuts[1:])) for r in b.to_pylist()]
+    assert {r["key"]: r["links"] for r in got} == want and len(got) == len(want)
+    group, place = (lambda key: key.split(b"-")[0]), (lambda key: int(key.split(b"-")[1]))
+    assert all(group(r["root"]) == group(r["key"]) and place(r["root"]) <= place(r["key"]) for r in got)
+    assert len(calls) < 20
+
+
+def test_buckets_with_several_lines():
+    """The buckets that several lines, or one line at several places, are in are found from a few packed rows."""
+    rnd = random.Random(2)
+    lines = ["".join(rnd.choice("abcdefgh ") for _ in range(60)).strip() for _ in range(300)]
+    texts = ["\n".join(rnd.sample(lines, 5) + [x.replace("a", "b", 1) for x in rnd.sample(lines, 2)] + ["same line"]) for _ in range(80)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(80)), pa.array([bytes([d]) for d in range(80)]), pa.array(texts)], names=["id", "tk", "text"])
+    seen, n = {}, 0
+    for d, t in enumerate(texts):
+        parts = t.split("\n")
+        n += len(parts)
+        line, bucket = line_bands(*line_shingles(parts))
+        for i, b in zip(line, bucket.tolist()):
+            seen.setdefault(b, set()).add(parts[i])
+    want = {b for b, x in seen.items() if len(x) > 1}
+    for held in (1 << 19, 500):
+        rows = [r for b in _count_buckets(4, held)([batch.slice(0, 30), batch.slice(30)]) for r in b.to_pylist()]
+        assert len(rows) <= 4 * (1 + 15 * n // held)
+        rows.sort(key=lambda r: r["part"])
+        packed = pa.RecordBatch.from_arrays([pa.array([r["part"] for r in rows], pa.int32()), pa.array([r["buckets"] for r in rows]), pa.array([r["ks"] for r in rows])],
+                                            names=["part", "buckets", "ks"])
+        got = [r["bucket"] for b in _multiple([packed.slice(0, 3), packed.slice(3)]) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and want <= set(got)
+        repeated = len({x for t in texts for x in set(t.split("\n")) if sum(x in u.split("\n") for u in texts) > 1})
+        assert len(got) == len(want) + repeated
+
+
 def test_item_index_finds_contained_items_exactly():
     rnd = random.Random(5)
     sets = [np.unique(np.array([rnd.getrandbits(64) for _ in range(n)], np.uint64)) for n in (1, 2, 3, 11, 40, 200)]

@@ -31,6 +31,7 @@ from typing import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,21 +162,23 @@ def line_bands(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(lines), np.concatenate(buckets)
 
 
-def _slices(batch, limit: int = 1 << 17):
-    """(document in the batch, line number, line) lists of about ``limit`` characters; lines trimmed, blank ones left out."""
-    doc, number, lines, size = [], [], [], 0
-    for d, t in enumerate(batch.column(2)):
-        for n, x in enumerate((t.as_py() or "").split("\n")):
-            if x := x.strip(_WHITE):
-                doc.append(d)
-                number.append(n)
-                lines.append(x)
-                size += len(x)
-                if size >= limit:
-                    yield doc, number, lines
-                    doc, number, lines, size = [], [], [], 0
-    if lines:
-        yield doc, number, lines
+def _slices(batch, limit: int = 1 << 18):
+    """(documents in the batch, line numbers, lines) of about ``limit`` bytes; lines trimmed, blank ones left out."""
+    texts, at = batch.column(2), 0
+    volume = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(volume, (volume[at - 1] if at else 0) + limit, "right")))
+        split = pc.split_pattern(texts.slice(at, end - at), "\n")
+        counts = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        lines = pc.ascii_trim(split.flatten(), _WHITE)  # no byte of another character is white space
+        size = pc.binary_length(lines).to_numpy()
+        doc = np.repeat(np.arange(at, end), counts)
+        number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+        some = np.flatnonzero(size)
+        for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(size[some], dtype=np.int64) // limit)) + 1):
+            if len(part):
+                yield doc[part], number[part], lines.take(pa.array(part)).to_pylist()
+        at = end
 
 
 def _keys(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
@@ -216,7 +219,7 @@ def _count_buckets(parts: int, held: int = 1 << 19):
                 line, bucket = line_bands(*line_shingles(lines))
                 keys, own = _keys(lines)
                 which = np.frombuffer(b"".join(keys), np.int64)[::2]
-                places = mix64(own_hash[doc] + np.array(number, np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                places = mix64(own_hash[doc] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 found.append((np.concatenate([bucket, own]), np.concatenate([which[line], places])))
                 n += len(found[-1][0])
                 if n >= held:
@@ -279,9 +282,9 @@ def _candidates(shared, bits: int):
                 out = np.flatnonzero(near | hit(own))
                 ends = np.searchsorted(line, np.append(out, len(lines)))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bucket))
-                at = pa.array([doc[i] for i in out], pa.int64())
+                at = pa.array(doc[out])
                 yield pa.RecordBatch.from_arrays([
-                    ids.take(at), tks.take(at), pa.array([number[i] for i in out], pa.int32()),
+                    ids.take(at), tks.take(at), pa.array(number[out].astype(np.int32)),
                     pa.array([keys[i] for i in out], pa.binary()), pa.array(np.diff(off)[out], pa.int64()), lists,
                     pa.array([lines[i].encode() if near[i] else None for i in out], pa.binary())], names=names)
             yield pa.RecordBatch.from_arrays([

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from tessera.llm.decontaminate import ItemIndex
 from tessera.llm.encode import Encoder
 from tessera.llm.licenses import bands, length_class
-from tessera.llm.line_dedup import LONG, SHORT, _count_buckets, _multiple, line_bands, line_shingles, one_permutation
+from tessera.llm.line_dedup import _WHITE, LONG, SHORT, _count_buckets, _multiple, _slices, line_bands, line_shingles, one_permutation
 from tessera.llm.lsh import SMALL, _compare, least_matches
 from tessera.llm.shingles import minhash, word_hashes, word_shingles
 from tessera.llm.simple8b import pack, unpack
@@ -189,6 +189,17 @@ def test_small_groups_are_compared_together():
     assert len(calls) < 20
 
 
+def test_lines_are_split_and_trimmed_in_bulk():
+    rnd = random.Random(3)
+    texts = [None, "", "\n", " \x1cé\xa0\n\t日 \x0b\x0c\r\n\n x"] + ["".join(rnd.choice("ab \n\té日　\x85") for _ in range(rnd.choice([0, 5, 50, 3000]))) for _ in range(60)]
+    want = [(d, n, x.strip(_WHITE)) for d, t in enumerate(texts) for n, x in enumerate((t or "").split("\n")) if x.strip(_WHITE)]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["before", *texts], kind)
+        batch = pa.RecordBatch.from_arrays([column, column, column], names=["id", "tk", "text"]).slice(1)
+        for limit in (1, 100, 1 << 18):
+            assert [row for part in _slices(batch, limit) for row in zip(*part, strict=True)] == want
+
+
 def test_buckets_with_several_lines():
     """The buckets that several lines, or one line at several places, are in are found from a few packed rows."""
     rnd = random.Random(2)
